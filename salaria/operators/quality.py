@@ -48,13 +48,17 @@ def status_counts(classified: DataFrame) -> DataFrame:
     return classified.groupBy(S.STATUS).agg(F.count(F.lit(1)).alias("lines"))
 
 
-def key_census(keys: DataFrame) -> DataFrame:
-    """One row over ``key_info``: keys seen, keys without employee, keys without payroll."""
-    return keys.agg(
+def key_census_exprs() -> list[Column]:
+    return [
         F.count(F.lit(1)).alias("keys_processed"),
         F.count_if(F.col(S.HAS_EMPLOYEE).isNull()).alias("missing_employee_records"),
         F.count_if(F.col(S.N_PAYROLL).isNull()).alias("no_payroll_records"),
-    )
+    ]
+
+
+def key_census(keys: DataFrame) -> DataFrame:
+    """One row over ``key_info``: keys seen, keys without employee, keys without payroll."""
+    return keys.agg(*key_census_exprs())
 
 
 def missing_employees(keys: DataFrame) -> DataFrame:

@@ -96,13 +96,14 @@ def run_payroll_report(
 
     # Stage 2: the key table; this write is the action that fills both observations.
     keys = materialize(report.key_info(report.one_per_key(valid_emp), valid_pay), new_scratch(spark, "key_info"))
-    census = quality.key_census(keys).first().asDict()
-    attrs_size = keyjoin.measure(
-        keys.filter(F.col(S.N_PAYROLL).isNotNull()).select(
-            S.EMPLOYEE_ID, S.FULL_NAME, S.DEPARTMENT, S.MAX_PAY, S.N_PAYROLL
-        ),
-        S.N_PAYROLL,
-    )
+    # Census and the size of the join's key side in one small job over the key table.
+    has_payroll = F.col(S.N_PAYROLL).isNotNull()
+    attrs = keys.select(S.EMPLOYEE_ID, S.FULL_NAME, S.DEPARTMENT, S.MAX_PAY, S.N_PAYROLL)
+    stats = keys.agg(
+        *quality.key_census_exprs(), *keyjoin.size_exprs(attrs, S.N_PAYROLL, where=has_payroll)
+    ).first()
+    census = {k: stats[k] for k in ("keys_processed", "missing_employee_records", "no_payroll_records")}
+    attrs_size = keyjoin.size_from_row(stats)
 
     rep = report.payroll_report(
         valid_emp, valid_pay, overflow, keys=keys, keep_line_id=True,

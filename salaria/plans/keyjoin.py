@@ -55,18 +55,33 @@ def _value_bytes(col: Column, dtype: T.DataType) -> Column:
     return F.lit(fixed.get(type(dtype), 8)).cast("bigint")
 
 
-def measure(keys: DataFrame, count_col: str) -> KeyTableSize:
-    """Exact key count, payload bytes and summed row count of a key table (one small job)."""
+def size_exprs(keys: DataFrame, count_col: str, where: Column | None = None) -> list[Column]:
+    """Aggregates giving ``KeyTableSize`` of ``keys`` (rows where ``where`` holds).
+
+    Returned as expressions so a caller can fold them into an aggregate it runs
+    anyway (see ``plans.job``).
+    """
     payload = None
     for f in keys.schema.fields:
+        if f.name == count_col:
+            continue
         b = _value_bytes(F.col(f.name), f.dataType)
         payload = b if payload is None else payload + b
-    row = keys.agg(
-        F.count(F.lit(1)).alias("keys"),
-        F.coalesce(F.sum(payload), F.lit(0)).alias("bytes"),
-        F.coalesce(F.sum(count_col), F.lit(0)).alias("rows"),
-    ).first()
-    return KeyTableSize(int(row["keys"]), int(row["bytes"]), int(row["rows"]))
+    cond = F.lit(True) if where is None else where
+    return [
+        F.count_if(cond).alias("_size_keys"),
+        F.coalesce(F.sum(F.when(cond, payload)), F.lit(0)).cast("bigint").alias("_size_bytes"),
+        F.coalesce(F.sum(F.when(cond, F.col(count_col))), F.lit(0)).cast("bigint").alias("_size_rows"),
+    ]
+
+
+def size_from_row(row) -> KeyTableSize:
+    return KeyTableSize(int(row["_size_keys"]), int(row["_size_bytes"]), int(row["_size_rows"]))
+
+
+def measure(keys: DataFrame, count_col: str) -> KeyTableSize:
+    """Exact key count, payload bytes and summed row count of a key table (one small job)."""
+    return size_from_row(keys.agg(*size_exprs(keys, count_col)).first())
 
 
 def attach_by_key(

@@ -37,7 +37,10 @@ def local_session(cores: int = 8, shuffle_partitions: int = 8, app: str = "salar
         .config("spark.sql.session.timeZone", "UTC")
     )
     conf = recommended_conf(shuffle_partitions)
+    # Small local inputs: let a few-MB file still split over all cores (the 4 MB
+    # default open cost would keep it in one or two tasks).
     conf["spark.sql.adaptive.advisoryPartitionSizeInBytes"] = str(16 * 1024 * 1024)
+    conf["spark.sql.files.openCostInBytes"] = str(256 * 1024)
     conf.update(extra or {})
     for k, v in conf.items():
         builder = builder.config(k, v)
