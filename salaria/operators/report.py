@@ -75,6 +75,7 @@ def payroll_report(
     *,
     keys: DataFrame | None = None,
     keep_line_id: bool = False,
+    ordered: bool = False,
     max_broadcast_bytes: int = keyjoin.DEFAULT_MAX_BROADCAST_BYTES,
     rows_per_task: int = keyjoin.DEFAULT_ROWS_PER_TASK,
     key_size: keyjoin.KeyTableSize | None = None,
@@ -84,8 +85,10 @@ def payroll_report(
     ``employees`` and ``payroll`` are valid records (``valid_employees`` /
     ``valid_payroll``). ``keys`` may pass an already materialised ``key_info`` of
     the same inputs; otherwise it is built and written to the checkpoint folder.
-    Unknown employees get ``UNKNOWN EMPLOYEE`` / ``UNKNOWN``. Unordered; see
-    ``plans.job`` for the ordered text report.
+    Unknown employees get ``UNKNOWN EMPLOYEE`` / ``UNKNOWN``. With ``ordered``
+    the rows are totally ordered by ``(employee_id, line_id)``: key order, and
+    input order within a key; the range partitioning on this unique composite
+    key splits a hot key, or a mass of identical lines, over many tasks.
     """
     spark = payroll.sparkSession
     if S.LINE_ID not in payroll.columns:
@@ -98,6 +101,7 @@ def payroll_report(
     )
     joined = keyjoin.attach_by_key(
         pay, attrs, S.EMPLOYEE_ID, S.N_PAYROLL, S.LINE_ID,
+        order_by=(S.EMPLOYEE_ID, S.LINE_ID) if ordered else (),
         max_broadcast_bytes=max_broadcast_bytes, rows_per_task=rows_per_task, size=key_size,
     )
     out = [

@@ -107,13 +107,12 @@ def run_payroll_report(
 
     rep = report.payroll_report(
         valid_emp, valid_pay, overflow, keys=keys, keep_line_id=True,
-        max_broadcast_bytes=max_broadcast_bytes, rows_per_task=rows_per_task, key_size=attrs_size,
+        ordered=ordered, max_broadcast_bytes=max_broadcast_bytes, rows_per_task=rows_per_task,
+        key_size=attrs_size,
     )
-    if ordered:
-        rep = rep.orderBy(S.EMPLOYEE_ID, S.LINE_ID)
     write_lines(report.report_lines(rep).select(S.REPORT_LINE), output_path, compression=compression)
 
-    strategy = "broadcast" if attrs_size.estimated_bytes <= max_broadcast_bytes else "salted-shuffle"
+    strategy = keyjoin.choose_strategy(attrs_size, max_broadcast_bytes)
     return ReportSummary(
         employee=emp_obs.get,
         payroll=pay_obs.get,

@@ -26,7 +26,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-DEFAULT_MAX_BROADCAST_BYTES = 64 * 1024 * 1024
+DEFAULT_MAX_BROADCAST_BYTES = 256 * 1024 * 1024
 DEFAULT_ROWS_PER_TASK = 2_000_000
 DEFAULT_MAX_HOT_KEYS = 100_000
 # Per-row overhead of a broadcast hash relation entry (UnsafeRow header, null
@@ -84,6 +84,14 @@ def measure(keys: DataFrame, count_col: str) -> KeyTableSize:
     return size_from_row(keys.agg(*size_exprs(keys, count_col)).first())
 
 
+BROADCAST = "broadcast"
+SALTED = "salted-shuffle"
+
+
+def choose_strategy(size: KeyTableSize, max_broadcast_bytes: int) -> str:
+    return BROADCAST if size.estimated_bytes <= max_broadcast_bytes else SALTED
+
+
 def attach_by_key(
     rows: DataFrame,
     keys: DataFrame,
@@ -92,6 +100,7 @@ def attach_by_key(
     row_id_col: str,
     *,
     how: str = "left",
+    order_by: tuple[str, ...] = (),
     max_broadcast_bytes: int = DEFAULT_MAX_BROADCAST_BYTES,
     rows_per_task: int = DEFAULT_ROWS_PER_TASK,
     max_hot_keys: int = DEFAULT_MAX_HOT_KEYS,
@@ -99,11 +108,20 @@ def attach_by_key(
 ) -> DataFrame:
     """``rows JOIN keys USING (key)``; ``keys`` has one row per key and ``count_col``
     holds the number of ``rows`` with that key. ``count_col`` is not returned.
+
+    ``order_by`` asks for a total order of the result (range-partitioned part
+    files). On the broadcast path the narrow ``rows`` are range-partitioned before
+    the join, which keeps the order of its streamed side, and sorted within
+    partitions after it: the shuffle and the range sampling pass carry only the
+    row columns, not the attached attributes.
     """
     size = size or measure(keys, count_col)
     attrs = keys.drop(count_col)
-    if size.estimated_bytes <= max_broadcast_bytes:
-        return rows.join(F.broadcast(attrs), key, how)
+    if choose_strategy(size, max_broadcast_bytes) == BROADCAST:
+        if not order_by:
+            return rows.join(F.broadcast(attrs), key, how)
+        ranged = rows.repartitionByRange(*order_by)
+        return ranged.join(F.broadcast(attrs), key, how).sortWithinPartitions(*order_by)
 
     # Salted path. Enough rows per task that at most max_hot_keys keys are hot.
     rows_per_task = max(rows_per_task, math.ceil(size.total_rows / max_hot_keys), 1)
@@ -120,4 +138,5 @@ def attach_by_key(
     salted_keys = attrs.join(F.broadcast(hot), key, "left").withColumn(
         _SALT, F.explode(F.sequence(F.lit(0), F.coalesce(F.col(_BUCKETS), F.lit(1)) - 1))
     ).drop(_BUCKETS)
-    return salted_rows.join(salted_keys, [key, _SALT], how).drop(_SALT)
+    joined = salted_rows.join(salted_keys, [key, _SALT], how).drop(_SALT)
+    return joined.orderBy(*order_by) if order_by else joined

@@ -1,0 +1,8 @@
+"""Streaming: intentionally empty.
+
+The reference job is a single batch run; it has no stream source, watermark,
+window or state, so there is no streaming operator to rebuild. The ingest
+classifiers (``operators.ingest``) are stateless column expressions and apply
+unchanged to ``spark.readStream.text(...)``; the per-employee maximum would need
+state and change meaning on an unbounded input, so it is not offered here.
+"""
