@@ -48,11 +48,13 @@ def status_counts(classified: DataFrame) -> DataFrame:
     return classified.groupBy(S.STATUS).agg(F.count(F.lit(1)).alias("lines"))
 
 
-def key_census_exprs() -> list[Column]:
+def key_census_exprs(where: Column | None = None) -> list[Column]:
+    """Census counts; ``where`` restricts the rows that count as keys."""
+    cond = F.lit(True) if where is None else where
     return [
-        F.count(F.lit(1)).alias("keys_processed"),
-        F.count_if(F.col(S.HAS_EMPLOYEE).isNull()).alias("missing_employee_records"),
-        F.count_if(F.col(S.N_PAYROLL).isNull()).alias("no_payroll_records"),
+        F.count_if(cond).alias("keys_processed"),
+        F.count_if(cond & F.col(S.HAS_EMPLOYEE).isNull()).alias("missing_employee_records"),
+        F.count_if(cond & F.col(S.N_PAYROLL).isNull()).alias("no_payroll_records"),
     ]
 
 
@@ -83,3 +85,36 @@ def report_quality(report: DataFrame, valid_payroll: DataFrame) -> DataFrame:
         F.coalesce(F.sum("_r"), F.lit(0)).cast("bigint").alias("records_emitted"),
         F.coalesce(F.sum("_v"), F.lit(0)).cast("bigint").alias("valid_payroll_records"),
     )
+
+
+def _sum(col: str) -> Column:
+    return F.coalesce(F.sum(col), F.lit(0)).cast("bigint")
+
+
+def counts_from_key_table_exprs() -> list[Column]:
+    """Quality counters as sums over ``key_info_with_counts`` (NULL-key rows included)."""
+    emp_bad = [f"emp_{st.lower()}" for st in S.EMPLOYEE_STATUSES if st != S.OK]
+    pay_bad = [f"pay_{st.lower()}" for st in S.PAYROLL_STATUSES if st != S.OK]
+
+    def total(cols):
+        expr = None
+        for c in cols:
+            e = F.coalesce(F.col(c), F.lit(0))
+            expr = e if expr is None else expr + e
+        return F.coalesce(F.sum(expr), F.lit(0)).cast("bigint")
+
+    return [
+        total(["n_employee", *emp_bad]).alias("emp_lines_read"),
+        _sum("n_employee").alias("emp_records_emitted"),
+        _sum("emp_blank").alias("emp_blank_lines_skipped"),
+        _sum("emp_malformed").alias("emp_malformed_records_skipped"),
+        _sum("emp_incomplete").alias("emp_incomplete_records_skipped"),
+        total([S.N_PAYROLL, *pay_bad]).alias("pay_lines_read"),
+        _sum(S.N_PAYROLL).alias("pay_records_emitted"),
+        _sum("pay_blank").alias("pay_blank_lines_skipped"),
+        _sum("pay_malformed").alias("pay_malformed_records_skipped"),
+        _sum("pay_incomplete").alias("pay_incomplete_records_skipped"),
+        _sum("pay_invalid_numeric").alias("pay_invalid_numeric_fields_skipped"),
+        _sum("pay_negative").alias("pay_negative_value_records_skipped"),
+    ]
+

@@ -68,6 +68,52 @@ def key_info(employees_one: DataFrame, payroll_with_total: DataFrame) -> DataFra
     return pay_keys.join(emp_keys, S.EMPLOYEE_ID, "full")
 
 
+def _status_counts(statuses, prefix: str) -> list:
+    return [
+        F.count_if(F.col(S.STATUS) == st).alias(f"{prefix}_{st.lower()}") for st in statuses if st != S.OK
+    ]
+
+
+def key_info_with_counts(
+    classified_employees: DataFrame, classified_payroll: DataFrame, overflow: str = S.OVERFLOW_WIDEN
+) -> DataFrame:
+    """``key_info`` built from *all* classified lines, carrying the line counts.
+
+    Valid lines group by ``employee_id``; rejected lines group under a NULL key
+    (one row per side; partial aggregation leaves one row per map task for it,
+    however many lines are bad). Besides the ``key_info`` columns each row holds
+    ``n_employee`` (valid employee lines of the key) and per-status counts
+    ``emp_<status>`` / ``pay_<status>``, so the quality counters are exact sums
+    over this table: no second scan, and no accumulator that a re-run stage
+    would count twice.
+    """
+    ok = F.col(S.STATUS) == S.OK
+    key = F.when(ok, F.col(S.EMPLOYEE_ID)).alias(S.EMPLOYEE_ID)
+    pay = classified_payroll.select(
+        key, S.STATUS, total_pay(F.col(S.BASE_SALARY), F.col(S.BONUS), overflow).alias(S.TOTAL_PAY)
+    )
+    n_pay = F.count_if(ok)
+    pay_keys = pay.groupBy(S.EMPLOYEE_ID).agg(
+        F.max(F.when(ok, F.col(S.TOTAL_PAY))).alias(S.MAX_PAY),
+        F.when(n_pay > 0, n_pay).alias(S.N_PAYROLL),
+        *_status_counts(S.PAYROLL_STATUSES, "pay"),
+    )
+    emp = classified_employees.select(key, S.STATUS, S.FIRST_NAME, S.LAST_NAME, S.DEPARTMENT)
+    n_emp = F.count_if(ok)
+    best = F.max(F.when(ok, F.struct(S.FIRST_NAME, S.LAST_NAME, S.DEPARTMENT))).alias("_best")
+    emp_keys = emp.groupBy(S.EMPLOYEE_ID).agg(
+        best, F.when(n_emp > 0, n_emp).alias("n_employee"), *_status_counts(S.EMPLOYEE_STATUSES, "emp")
+    ).select(
+        S.EMPLOYEE_ID,
+        F.concat(F.col(f"_best.{S.FIRST_NAME}"), F.lit(" "), F.col(f"_best.{S.LAST_NAME}")).alias(S.FULL_NAME),
+        F.col(f"_best.{S.DEPARTMENT}").alias(S.DEPARTMENT),
+        F.when(F.col("n_employee").isNotNull(), F.lit(True)).alias(S.HAS_EMPLOYEE),
+        "n_employee",
+        *[f"emp_{st.lower()}" for st in S.EMPLOYEE_STATUSES if st != S.OK],
+    )
+    return pay_keys.join(emp_keys, S.EMPLOYEE_ID, "full")
+
+
 def payroll_report(
     employees: DataFrame,
     payroll: DataFrame,

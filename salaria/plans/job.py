@@ -2,9 +2,10 @@
 
 Stages (``explain`` of each write shows them):
 
-1. scan + classify both inputs (narrow, codegen), observed for the quality counts;
-2. ``key_info``: partial/final aggregates per employee id and their full outer
-   join (one exchange per side), written to the checkpoint folder;
+1. scan + classify both inputs (narrow, codegen);
+2. ``key_info_with_counts``: partial/final aggregates per employee id (rejected
+   lines under a NULL key, so every line is counted) and their full outer join
+   (one exchange per side), written to the checkpoint folder;
 3. payroll rows joined to the key table (size-checked broadcast, else salted
    shuffle join; ``plans.keyjoin``);
 4. global sort by ``(employee_id, line_id)``: range partitioning on a unique
@@ -22,7 +23,7 @@ import posixpath
 from dataclasses import dataclass, field
 from urllib.parse import urlparse
 
-from pyspark.sql import Observation, SparkSession
+from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
 
 from salaria import schema as S
@@ -83,26 +84,25 @@ def run_payroll_report(
 ) -> ReportSummary:
     """Build the payroll report from two text inputs and write it as text lines."""
     check_paths(employee_path, payroll_path, output_path)
-    emp_obs, pay_obs = Observation("employee_quality"), Observation("payroll_quality")
+    employees = ingest.clean_employees(read_lines(spark, employee_path))
+    payroll = ingest.clean_payroll(read_lines(spark, payroll_path, with_line_id=True))
+    valid_emp = ingest.valid_employees(employees)
+    valid_pay = ingest.valid_payroll(payroll, keep=(S.LINE_ID,))
 
-    employees = ingest.clean_employees(read_lines(spark, employee_path)).observe(
-        emp_obs, *quality.employee_quality_exprs()
-    )
-    payroll = ingest.clean_payroll(read_lines(spark, payroll_path, with_line_id=True)).observe(
-        pay_obs, *quality.payroll_quality_exprs()
+    # Stage 2: the key table, with every line's status counted in it (exact under
+    # task and stage retries, unlike accumulators), written to the checkpoint folder.
+    table = materialize(
+        report.key_info_with_counts(employees, payroll, overflow), new_scratch(spark, "key_info")
     )
-    valid_emp = ingest.valid_employees(employees)
-    valid_pay = report.with_total_pay(ingest.valid_payroll(payroll, keep=(S.LINE_ID,)), overflow)
-
-    # Stage 2: the key table; this write is the action that fills both observations.
-    keys = materialize(report.key_info(report.one_per_key(valid_emp), valid_pay), new_scratch(spark, "key_info"))
-    # Census and the size of the join's key side in one small job over the key table.
-    has_payroll = F.col(S.N_PAYROLL).isNotNull()
-    attrs = keys.select(S.EMPLOYEE_ID, S.FULL_NAME, S.DEPARTMENT, S.MAX_PAY, S.N_PAYROLL)
-    stats = keys.agg(
-        *quality.key_census_exprs(), *keyjoin.size_exprs(attrs, S.N_PAYROLL, where=has_payroll)
-    ).first()
-    census = {k: stats[k] for k in ("keys_processed", "missing_employee_records", "no_payroll_records")}
+    is_key = F.col(S.EMPLOYEE_ID).isNotNull()
+    keys = table.filter(is_key)
+    attrs = table.select(S.EMPLOYEE_ID, S.FULL_NAME, S.DEPARTMENT, S.MAX_PAY, S.N_PAYROLL)
+    # Counters, census and the size of the join's key side: one small job over the table.
+    stats = table.agg(
+        *quality.counts_from_key_table_exprs(),
+        *quality.key_census_exprs(where=is_key),
+        *keyjoin.size_exprs(attrs, S.N_PAYROLL, where=is_key & F.col(S.N_PAYROLL).isNotNull()),
+    ).first().asDict()
     attrs_size = keyjoin.size_from_row(stats)
 
     rep = report.payroll_report(
@@ -112,11 +112,13 @@ def run_payroll_report(
     )
     write_lines(report.report_lines(rep).select(S.REPORT_LINE), output_path, compression=compression)
 
-    strategy = keyjoin.choose_strategy(attrs_size, max_broadcast_bytes)
+    def counters(prefix: str) -> dict:
+        return {k[len(prefix):]: v for k, v in stats.items() if k.startswith(prefix)}
+
     return ReportSummary(
-        employee=emp_obs.get,
-        payroll=pay_obs.get,
-        keys=census,
+        employee=counters("emp_"),
+        payroll=counters("pay_"),
+        keys={k: stats[k] for k in ("keys_processed", "missing_employee_records", "no_payroll_records")},
         records_emitted=attrs_size.total_rows,
-        join_strategy=strategy,
+        join_strategy=keyjoin.choose_strategy(attrs_size, max_broadcast_bytes),
     )

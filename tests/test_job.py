@@ -112,3 +112,26 @@ def test_check_paths_rules():
         check_paths("hdfs://nn/a/emp", "/a/pay", "/a")
     with pytest.raises(ValueError):
         check_paths("emp", "pay", ".")
+
+
+def test_job_on_testdata_matches_registered_queries(spark, tmp_dir):
+    """Text round trip of the derived fixture: counters and report equal the query results."""
+    from salaria.catalog import QUERIES
+    from salaria.sources.fixtures import testdata_lines
+
+    sf_dir = "/root/testdata/sf0.001"
+    emp_lines, pay_lines = testdata_lines(spark, sf_dir)
+    emp, pay, out = (os.path.join(tmp_dir, n) for n in ("emp", "pay", "out"))
+    emp_lines.write.text(emp)
+    pay_lines.select("line").write.text(pay)
+    summary = run_payroll_report(spark, emp, pay, out, max_broadcast_bytes=0, rows_per_task=50)
+    assert summary.join_strategy == "salted-shuffle"
+    assert summary.employee == QUERIES["employee_quality"](spark, sf_dir).first().asDict()
+    assert summary.payroll == QUERIES["payroll_quality"](spark, sf_dir).first().asDict()
+    assert summary.keys == QUERIES["key_census"](spark, sf_dir).first().asDict()
+    text = _read_output(out).splitlines()
+    expected = sorted(r.value for r in QUERIES["report_lines"](spark, sf_dir).collect())
+    assert sorted(text) == expected
+    ids = [t.split("\t")[0] for t in text]
+    assert ids == sorted(ids)
+    assert summary.records_emitted == len(text)
