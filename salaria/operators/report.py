@@ -65,7 +65,7 @@ def key_info(employees_one: DataFrame, payroll_with_total: DataFrame) -> DataFra
         S.DEPARTMENT,
         F.lit(True).alias(S.HAS_EMPLOYEE),
     )
-    return pay_keys.join(emp_keys, S.EMPLOYEE_ID, "full")
+    return pay_keys.join(emp_keys.hint("shuffle_hash"), S.EMPLOYEE_ID, "full")
 
 
 def _status_counts(statuses, prefix: str) -> list:
@@ -111,7 +111,7 @@ def key_info_with_counts(
         "n_employee",
         *[f"emp_{st.lower()}" for st in S.EMPLOYEE_STATUSES if st != S.OK],
     )
-    return pay_keys.join(emp_keys, S.EMPLOYEE_ID, "full")
+    return pay_keys.join(emp_keys.hint("shuffle_hash"), S.EMPLOYEE_ID, "full")
 
 
 def payroll_report(
