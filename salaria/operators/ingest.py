@@ -15,9 +15,11 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from salaria import schema as S
-from salaria.functions import field, java_trim, split_fields, strict_int
+from salaria.functions import field, split_fields, strict_int
 
 _F = "_fields"
+_RAW_SALARY = "_raw_salary"
+_RAW_BONUS = "_raw_bonus"
 
 
 def _once(df: DataFrame, **columns: Column) -> DataFrame:
@@ -26,17 +28,27 @@ def _once(df: DataFrame, **columns: Column) -> DataFrame:
     The values pass through a one-element generator, which filters on the
     classification cannot be pushed through. Without it Catalyst inlines each
     parse step into every predicate of a status filter (CASE branches are not
-    shared by subexpression elimination): the line would be split ~15 times per
-    row, and codegen exceeds its 64 KB method limit when the line is itself a
-    derived expression.
+    shared by subexpression elimination), and again into the output projection:
+    the line was split ~15 times per row, and codegen exceeded its 64 KB method
+    limit when the line was itself a derived expression.
     """
     packed = F.struct(*[c.alias(n) for n, c in columns.items()])
     return df.select("*", F.inline(F.array(packed)))
 
 
-def _is_blank() -> Column:
-    # The line was trimmed before the split: it was empty iff it gave one empty field.
-    return (F.size(_F) == 1) & (F.get(F.col(_F), 0) == "")
+def _split_and_trim(lines: DataFrame, line_col: str, names: tuple[str, ...]) -> DataFrame:
+    """Split the raw line, then trim each field, each step once per row.
+
+    The line itself is not trimmed first: trimming never removes a comma, so the
+    field count is the same, and the outer fields lose the same characters in the
+    field trim. A line that is blank after trimming is one field, empty after trim.
+    """
+    parts = _once(lines, **{_F: split_fields(F.col(line_col), S.FIELD_DELIMITER)})
+    return _once(parts, **{name: field(F.col(_F), i) for i, name in enumerate(names)})
+
+
+def _is_blank(first_field: str) -> Column:
+    return (F.size(_F) == 1) & (F.col(first_field) == "")
 
 
 def _any_empty(names) -> Column:
@@ -49,15 +61,14 @@ def clean_employees(lines: DataFrame, line_col: str = S.LINE) -> DataFrame:
     Rules in order: BLANK (empty after trim), MALFORMED (not exactly 4 fields),
     INCOMPLETE (a field empty after trim), else OK. Other input columns are kept.
     """
-    parts = _once(lines, **{_F: split_fields(java_trim(F.col(line_col)), S.FIELD_DELIMITER)})
-    parts = parts.withColumns({name: field(F.col(_F), i) for i, name in enumerate(S.EMPLOYEE_FIELDS)})
+    parts = _split_and_trim(lines, line_col, S.EMPLOYEE_FIELDS)
     status = (
-        F.when(_is_blank(), S.BLANK)
+        F.when(_is_blank(S.EMPLOYEE_ID), S.BLANK)
         .when(F.size(_F) != S.EMPLOYEE_FIELD_COUNT, S.MALFORMED)
         .when(_any_empty(S.EMPLOYEE_FIELDS), S.INCOMPLETE)
         .otherwise(S.OK)
     )
-    return parts.withColumn(S.STATUS, status).drop(_F)
+    return parts.withColumn(S.STATUS, status).select(*lines.columns, *S.EMPLOYEE_FIELDS, S.STATUS)
 
 
 def clean_payroll(lines: DataFrame, line_col: str = S.LINE) -> DataFrame:
@@ -67,25 +78,20 @@ def clean_payroll(lines: DataFrame, line_col: str = S.LINE) -> DataFrame:
     empty), INVALID_NUMERIC (salary or bonus not an int32), NEGATIVE (either < 0),
     else OK. Other input columns are kept.
     """
-    parts = _once(lines, **{_F: split_fields(java_trim(F.col(line_col)), S.FIELD_DELIMITER)})
+    names = (S.PAYROLL_ID, S.EMPLOYEE_ID, S.MONTH, _RAW_SALARY, _RAW_BONUS)
+    parts = _split_and_trim(lines, line_col, names)
     parts = _once(
-        parts,
-        **{S.BASE_SALARY: strict_int(field(F.col(_F), 3)), S.BONUS: strict_int(field(F.col(_F), 4))},
+        parts, **{S.BASE_SALARY: strict_int(F.col(_RAW_SALARY)), S.BONUS: strict_int(F.col(_RAW_BONUS))}
     )
-    texts = (S.PAYROLL_ID, S.EMPLOYEE_ID, S.MONTH)
-    parts = parts.withColumns({name: field(F.col(_F), i) for i, name in enumerate(texts)})
-    numbers_empty = (field(F.col(_F), 3) == "") | (field(F.col(_F), 4) == "")
     status = (
-        F.when(_is_blank(), S.BLANK)
+        F.when(_is_blank(S.PAYROLL_ID), S.BLANK)
         .when(F.size(_F) != S.PAYROLL_FIELD_COUNT, S.MALFORMED)
-        .when(_any_empty(texts) | numbers_empty, S.INCOMPLETE)
+        .when(_any_empty(names), S.INCOMPLETE)
         .when(F.col(S.BASE_SALARY).isNull() | F.col(S.BONUS).isNull(), S.INVALID_NUMERIC)
         .when((F.col(S.BASE_SALARY) < S.MIN_NUMERIC_VALUE) | (F.col(S.BONUS) < S.MIN_NUMERIC_VALUE), S.NEGATIVE)
         .otherwise(S.OK)
     )
-    return parts.withColumn(S.STATUS, status).select(
-        *lines.columns, *S.PAYROLL_FIELDS, S.STATUS
-    )
+    return parts.withColumn(S.STATUS, status).select(*lines.columns, *S.PAYROLL_FIELDS, S.STATUS)
 
 
 def valid_employees(classified: DataFrame) -> DataFrame:
