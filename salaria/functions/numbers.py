@@ -33,7 +33,7 @@ NON_ASCII_DIGITS, ASCII_DIGIT_VALUES = _bmp_decimal_digits()
 
 # Optional sign then one or more digits, anchored at the very start and end.
 # ``\z`` (not ``$``) so that a trailing U+2028 or newline is not accepted.
-INTEGER_PATTERN = r"\A([+-]?[0-9]+)\z"
+INTEGER_PATTERN = r"\A[+-]?[0-9]+\z"
 
 
 def strict_int(col: Column) -> Column:
@@ -43,10 +43,11 @@ def strict_int(col: Column) -> Column:
     characters (``try_cast`` alone accepts ``'7\\x7f'``); ``try_cast`` adds the
     range check (``2147483648`` -> NULL).
     """
-    ascii_digits = F.translate(col, NON_ASCII_DIGITS, ASCII_DIGIT_VALUES)
-    # regexp_extract gives '' when the pattern fails, and try_cast('') is NULL;
-    # the text is referenced once, so translate runs once per value.
-    return F.regexp_extract(ascii_digits, INTEGER_PATTERN, 1).try_cast("int")
+    # translate allocates per character: apply it only to text with non-ASCII
+    # characters (in UTF-8 exactly those whose byte length exceeds the char length).
+    is_ascii = F.length(col) == F.octet_length(col)
+    digits = F.when(is_ascii, col).otherwise(F.translate(col, NON_ASCII_DIGITS, ASCII_DIGIT_VALUES))
+    return F.when(digits.rlike(INTEGER_PATTERN), digits.try_cast("int"))
 
 
 def wrap_int32(col: Column) -> Column:

@@ -115,7 +115,7 @@ def key_info_with_counts(
 
 
 def payroll_report(
-    employees: DataFrame,
+    employees: DataFrame | None,
     payroll: DataFrame,
     overflow: str = S.OVERFLOW_WIDEN,
     *,
@@ -129,8 +129,10 @@ def payroll_report(
     """One report row per valid payroll record, payroll LEFT OUTER employee.
 
     ``employees`` and ``payroll`` are valid records (``valid_employees`` /
-    ``valid_payroll``). ``keys`` may pass an already materialised ``key_info`` of
-    the same inputs; otherwise it is built and written to the checkpoint folder.
+    ``valid_payroll``; ``payroll`` needs ``employee_id, month, base_salary,
+    bonus``). ``keys`` may pass an already materialised ``key_info`` of the same
+    inputs (``employees`` is then not read); otherwise it is built and written to
+    the checkpoint folder.
     Unknown employees get ``UNKNOWN EMPLOYEE`` / ``UNKNOWN``. With ``ordered``
     the rows are totally ordered by ``(employee_id, line_id)``: key order, and
     input order within a key; the range partitioning on this unique composite
@@ -141,6 +143,8 @@ def payroll_report(
         payroll = payroll.withColumn(S.LINE_ID, F.monotonically_increasing_id())
     pay = with_total_pay(payroll.select(S.EMPLOYEE_ID, S.MONTH, S.BASE_SALARY, S.BONUS, S.LINE_ID), overflow)
     if keys is None:
+        if employees is None:
+            raise ValueError("employees are needed when no key table is given")
         keys = materialize(key_info(one_per_key(employees), pay), new_scratch(spark, "key_info"))
     attrs = keys.filter(F.col(S.N_PAYROLL).isNotNull()).select(
         S.EMPLOYEE_ID, S.FULL_NAME, S.DEPARTMENT, S.MAX_PAY, S.N_PAYROLL
