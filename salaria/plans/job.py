@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 from salaria import schema as S
 from salaria.operators import ingest, quality, report
 from salaria.plans import keyjoin
-from salaria.plans.scratch import materialize, new_scratch
+from salaria.plans.scratch import drop_scratch, materialize, new_scratch
 from salaria.sources.text import read_lines, write_lines
 
 
@@ -82,6 +82,7 @@ def run_payroll_report(
     max_broadcast_bytes: int = keyjoin.DEFAULT_MAX_BROADCAST_BYTES,
     rows_per_task: int = keyjoin.DEFAULT_ROWS_PER_TASK,
     stage_parsed_payroll: bool = True,
+    keep_scratch: bool = False,
 ) -> ReportSummary:
     """Build the payroll report from two text inputs and write it as text lines.
 
@@ -90,9 +91,21 @@ def run_payroll_report(
     text's size); the key table, the range sampling and the final pass then read
     two to five columns of it instead of parsing the text three times. Off, the
     text is re-parsed by each pass and nothing but the key table is stored.
+    The run's scratch folder is deleted at the end unless ``keep_scratch``.
     """
     check_paths(employee_path, payroll_path, output_path)
     scratch = new_scratch(spark, "report")
+    try:
+        return _run(spark, employee_path, payroll_path, output_path, scratch, overflow=overflow, ordered=ordered,
+                    compression=compression, max_broadcast_bytes=max_broadcast_bytes,
+                    rows_per_task=rows_per_task, stage_parsed_payroll=stage_parsed_payroll)
+    finally:
+        if not keep_scratch:
+            drop_scratch(spark, scratch)
+
+
+def _run(spark, employee_path, payroll_path, output_path, scratch, *, overflow, ordered, compression,
+         max_broadcast_bytes, rows_per_task, stage_parsed_payroll) -> ReportSummary:
     employees = ingest.clean_employees(read_lines(spark, employee_path))
     payroll = ingest.clean_payroll(read_lines(spark, payroll_path, with_line_id=True))
     ok = F.col(S.STATUS) == S.OK

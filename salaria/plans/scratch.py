@@ -42,3 +42,11 @@ def materialize(df: DataFrame, path: str) -> DataFrame:
     """
     df.write.mode("overwrite").parquet(path)
     return df.sparkSession.read.parquet(path)
+
+
+def drop_scratch(spark: SparkSession, path: str) -> None:
+    """Delete a run's scratch folder from the checkpoint folder (Hadoop FileSystem API)."""
+    jvm = spark.sparkContext._jvm
+    hpath = jvm.org.apache.hadoop.fs.Path(path)
+    hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(hpath, True)
+

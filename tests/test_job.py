@@ -135,3 +135,19 @@ def test_job_on_testdata_matches_registered_queries(spark, tmp_dir):
     ids = [t.split("\t")[0] for t in text]
     assert ids == sorted(ids)
     assert summary.records_emitted == len(text)
+
+
+def test_scratch_folder_is_removed(spark, tmp_dir):
+    from salaria.plans.scratch import checkpoint_root
+
+    emp, pay, out = (os.path.join(tmp_dir, n) for n in ("emp.csv", "pay.csv", "out"))
+    _write(emp, EMPLOYEES)
+    _write(pay, PAYROLL)
+    root = checkpoint_root(spark).replace("file:", "")
+    before = set(glob.glob(os.path.join(root, "salaria", "report-*")))
+    run_payroll_report(spark, emp, pay, out)
+    assert set(glob.glob(os.path.join(root, "salaria", "report-*"))) == before
+    run_payroll_report(spark, emp, pay, out, keep_scratch=True)
+    kept = set(glob.glob(os.path.join(root, "salaria", "report-*"))) - before
+    assert len(kept) == 1
+    assert os.path.isdir(os.path.join(kept.pop(), "payroll_parsed"))
