@@ -100,6 +100,20 @@ def payroll_report_salted(spark, sf_dir):
     return report.payroll_report(emp, pay, max_broadcast_bytes=0, rows_per_task=1000)
 
 
+def payroll_report_ordered(spark, sf_dir):
+    """The totally ordered report (range partition, broadcast join, local sort)."""
+    emp, pay = _valid(spark, sf_dir)
+    return report.payroll_report(emp, pay, ordered=True)
+
+
+def job_counters(spark, sf_dir):
+    """The job's counters: per-status counts folded into the key table, summed."""
+    emp, pay = _classified(spark, sf_dir)
+    table = report.key_info_with_counts(emp, pay)
+    is_key = F.col(S.EMPLOYEE_ID).isNotNull()
+    return table.agg(*quality.counts_from_key_table_exprs(), *quality.key_census_exprs(where=is_key))
+
+
 def payroll_report_wrapped(spark, sf_dir):
     emp, pay = _valid(spark, sf_dir)
     return report.payroll_report(emp, pay, S.OVERFLOW_WRAP)
@@ -140,7 +154,8 @@ QUERIES: dict[str, Query] = {
         "employee_lines", "payroll_lines", "employee_status", "payroll_status",
         "employee_status_counts", "payroll_status_counts", "employees_clean", "payroll_clean",
         "employees_one_per_key", "payroll_total_pay", "payroll_total_pay_wrapped",
-        "max_pay_by_employee", "payroll_report", "payroll_report_salted", "payroll_report_wrapped",
+        "max_pay_by_employee", "payroll_report", "payroll_report_salted", "payroll_report_ordered",
+        "payroll_report_wrapped", "job_counters",
         "report_lines", "missing_employees", "employees_without_payroll", "employee_quality",
         "payroll_quality", "key_census", "report_quality",
     )

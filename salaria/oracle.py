@@ -143,6 +143,23 @@ ORACLE_SQL: dict[str, str] = {
     "max_pay_by_employee": _q("select employee_id, max(total_pay) as max_pay from pay_tot group by employee_id"),
     "payroll_report": _q("select employee_id, full_name, department, month, total_pay, max_pay from rep"),
     "payroll_report_salted": _q("select employee_id, full_name, department, month, total_pay, max_pay from rep"),
+    "payroll_report_ordered": _q("select employee_id, full_name, department, month, total_pay, max_pay from rep"),
+    "job_counters": _q(
+        "select e.*, p.*, k.* from "
+        f"(select {_COUNT} as emp_lines_read, {_count_status('OK')} as emp_records_emitted, "
+        f"{_count_status('BLANK')} as emp_blank_lines_skipped, "
+        f"{_count_status('MALFORMED')} as emp_malformed_records_skipped, "
+        f"{_count_status('INCOMPLETE')} as emp_incomplete_records_skipped from emp_c) e, "
+        f"(select {_COUNT} as pay_lines_read, {_count_status('OK')} as pay_records_emitted, "
+        f"{_count_status('BLANK')} as pay_blank_lines_skipped, "
+        f"{_count_status('MALFORMED')} as pay_malformed_records_skipped, "
+        f"{_count_status('INCOMPLETE')} as pay_incomplete_records_skipped, "
+        f"{_count_status('INVALID_NUMERIC')} as pay_invalid_numeric_fields_skipped, "
+        f"{_count_status('NEGATIVE')} as pay_negative_value_records_skipped from pay_c) p, "
+        f"(select {_COUNT} as keys_processed, "
+        "cast(count(*) filter (where from_emp = 0) as bigint) as missing_employee_records, "
+        "cast(count(*) filter (where from_pay = 0) as bigint) as no_payroll_records from keys) k"
+    ),
     "payroll_report_wrapped": _q(
         "select employee_id, full_name, department, month, total_pay, max_pay from rep_wrap"
     ),
