@@ -15,19 +15,25 @@ from pyspark.sql import functions as F
 
 from salaria import schema as S
 from salaria.operators import ingest, quality, report
-from salaria.sources.fixtures import testdata_lines
+from salaria.sources.fixtures import testdata_employee_lines, testdata_lines, testdata_payroll_lines
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def _classified_employees(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ingest.clean_employees(testdata_employee_lines(spark, sf_dir))
+
+
+def _classified_payroll(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ingest.clean_payroll(testdata_payroll_lines(spark, sf_dir))
+
+
 def _classified(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
-    emp_lines, pay_lines = testdata_lines(spark, sf_dir)
-    return ingest.clean_employees(emp_lines), ingest.clean_payroll(pay_lines)
+    return _classified_employees(spark, sf_dir), _classified_payroll(spark, sf_dir)
 
 
 def _valid(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
-    emp, pay = _classified(spark, sf_dir)
-    return ingest.valid_employees(emp), ingest.valid_payroll(pay, keep=(S.LINE_ID,))
+    return _valid_employees(spark, sf_dir), _valid_payroll(spark, sf_dir)
 
 
 def _keys(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -35,44 +41,52 @@ def _keys(spark: SparkSession, sf_dir: str) -> DataFrame:
     return report.key_info(report.one_per_key(emp), report.with_total_pay(pay))
 
 
+def _valid_employees(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ingest.valid_employees(_classified_employees(spark, sf_dir))
+
+
+def _valid_payroll(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ingest.valid_payroll(_classified_payroll(spark, sf_dir), keep=(S.LINE_ID,))
+
+
 def employee_lines(spark, sf_dir):
-    return testdata_lines(spark, sf_dir)[0].select(S.LINE)
+    return testdata_employee_lines(spark, sf_dir).select(S.LINE)
 
 
 def payroll_lines(spark, sf_dir):
-    return testdata_lines(spark, sf_dir)[1].select(S.LINE)
+    return testdata_payroll_lines(spark, sf_dir).select(S.LINE)
 
 
 def employee_status(spark, sf_dir):
-    return _classified(spark, sf_dir)[0].select(S.LINE, S.STATUS)
+    return _classified_employees(spark, sf_dir).select(S.LINE, S.STATUS)
 
 
 def payroll_status(spark, sf_dir):
-    return _classified(spark, sf_dir)[1].select(S.LINE, S.STATUS)
+    return _classified_payroll(spark, sf_dir).select(S.LINE, S.STATUS)
 
 
 def employee_status_counts(spark, sf_dir):
-    return quality.status_counts(_classified(spark, sf_dir)[0])
+    return quality.status_counts(_classified_employees(spark, sf_dir))
 
 
 def payroll_status_counts(spark, sf_dir):
-    return quality.status_counts(_classified(spark, sf_dir)[1])
+    return quality.status_counts(_classified_payroll(spark, sf_dir))
 
 
 def employees_clean(spark, sf_dir):
-    return _valid(spark, sf_dir)[0]
+    return _valid_employees(spark, sf_dir)
 
 
 def payroll_clean(spark, sf_dir):
-    return _valid(spark, sf_dir)[1].drop(S.LINE_ID)
+    return _valid_payroll(spark, sf_dir).drop(S.LINE_ID)
 
 
 def employees_one_per_key(spark, sf_dir):
-    return report.one_per_key(_valid(spark, sf_dir)[0])
+    return report.one_per_key(_valid_employees(spark, sf_dir))
 
 
 def _total_pay(spark, sf_dir, overflow):
-    pay = report.with_total_pay(_valid(spark, sf_dir)[1], overflow)
+    pay = report.with_total_pay(_valid_payroll(spark, sf_dir), overflow)
     return pay.select(S.PAYROLL_ID, S.EMPLOYEE_ID, S.MONTH, S.TOTAL_PAY)
 
 
@@ -85,7 +99,7 @@ def payroll_total_pay_wrapped(spark, sf_dir):
 
 
 def max_pay_by_employee(spark, sf_dir):
-    return report.max_pay_by_employee(report.with_total_pay(_valid(spark, sf_dir)[1]))
+    return report.max_pay_by_employee(report.with_total_pay(_valid_payroll(spark, sf_dir)))
 
 
 def payroll_report(spark, sf_dir):
@@ -132,11 +146,11 @@ def employees_without_payroll(spark, sf_dir):
 
 
 def employee_quality(spark, sf_dir):
-    return quality.employee_quality(_classified(spark, sf_dir)[0])
+    return quality.employee_quality(_classified_employees(spark, sf_dir))
 
 
 def payroll_quality(spark, sf_dir):
-    return quality.payroll_quality(_classified(spark, sf_dir)[1])
+    return quality.payroll_quality(_classified_payroll(spark, sf_dir))
 
 
 def key_census(spark, sf_dir):

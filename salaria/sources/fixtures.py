@@ -95,8 +95,17 @@ def payroll_lines(orders: DataFrame) -> DataFrame:
     return orders.select(line.alias(S.LINE), okey.alias(S.LINE_ID))
 
 
-def testdata_lines(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
-    """(employee lines, payroll lines) for a test-data folder; only needed columns are read."""
-    customer = _table(spark, sf_dir, "customer").select("c_custkey", "c_mktsegment")
+def testdata_employee_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Employee lines of a test-data folder; only the needed columns are read."""
+    return employee_lines(_table(spark, sf_dir, "customer").select("c_custkey", "c_mktsegment"))
+
+
+def testdata_payroll_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Payroll lines of a test-data folder; only the needed columns are read."""
     orders = _table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_totalprice", "o_orderdate")
-    return employee_lines(customer), payroll_lines(orders)
+    return payroll_lines(orders)
+
+
+def testdata_lines(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """(employee lines, payroll lines) for a test-data folder."""
+    return testdata_employee_lines(spark, sf_dir), testdata_payroll_lines(spark, sf_dir)
