@@ -18,6 +18,7 @@ Stages (``explain`` of each write shows them):
 
 from __future__ import annotations
 
+import math
 import os
 import posixpath
 from dataclasses import dataclass, field
@@ -33,6 +34,10 @@ from salaria.plans.scratch import drop_scratch, materialize, new_scratch
 from salaria.sources.text import read_lines, write_lines
 
 
+# About 128 MB of report text per part file at ~64 bytes per line.
+DEFAULT_ROWS_PER_OUTPUT_FILE = 2_000_000
+
+
 @dataclass
 class ReportSummary:
     """Counts of one run (the reference's job counters)."""
@@ -81,6 +86,7 @@ def run_payroll_report(
     compression: str | None = None,
     max_broadcast_bytes: int = keyjoin.DEFAULT_MAX_BROADCAST_BYTES,
     rows_per_task: int = keyjoin.DEFAULT_ROWS_PER_TASK,
+    rows_per_output_file: int = DEFAULT_ROWS_PER_OUTPUT_FILE,
     stage_parsed_payroll: bool = True,
     keep_scratch: bool = False,
 ) -> ReportSummary:
@@ -91,6 +97,10 @@ def run_payroll_report(
     text's size); the key table, the range sampling and the final pass then read
     two to five columns of it instead of parsing the text three times. Off, the
     text is re-parsed by each pass and nothing but the key table is stored.
+    ``rows_per_output_file``: the ordered report is range-partitioned into
+    ``max(cores, report rows / rows_per_output_file)`` parts, sized from the
+    measured row count, so a small default of ``spark.sql.shuffle.partitions``
+    never makes huge sort tasks.
     The run's scratch folder is deleted at the end unless ``keep_scratch``.
     """
     check_paths(employee_path, payroll_path, output_path)
@@ -98,14 +108,15 @@ def run_payroll_report(
     try:
         return _run(spark, employee_path, payroll_path, output_path, scratch, overflow=overflow, ordered=ordered,
                     compression=compression, max_broadcast_bytes=max_broadcast_bytes,
-                    rows_per_task=rows_per_task, stage_parsed_payroll=stage_parsed_payroll)
+                    rows_per_task=rows_per_task, rows_per_output_file=rows_per_output_file,
+                    stage_parsed_payroll=stage_parsed_payroll)
     finally:
         if not keep_scratch:
             drop_scratch(spark, scratch)
 
 
 def _run(spark, employee_path, payroll_path, output_path, scratch, *, overflow, ordered, compression,
-         max_broadcast_bytes, rows_per_task, stage_parsed_payroll) -> ReportSummary:
+         max_broadcast_bytes, rows_per_task, rows_per_output_file, stage_parsed_payroll) -> ReportSummary:
     employees = ingest.clean_employees(read_lines(spark, employee_path))
     payroll = ingest.clean_payroll(read_lines(spark, payroll_path, with_line_id=True))
     ok = F.col(S.STATUS) == S.OK
@@ -131,10 +142,17 @@ def _run(spark, employee_path, payroll_path, output_path, scratch, *, overflow,
         *keyjoin.size_exprs(attrs, S.N_PAYROLL, where=is_key & F.col(S.N_PAYROLL).isNotNull()),
     ).first().asDict()
     attrs_size = keyjoin.size_from_row(stats)
+    # Size of the ordered report's range partitioning, from the measured row count;
+    # at least one partition per core.
+    partitions = max(
+        spark.sparkContext.defaultParallelism,
+        math.ceil(attrs_size.total_rows / max(rows_per_output_file, 1)),
+    )
 
     rep = report.payroll_report(
         None, valid_pay, overflow, keys=keys, keep_line_id=True,
-        ordered=ordered, max_broadcast_bytes=max_broadcast_bytes, rows_per_task=rows_per_task,
+        ordered=ordered, order_partitions=partitions,
+        max_broadcast_bytes=max_broadcast_bytes, rows_per_task=rows_per_task,
         key_size=attrs_size,
     )
     write_lines(report.report_lines(rep).select(S.REPORT_LINE), output_path, compression=compression)

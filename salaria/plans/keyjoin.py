@@ -101,6 +101,7 @@ def attach_by_key(
     *,
     how: str = "left",
     order_by: tuple[str, ...] = (),
+    order_partitions: int | None = None,
     max_broadcast_bytes: int = DEFAULT_MAX_BROADCAST_BYTES,
     rows_per_task: int = DEFAULT_ROWS_PER_TASK,
     max_hot_keys: int = DEFAULT_MAX_HOT_KEYS,
@@ -110,17 +111,19 @@ def attach_by_key(
     holds the number of ``rows`` with that key. ``count_col`` is not returned.
 
     ``order_by`` asks for a total order of the result (range-partitioned part
-    files). On the broadcast path the narrow ``rows`` are range-partitioned before
-    the join, which keeps the order of its streamed side, and sorted within
+    files, ``order_partitions`` of them, default ``spark.sql.shuffle.partitions``).
+    On the broadcast path the narrow ``rows`` are range-partitioned before the
+    join, which keeps the order of its streamed side, and sorted within
     partitions after it: the shuffle and the range sampling pass carry only the
     row columns, not the attached attributes.
     """
+    ranged_args = ((order_partitions,) if order_partitions else ()) + tuple(order_by)
     size = size or measure(keys, count_col)
     attrs = keys.drop(count_col)
     if choose_strategy(size, max_broadcast_bytes) == BROADCAST:
         if not order_by:
             return rows.join(F.broadcast(attrs), key, how)
-        ranged = rows.repartitionByRange(*order_by)
+        ranged = rows.repartitionByRange(*ranged_args)
         return ranged.join(F.broadcast(attrs), key, how).sortWithinPartitions(*order_by)
 
     # Salted path. Enough rows per task that at most max_hot_keys keys are hot.
@@ -139,4 +142,6 @@ def attach_by_key(
         _SALT, F.explode(F.sequence(F.lit(0), F.coalesce(F.col(_BUCKETS), F.lit(1)) - 1))
     ).drop(_BUCKETS)
     joined = salted_rows.join(salted_keys, [key, _SALT], how).drop(_SALT)
-    return joined.orderBy(*order_by) if order_by else joined
+    if not order_by:
+        return joined
+    return joined.repartitionByRange(*ranged_args).sortWithinPartitions(*order_by)
