@@ -123,6 +123,7 @@ def payroll_report(
     keep_line_id: bool = False,
     ordered: bool = False,
     order_partitions: int | None = None,
+    join_partitions: int | None = None,
     max_broadcast_bytes: int = keyjoin.DEFAULT_MAX_BROADCAST_BYTES,
     rows_per_task: int = keyjoin.DEFAULT_ROWS_PER_TASK,
     key_size: keyjoin.KeyTableSize | None = None,
@@ -154,6 +155,7 @@ def payroll_report(
         pay, attrs, S.EMPLOYEE_ID, S.N_PAYROLL, S.LINE_ID,
         order_by=(S.EMPLOYEE_ID, S.LINE_ID) if ordered else (),
         order_partitions=order_partitions,
+        join_partitions=join_partitions,
         max_broadcast_bytes=max_broadcast_bytes, rows_per_task=rows_per_task, size=key_size,
     )
     out = [

@@ -144,14 +144,15 @@ def _run(spark, employee_path, payroll_path, output_path, scratch, *, overflow,
     attrs_size = keyjoin.size_from_row(stats)
     # Size of the ordered report's range partitioning, from the measured row count;
     # at least one partition per core.
-    partitions = max(
-        spark.sparkContext.defaultParallelism,
-        math.ceil(attrs_size.total_rows / max(rows_per_output_file, 1)),
-    )
+    cores = spark.sparkContext.defaultParallelism
+    partitions = max(cores, math.ceil(attrs_size.total_rows / max(rows_per_output_file, 1)))
+    # Exchange size of the salted join (only used when the key table is too big to
+    # broadcast): about rows_per_task payroll rows per task.
+    join_partitions = max(cores, math.ceil(attrs_size.total_rows / max(rows_per_task, 1)))
 
     rep = report.payroll_report(
         None, valid_pay, overflow, keys=keys, keep_line_id=True,
-        ordered=ordered, order_partitions=partitions,
+        ordered=ordered, order_partitions=partitions, join_partitions=join_partitions,
         max_broadcast_bytes=max_broadcast_bytes, rows_per_task=rows_per_task,
         key_size=attrs_size,
     )

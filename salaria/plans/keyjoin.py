@@ -102,6 +102,7 @@ def attach_by_key(
     how: str = "left",
     order_by: tuple[str, ...] = (),
     order_partitions: int | None = None,
+    join_partitions: int | None = None,
     max_broadcast_bytes: int = DEFAULT_MAX_BROADCAST_BYTES,
     rows_per_task: int = DEFAULT_ROWS_PER_TASK,
     max_hot_keys: int = DEFAULT_MAX_HOT_KEYS,
@@ -115,7 +116,10 @@ def attach_by_key(
     On the broadcast path the narrow ``rows`` are range-partitioned before the
     join, which keeps the order of its streamed side, and sorted within
     partitions after it: the shuffle and the range sampling pass carry only the
-    row columns, not the attached attributes.
+    row columns, not the attached attributes. ``join_partitions`` sizes the
+    salted join's exchange (default ``spark.sql.shuffle.partitions``); both sides
+    are hash-partitioned on ``(key, salt)`` into that many parts, which the
+    sort-merge join then uses as they are.
     """
     ranged_args = ((order_partitions,) if order_partitions else ()) + tuple(order_by)
     size = size or measure(keys, count_col)
@@ -141,6 +145,9 @@ def attach_by_key(
     salted_keys = attrs.join(F.broadcast(hot), key, "left").withColumn(
         _SALT, F.explode(F.sequence(F.lit(0), F.coalesce(F.col(_BUCKETS), F.lit(1)) - 1))
     ).drop(_BUCKETS)
+    if join_partitions:
+        salted_rows = salted_rows.repartition(join_partitions, key, _SALT)
+        salted_keys = salted_keys.repartition(join_partitions, key, _SALT)
     joined = salted_rows.join(salted_keys, [key, _SALT], how).drop(_SALT)
     if not order_by:
         return joined
