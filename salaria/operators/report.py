@@ -4,8 +4,9 @@ Plan at scale (payroll is the big, possibly skewed side):
 
 1. ``key_info``: payroll pre-aggregated per employee (``max`` and ``count``, with
    map-side partial aggregation, so a hot key costs one row per map task) full
-   outer joined with one employee row per key. Both sides come out of their
-   aggregates hash-partitioned by ``employee_id``, so the join adds no exchange.
+   outer joined (shuffled hash join, employee side built) with one employee row
+   per key. Both sides come out of their aggregates hash-partitioned by
+   ``employee_id``, so the join adds no exchange and no sort.
 2. The key table is materialised in the checkpoint folder and measured.
 3. Every payroll row gets its employee's attributes and ``max_pay`` through
    ``plans.keyjoin.attach_by_key``: a size-checked broadcast (payroll rows are

@@ -151,3 +151,17 @@ def test_scratch_folder_is_removed(spark, tmp_dir):
     kept = set(glob.glob(os.path.join(root, "salaria", "report-*"))) - before
     assert len(kept) == 1
     assert os.path.isdir(os.path.join(kept.pop(), "payroll_parsed"))
+
+
+def test_command_line(spark, tmp_dir, capsys):
+    import json
+
+    from salaria.__main__ import main
+
+    emp, pay, out = (os.path.join(tmp_dir, n) for n in ("emp.csv", "pay.csv", "out"))
+    _write(emp, EMPLOYEES)
+    _write(pay, PAYROLL)
+    assert main([emp, pay, out]) == 0
+    printed = json.loads(capsys.readouterr().out.strip().splitlines()[-1])
+    assert printed["records_emitted"] == 5
+    assert _read_output(out) == GOLDEN_TEXT
