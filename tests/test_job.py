@@ -165,3 +165,31 @@ def test_command_line(spark, tmp_dir, capsys):
     printed = json.loads(capsys.readouterr().out.strip().splitlines()[-1])
     assert printed["records_emitted"] == 5
     assert _read_output(out) == GOLDEN_TEXT
+
+
+def test_checkpoint_root_required_on_a_cluster(monkeypatch):
+    from salaria.plans import scratch
+
+    class Ctx:
+        master = "yarn"
+
+        def getCheckpointDir(self):
+            return None
+
+    class Conf:
+        def get(self, key, default=None):
+            return default
+
+    class Session:
+        sparkContext = Ctx()
+        conf = Conf()
+
+    with pytest.raises(RuntimeError):
+        scratch.checkpoint_root(Session())
+
+    class ConfSet(Conf):
+        def get(self, key, default=None):
+            return "hdfs://nn/ckpt/" if key == "spark.checkpoint.dir" else default
+
+    Session.conf = ConfSet()
+    assert scratch.checkpoint_root(Session()) == "hdfs://nn/ckpt"
