@@ -1,0 +1,69 @@
+"""Task failures: a retried scan task gives the same report, ids and counters.
+
+Runs in its own Spark process (``local[4,3]``: failed tasks are retried), with a
+test-only UDF that fails the first attempt of a payroll scan task half-way.
+"""
+
+import json
+import os
+import subprocess
+import sys
+import textwrap
+
+REPO = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+
+SCRIPT = textwrap.dedent(
+    """
+    import glob, json, os, sys, tempfile
+    sys.path.insert(0, {repo!r})
+    from pyspark import TaskContext
+    from pyspark.sql import SparkSession, functions as F
+    from salaria.plans import job
+    from salaria.sources import text
+    from salaria.sources.fixtures import testdata_lines
+
+    spark = (SparkSession.builder.master("local[4,3]").config("spark.ui.enabled", "false")
+             .config("spark.sql.shuffle.partitions", "4").getOrCreate())
+    spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="salaria-retry-ckpt-"))
+    d = tempfile.mkdtemp(prefix="salaria-retry-")
+    emp, pay = testdata_lines(spark, "/root/testdata/sf0.001")
+    emp.write.text(d + "/emp")
+    pay.select("line").repartition(4).write.text(d + "/pay")
+
+    @F.udf("string")
+    def flaky(line):
+        tc = TaskContext.get()
+        if tc.attemptNumber() == 0 and tc.partitionId() == 1 and line.startswith("PR1"):
+            raise RuntimeError("injected task failure")
+        return line
+
+    def read_flaky(spark, path, with_line_id=False):
+        df = text.read_lines(spark, path, with_line_id=with_line_id)
+        return df.withColumn("line", flaky("line")) if "pay" in str(path) else df
+
+    def run(label):
+        out = d + "/out-" + label
+        s = job.run_payroll_report(spark, d + "/emp", d + "/pay", out, keep_scratch=True)
+        parts = sorted(glob.glob(out + "/part-*"))
+        body = "".join(open(p).read() for p in parts)
+        return {{"summary": [s.employee, s.payroll, s.keys, s.records_emitted], "text": body}}
+
+    clean = run("clean")
+    job.read_lines = read_flaky
+    retried = run("retried")
+    print(json.dumps({{"clean": clean, "retried": retried}}))
+    """
+)
+
+
+def test_retried_scan_task_gives_identical_results():
+    proc = subprocess.run(
+        [sys.executable, "-c", SCRIPT.format(repo=REPO)],
+        capture_output=True, text=True, timeout=600,
+    )
+    assert proc.returncode == 0, proc.stderr[-3000:]
+    assert "injected task failure" in proc.stderr  # the failure did happen
+    result = json.loads(proc.stdout.strip().splitlines()[-1])
+    assert result["retried"]["summary"] == result["clean"]["summary"]
+    assert result["retried"]["text"] == result["clean"]["text"]
+    assert result["clean"]["summary"][3] == 1230
