@@ -19,6 +19,7 @@ from salaria.oracle import ORACLE_SQL  # noqa: E402
 from salaria.plans.session import local_session  # noqa: E402
 
 TABLES = ("customer", "orders")
+SPARK_TO_DUCK = {"string": "VARCHAR", "int": "INTEGER", "bigint": "BIGINT", "boolean": "BOOLEAN"}
 
 
 def duck(sf_dir: str):
@@ -37,6 +38,11 @@ def compare(spark, con, name: str, sf_dir: str) -> tuple[bool, str]:
     orows = rel.fetchall()
     if sorted(cols) != sorted(ocols):
         return False, f"columns {cols} vs {ocols}"
+    spark_types = {f.name: SPARK_TO_DUCK.get(f.dataType.simpleString(), f.dataType.simpleString())
+                   for f in df.schema.fields}
+    duck_types = {c: str(t) for c, t in zip(ocols, rel.types)}
+    if spark_types != duck_types:
+        return False, f"types {spark_types} vs {duck_types}"
     idx = [ocols.index(c) for c in cols]
     orows = [tuple(r[i] for i in idx) for r in orows]
     a, b = collections.Counter(rows), collections.Counter(orows)
