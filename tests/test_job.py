@@ -193,3 +193,18 @@ def test_checkpoint_root_required_on_a_cluster(monkeypatch):
 
     Session.conf = ConfSet()
     assert scratch.checkpoint_root(Session()) == "hdfs://nn/ckpt"
+
+
+def test_empty_inputs(spark, tmp_dir):
+    emp, pay, empty = (os.path.join(tmp_dir, n) for n in ("emp.csv", "pay.csv", "empty.csv"))
+    _write(emp, EMPLOYEES)
+    _write(pay, PAYROLL)
+    _write(empty, b"")
+    s = run_payroll_report(spark, emp, empty, os.path.join(tmp_dir, "out1"))
+    assert _read_output(os.path.join(tmp_dir, "out1")) == ""
+    assert s.records_emitted == 0 and s.payroll["lines_read"] == 0
+    assert s.keys == {"keys_processed": 3, "missing_employee_records": 0, "no_payroll_records": 3}
+    s = run_payroll_report(spark, empty, pay, os.path.join(tmp_dir, "out2"))
+    assert s.records_emitted == 5 and s.employee["lines_read"] == 0
+    text = _read_output(os.path.join(tmp_dir, "out2"))
+    assert text.count("UNKNOWN EMPLOYEE,UNKNOWN") == 5
