@@ -12,6 +12,7 @@ from salaria.operators.quality import (
 )
 from salaria.operators.report import (
     key_info,
+    key_info_with_counts,
     max_pay_by_employee,
     one_per_key,
     payroll_report,
@@ -23,5 +24,5 @@ __all__ = [
     "clean_employees", "clean_payroll", "valid_employees", "valid_payroll",
     "employee_quality", "employees_without_payroll", "key_census", "missing_employees",
     "payroll_quality", "report_quality", "status_counts",
-    "key_info", "max_pay_by_employee", "one_per_key", "payroll_report", "report_lines", "with_total_pay",
+    "key_info", "key_info_with_counts", "max_pay_by_employee", "one_per_key", "payroll_report", "report_lines", "with_total_pay",
 ]
