@@ -23,9 +23,15 @@ def java_trim(col: Column) -> Column:
     return F.btrim(col, F.lit(TRIM_CHARS))
 
 
-def split_fields(col: Column, delimiter: str = ",") -> Column:
-    """Split on a literal delimiter, keeping trailing empty fields."""
-    return F.split(col, re.escape(delimiter), -1)
+def split_fields(col: Column, delimiter: str = ",", max_fields: int = -1) -> Column:
+    """Split on a literal delimiter, keeping trailing empty fields.
+
+    ``max_fields > 0`` stops after that many parts, the last holding the rest of
+    the line (trailing empty fields are still kept); with ``expected + 1`` the
+    array is at most one longer than a valid line, so a field-count check is
+    unchanged and a junk line with thousands of delimiters stays cheap.
+    """
+    return F.split(col, re.escape(delimiter), max_fields)
 
 
 def field(fields: Column, index: int) -> Column:

@@ -43,7 +43,9 @@ def _split_and_trim(lines: DataFrame, line_col: str, names: tuple[str, ...]) ->
     field count is the same, and the outer fields lose the same characters in the
     field trim. A line that is blank after trimming is one field, empty after trim.
     """
-    parts = _once(lines, **{_F: split_fields(F.col(line_col), S.FIELD_DELIMITER)})
+    # At most one part more than a valid line has: enough to tell a wrong count.
+    split = split_fields(F.col(line_col), S.FIELD_DELIMITER, max_fields=len(names) + 1)
+    parts = _once(lines, **{_F: split})
     return _once(parts, **{name: field(F.col(_F), i) for i, name in enumerate(names)})
 
 

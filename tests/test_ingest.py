@@ -92,3 +92,17 @@ def test_every_line_kept_and_counted_once(spark):
 def test_extra_input_columns_pass_through(spark):
     out = clean_payroll(lines_df(spark, ["p,e,m,1,2"], with_id=True))
     assert out.columns == [S.LINE, S.LINE_ID, *S.PAYROLL_FIELDS, S.STATUS]
+
+
+@pytest.mark.parametrize(
+    "line, status",
+    [
+        ("p,e,m,1,2," + "," * 5000, S.MALFORMED),
+        ("p,e,m,1,2,", S.MALFORMED),
+        ("p,e,m,1,", S.INCOMPLETE),
+        (",,,,", S.INCOMPLETE),
+        (",,,,,", S.MALFORMED),
+    ],
+)
+def test_field_count_with_bounded_split(spark, line, status):
+    assert _pay(spark, [line])[0][S.STATUS] == status
