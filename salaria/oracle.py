@@ -25,18 +25,20 @@ def _int(x: str) -> str:
 
 
 EMPLOYEE_LINES = """
-select case c_custkey % 20
-         when 0 then '   '
-         when 1 then concat('EMP', e, ',OnlyFirst,HR')
-         when 2 then concat('EMP', e, ',First,Last,  ')
-         when 3 then concat(chr(9), 'EMP', e, ' , First ,Last', k, chr(9), ',', c_mktsegment, ' ')
-         when 5 then concat('EMX', e, ',First,Last', k, ',', c_mktsegment)
-         else concat('EMP', e, ',First,Last', k, ',', c_mktsegment) end as line
-from (select c_custkey, c_mktsegment, cast(c_custkey as varchar) as k,
-             lpad(cast(c_custkey as varchar), 6, '0') as e from customer) t
-union all
-select concat('EMP', lpad(cast(c_custkey as varchar), 6, '0'), ',Second,Last', cast(c_custkey as varchar), ',ZDEPT')
-from customer where c_custkey % 20 = 4
+select unnest(case when c_custkey % 20 = 4 then [line, second] else [line] end) as line
+from (
+  select c_custkey,
+         case c_custkey % 20
+           when 0 then '   '
+           when 1 then concat('EMP', e, ',OnlyFirst,HR')
+           when 2 then concat('EMP', e, ',First,Last,  ')
+           when 3 then concat(chr(9), 'EMP', e, ' , First ,Last', k, chr(9), ',', c_mktsegment, ' ')
+           when 5 then concat('EMX', e, ',First,Last', k, ',', c_mktsegment)
+           else concat('EMP', e, ',First,Last', k, ',', c_mktsegment) end as line,
+         concat('EMP', e, ',Second,Last', k, ',ZDEPT') as second
+  from (select c_custkey, c_mktsegment, cast(c_custkey as varchar) as k,
+               lpad(cast(c_custkey as varchar), 6, '0') as e from customer) t
+) u
 """
 
 PAYROLL_LINES = """

@@ -57,11 +57,9 @@ def employee_lines(customer: DataFrame) -> DataFrame:
         },
         F.concat(lit("EMP"), e, lit(",First,Last"), k, lit(","), seg),
     )
-    first = customer.select(line.alias(S.LINE))
-    second = customer.filter(key % 20 == 4).select(
-        F.concat(lit("EMP"), e, lit(",Second,Last"), k, lit(",ZDEPT")).alias(S.LINE)
-    )
-    return first.unionByName(second)
+    second = F.concat(lit("EMP"), e, lit(",Second,Last"), k, lit(",ZDEPT"))
+    lines = F.when(key % 20 == 4, F.array(line, second)).otherwise(F.array(line))
+    return customer.select(F.explode(lines).alias(S.LINE))
 
 
 def payroll_lines(orders: DataFrame) -> DataFrame:
