@@ -93,15 +93,29 @@ def payroll_lines(orders: DataFrame) -> DataFrame:
     return orders.select(line.alias(S.LINE), okey.alias(S.LINE_ID))
 
 
+def _spread(df: DataFrame, key: str) -> DataFrame:
+    """Hash-spread a scan that yields fewer partitions than there are cores.
+
+    Each test table is one Parquet row group, which Spark cannot split, so all
+    line generation and parsing would otherwise run in a single task. A table of
+    many files or row groups is returned as it is (no shuffle).
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() >= cores:
+        return df
+    return df.repartition(cores, key)
+
+
 def testdata_employee_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Employee lines of a test-data folder; only the needed columns are read."""
-    return employee_lines(_table(spark, sf_dir, "customer").select("c_custkey", "c_mktsegment"))
+    customer = _table(spark, sf_dir, "customer").select("c_custkey", "c_mktsegment")
+    return employee_lines(_spread(customer, "c_custkey"))
 
 
 def testdata_payroll_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Payroll lines of a test-data folder; only the needed columns are read."""
     orders = _table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_totalprice", "o_orderdate")
-    return payroll_lines(orders)
+    return payroll_lines(_spread(orders, "o_orderkey"))
 
 
 def testdata_lines(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
