@@ -4,9 +4,10 @@ Plan at scale (payroll is the big, possibly skewed side):
 
 1. ``key_info``: payroll pre-aggregated per employee (``max`` and ``count``, with
    map-side partial aggregation, so a hot key costs one row per map task) full
-   outer joined (shuffled hash join, employee side built) with one employee row
-   per key. Both sides come out of their aggregates hash-partitioned by
-   ``employee_id``, so the join adds no exchange and no sort.
+   outer joined with one employee row per key. Both sides come out of their
+   aggregates hash-partitioned by ``employee_id``, so the sort-merge join adds no
+   exchange; it sorts one row per key and spills if a partition is large (a
+   shuffled hash join would have to hold a partition's keys in memory).
 2. The key table is materialised in the checkpoint folder and measured.
 3. Every payroll row gets its employee's attributes and ``max_pay`` through
    ``plans.keyjoin.attach_by_key``: a size-checked broadcast (payroll rows are
@@ -66,7 +67,7 @@ def key_info(employees_one: DataFrame, payroll_with_total: DataFrame) -> DataFra
         S.DEPARTMENT,
         F.lit(True).alias(S.HAS_EMPLOYEE),
     )
-    return pay_keys.join(emp_keys.hint("shuffle_hash"), S.EMPLOYEE_ID, "full")
+    return pay_keys.join(emp_keys, S.EMPLOYEE_ID, "full")
 
 
 def _status_counts(statuses, prefix: str) -> list:
@@ -112,7 +113,7 @@ def key_info_with_counts(
         "n_employee",
         *[f"emp_{st.lower()}" for st in S.EMPLOYEE_STATUSES if st != S.OK],
     )
-    return pay_keys.join(emp_keys.hint("shuffle_hash"), S.EMPLOYEE_ID, "full")
+    return pay_keys.join(emp_keys, S.EMPLOYEE_ID, "full")
 
 
 def payroll_report(

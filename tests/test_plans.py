@@ -39,12 +39,12 @@ def test_parse_is_one_narrow_stage(spark):
     assert plan.count("split(") == 1
 
 
-def test_key_table_one_exchange_per_side_no_payroll_sort(spark):
+def test_key_table_one_exchange_per_side(spark):
     emp = clean_employees(lines_df(spark, EMP))
     pay = clean_payroll(lines_df(spark, PAY, with_id=True))
     plan = _plan(key_info_with_counts(emp, pay))
     assert plan.count("Exchange hashpartitioning") == 2
-    assert "ShuffledHashJoin" in plan and "FullOuter" in plan
+    assert "SortMergeJoin" in plan and "FullOuter" in plan
     assert "partial_max" in plan and "partial_count" in plan   # map-side pre-aggregation
 
 
