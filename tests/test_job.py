@@ -208,3 +208,34 @@ def test_empty_inputs(spark, tmp_dir):
     assert s.records_emitted == 5 and s.employee["lines_read"] == 0
     text = _read_output(os.path.join(tmp_dir, "out2"))
     assert text.count("UNKNOWN EMPLOYEE,UNKNOWN") == 5
+
+
+@pytest.mark.parametrize(
+    "options",
+    [
+        {"stage_parsed_payroll": False},
+        {"ordered": False},
+        {"compression": "gzip"},
+        {"stage_parsed_payroll": False, "max_broadcast_bytes": 0, "rows_per_task": 1},
+    ],
+)
+def test_job_options_give_the_same_report(spark, tmp_dir, options):
+    emp, pay, out = (os.path.join(tmp_dir, n) for n in ("emp.csv", "pay.csv", "out"))
+    _write(emp, EMPLOYEES)
+    _write(pay, PAYROLL)
+    run_payroll_report(spark, emp, pay, out, **options)
+    text = "".join(r.value + "\n" for r in spark.read.text(out).collect())
+    if options.get("ordered", True) and "compression" not in options:
+        assert _read_output(out) == GOLDEN_TEXT
+    assert sorted(text.splitlines()) == sorted(GOLDEN_TEXT.splitlines())
+
+
+def test_job_wrap_overflow(spark, tmp_dir):
+    emp, pay, out = (os.path.join(tmp_dir, n) for n in ("emp.csv", "pay.csv", "out"))
+    _write(emp, EMPLOYEES)
+    _write(pay, b"P1,EMP01,Jan,2147483647,1\nP2,EMP01,Feb,5,5\n")
+    run_payroll_report(spark, emp, pay, out, overflow="wrap")
+    assert _read_output(out) == (
+        "EMP01\tNour Hassan,Engineering,Jan,-2147483648,10\n"
+        "EMP01\tNour Hassan,Engineering,Feb,10,10\n"
+    )
