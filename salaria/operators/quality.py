@@ -18,18 +18,18 @@ def _status_count(status: str) -> Column:
 
 def employee_quality_exprs() -> list[Column]:
     return [
-        F.count(F.lit(1)).alias("lines_read"),
-        _status_count(S.OK).alias("records_emitted"),
-        _status_count(S.BLANK).alias("blank_lines_skipped"),
-        _status_count(S.MALFORMED).alias("malformed_records_skipped"),
-        _status_count(S.INCOMPLETE).alias("incomplete_records_skipped"),
+        F.count(F.lit(1)).alias(S.LINES_READ),
+        _status_count(S.OK).alias(S.RECORDS_EMITTED),
+        _status_count(S.BLANK).alias(S.BLANK_LINES_SKIPPED),
+        _status_count(S.MALFORMED).alias(S.MALFORMED_RECORDS_SKIPPED),
+        _status_count(S.INCOMPLETE).alias(S.INCOMPLETE_RECORDS_SKIPPED),
     ]
 
 
 def payroll_quality_exprs() -> list[Column]:
     return employee_quality_exprs() + [
-        _status_count(S.INVALID_NUMERIC).alias("invalid_numeric_fields_skipped"),
-        _status_count(S.NEGATIVE).alias("negative_value_records_skipped"),
+        _status_count(S.INVALID_NUMERIC).alias(S.INVALID_NUMERIC_FIELDS_SKIPPED),
+        _status_count(S.NEGATIVE).alias(S.NEGATIVE_VALUE_RECORDS_SKIPPED),
     ]
 
 
@@ -52,9 +52,9 @@ def key_census_exprs(where: Column | None = None) -> list[Column]:
     """Census counts; ``where`` restricts the rows that count as keys."""
     cond = F.lit(True) if where is None else where
     return [
-        F.count_if(cond).alias("keys_processed"),
-        F.count_if(cond & F.col(S.HAS_EMPLOYEE).isNull()).alias("missing_employee_records"),
-        F.count_if(cond & F.col(S.N_PAYROLL).isNull()).alias("no_payroll_records"),
+        F.count_if(cond).alias(S.KEYS_PROCESSED),
+        F.count_if(cond & F.col(S.HAS_EMPLOYEE).isNull()).alias(S.MISSING_EMPLOYEE_RECORDS),
+        F.count_if(cond & F.col(S.N_PAYROLL).isNull()).alias(S.NO_PAYROLL_RECORDS),
     ]
 
 
@@ -82,7 +82,7 @@ def report_quality(report: DataFrame, valid_payroll: DataFrame) -> DataFrame:
         valid_payroll.select(F.lit(0).alias("_r"), F.lit(1).alias("_v"))
     )
     return tagged.agg(
-        F.coalesce(F.sum("_r"), F.lit(0)).cast("bigint").alias("records_emitted"),
+        F.coalesce(F.sum("_r"), F.lit(0)).cast("bigint").alias(S.RECORDS_EMITTED),
         F.coalesce(F.sum("_v"), F.lit(0)).cast("bigint").alias("valid_payroll_records"),
     )
 
@@ -104,17 +104,17 @@ def counts_from_key_table_exprs() -> list[Column]:
         return F.coalesce(F.sum(expr), F.lit(0)).cast("bigint")
 
     return [
-        total(["n_employee", *emp_bad]).alias("emp_lines_read"),
-        _sum("n_employee").alias("emp_records_emitted"),
-        _sum("emp_blank").alias("emp_blank_lines_skipped"),
-        _sum("emp_malformed").alias("emp_malformed_records_skipped"),
-        _sum("emp_incomplete").alias("emp_incomplete_records_skipped"),
-        total([S.N_PAYROLL, *pay_bad]).alias("pay_lines_read"),
-        _sum(S.N_PAYROLL).alias("pay_records_emitted"),
-        _sum("pay_blank").alias("pay_blank_lines_skipped"),
-        _sum("pay_malformed").alias("pay_malformed_records_skipped"),
-        _sum("pay_incomplete").alias("pay_incomplete_records_skipped"),
-        _sum("pay_invalid_numeric").alias("pay_invalid_numeric_fields_skipped"),
-        _sum("pay_negative").alias("pay_negative_value_records_skipped"),
+        total(["n_employee", *emp_bad]).alias("emp_" + S.LINES_READ),
+        _sum("n_employee").alias("emp_" + S.RECORDS_EMITTED),
+        _sum("emp_blank").alias("emp_" + S.BLANK_LINES_SKIPPED),
+        _sum("emp_malformed").alias("emp_" + S.MALFORMED_RECORDS_SKIPPED),
+        _sum("emp_incomplete").alias("emp_" + S.INCOMPLETE_RECORDS_SKIPPED),
+        total([S.N_PAYROLL, *pay_bad]).alias("pay_" + S.LINES_READ),
+        _sum(S.N_PAYROLL).alias("pay_" + S.RECORDS_EMITTED),
+        _sum("pay_blank").alias("pay_" + S.BLANK_LINES_SKIPPED),
+        _sum("pay_malformed").alias("pay_" + S.MALFORMED_RECORDS_SKIPPED),
+        _sum("pay_incomplete").alias("pay_" + S.INCOMPLETE_RECORDS_SKIPPED),
+        _sum("pay_invalid_numeric").alias("pay_" + S.INVALID_NUMERIC_FIELDS_SKIPPED),
+        _sum("pay_negative").alias("pay_" + S.NEGATIVE_VALUE_RECORDS_SKIPPED),
     ]
 

@@ -164,7 +164,7 @@ def _run(spark, employee_path, payroll_path, output_path, scratch, *, overflow,
     return ReportSummary(
         employee=counters("emp_"),
         payroll=counters("pay_"),
-        keys={k: stats[k] for k in ("keys_processed", "missing_employee_records", "no_payroll_records")},
+        keys={k: stats[k] for k in (S.KEYS_PROCESSED, S.MISSING_EMPLOYEE_RECORDS, S.NO_PAYROLL_RECORDS)},
         records_emitted=attrs_size.total_rows,
         join_strategy=keyjoin.choose_strategy(attrs_size, max_broadcast_bytes),
     )

@@ -19,6 +19,19 @@ UNKNOWN_DEPARTMENT = "UNKNOWN"
 EMPLOYEE_FIELD_COUNT = 4
 PAYROLL_FIELD_COUNT = 5
 MIN_NUMERIC_VALUE = 0
+# Counter names of the reference job, lower-cased as our column names:
+# per input (employee lines; payroll lines add the last two) ...
+LINES_READ = "lines_read"
+RECORDS_EMITTED = "records_emitted"
+BLANK_LINES_SKIPPED = "blank_lines_skipped"
+MALFORMED_RECORDS_SKIPPED = "malformed_records_skipped"
+INCOMPLETE_RECORDS_SKIPPED = "incomplete_records_skipped"
+INVALID_NUMERIC_FIELDS_SKIPPED = "invalid_numeric_fields_skipped"
+NEGATIVE_VALUE_RECORDS_SKIPPED = "negative_value_records_skipped"
+# ... and per join key.
+KEYS_PROCESSED = "keys_processed"
+MISSING_EMPLOYEE_RECORDS = "missing_employee_records"
+NO_PAYROLL_RECORDS = "no_payroll_records"
 # ---------------------------------------------------------------------------
 
 # Our column names (positional order of the input lines).
