@@ -239,3 +239,20 @@ def test_job_wrap_overflow(spark, tmp_dir):
         "EMP01\tNour Hassan,Engineering,Jan,-2147483648,10\n"
         "EMP01\tNour Hassan,Engineering,Feb,10,10\n"
     )
+
+
+def test_identical_copies_of_one_key_are_split_over_part_files(spark, tmp_dir):
+    emp, pay, out = (os.path.join(tmp_dir, n) for n in ("emp.csv", "pay.csv", "out"))
+    _write(emp, EMPLOYEES)
+    copies = b"PR9,EMP01,Jan,100,1\n" * 3000
+    others = b"".join(f"PR{i},EMP{2 + i % 2:02d},M{i % 12},{i},1\n".encode() for i in range(6000))
+    _write(pay, copies + others)
+    summary = run_payroll_report(spark, emp, pay, out, rows_per_output_file=500)
+    assert summary.records_emitted == 9000
+    parts = sorted(glob.glob(os.path.join(out, "part-*")))
+    holding = [p for p in parts if "EMP01\t" in open(p).read()]
+    assert len(holding) > 1                                  # the copies were split
+    text = _read_output(out).splitlines()
+    assert len(text) == 9000
+    assert [t.split("\t")[0] for t in text] == sorted(t.split("\t")[0] for t in text)
+    assert text.count("EMP01\tNour Hassan,Engineering,Jan,101,101") == 3000
