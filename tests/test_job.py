@@ -256,3 +256,17 @@ def test_identical_copies_of_one_key_are_split_over_part_files(spark, tmp_dir):
     assert len(text) == 9000
     assert [t.split("\t")[0] for t in text] == sorted(t.split("\t")[0] for t in text)
     assert text.count("EMP01\tNour Hassan,Engineering,Jan,101,101") == 3000
+
+
+def test_job_without_aqe(spark, tmp_dir):
+    emp, pay, out = (os.path.join(tmp_dir, n) for n in ("emp.csv", "pay.csv", "out"))
+    _write(emp, EMPLOYEES)
+    _write(pay, PAYROLL)
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        run_payroll_report(spark, emp, pay, out)
+        run_payroll_report(spark, emp, pay, out + "2", max_broadcast_bytes=0, rows_per_task=1)
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+    assert _read_output(out) == GOLDEN_TEXT
+    assert _read_output(out + "2") == GOLDEN_TEXT
