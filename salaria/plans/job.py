@@ -1,19 +1,23 @@
 """The report job: two text inputs in, one ordered text report out.
 
-Stages (``explain`` of each write shows them):
+Stages (``PLANS.md`` shows their physical plans):
 
-1. scan + classify both inputs (narrow, codegen);
+1. scan + classify both inputs (narrow, codegen); the payroll's narrow parsed
+   columns are staged as Parquet in the checkpoint folder, so the text is parsed
+   once;
 2. ``key_info_with_counts``: partial/final aggregates per employee id (rejected
    lines under a NULL key, so every line is counted) and their full outer join
    (one exchange per side), written to the checkpoint folder;
-3. payroll rows joined to the key table (size-checked broadcast, else salted
-   shuffle join; ``plans.keyjoin``);
-4. global sort by ``(employee_id, line_id)``: range partitioning on a unique
-   composite key, so a hot employee or a mass of identical lines is split over
-   many tasks; part files are in key order (the reference's single reducer gave
-   one ordered file);
+3. one small aggregate over the key table: counters, census and the size of the
+   join's key side, which fix the join strategy and the partition counts;
+4. payroll rows joined to the key table (size-checked broadcast, else salted
+   shuffle join; ``plans.keyjoin``), totally ordered by ``(employee_id,
+   line_id)``: range partitioning on a unique composite key, so a hot employee
+   or a mass of identical lines is split over many tasks, into
+   ``max(cores, rows / rows_per_output_file)`` part files in key order (the
+   reference's single reducer gave one ordered file);
 5. text sink, replacing the output folder; refused when the output overlaps an
-   input, which would delete the input first.
+   input, which would delete the input first. The scratch folder is removed.
 """
 
 from __future__ import annotations
