@@ -1,0 +1,31 @@
+import os
+
+import pytest
+
+from salaria.sources.text import read_lines
+
+MALFORMED = [
+    b"\xff", b"a\xe2\x82b", b"\xe2\x82", b"\xf0\x9f\x98", b"\xc0\xaf", b"\xed\xa0\x80", b"\xf4\x90\x80\x80",
+    b"\x80\x80", b"\xe0\x80\x80", b"\xf0\x80\x80\x80", b"\xf8\x88\x80\x80\x80", b"\xfe\xff", b"x\xc2",
+    b"\xe1\x80\xe2\xf0\x91\x92\xf1\xbfA",
+]
+
+
+@pytest.mark.parametrize("raw", MALFORMED)
+def test_invalid_utf8_replaced_per_maximal_subpart(spark, tmp_dir, raw):
+    """One U+FFFD per maximal ill-formed subpart (Unicode's recommended practice,
+    which Python's and the JDK's UTF-8 decoders follow)."""
+    path = os.path.join(tmp_dir, "bad.txt")
+    with open(path, "wb") as f:
+        f.write(raw + b"\n")
+    assert read_lines(spark, path).first().line == raw.decode("utf-8", "replace")
+
+
+def test_line_ids_unique_and_in_file_order(spark, tmp_dir):
+    path = os.path.join(tmp_dir, "lines.txt")
+    with open(path, "w") as f:
+        f.writelines(f"line {i}\n" for i in range(1000))
+    rows = read_lines(spark, path, with_line_id=True).collect()
+    ids = [r.line_id for r in rows]
+    assert len(set(ids)) == 1000
+    assert [r.line for r in sorted(rows, key=lambda r: r.line_id)] == [f"line {i}" for i in range(1000)]
