@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from salaria import schema as S
 from salaria.operators import ingest, quality, report
-from salaria.sources.fixtures import testdata_employee_lines, testdata_lines, testdata_payroll_lines
+from salaria.sources.fixtures import testdata_employee_lines, testdata_payroll_lines
 
 Query = Callable[[SparkSession, str], DataFrame]
 
