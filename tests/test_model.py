@@ -113,3 +113,54 @@ def test_employee_rules_match_model(spark, lines):
             r.status, r.employee_id, r.first_name, r.last_name, r.department
         )
         assert got == model_employee(line), repr(line)
+
+
+def model_report(emp_lines, pay_lines, wrap=False):
+    best = {}
+    for line in emp_lines:
+        r = model_employee(line)
+        if r[0] == S.OK:
+            best[r[1]] = max(best.get(r[1], r[2:]), r[2:])
+    rows = []
+    for line in pay_lines:
+        r = model_payroll(line)
+        if r[0] == S.OK:
+            total = r[4] + r[5]
+            if wrap:
+                total = (total + 2**31) % 2**32 - 2**31
+            rows.append((r[2], r[3], total))
+    top = {}
+    for emp_id, _, total in rows:
+        top[emp_id] = max(top.get(emp_id, total), total)
+    out = []
+    for emp_id, month, total in rows:
+        e = best.get(emp_id)
+        name, dept = (f"{e[0]} {e[1]}", e[2]) if e else ("UNKNOWN EMPLOYEE", "UNKNOWN")
+        out.append((emp_id, name, dept, month, total, top[emp_id]))
+    return sorted(out)
+
+
+IDS = st.sampled_from(["E1", "E2", " E3", "E4\t", "e1", "E\xa05"])
+WORD = st.text(alphabet=st.sampled_from(list("abZ \t\x01")), max_size=4)
+INT = st.one_of(st.integers(min_value=0, max_value=2**31 - 1).map(str), st.sampled_from(["x", "-1", "+5", "007"]))
+
+
+@st.composite
+def emp_line(draw):
+    return ",".join([draw(IDS), draw(WORD), draw(WORD), draw(WORD)])
+
+
+@st.composite
+def pay_line(draw):
+    return ",".join([draw(WORD) + "p", draw(IDS), draw(WORD) + "m", draw(INT), draw(INT)])
+
+
+@SETTINGS
+@given(st.lists(emp_line(), max_size=15), st.lists(pay_line(), min_size=1, max_size=60), st.booleans())
+def test_report_matches_model(spark, emp_lines, pay_lines, wrap):
+    from salaria.operators import payroll_report, valid_employees, valid_payroll
+
+    emp = valid_employees(clean_employees(lines_df(spark, emp_lines)))
+    pay = valid_payroll(clean_payroll(lines_df(spark, pay_lines, with_id=True)), keep=(S.LINE_ID,))
+    got = sorted(map(tuple, payroll_report(emp, pay, "wrap" if wrap else "widen").collect()))
+    assert got == model_report(emp_lines, pay_lines, wrap)
