@@ -124,7 +124,7 @@ def job_counters(spark, sf_dir):
     """The job's counters: per-status counts folded into the key table, summed."""
     emp, pay = _classified(spark, sf_dir)
     table = report.key_info_with_counts(emp, pay)
-    is_key = F.col(S.EMPLOYEE_ID).isNotNull()
+    is_key = report.is_employee_key(F.col(S.EMPLOYEE_ID))
     return table.agg(*quality.counts_from_key_table_exprs(), *quality.key_census_exprs(where=is_key))
 
 

@@ -12,6 +12,7 @@ from salaria.operators.quality import (
 )
 from salaria.operators.report import (
     key_info,
+    is_employee_key,
     key_info_with_counts,
     max_pay_by_employee,
     one_per_key,
@@ -24,5 +25,5 @@ __all__ = [
     "clean_employees", "clean_payroll", "valid_employees", "valid_payroll",
     "employee_quality", "employees_without_payroll", "key_census", "missing_employees",
     "payroll_quality", "report_quality", "status_counts",
-    "key_info", "key_info_with_counts", "max_pay_by_employee", "one_per_key", "payroll_report", "report_lines", "with_total_pay",
+    "is_employee_key", "key_info", "key_info_with_counts", "max_pay_by_employee", "one_per_key", "payroll_report", "report_lines", "with_total_pay",
 ]

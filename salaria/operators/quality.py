@@ -92,29 +92,28 @@ def _sum(col: str) -> Column:
 
 
 def counts_from_key_table_exprs() -> list[Column]:
-    """Quality counters as sums over ``key_info_with_counts`` (NULL-key rows included)."""
-    emp_bad = [f"emp_{st.lower()}" for st in S.EMPLOYEE_STATUSES if st != S.OK]
-    pay_bad = [f"pay_{st.lower()}" for st in S.PAYROLL_STATUSES if st != S.OK]
+    """Quality counters as sums over ``key_info_with_counts`` (marker rows included)."""
+    from salaria.operators.report import rejected_key
 
-    def total(cols):
-        expr = None
-        for c in cols:
-            e = F.coalesce(F.col(c), F.lit(0))
-            expr = e if expr is None else expr + e
-        return F.coalesce(F.sum(expr), F.lit(0)).cast("bigint")
+    def rejected(side: str, status: str) -> Column:
+        on_marker = F.col(S.EMPLOYEE_ID) == rejected_key(status)
+        return F.coalesce(F.sum(F.when(on_marker, F.col(f"{side}_rejected"))), F.lit(0)).cast("bigint")
+
+    def read(valid: str, side: str) -> Column:
+        lines = F.coalesce(F.col(valid), F.lit(0)) + F.coalesce(F.col(f"{side}_rejected"), F.lit(0))
+        return F.coalesce(F.sum(lines), F.lit(0)).cast("bigint")
 
     return [
-        total(["n_employee", *emp_bad]).alias("emp_" + S.LINES_READ),
+        read("n_employee", "emp").alias("emp_" + S.LINES_READ),
         _sum("n_employee").alias("emp_" + S.RECORDS_EMITTED),
-        _sum("emp_blank").alias("emp_" + S.BLANK_LINES_SKIPPED),
-        _sum("emp_malformed").alias("emp_" + S.MALFORMED_RECORDS_SKIPPED),
-        _sum("emp_incomplete").alias("emp_" + S.INCOMPLETE_RECORDS_SKIPPED),
-        total([S.N_PAYROLL, *pay_bad]).alias("pay_" + S.LINES_READ),
+        rejected("emp", S.BLANK).alias("emp_" + S.BLANK_LINES_SKIPPED),
+        rejected("emp", S.MALFORMED).alias("emp_" + S.MALFORMED_RECORDS_SKIPPED),
+        rejected("emp", S.INCOMPLETE).alias("emp_" + S.INCOMPLETE_RECORDS_SKIPPED),
+        read(S.N_PAYROLL, "pay").alias("pay_" + S.LINES_READ),
         _sum(S.N_PAYROLL).alias("pay_" + S.RECORDS_EMITTED),
-        _sum("pay_blank").alias("pay_" + S.BLANK_LINES_SKIPPED),
-        _sum("pay_malformed").alias("pay_" + S.MALFORMED_RECORDS_SKIPPED),
-        _sum("pay_incomplete").alias("pay_" + S.INCOMPLETE_RECORDS_SKIPPED),
-        _sum("pay_invalid_numeric").alias("pay_" + S.INVALID_NUMERIC_FIELDS_SKIPPED),
-        _sum("pay_negative").alias("pay_" + S.NEGATIVE_VALUE_RECORDS_SKIPPED),
+        rejected("pay", S.BLANK).alias("pay_" + S.BLANK_LINES_SKIPPED),
+        rejected("pay", S.MALFORMED).alias("pay_" + S.MALFORMED_RECORDS_SKIPPED),
+        rejected("pay", S.INCOMPLETE).alias("pay_" + S.INCOMPLETE_RECORDS_SKIPPED),
+        rejected("pay", S.INVALID_NUMERIC).alias("pay_" + S.INVALID_NUMERIC_FIELDS_SKIPPED),
+        rejected("pay", S.NEGATIVE).alias("pay_" + S.NEGATIVE_VALUE_RECORDS_SKIPPED),
     ]
-

@@ -17,7 +17,7 @@ Plan at scale (payroll is the big, possibly skewed side):
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from salaria import schema as S
@@ -70,10 +70,23 @@ def key_info(employees_one: DataFrame, payroll_with_total: DataFrame) -> DataFra
     return pay_keys.join(emp_keys, S.EMPLOYEE_ID, "full")
 
 
-def _status_counts(statuses, prefix: str) -> list:
-    return [
-        F.count_if(F.col(S.STATUS) == st).alias(f"{prefix}_{st.lower()}") for st in statuses if st != S.OK
-    ]
+# Rejected lines are counted under marker keys: U+0000 followed by the status.
+# No employee id can equal one, since ids are trimmed of U+0000..U+0020.
+REJECT_MARK = "\x00"
+
+
+def rejected_key(status: str) -> str:
+    return REJECT_MARK + status
+
+
+def is_employee_key(col: Column) -> Column:
+    """True for a real employee id, false for a marker key of rejected lines."""
+    return ~col.startswith(REJECT_MARK)
+
+
+def _group_key() -> Column:
+    ok = F.col(S.STATUS) == S.OK
+    return F.when(ok, F.col(S.EMPLOYEE_ID)).otherwise(F.concat(F.lit(REJECT_MARK), F.col(S.STATUS)))
 
 
 def key_info_with_counts(
@@ -81,37 +94,43 @@ def key_info_with_counts(
 ) -> DataFrame:
     """``key_info`` built from *all* classified lines, carrying the line counts.
 
-    Valid lines group by ``employee_id``; rejected lines group under a NULL key
-    (one row per side; partial aggregation leaves one row per map task for it,
-    however many lines are bad). Besides the ``key_info`` columns each row holds
-    ``n_employee`` (valid employee lines of the key) and per-status counts
-    ``emp_<status>`` / ``pay_<status>``, so the quality counters are exact sums
-    over this table: no second scan, and no accumulator that a re-run stage
-    would count twice.
+    Valid lines group by ``employee_id``; rejected lines group under one marker
+    key per status (``rejected_key``), which partial aggregation collapses to
+    one row per map task however many lines are bad. The grouping stays a single
+    key column, so the aggregates' hash partitioning serves the join, and the
+    partial rows stay narrow (key, max, count). Besides the ``key_info`` columns
+    a row holds ``n_employee`` (valid employee lines of the key) and, on marker
+    rows, ``pay_rejected`` / ``emp_rejected`` (lines with that status), so the
+    quality counters are exact sums over this table: no second scan, and no
+    accumulator that a re-run stage would count twice.
     """
     ok = F.col(S.STATUS) == S.OK
-    key = F.when(ok, F.col(S.EMPLOYEE_ID)).alias(S.EMPLOYEE_ID)
+    is_key = is_employee_key(F.col(S.EMPLOYEE_ID))
     pay = classified_payroll.select(
-        key, S.STATUS, total_pay(F.col(S.BASE_SALARY), F.col(S.BONUS), overflow).alias(S.TOTAL_PAY)
+        _group_key().alias(S.EMPLOYEE_ID),
+        F.when(ok, total_pay(F.col(S.BASE_SALARY), F.col(S.BONUS), overflow)).alias(S.TOTAL_PAY),
     )
-    n_pay = F.count_if(ok)
     pay_keys = pay.groupBy(S.EMPLOYEE_ID).agg(
-        F.max(F.when(ok, F.col(S.TOTAL_PAY))).alias(S.MAX_PAY),
-        F.when(n_pay > 0, n_pay).alias(S.N_PAYROLL),
-        *_status_counts(S.PAYROLL_STATUSES, "pay"),
+        F.max(S.TOTAL_PAY).alias(S.MAX_PAY), F.count(F.lit(1)).alias("_lines")
+    ).select(
+        S.EMPLOYEE_ID,
+        S.MAX_PAY,
+        F.when(is_key, F.col("_lines")).alias(S.N_PAYROLL),
+        F.when(~is_key, F.col("_lines")).alias("pay_rejected"),
+    )
+    emp = classified_employees.select(
+        _group_key().alias(S.EMPLOYEE_ID),
+        F.when(ok, F.struct(S.FIRST_NAME, S.LAST_NAME, S.DEPARTMENT)).alias("_record"),
     )
-    emp = classified_employees.select(key, S.STATUS, S.FIRST_NAME, S.LAST_NAME, S.DEPARTMENT)
-    n_emp = F.count_if(ok)
-    best = F.max(F.when(ok, F.struct(S.FIRST_NAME, S.LAST_NAME, S.DEPARTMENT))).alias("_best")
     emp_keys = emp.groupBy(S.EMPLOYEE_ID).agg(
-        best, F.when(n_emp > 0, n_emp).alias("n_employee"), *_status_counts(S.EMPLOYEE_STATUSES, "emp")
+        F.max("_record").alias("_best"), F.count(F.lit(1)).alias("_lines")
     ).select(
         S.EMPLOYEE_ID,
         F.concat(F.col(f"_best.{S.FIRST_NAME}"), F.lit(" "), F.col(f"_best.{S.LAST_NAME}")).alias(S.FULL_NAME),
         F.col(f"_best.{S.DEPARTMENT}").alias(S.DEPARTMENT),
-        F.when(F.col("n_employee").isNotNull(), F.lit(True)).alias(S.HAS_EMPLOYEE),
-        "n_employee",
-        *[f"emp_{st.lower()}" for st in S.EMPLOYEE_STATUSES if st != S.OK],
+        F.when(is_key, F.lit(True)).alias(S.HAS_EMPLOYEE),
+        F.when(is_key, F.col("_lines")).alias("n_employee"),
+        F.when(~is_key, F.col("_lines")).alias("emp_rejected"),
     )
     return pay_keys.join(emp_keys, S.EMPLOYEE_ID, "full")
 

@@ -6,7 +6,7 @@ Stages (``PLANS.md`` shows their physical plans):
    columns are staged as Parquet in the checkpoint folder, so the text is parsed
    once;
 2. ``key_info_with_counts``: partial/final aggregates per employee id (rejected
-   lines under a NULL key, so every line is counted) and their full outer join
+   lines under one marker key per status, so every line is counted) and their full outer join
    (one exchange per side), written to the checkpoint folder;
 3. one small aggregate over the key table: counters, census and the size of the
    join's key side, which fix the join strategy and the partition counts;
@@ -136,7 +136,7 @@ def _run(spark, employee_path, payroll_path, output_path, scratch, *, overflow,
     # Stage 2: the key table, with every line's status counted in it (exact under
     # task and stage retries, unlike accumulators), written to the checkpoint folder.
     table = materialize(report.key_info_with_counts(employees, payroll, overflow), f"{scratch}/key_info")
-    is_key = F.col(S.EMPLOYEE_ID).isNotNull()
+    is_key = report.is_employee_key(F.col(S.EMPLOYEE_ID))
     keys = table.filter(is_key)
     attrs = table.select(S.EMPLOYEE_ID, S.FULL_NAME, S.DEPARTMENT, S.MAX_PAY, S.N_PAYROLL)
     # Counters, census and the size of the join's key side: one small job over the table.

@@ -6,7 +6,7 @@ import io
 from pyspark.sql import functions as F
 
 from salaria import schema as S
-from salaria.operators import clean_payroll, key_info_with_counts, clean_employees, payroll_report
+from salaria.operators import clean_employees, clean_payroll, is_employee_key, key_info_with_counts, payroll_report
 from salaria.plans.scratch import materialize
 
 from helpers import lines_df
@@ -29,7 +29,7 @@ def _inputs(spark, tmp_dir):
     valid = pay.filter(F.col(S.STATUS) == S.OK).select(
         S.EMPLOYEE_ID, S.MONTH, S.BASE_SALARY, S.BONUS, S.LINE_ID
     )
-    return emp, pay, table.filter(F.col(S.EMPLOYEE_ID).isNotNull()), valid
+    return emp, pay, table.filter(is_employee_key(F.col(S.EMPLOYEE_ID))), valid
 
 
 def test_parse_is_one_narrow_stage(spark):

@@ -59,7 +59,7 @@ def main() -> None:
     staged = materialize(staged, f"{scratch}/staged")
     table = report.key_info_with_counts(employees, staged)
     sections.append(("2. Key table with line counts (partial aggregates, one exchange per side)", table))
-    keys = materialize(table, f"{scratch}/keys").filter(F.col(S.EMPLOYEE_ID).isNotNull())
+    keys = materialize(table, f"{scratch}/keys").filter(report.is_employee_key(F.col(S.EMPLOYEE_ID)))
     valid = staged.filter(ok).drop(S.STATUS)
     sections.append(("3a. Ordered report, broadcast path (narrow range exchange, broadcast join, local sort)",
                      report.payroll_report(None, valid, keys=keys, ordered=True, order_partitions=16)))
