@@ -55,10 +55,12 @@ class ReportSummary:
 
 def _path_parts(path: str) -> tuple[str, ...]:
     parsed = urlparse(path)
-    p = parsed.path if parsed.scheme and len(parsed.scheme) > 1 else path
-    if not parsed.scheme or len(parsed.scheme) <= 1:
-        p = os.path.abspath(p)
-    p = posixpath.normpath(p)
+    remote = bool(parsed.scheme) and len(parsed.scheme) > 1 and parsed.scheme != "file"
+    if remote:
+        p = posixpath.normpath(parsed.path)
+    else:
+        # Local paths: resolve symlinks, so a link to an input is seen as that input.
+        p = os.path.realpath(parsed.path if parsed.scheme == "file" else path)
     return tuple(part for part in p.split("/") if part)
 
 

@@ -270,3 +270,18 @@ def test_job_without_aqe(spark, tmp_dir):
         spark.conf.set("spark.sql.adaptive.enabled", "true")
     assert _read_output(out) == GOLDEN_TEXT
     assert _read_output(out + "2") == GOLDEN_TEXT
+
+
+def test_symlinked_output_to_an_input_is_refused(spark, tmp_dir):
+    emp_dir = os.path.join(tmp_dir, "emp")
+    emp = os.path.join(emp_dir, "emp.csv")
+    pay = os.path.join(tmp_dir, "pay.csv")
+    _write(emp, EMPLOYEES)
+    _write(pay, PAYROLL)
+    link = os.path.join(tmp_dir, "looks_separate")
+    os.symlink(emp_dir, link)
+    with pytest.raises(ValueError):
+        run_payroll_report(spark, emp_dir, pay, link)
+    with pytest.raises(ValueError):
+        check_paths("file://" + emp_dir, pay, link + "/sub")
+    assert open(emp, "rb").read() == EMPLOYEES
