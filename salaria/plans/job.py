@@ -51,6 +51,9 @@ class ReportSummary:
     keys: dict = field(default_factory=dict)
     records_emitted: int = 0
     join_strategy: str = ""
+    # Ours (no reference counter): employee ids with more than one valid record;
+    # one of them is used (the greatest first name, last name, department).
+    duplicate_employee_ids: int = 0
 
 
 def _path_parts(path: str) -> tuple[str, ...]:
@@ -145,6 +148,7 @@ def _run(spark, employee_path, payroll_path, output_path, scratch, *, overflow,
     stats = table.agg(
         *quality.counts_from_key_table_exprs(),
         *quality.key_census_exprs(where=is_key),
+        F.count_if(is_key & (F.col("n_employee") > 1)).alias("duplicate_employee_ids"),
         *keyjoin.size_exprs(attrs, S.N_PAYROLL, where=is_key & F.col(S.N_PAYROLL).isNotNull()),
     ).first().asDict()
     attrs_size = keyjoin.size_from_row(stats)
@@ -173,4 +177,5 @@ def _run(spark, employee_path, payroll_path, output_path, scratch, *, overflow,
         keys={k: stats[k] for k in (S.KEYS_PROCESSED, S.MISSING_EMPLOYEE_RECORDS, S.NO_PAYROLL_RECORDS)},
         records_emitted=attrs_size.total_rows,
         join_strategy=keyjoin.choose_strategy(attrs_size, max_broadcast_bytes),
+        duplicate_employee_ids=stats["duplicate_employee_ids"],
     )

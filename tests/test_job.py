@@ -135,6 +135,7 @@ def test_job_on_testdata_matches_registered_queries(spark, tmp_dir):
     ids = [t.split("\t")[0] for t in text]
     assert ids == sorted(ids)
     assert summary.records_emitted == len(text)
+    assert summary.duplicate_employee_ids == 8  # FIXTURES.md: ids with duplicates at sf0.001
 
 
 def test_scratch_folder_is_removed(spark, tmp_dir):
