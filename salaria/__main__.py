@@ -15,6 +15,7 @@ import sys
 from pyspark.sql import SparkSession
 
 from salaria import schema as S
+from salaria.plans import job, keyjoin
 from salaria.plans.job import run_payroll_report
 
 
@@ -27,12 +28,21 @@ def main(argv: list[str] | None = None) -> int:
                         help="total pay as BIGINT (widen) or wrapped to 32 bits (wrap)")
     parser.add_argument("--unordered", action="store_true", help="skip the global order by employee id")
     parser.add_argument("--compression", default=None, help="text codec of the output, e.g. gzip or bzip2")
+    parser.add_argument("--max-broadcast-mb", type=int, default=keyjoin.DEFAULT_MAX_BROADCAST_BYTES >> 20,
+                        help="largest estimated key table to broadcast; above it a salted shuffle join is used")
+    parser.add_argument("--rows-per-output-file", type=int, default=job.DEFAULT_ROWS_PER_OUTPUT_FILE,
+                        help="report rows per part file of the ordered output")
+    parser.add_argument("--rows-per-task", type=int, default=keyjoin.DEFAULT_ROWS_PER_TASK,
+                        help="payroll rows per task before a key is split over salt buckets")
+    parser.add_argument("--keep-scratch", action="store_true", help="keep the staged tables in the checkpoint folder")
     args = parser.parse_args(argv)
 
     spark = SparkSession.builder.appName("salaria-payroll-report").getOrCreate()
     summary = run_payroll_report(
         spark, args.employees, args.payroll, args.output,
         overflow=args.overflow, ordered=not args.unordered, compression=args.compression,
+        max_broadcast_bytes=args.max_broadcast_mb << 20, rows_per_output_file=args.rows_per_output_file,
+        rows_per_task=args.rows_per_task, keep_scratch=args.keep_scratch,
     )
     print(json.dumps(dataclasses.asdict(summary), sort_keys=True))
     return 0

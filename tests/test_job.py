@@ -165,6 +165,11 @@ def test_command_line(spark, tmp_dir, capsys):
     assert main([emp, pay, out]) == 0
     printed = json.loads(capsys.readouterr().out.strip().splitlines()[-1])
     assert printed["records_emitted"] == 5
+    assert printed["join_strategy"] == "broadcast"
+    assert _read_output(out) == GOLDEN_TEXT
+    assert main([emp, pay, out, "--max-broadcast-mb", "0", "--rows-per-task", "1"]) == 0
+    printed = json.loads(capsys.readouterr().out.strip().splitlines()[-1])
+    assert printed["join_strategy"] == "salted-shuffle"
     assert _read_output(out) == GOLDEN_TEXT
 
 
