@@ -291,3 +291,21 @@ def test_symlinked_output_to_an_input_is_refused(spark, tmp_dir):
     with pytest.raises(ValueError):
         check_paths("file://" + emp_dir, pay, link + "/sub")
     assert open(emp, "rb").read() == EMPLOYEES
+
+
+def test_job_with_ansi_off(spark, tmp_dir):
+    emp, pay, out = (os.path.join(tmp_dir, n) for n in ("emp.csv", "pay.csv", "out"))
+    _write(emp, EMPLOYEES)
+    _write(pay, PAYROLL + b"P9,EMP03,Mar,2147483647,2147483647\n")
+    before = spark.conf.get("spark.sql.ansi.enabled")
+    spark.conf.set("spark.sql.ansi.enabled", "false")
+    try:
+        s1 = run_payroll_report(spark, emp, pay, out)
+        text_widen = _read_output(out)
+        s2 = run_payroll_report(spark, emp, pay, out + "w", overflow="wrap", max_broadcast_bytes=0, rows_per_task=1)
+        text_wrap = _read_output(out + "w")
+    finally:
+        spark.conf.set("spark.sql.ansi.enabled", before)
+    assert s1.records_emitted == s2.records_emitted == 6
+    assert "EMP03\tSara Khaled,Finance,Mar,4294967294,4294967294\n" in text_widen
+    assert "EMP03\tSara Khaled,Finance,Mar,-2,9700\n" in text_wrap
