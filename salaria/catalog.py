@@ -50,38 +50,47 @@ def _valid_payroll(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def employee_lines(spark, sf_dir):
+    """Employee text lines derived from ``customer`` (SRC-1 fixture)."""
     return testdata_employee_lines(spark, sf_dir).select(S.LINE)
 
 
 def payroll_lines(spark, sf_dir):
+    """Payroll text lines derived from ``orders`` (SRC-2 fixture)."""
     return testdata_payroll_lines(spark, sf_dir).select(S.LINE)
 
 
 def employee_status(spark, sf_dir):
+    """Every employee line with the first rule it fails (PRJ-1..5, FLT-1..3)."""
     return _classified_employees(spark, sf_dir).select(S.LINE, S.STATUS)
 
 
 def payroll_status(spark, sf_dir):
+    """Every payroll line with the first rule it fails (PRJ-1..5, FLT-1..5)."""
     return _classified_payroll(spark, sf_dir).select(S.LINE, S.STATUS)
 
 
 def employee_status_counts(spark, sf_dir):
+    """Employee lines per status."""
     return quality.status_counts(_classified_employees(spark, sf_dir))
 
 
 def payroll_status_counts(spark, sf_dir):
+    """Payroll lines per status."""
     return quality.status_counts(_classified_payroll(spark, sf_dir))
 
 
 def employees_clean(spark, sf_dir):
+    """Valid employee records, duplicates kept (FLT-6, PRJ-6)."""
     return _valid_employees(spark, sf_dir)
 
 
 def payroll_clean(spark, sf_dir):
+    """Valid payroll records with parsed ints (FLT-6, PRJ-4, PRJ-7)."""
     return _valid_payroll(spark, sf_dir).drop(S.LINE_ID)
 
 
 def employees_one_per_key(spark, sf_dir):
+    """One employee record per id (JOIN-2)."""
     return report.one_per_key(_valid_employees(spark, sf_dir))
 
 
@@ -91,18 +100,22 @@ def _total_pay(spark, sf_dir, overflow):
 
 
 def payroll_total_pay(spark, sf_dir):
+    """Total pay per valid payroll record, BIGINT (PRJ-9)."""
     return _total_pay(spark, sf_dir, S.OVERFLOW_WIDEN)
 
 
 def payroll_total_pay_wrapped(spark, sf_dir):
+    """Total pay wrapped to int32 as the reference computes it (PRJ-9)."""
     return _total_pay(spark, sf_dir, S.OVERFLOW_WRAP)
 
 
 def max_pay_by_employee(spark, sf_dir):
+    """Greatest total pay per employee (AGG-1)."""
     return report.max_pay_by_employee(report.with_total_pay(_valid_payroll(spark, sf_dir)))
 
 
 def payroll_report(spark, sf_dir):
+    """The report: payroll LEFT JOIN employee, total and max pay (JOIN-1, WIN-1, PRJ-8..11)."""
     emp, pay = _valid(spark, sf_dir)
     return report.payroll_report(emp, pay)
 
@@ -129,35 +142,43 @@ def job_counters(spark, sf_dir):
 
 
 def payroll_report_wrapped(spark, sf_dir):
+    """The report with int32-wrapped totals."""
     emp, pay = _valid(spark, sf_dir)
     return report.payroll_report(emp, pay, S.OVERFLOW_WRAP)
 
 
 def report_lines(spark, sf_dir):
+    """The text sink's lines of the report (SNK-1)."""
     return report.report_lines(payroll_report(spark, sf_dir))
 
 
 def missing_employees(spark, sf_dir):
+    """Payroll keys without a valid employee record (JOIN-3)."""
     return quality.missing_employees(_keys(spark, sf_dir))
 
 
 def employees_without_payroll(spark, sf_dir):
+    """Employee keys without valid payroll (JOIN-4)."""
     return quality.employees_without_payroll(_keys(spark, sf_dir))
 
 
 def employee_quality(spark, sf_dir):
+    """Employee line counters (AGG-2)."""
     return quality.employee_quality(_classified_employees(spark, sf_dir))
 
 
 def payroll_quality(spark, sf_dir):
+    """Payroll line counters (AGG-3)."""
     return quality.payroll_quality(_classified_payroll(spark, sf_dir))
 
 
 def key_census(spark, sf_dir):
+    """Keys processed, missing employee, no payroll (AGG-4, SET-1)."""
     return quality.key_census(_keys(spark, sf_dir))
 
 
 def report_quality(spark, sf_dir):
+    """Report rows next to valid payroll records (AGG-5)."""
     emp, pay = _valid(spark, sf_dir)
     return quality.report_quality(report.payroll_report(emp, pay), pay)
 
