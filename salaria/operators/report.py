@@ -151,6 +151,9 @@ def payroll_report(
 ) -> DataFrame:
     """One report row per valid payroll record, payroll LEFT OUTER employee.
 
+    Not fully lazy: without ``keys`` it first writes the key table to the
+    checkpoint folder and measures it (two small jobs), because the join
+    strategy depends on the measured size; the returned report is lazy.
     ``employees`` and ``payroll`` are valid records (``valid_employees`` /
     ``valid_payroll``; ``payroll`` needs ``employee_id, month, base_salary,
     bonus``). ``keys`` may pass an already materialised ``key_info`` of the same
