@@ -34,7 +34,7 @@ from pyspark.sql import functions as F
 from salaria import schema as S
 from salaria.operators import ingest, quality, report
 from salaria.plans import keyjoin
-from salaria.plans.scratch import drop_scratch, materialize, new_scratch
+from salaria.plans.scratch import default_parallelism, drop_scratch, materialize, new_scratch
 from salaria.sources.text import read_lines, write_lines
 
 
@@ -154,7 +154,7 @@ def _run(spark, employee_path, payroll_path, output_path, scratch, *, overflow,
     attrs_size = keyjoin.size_from_row(stats)
     # Size of the ordered report's range partitioning, from the measured row count;
     # at least one partition per core.
-    cores = spark.sparkContext.defaultParallelism
+    cores = default_parallelism(spark)
     partitions = max(cores, math.ceil(attrs_size.total_rows / max(rows_per_output_file, 1)))
     # Exchange size of the salted join (only used when the key table is too big to
     # broadcast): about rows_per_task payroll rows per task.

@@ -14,17 +14,36 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 
+def _context(spark: SparkSession):
+    """The SparkContext, or None where the session has none (Spark Connect)."""
+    try:
+        return spark.sparkContext
+    except Exception:  # noqa: BLE001 - Connect sessions raise here
+        return None
+
+
+def default_parallelism(spark: SparkSession) -> int:
+    """Cores of the cluster (falls back to the shuffle partition setting)."""
+    sc = _context(spark)
+    if sc is not None:
+        return sc.defaultParallelism
+    return int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
+
+
 def checkpoint_root(spark: SparkSession) -> str:
     """The session's checkpoint folder; set a temporary one only on a local master."""
-    sc = spark.sparkContext
-    root = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    sc = _context(spark)
+    root = (sc.getCheckpointDir() if sc is not None else None) or spark.conf.get("spark.checkpoint.dir", None)
     if root:
         return root.rstrip("/")
-    if not sc.master.startswith("local"):
+    master = sc.master if sc is not None else spark.conf.get("spark.master", "")
+    if not master.startswith("local"):
         raise RuntimeError(
             "spark.checkpoint.dir is not set; intermediate tables need a folder shared by all executors"
         )
     root = tempfile.mkdtemp(prefix="salaria-checkpoint-")
+    if sc is None:
+        return root
     sc.setCheckpointDir(root)
     return sc.getCheckpointDir() or root
 
@@ -45,8 +64,12 @@ def materialize(df: DataFrame, path: str) -> DataFrame:
 
 
 def drop_scratch(spark: SparkSession, path: str) -> None:
-    """Delete a run's scratch folder from the checkpoint folder (Hadoop FileSystem API)."""
-    jvm = spark.sparkContext._jvm
-    hpath = jvm.org.apache.hadoop.fs.Path(path)
-    hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(hpath, True)
+    """Delete a run's scratch folder from the checkpoint folder (Hadoop FileSystem API).
 
+    Best effort: where the session exposes no JVM (Spark Connect) the folder stays.
+    """
+    sc = _context(spark)
+    if sc is None:
+        return
+    hpath = sc._jvm.org.apache.hadoop.fs.Path(path)
+    hpath.getFileSystem(sc._jsc.hadoopConfiguration()).delete(hpath, True)

@@ -100,10 +100,14 @@ def _spread(df: DataFrame, key: str) -> DataFrame:
     line generation and parsing would otherwise run in a single task. A table of
     many files or row groups is returned as it is (no shuffle).
     """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() >= cores:
+    from salaria.plans.scratch import default_parallelism
+
+    cores = default_parallelism(df.sparkSession)
+    try:
+        partitions = df.rdd.getNumPartitions()
+    except Exception:  # noqa: BLE001 - no RDD view (Spark Connect): leave the scan as it is
         return df
-    return df.repartition(cores, key)
+    return df if partitions >= cores else df.repartition(cores, key)
 
 
 def testdata_employee_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
