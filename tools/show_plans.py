@@ -33,6 +33,7 @@ def _plan(df) -> str:
     text = re.sub(r"Some\([\x00-\x20]+\)", "Some(<U+0000..U+0020>)", text)
     text = re.sub(r"Location: InMemoryFileIndex\(1 paths\)\[[^\]]*\]", "Location: …", text)
     text = re.sub(r"#\d+L?", "", text)
+    text = re.sub(r"[\x00-\x08\x0b-\x1f\x7f]", lambda m: f"\\x{ord(m.group()):02x}", text)
     return text.strip()
 
 
@@ -66,6 +67,12 @@ def main() -> None:
     sections.append(("3b. Ordered report, salted shuffle path (key table over the broadcast budget)",
                      report.payroll_report(None, valid, keys=keys, ordered=True, order_partitions=16,
                                            join_partitions=16, max_broadcast_bytes=0, rows_per_task=1000)))
+    from salaria.catalog import QUERIES
+
+    sections.append(("4. Registered query `payroll_report` (API path on fixture lines; key table materialised first)",
+                     QUERIES["payroll_report"](spark, sf_dir)))
+    sections.append(("5. Registered query `key_census` (lazy key table, one aggregate)",
+                     QUERIES["key_census"](spark, sf_dir)))
     with open(out, "w") as f:
         f.write("# Physical plans of the report job\n\n")
         f.write(f"Generated by `tools/show_plans.py` on lines derived from `{sf_dir}`; expression ids removed, the\n"
