@@ -162,7 +162,11 @@ def payroll_report(
     Unknown employees get ``UNKNOWN EMPLOYEE`` / ``UNKNOWN``. With ``ordered``
     the rows are totally ordered by ``(employee_id, line_id)``: key order, and
     input order within a key; the range partitioning on this unique composite
-    key splits a hot key, or a mass of identical lines, over many tasks.
+    key splits a hot key, or a mass of identical lines, over many tasks. Without
+    a ``line_id`` column one is assigned here by ``monotonically_increasing_id``,
+    which is reproducible only if ``payroll``'s partitions and their row order are
+    (true for a file scan; ``sources.read_lines(with_line_id=True)`` assigns it
+    at the scan).
     """
     spark = payroll.sparkSession
     if S.LINE_ID not in payroll.columns:
