@@ -12,6 +12,7 @@ import dataclasses
 import json
 import sys
 
+from pyspark import SparkConf
 from pyspark.sql import SparkSession
 
 from salaria import schema as S
@@ -37,7 +38,11 @@ def main(argv: list[str] | None = None) -> int:
     parser.add_argument("--keep-scratch", action="store_true", help="keep the staged tables in the checkpoint folder")
     args = parser.parse_args(argv)
 
-    spark = SparkSession.builder.appName("salaria-payroll-report").getOrCreate()
+    builder = SparkSession.builder.appName("salaria-payroll-report")
+    if SparkConf().get("spark.ui.enabled", None) is None:
+        # No web UI unless the submitter asks for one (--conf spark.ui.enabled=true).
+        builder = builder.config("spark.ui.enabled", "false")
+    spark = builder.getOrCreate()
     summary = run_payroll_report(
         spark, args.employees, args.payroll, args.output,
         overflow=args.overflow, ordered=not args.unordered, compression=args.compression,
