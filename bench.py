@@ -85,6 +85,8 @@ def main() -> None:
         "job_payroll_lines_per_sec": round(payroll_rows / timings["job_text_report"], 1),
         "job_join_strategy": summary.join_strategy,
         "cpus": cpus,
+        "spark": spark.version,
+        "registered_queries": len(QUERIES),
     }))
     spark.stop()
 
