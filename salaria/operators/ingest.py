@@ -44,7 +44,8 @@ def _split_and_trim(lines: DataFrame, line_col: str, names: tuple[str, ...]) ->
     field trim. A line that is blank after trimming is one field, empty after trim.
     """
     # At most one part more than a valid line has: enough to tell a wrong count.
-    split = split_fields(F.col(line_col), S.FIELD_DELIMITER, max_fields=len(names) + 1)
+    # A NULL line counts as an empty one.
+    split = split_fields(F.coalesce(F.col(line_col), F.lit("")), S.FIELD_DELIMITER, max_fields=len(names) + 1)
     parts = _once(lines, **{_F: split})
     return _once(parts, **{name: field(F.col(_F), i) for i, name in enumerate(names)})
 
@@ -60,7 +61,7 @@ def _any_empty(names) -> Column:
 def clean_employees(lines: DataFrame, line_col: str = S.LINE) -> DataFrame:
     """Classify employee lines; adds ``status`` and the four trimmed fields.
 
-    Rules in order: BLANK (empty after trim), MALFORMED (not exactly 4 fields),
+    Rules in order: BLANK (NULL, or empty after trim), MALFORMED (not exactly 4 fields),
     INCOMPLETE (a field empty after trim), else OK. Other input columns are kept.
     """
     parts = _split_and_trim(lines, line_col, S.EMPLOYEE_FIELDS)
@@ -76,7 +77,7 @@ def clean_employees(lines: DataFrame, line_col: str = S.LINE) -> DataFrame:
 def clean_payroll(lines: DataFrame, line_col: str = S.LINE) -> DataFrame:
     """Classify payroll lines; adds ``status``, trimmed fields and the two ints.
 
-    Rules in order: BLANK, MALFORMED (not exactly 5 fields), INCOMPLETE (a field
+    Rules in order: BLANK (NULL, or empty after trim), MALFORMED (not exactly 5 fields), INCOMPLETE (a field
     empty), INVALID_NUMERIC (salary or bonus not an int32), NEGATIVE (either < 0),
     else OK. Other input columns are kept.
     """

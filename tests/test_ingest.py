@@ -106,3 +106,16 @@ def test_extra_input_columns_pass_through(spark):
 )
 def test_field_count_with_bounded_split(spark, line, status):
     assert _pay(spark, [line])[0][S.STATUS] == status
+
+
+@pytest.mark.parametrize("ansi", ["true", "false"])
+def test_null_lines_are_blank(spark, ansi):
+    before = spark.conf.get("spark.sql.ansi.enabled")
+    spark.conf.set("spark.sql.ansi.enabled", ansi)
+    try:
+        lines = spark.createDataFrame([(None,), ("",), ("E1,A,B,C",)], "line string")
+        assert [r.status for r in clean_employees(lines).collect()] == ["BLANK", "BLANK", "OK"]
+        assert [r.status for r in clean_payroll(lines).collect()] == ["BLANK", "BLANK", "MALFORMED"]
+        assert [r.line for r in clean_payroll(lines).collect()] == [None, "", "E1,A,B,C"]
+    finally:
+        spark.conf.set("spark.sql.ansi.enabled", before)
