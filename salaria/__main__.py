@@ -16,10 +16,21 @@ from pyspark import SparkConf
 from pyspark.sql import SparkSession
 
 from salaria import schema as S
-from salaria.plans import job, keyjoin
+from salaria.plans import keyjoin
 from salaria.plans.job import run_payroll_report
 
 
+# Spark builds no broadcast table above 8 GB.
+_MAX_BROADCAST_MB = 8 << 10
+
+
+def _broadcast_mb(text: str) -> int:
+    value = int(text)
+    if not 0 <= value < _MAX_BROADCAST_MB:
+        raise argparse.ArgumentTypeError(f"must be from 0 to {_MAX_BROADCAST_MB - 1}")
+    return value
+
+
 def main(argv: list[str] | None = None) -> int:
     parser = argparse.ArgumentParser(prog="salaria", description="Employee payroll report on Spark.")
     parser.add_argument("employees", help="employee directory: text file or folder of text files")
@@ -29,12 +40,12 @@ def main(argv: list[str] | None = None) -> int:
                         help="total pay as BIGINT (widen) or wrapped to 32 bits (wrap)")
     parser.add_argument("--unordered", action="store_true", help="skip the global order by employee id")
     parser.add_argument("--compression", default=None, help="text codec of the output, e.g. gzip or bzip2")
-    parser.add_argument("--max-broadcast-mb", type=int, default=keyjoin.DEFAULT_MAX_BROADCAST_BYTES >> 20,
+    parser.add_argument("--max-broadcast-mb", type=_broadcast_mb, default=keyjoin.DEFAULT_MAX_BROADCAST_BYTES >> 20,
                         help="largest estimated key table to broadcast; above it a salted shuffle join is used")
-    parser.add_argument("--rows-per-output-file", type=int, default=job.DEFAULT_ROWS_PER_OUTPUT_FILE,
-                        help="report rows per part file of the ordered output")
-    parser.add_argument("--rows-per-task", type=int, default=keyjoin.DEFAULT_ROWS_PER_TASK,
-                        help="payroll rows per task before a key is split over salt buckets")
+    parser.add_argument("--rows-per-output-file", type=int, default=None,
+                        help="report rows per part file of the ordered output (default: sized by bytes)")
+    parser.add_argument("--rows-per-task", type=int, default=None,
+                        help="payroll rows per task before a key is split over salt buckets (default: sized by bytes)")
     parser.add_argument("--keep-scratch", action="store_true", help="keep the staged tables in the checkpoint folder")
     args = parser.parse_args(argv)
 

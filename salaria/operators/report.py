@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 from salaria import schema as S
 from salaria.functions import total_pay
 from salaria.plans import keyjoin
-from salaria.plans.scratch import materialize, new_scratch
+from salaria.plans.scratch import materialize, session_scratch
 
 
 def one_per_key(employees: DataFrame) -> DataFrame:
@@ -141,6 +141,7 @@ def payroll_report(
     overflow: str = S.OVERFLOW_WIDEN,
     *,
     keys: DataFrame | None = None,
+    scratch: str | None = None,
     keep_line_id: bool = False,
     ordered: bool = False,
     order_partitions: int | None = None,
@@ -151,31 +152,42 @@ def payroll_report(
 ) -> DataFrame:
     """One report row per valid payroll record, payroll LEFT OUTER employee.
 
-    Not fully lazy: without ``keys`` it first writes the key table to the
-    checkpoint folder and measures it (two small jobs), because the join
-    strategy depends on the measured size; the returned report is lazy.
+    Not fully lazy: without ``keys`` it first writes the narrow payroll (so that the
+    input is parsed once) and the key table, and measures the latter, because the
+    join strategy depends on the measured size; the returned report is lazy and reads
+    those tables. They lie in ``scratch`` (see ``plans.scratch.scratch_scope``), or
+    else in a folder that is deleted when Python ends.
     ``employees`` and ``payroll`` are valid records (``valid_employees`` /
     ``valid_payroll``; ``payroll`` needs ``employee_id, month, base_salary,
     bonus``). ``keys`` may pass an already materialised ``key_info`` of the same
-    inputs (``employees`` is then not read); otherwise it is built and written to
-    the checkpoint folder.
+    inputs (``employees`` is then not read).
     Unknown employees get ``UNKNOWN EMPLOYEE`` / ``UNKNOWN``. With ``ordered``
-    the rows are totally ordered by ``(employee_id, line_id)``: key order, and
-    input order within a key; the range partitioning on this unique composite
-    key splits a hot key, or a mass of identical lines, over many tasks. Without
-    a ``line_id`` column one is assigned here by ``monotonically_increasing_id``,
-    which is reproducible only if ``payroll``'s partitions and their row order are
-    (true for a file scan; ``sources.read_lines(with_line_id=True)`` assigns it
-    at the scan).
+    the rows are totally ordered by ``(employee_id, line_id)``: the range
+    partitioning on this unique composite key splits a hot key, or a mass of
+    identical lines, over many tasks. Lines of one scan split keep their order
+    within a key; the order between files is Spark's. A missing ``line_id`` is
+    assigned here, and fixed by writing the rows with it before anything is
+    partitioned by it.
     """
     spark = payroll.sparkSession
-    if S.LINE_ID not in payroll.columns:
+    folder = None
+
+    def stage(df: DataFrame, name: str) -> DataFrame:
+        nonlocal folder
+        folder = folder or scratch or session_scratch(spark, "report")
+        return materialize(df, f"{folder}/{name}")
+
+    own_ids = S.LINE_ID not in payroll.columns
+    if own_ids:
         payroll = payroll.withColumn(S.LINE_ID, F.monotonically_increasing_id())
     pay = with_total_pay(payroll.select(S.EMPLOYEE_ID, S.MONTH, S.BASE_SALARY, S.BONUS, S.LINE_ID), overflow)
+    pay = pay.drop(S.BASE_SALARY, S.BONUS)
+    if keys is None and employees is None:
+        raise ValueError("employees are needed when no key table is given")
+    if keys is None or own_ids:
+        pay = stage(pay, "report_payroll")
     if keys is None:
-        if employees is None:
-            raise ValueError("employees are needed when no key table is given")
-        keys = materialize(key_info(one_per_key(employees), pay), new_scratch(spark, "key_info"))
+        keys = stage(key_info(one_per_key(employees), pay), "report_keys")
     attrs = keys.filter(F.col(S.N_PAYROLL).isNotNull()).select(
         S.EMPLOYEE_ID, S.FULL_NAME, S.DEPARTMENT, S.MAX_PAY, S.N_PAYROLL
     )
@@ -185,6 +197,7 @@ def payroll_report(
         order_partitions=order_partitions,
         join_partitions=join_partitions,
         max_broadcast_bytes=max_broadcast_bytes, rows_per_task=rows_per_task, size=key_size,
+        stage=lambda df: stage(df, "report_joined"),
     )
     out = [
         S.EMPLOYEE_ID,

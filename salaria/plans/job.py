@@ -13,33 +13,37 @@ Stages (``PLANS.md`` shows their physical plans):
 4. payroll rows joined to the key table (size-checked broadcast, else salted
    shuffle join; ``plans.keyjoin``), totally ordered by ``(employee_id,
    line_id)``: range partitioning on a unique composite key, so a hot employee
-   or a mass of identical lines is split over many tasks, into
-   ``max(cores, rows / rows_per_output_file)`` part files in key order (the
-   reference's single reducer gave one ordered file);
+   or a mass of identical lines is split over many tasks, into part files in key
+   order (the reference's single reducer gave one ordered file);
 5. text sink, replacing the output folder; refused when the output overlaps an
-   input, which would delete the input first. The scratch folder is removed.
+   input, which would delete the input first. The lines are counted as they are
+   written, and the run fails if they are not as many as the key table says. The
+   scratch folder is removed.
+
+Parts and splits are sized by bytes (``plans.sizing``), and grow with the input.
 """
 
 from __future__ import annotations
 
 import math
-import os
-import posixpath
+from collections.abc import Iterator
+from contextlib import contextmanager
 from dataclasses import dataclass, field
-from urllib.parse import urlparse
 
-from pyspark.sql import SparkSession
+from pyspark.sql import Observation, SparkSession
 from pyspark.sql import functions as F
 
 from salaria import schema as S
 from salaria.operators import ingest, quality, report
-from salaria.plans import keyjoin
+from salaria.plans import keyjoin, sizing
 from salaria.plans.scratch import default_parallelism, drop_scratch, materialize, new_scratch
+from salaria.sources.paths import check_paths, input_bytes
 from salaria.sources.text import read_lines, write_lines
 
-
-# About 128 MB of report text per part file at ~64 bytes per line.
-DEFAULT_ROWS_PER_OUTPUT_FILE = 2_000_000
+# Bytes of a narrow payroll row (key, month, total, line id) in a shuffle, and of a
+# report line besides the employee's name and department.
+ROW_BYTES = 48
+LINE_BYTES = 40
 
 
 @dataclass
@@ -56,32 +60,22 @@ class ReportSummary:
     duplicate_employee_ids: int = 0
 
 
-def _path_parts(path: str) -> tuple[str, ...]:
-    parsed = urlparse(path)
-    remote = bool(parsed.scheme) and len(parsed.scheme) > 1 and parsed.scheme != "file"
-    if remote:
-        p = posixpath.normpath(parsed.path)
-    else:
-        # Local paths: resolve symlinks, so a link to an input is seen as that input.
-        p = os.path.realpath(parsed.path if parsed.scheme == "file" else path)
-    return tuple(part for part in p.split("/") if part)
-
-
-def check_paths(employee_path: str, payroll_path: str, output_path: str) -> None:
-    """Refuse an output that equals, contains or lies inside an input.
-
-    Overwrite deletes the output folder before the inputs are read, so such an
-    overlap would destroy the inputs. Scheme and authority are ignored, which
-    can only refuse more, never less.
-    """
-    out = _path_parts(output_path)
-    ins = {"employee": _path_parts(employee_path), "payroll": _path_parts(payroll_path)}
-    if ins["employee"] == ins["payroll"]:
-        raise ValueError("employee and payroll inputs are the same path")
-    for name, inp in ins.items():
-        n = min(len(out), len(inp))
-        if out[:n] == inp[:n]:
-            raise ValueError(f"output path {output_path!r} overlaps the {name} input")
+@contextmanager
+def _sized_session(spark: SparkSession, total: int) -> Iterator[None]:
+    """Splits and shuffle parts for ``total`` bytes of input while the block runs."""
+    conf = {
+        "spark.sql.shuffle.partitions": str(sizing.partitions(total, default_parallelism(spark))),
+        "spark.sql.files.maxPartitionBytes": str(sizing.split_bytes(
+            total, int(spark._jsparkSession.sessionState().conf().filesMaxPartitionBytes()))),
+    }
+    before = {k: spark.conf.get(k, None) for k in conf}
+    try:
+        for k, v in conf.items():
+            spark.conf.set(k, v)
+        yield
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
 
 
 def run_payroll_report(
@@ -94,8 +88,8 @@ def run_payroll_report(
     ordered: bool = True,
     compression: str | None = None,
     max_broadcast_bytes: int = keyjoin.DEFAULT_MAX_BROADCAST_BYTES,
-    rows_per_task: int = keyjoin.DEFAULT_ROWS_PER_TASK,
-    rows_per_output_file: int = DEFAULT_ROWS_PER_OUTPUT_FILE,
+    rows_per_task: int | None = None,
+    rows_per_output_file: int | None = None,
     stage_parsed_payroll: bool = True,
     keep_scratch: bool = False,
 ) -> ReportSummary:
@@ -106,19 +100,23 @@ def run_payroll_report(
     text's size); the key table, the range sampling and the final pass then read
     two to five columns of it instead of parsing the text three times. Off, the
     text is re-parsed by each pass and nothing but the key table is stored.
-    ``rows_per_output_file``: the ordered report is range-partitioned into
-    ``max(cores, report rows / rows_per_output_file)`` parts, sized from the
-    measured row count, so a small default of ``spark.sql.shuffle.partitions``
-    never makes huge sort tasks.
+    Shuffle parts, the ordered report's part files and the salted join's buckets are
+    sized by bytes (``plans.sizing``); ``rows_per_output_file`` and ``rows_per_task``
+    (rows of a bucket) override the last two. The session's split size and shuffle
+    partition count are set while the job runs and put back at its end.
     The run's scratch folder is deleted at the end unless ``keep_scratch``.
     """
-    check_paths(employee_path, payroll_path, output_path)
+    check_paths(spark, employee_path, payroll_path, output_path)
+    total = input_bytes(spark, employee_path) + input_bytes(spark, payroll_path)
+    if rows_per_task is None:
+        rows_per_task = max(keyjoin.DEFAULT_ROWS_PER_TASK, sizing.part_bytes(total) // ROW_BYTES)
     scratch = new_scratch(spark, "report")
     try:
-        return _run(spark, employee_path, payroll_path, output_path, scratch, overflow=overflow, ordered=ordered,
-                    compression=compression, max_broadcast_bytes=max_broadcast_bytes,
-                    rows_per_task=rows_per_task, rows_per_output_file=rows_per_output_file,
-                    stage_parsed_payroll=stage_parsed_payroll)
+        with _sized_session(spark, total):
+            return _run(spark, employee_path, payroll_path, output_path, scratch, overflow=overflow, ordered=ordered,
+                        compression=compression, max_broadcast_bytes=max_broadcast_bytes,
+                        rows_per_task=rows_per_task, rows_per_output_file=rows_per_output_file,
+                        stage_parsed_payroll=stage_parsed_payroll)
     finally:
         if not keep_scratch:
             drop_scratch(spark, scratch)
@@ -149,24 +147,34 @@ def _run(spark, employee_path, payroll_path, output_path, scratch, *, overflow,
         *quality.counts_from_key_table_exprs(),
         *quality.key_census_exprs(where=is_key),
         F.count_if(is_key & (F.col("n_employee") > 1)).alias("duplicate_employee_ids"),
-        *keyjoin.size_exprs(attrs, S.N_PAYROLL, where=is_key & F.col(S.N_PAYROLL).isNotNull()),
+        *keyjoin.size_exprs(attrs, S.N_PAYROLL, where=is_key & F.col(S.N_PAYROLL).isNotNull(),
+                            key=S.EMPLOYEE_ID, rows_per_task=rows_per_task),
     ).first().asDict()
     attrs_size = keyjoin.size_from_row(stats)
-    # Size of the ordered report's range partitioning, from the measured row count;
-    # at least one partition per core.
     cores = default_parallelism(spark)
-    partitions = max(cores, math.ceil(attrs_size.total_rows / max(rows_per_output_file, 1)))
+    rows = attrs_size.total_rows
+    if rows_per_output_file is None:
+        line_bytes = LINE_BYTES + attrs_size.payload_bytes // max(1, attrs_size.keys)
+        partitions = sizing.partitions(rows * line_bytes, cores)
+    else:
+        partitions = max(cores, math.ceil(rows / max(rows_per_output_file, 1)))
     # Exchange size of the salted join (only used when the key table is too big to
     # broadcast): about rows_per_task payroll rows per task.
-    join_partitions = max(cores, math.ceil(attrs_size.total_rows / max(rows_per_task, 1)))
+    join_partitions = max(cores, math.ceil(rows / max(rows_per_task, 1)))
 
     rep = report.payroll_report(
-        None, valid_pay, overflow, keys=keys, keep_line_id=True,
+        None, valid_pay, overflow, keys=keys, scratch=scratch, keep_line_id=True,
         ordered=ordered, order_partitions=partitions, join_partitions=join_partitions,
         max_broadcast_bytes=max_broadcast_bytes, rows_per_task=rows_per_task,
         key_size=attrs_size,
     )
-    write_lines(report.report_lines(rep).select(S.REPORT_LINE), output_path, compression=compression)
+    # Counted in the write's own tasks: each part counts once, however often its task was tried.
+    written = Observation("written")
+    lines = report.report_lines(rep).select(S.REPORT_LINE).observe(written, F.count(F.lit(1)).alias("lines"))
+    write_lines(lines, output_path, compression=compression)
+    emitted = written.get["lines"]
+    if emitted != rows:
+        raise RuntimeError(f"{emitted} report lines were written for {rows} valid payroll records")
 
     def counters(prefix: str) -> dict:
         return {k[len(prefix):]: v for k, v in stats.items() if k.startswith(prefix)}
@@ -175,7 +183,7 @@ def _run(spark, employee_path, payroll_path, output_path, scratch, *, overflow,
         employee=counters("emp_"),
         payroll=counters("pay_"),
         keys={k: stats[k] for k in (S.KEYS_PROCESSED, S.MISSING_EMPLOYEE_RECORDS, S.NO_PAYROLL_RECORDS)},
-        records_emitted=attrs_size.total_rows,
+        records_emitted=emitted,
         join_strategy=keyjoin.choose_strategy(attrs_size, max_broadcast_bytes),
         duplicate_employee_ids=stats["duplicate_employee_ids"],
     )

@@ -9,9 +9,8 @@ task:
 * **salted shuffle join** otherwise: a key with more than ``rows_per_task`` rows is
   spread over ``ceil(n / rows_per_task)`` buckets by a hash of the unique row id
   (so copies spread too), and its attribute row is replicated once per bucket.
-  The list of such hot keys is broadcast; its length is bounded by
-  ``total_rows / rows_per_task``, which is at most ``max_hot_keys`` by choice of
-  ``rows_per_task``.
+  The list of such hot keys is broadcast if its measured bytes fit, else joined by
+  shuffle (adaptive execution splits its skewed parts).
 
 The key table must already be materialised (see ``plans.scratch.materialize``)
 so that measuring it is cheap and exact.
@@ -19,7 +18,7 @@ so that measuring it is cheap and exact.
 
 from __future__ import annotations
 
-import math
+from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
@@ -28,7 +27,6 @@ from pyspark.sql import types as T
 
 DEFAULT_MAX_BROADCAST_BYTES = 256 * 1024 * 1024
 DEFAULT_ROWS_PER_TASK = 2_000_000
-DEFAULT_MAX_HOT_KEYS = 100_000
 # Per-row overhead of a broadcast hash relation entry (key and value rows with
 # their null bits and 8-byte slots, record headers, hash-map slots at 2x
 # capacity); added to the measured payload bytes. Calibrated on a 996,142-row key
@@ -44,6 +42,7 @@ class KeyTableSize:
     keys: int
     payload_bytes: int
     total_rows: int
+    hot_bytes: int = 0
 
     @property
     def estimated_bytes(self) -> int:
@@ -57,11 +56,13 @@ def _value_bytes(col: Column, dtype: T.DataType) -> Column:
     return F.lit(fixed.get(type(dtype), 8)).cast("bigint")
 
 
-def size_exprs(keys: DataFrame, count_col: str, where: Column | None = None) -> list[Column]:
+def size_exprs(keys: DataFrame, count_col: str, where: Column | None = None, *, key: str | None = None,
+               rows_per_task: int = DEFAULT_ROWS_PER_TASK) -> list[Column]:
     """Aggregates giving ``KeyTableSize`` of ``keys`` (rows where ``where`` holds).
 
     Returned as expressions so a caller can fold them into an aggregate it runs
-    anyway (see ``plans.job``).
+    anyway (see ``plans.job``). ``key``: its bytes are summed over the keys of more
+    than ``rows_per_task`` rows, the list that the salted join needs.
     """
     payload = None
     for f in keys.schema.fields:
@@ -70,20 +71,27 @@ def size_exprs(keys: DataFrame, count_col: str, where: Column | None = None) ->
         b = _value_bytes(F.col(f.name), f.dataType)
         payload = b if payload is None else payload + b
     cond = F.lit(True) if where is None else where
+    hot = cond & (F.col(count_col) > rows_per_task)
+    hot_bytes = F.lit(0) if key is None else _value_bytes(F.col(key), keys.schema[key].dataType) + F.lit(ROW_OVERHEAD_BYTES)
+
+    def total(what: Column, name: str) -> Column:
+        return F.coalesce(F.sum(what), F.lit(0)).cast("bigint").alias(name)
+
     return [
         F.count_if(cond).alias("_size_keys"),
-        F.coalesce(F.sum(F.when(cond, payload)), F.lit(0)).cast("bigint").alias("_size_bytes"),
-        F.coalesce(F.sum(F.when(cond, F.col(count_col))), F.lit(0)).cast("bigint").alias("_size_rows"),
+        total(F.when(cond, payload), "_size_bytes"),
+        total(F.when(cond, F.col(count_col)), "_size_rows"),
+        total(F.when(hot, hot_bytes), "_size_hot"),
     ]
 
 
 def size_from_row(row) -> KeyTableSize:
-    return KeyTableSize(int(row["_size_keys"]), int(row["_size_bytes"]), int(row["_size_rows"]))
+    return KeyTableSize(int(row["_size_keys"]), int(row["_size_bytes"]), int(row["_size_rows"]), int(row["_size_hot"]))
 
 
-def measure(keys: DataFrame, count_col: str) -> KeyTableSize:
-    """Exact key count, payload bytes and summed row count of a key table (one small job)."""
-    return size_from_row(keys.agg(*size_exprs(keys, count_col)).first())
+def measure(keys: DataFrame, count_col: str, key: str | None = None, rows_per_task: int = DEFAULT_ROWS_PER_TASK) -> KeyTableSize:
+    """Exact key count, payload bytes, summed row count and hot-list bytes of a key table (one small job)."""
+    return size_from_row(keys.agg(*size_exprs(keys, count_col, key=key, rows_per_task=rows_per_task)).first())
 
 
 BROADCAST = "broadcast"
@@ -107,8 +115,9 @@ def attach_by_key(
     join_partitions: int | None = None,
     max_broadcast_bytes: int = DEFAULT_MAX_BROADCAST_BYTES,
     rows_per_task: int = DEFAULT_ROWS_PER_TASK,
-    max_hot_keys: int = DEFAULT_MAX_HOT_KEYS,
+    max_hot_bytes: int = DEFAULT_MAX_BROADCAST_BYTES,
     size: KeyTableSize | None = None,
+    stage: Callable[[DataFrame], DataFrame] | None = None,
 ) -> DataFrame:
     """``rows JOIN keys USING (key)``; ``keys`` has one row per key and ``count_col``
     holds the number of ``rows`` with that key. ``count_col`` is not returned.
@@ -122,9 +131,14 @@ def attach_by_key(
     salted join's exchange (default ``spark.sql.shuffle.partitions``); both sides
     are hash-partitioned on ``(key, salt)`` into that many parts, which the
     sort-merge join then uses as they are.
+
+    Range partitioning runs its input twice (to sample it, then to deal it out).
+    ``stage`` writes the salted join's result before it is ordered and reads it
+    back, so the join runs once and the sample reads a file. ``size``: a
+    ``measure`` of ``keys`` with ``key`` and the same ``rows_per_task``.
     """
     ranged_args = ((order_partitions,) if order_partitions else ()) + tuple(order_by)
-    size = size or measure(keys, count_col)
+    size = size or measure(keys, count_col, key, rows_per_task)
     attrs = keys.drop(count_col)
     if choose_strategy(size, max_broadcast_bytes) == BROADCAST:
         if not order_by:
@@ -132,19 +146,18 @@ def attach_by_key(
         ranged = rows.repartitionByRange(*ranged_args)
         return ranged.join(F.broadcast(attrs), key, how).sortWithinPartitions(*order_by)
 
-    # Salted path. Enough rows per task that at most max_hot_keys keys are hot.
-    rows_per_task = max(rows_per_task, math.ceil(size.total_rows / max_hot_keys), 1)
+    # Salted path.
     hot = keys.filter(F.col(count_col) > rows_per_task).select(
         key, F.ceil(F.col(count_col) / F.lit(rows_per_task)).cast("int").alias(_BUCKETS)
     )
-    # hot has at most total_rows / rows_per_task <= max_hot_keys rows: safe to broadcast.
-    salted_rows = rows.join(F.broadcast(hot), key, "left").withColumn(
+    hot = F.broadcast(hot) if size.hot_bytes <= max_hot_bytes else hot.hint("merge")
+    salted_rows = rows.join(hot, key, "left").withColumn(
         _SALT,
         F.when(F.col(_BUCKETS).isNull(), F.lit(0)).otherwise(
             F.pmod(F.xxhash64(F.col(row_id_col)), F.col(_BUCKETS)).cast("int")
         ),
     ).drop(_BUCKETS)
-    salted_keys = attrs.join(F.broadcast(hot), key, "left").withColumn(
+    salted_keys = attrs.join(hot, key, "left").withColumn(
         _SALT, F.explode(F.sequence(F.lit(0), F.coalesce(F.col(_BUCKETS), F.lit(1)) - 1))
     ).drop(_BUCKETS)
     if join_partitions:
@@ -153,4 +166,6 @@ def attach_by_key(
     joined = salted_rows.join(salted_keys, [key, _SALT], how).drop(_SALT)
     if not order_by:
         return joined
+    if stage is not None:
+        joined = stage(joined)
     return joined.repartitionByRange(*ranged_args).sortWithinPartitions(*order_by)

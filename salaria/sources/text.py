@@ -3,7 +3,9 @@
 ``spark.read.text`` splits at LF, CR and CRLF, drops a leading UTF-8 BOM and
 keeps blank lines, so blank-line counts are exact. Invalid UTF-8 is replaced by
 U+FFFD, as Java's decoding of each line does. Files are split across tasks by
-``spark.sql.files.maxPartitionBytes`` (uncompressed or splittable codecs).
+``spark.sql.files.maxPartitionBytes`` (uncompressed or splittable codecs). Folders are
+read with all their subfolders (names that begin with ``_`` or ``.`` are hidden files, as
+everywhere in Spark).
 """
 
 from __future__ import annotations
@@ -18,10 +20,11 @@ def read_lines(spark: SparkSession, path: str | list[str], *, with_line_id: bool
     """Column ``line`` (valid UTF-8), plus a unique ``line_id`` when asked.
 
     ``line_id`` comes from ``monotonically_increasing_id`` on the scan itself: file
-    splits and their row order are fixed, so a retried task gives the same ids.
+    splits and their row order are fixed, so a retried task gives the same ids. Lines of
+    one split are in order; Spark orders splits by size, not by file name.
     """
     paths = [path] if isinstance(path, str) else list(path)
-    df = spark.read.text(paths).select(F.make_valid_utf8(F.col("value")).alias(S.LINE))
+    df = spark.read.option("recursiveFileLookup", "true").text(paths).select(F.make_valid_utf8(F.col("value")).alias(S.LINE))
     if with_line_id:
         df = df.withColumn(S.LINE_ID, F.monotonically_increasing_id())
     return df

@@ -4,7 +4,7 @@ import os
 import pytest
 
 from salaria import run_payroll_report
-from salaria.plans.job import check_paths
+from salaria.sources.paths import check_paths
 
 EMPLOYEES = b"EMP01,Nour,Hassan,Engineering\nEMP02,Ali,Mahmoud,HR\nEMP03,Sara,Khaled,Finance\n"
 PAYROLL = (
@@ -101,17 +101,124 @@ def test_overlapping_output_refused_and_input_intact(spark, tmp_dir, target):
     assert open(emp, "rb").read() == EMPLOYEES
 
 
-def test_check_paths_rules():
-    check_paths("/a/emp", "/a/pay", "/a/out")
-    check_paths("hdfs://nn/a/emp", "hdfs://nn/a/pay", "hdfs://nn/a/out")
-    with pytest.raises(ValueError):
-        check_paths("/a/emp", "/a/emp", "/a/out")
-    with pytest.raises(ValueError):
-        check_paths("/a/emp", "/a/pay", "/a/pay/../pay")
+def _folders(tmp_dir, *names):
+    for n in names:
+        _write(os.path.join(tmp_dir, n, "part-0"), PAYROLL)
+    return [os.path.join(tmp_dir, n) for n in names]
+
+
+def test_check_paths_rules(spark, tmp_dir):
+    emp, pay = _folders(tmp_dir, "emp", "pay")
+    check_paths(spark, emp, pay, os.path.join(tmp_dir, "out"))
+    check_paths(spark, emp, pay, os.path.join(tmp_dir, "pay2"))
+    for bad in ((emp, emp, os.path.join(tmp_dir, "out")), (emp, pay, f"{pay}/../pay"), (emp, "file:" + pay, tmp_dir), (emp, pay, "/")):
+        with pytest.raises(ValueError):
+            check_paths(spark, *bad)
+    with pytest.raises(FileNotFoundError):
+        check_paths(spark, os.path.join(tmp_dir, "none"), pay, os.path.join(tmp_dir, "out"))
+
+
+def test_wildcard_input_over_output_is_refused(spark, tmp_dir):
+    emp, pay1, pay2 = _folders(tmp_dir, "emp", "pay1", "pay2")
+    for out in (pay1, os.path.join(pay2, "x"), tmp_dir):
+        with pytest.raises(ValueError):
+            run_payroll_report(spark, emp, os.path.join(tmp_dir, "pay*"), out)
+    assert open(os.path.join(pay1, "part-0"), "rb").read() == PAYROLL
+    s = run_payroll_report(spark, emp, os.path.join(tmp_dir, "pay*"), os.path.join(tmp_dir, "out"))
+    assert s.payroll["lines_read"] == 12
+
+
+def test_relative_paths_are_taken_as_spark_takes_them(spark, tmp_dir):
+    emp, pay = _folders(tmp_dir, "emp", "pay")
+    jvm = spark.sparkContext._jvm
+    here = jvm.org.apache.hadoop.fs.FileSystem.get(spark.sparkContext._jsc.hadoopConfiguration()).getWorkingDirectory().toUri().getPath()
+    relative = os.path.relpath(pay, here)
     with pytest.raises(ValueError):
-        check_paths("hdfs://nn/a/emp", "/a/pay", "/a")
+        check_paths(spark, emp, relative, pay)
     with pytest.raises(ValueError):
-        check_paths("emp", "pay", ".")
+        check_paths(spark, emp, pay, relative + "/x")
+
+
+def test_link_and_mount_of_one_folder(spark, tmp_dir):
+    """A remote name, a mount point and a local link that lead to one folder."""
+    emp, pay = _folders(tmp_dir, "emp", "d/pay")
+    os.symlink(os.path.join(tmp_dir, "d"), os.path.join(tmp_dir, "lnk"))
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    conf.set("fs.viewfs.mounttable.paths.link./mnt", "file://" + os.path.join(tmp_dir, "d"))
+    conf.set("fs.viewfs.mounttable.paths.link." + os.path.join(tmp_dir, "lnk"), "file://" + os.path.join(tmp_dir, "d"))
+    for inp, out in ((f"viewfs://paths/mnt/pay", pay), (pay, "viewfs://paths/mnt/pay/sub"), (f"viewfs://paths{tmp_dir}/lnk/pay", f"{tmp_dir}/lnk/pay"),
+                     (pay, f"{tmp_dir}/lnk/pay/x/y")):
+        with pytest.raises(ValueError):
+            run_payroll_report(spark, emp, inp, out)
+        assert open(os.path.join(pay, "part-0"), "rb").read() == PAYROLL
+
+
+def test_nested_input_folders_are_read_whole(spark, tmp_dir):
+    emp, pay = os.path.join(tmp_dir, "emp.csv"), os.path.join(tmp_dir, "pay")
+    _write(emp, EMPLOYEES)
+    lines = PAYROLL.splitlines(keepends=True)
+    _write(os.path.join(pay, "part-0"), lines[0])
+    _write(os.path.join(pay, "2024", "01", "part-0"), b"".join(lines[1:]))
+    s = run_payroll_report(spark, emp, pay, os.path.join(tmp_dir, "out"))
+    assert s.payroll["lines_read"] == 6 and s.records_emitted == 5
+    assert sorted(_read_output(os.path.join(tmp_dir, "out")).splitlines()) == sorted(GOLDEN_TEXT.splitlines())
+
+
+def test_a_row_lost_before_the_write_fails_the_run(spark, tmp_dir, monkeypatch):
+    from salaria.operators import report
+
+    emp, pay = os.path.join(tmp_dir, "emp.csv"), os.path.join(tmp_dir, "pay.csv")
+    _write(emp, EMPLOYEES)
+    _write(pay, PAYROLL)
+    whole = report.report_lines
+    monkeypatch.setattr(report, "report_lines", lambda r: whole(r).filter("value not like 'EMP04%'"))
+    with pytest.raises(RuntimeError, match="4 report lines were written for 5"):
+        run_payroll_report(spark, emp, pay, os.path.join(tmp_dir, "out"))
+
+
+def test_job_sizes_its_shuffles_and_restores_the_session(spark, tmp_dir, monkeypatch):
+    from salaria.plans import job, sizing
+
+    emp, pay = os.path.join(tmp_dir, "emp.csv"), os.path.join(tmp_dir, "pay.csv")
+    _write(emp, EMPLOYEES)
+    _write(pay, PAYROLL)
+    seen = {}
+    real = job.report.key_info_with_counts
+
+    def spy(*args):
+        seen["parts"] = int(spark.conf.get("spark.sql.shuffle.partitions"))
+        table = real(*args)
+        import contextlib
+        import io
+
+        buf = io.StringIO()
+        with contextlib.redirect_stdout(buf):
+            table.explain("simple")
+        seen["plan"] = buf.getvalue()
+        return table
+
+    monkeypatch.setattr(job.report, "key_info_with_counts", spy)
+    monkeypatch.setattr(sizing, "MIN_BYTES", 16)
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "200")
+    try:
+        run_payroll_report(spark, emp, pay, os.path.join(tmp_dir, "out"))
+        assert spark.conf.get("spark.sql.shuffle.partitions") == "200"
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+    want = sizing.partitions(len(EMPLOYEES) + len(PAYROLL), spark.sparkContext.defaultParallelism)
+    assert seen["parts"] == want != 200
+    assert f"hashpartitioning(employee_id" in seen["plan"] and f", {want})" in seen["plan"] and ", 200)" not in seen["plan"]
+
+
+def test_sizes_at_100_tb():
+    from salaria.plans import sizing
+
+    total = 100 * 10**12
+    parts, splits = sizing.partitions(total, 8000), -(-total // sizing.split_bytes(total))
+    assert parts == 25_000 and 10**9 <= sizing.part_bytes(total) <= 4 << 30
+    assert splits <= 100_000 and parts * splits <= 2.5e9
+    assert sizing.partitions(10**9, 8) == 8 and sizing.part_bytes(10**9) == 128 << 20
 
 
 def test_job_on_testdata_matches_registered_queries(spark, tmp_dir):
@@ -200,6 +307,59 @@ def test_checkpoint_root_required_on_a_cluster(monkeypatch):
     Session.conf = ConfSet()
     assert scratch.checkpoint_root(Session()) == "hdfs://nn/ckpt"
 
+    class Local(Conf):
+        def get(self, key, default=None):
+            return "file:///tmp/own" if key == "spark.checkpoint.dir" else default
+
+    Session.conf = Local()
+    with pytest.raises(RuntimeError, match="do not share"):
+        scratch.checkpoint_root(Session())
+
+
+def test_no_temporary_folder_without_a_context():
+    from salaria.plans import scratch
+
+    class Conf:
+        def get(self, key, default=None):
+            return default
+
+    class Session:
+        conf = Conf()
+
+        @property
+        def sparkContext(self):
+            raise RuntimeError("none here")
+
+    with pytest.raises(RuntimeError):
+        scratch.checkpoint_root(Session())
+
+
+def test_shared_folder_is_proven_by_the_executors(spark, tmp_dir):
+    from salaria.plans.scratch import seen_by_executors
+
+    assert seen_by_executors(spark, f"file://{tmp_dir}")
+    assert os.listdir(os.path.join(tmp_dir, "salaria")) in ([], [".crc"]) or not any(
+        f.startswith("probe") for f in os.listdir(os.path.join(tmp_dir, "salaria")))
+
+
+def test_report_scratch_is_deleted_with_its_scope(spark):
+    from helpers import lines_df
+    from salaria.operators import clean_employees, clean_payroll, payroll_report, valid_employees, valid_payroll
+    from salaria.plans.scratch import checkpoint_root, drop_session_scratch, scratch_scope
+
+    emp = valid_employees(clean_employees(lines_df(spark, EMPLOYEES.decode().splitlines())))
+    pay = valid_payroll(clean_payroll(lines_df(spark, PAYROLL.decode().splitlines())))
+    root = os.path.join(checkpoint_root(spark).replace("file:", ""), "salaria")
+    before = set(os.listdir(root)) if os.path.isdir(root) else set()
+    with scratch_scope(spark, "scope") as folder:
+        for ordered in (False, True):
+            assert payroll_report(emp, pay, scratch=folder, ordered=ordered, max_broadcast_bytes=0, rows_per_task=1).count() == 5
+    assert set(os.listdir(root)) == before
+    payroll_report(emp, pay).count()
+    assert len(set(os.listdir(root)) - before) == 1
+    drop_session_scratch()
+    assert not set(os.listdir(root)) - before
+
 
 def test_empty_inputs(spark, tmp_dir):
     emp, pay, empty = (os.path.join(tmp_dir, n) for n in ("emp.csv", "pay.csv", "empty.csv"))
@@ -289,7 +449,7 @@ def test_symlinked_output_to_an_input_is_refused(spark, tmp_dir):
     with pytest.raises(ValueError):
         run_payroll_report(spark, emp_dir, pay, link)
     with pytest.raises(ValueError):
-        check_paths("file://" + emp_dir, pay, link + "/sub")
+        check_paths(spark, "file://" + emp_dir, pay, link + "/sub")
     assert open(emp, "rb").read() == EMPLOYEES
 
 

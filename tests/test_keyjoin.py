@@ -16,19 +16,50 @@ def test_strategy_follows_the_budget(spark):
     assert keyjoin.choose_strategy(size, size.estimated_bytes - 1) == keyjoin.SALTED
 
 
-def test_hot_key_list_is_bounded_and_results_whole(spark):
-    # 20 keys with 1..20 * 50 rows; at most 5 hot keys may be broadcast.
+def _skewed(spark):
+    """20 keys with 50 to 1000 rows, and their key table."""
     rows = spark.range(0, 20).select(F.col("id").alias("k0")).select(
         F.concat(F.lit("K"), F.col("k0").cast("string")).alias("k"),
         F.explode(F.sequence(F.lit(1), (F.col("k0") + 1) * 50)).alias("rid"),
     ).withColumn("rid", F.monotonically_increasing_id())
     keys = rows.groupBy("k").agg(F.count(F.lit(1)).alias("n")).withColumn("attr", F.length("k"))
+    return rows, keys
+
+
+def test_hot_list_is_measured_in_bytes(spark):
+    _, keys = _skewed(spark)
+    size = keyjoin.measure(keys, "n", "k", rows_per_task=900)
+    assert size.hot_bytes == sum(len(f"K{i}") + keyjoin.ROW_OVERHEAD_BYTES for i in range(20) if (i + 1) * 50 > 900)
+    assert keyjoin.measure(keys, "n", "k", rows_per_task=10**6).hot_bytes == 0
+
+
+def test_hot_list_too_large_to_broadcast_is_shuffled_and_results_are_whole(spark):
+    rows, keys = _skewed(spark)
     total = rows.count()
-    joined = keyjoin.attach_by_key(rows, keys, "k", "n", "rid", max_broadcast_bytes=0,
-                                   rows_per_task=1, max_hot_keys=5, join_partitions=7)
-    assert joined.count() == total
-    assert joined.filter(F.col("attr").isNull()).count() == 0
-    # effective rows_per_task = ceil(total / 5): so fewer than 5 keys exceed it
-    per_task = -(-total // 5)
-    hot = keys.filter(F.col("n") > per_task).count()
-    assert hot < 5
+    for budget, broadcasts in ((1 << 20, 2), (0, 0)):
+        joined = keyjoin.attach_by_key(rows, keys, "k", "n", "rid", max_broadcast_bytes=0,
+                                       rows_per_task=100, max_hot_bytes=budget, join_partitions=7)
+        plan = joined._jdf.queryExecution().simpleString()
+        assert plan.count("BroadcastHashJoin") == broadcasts
+        got = joined.groupBy("k").agg(F.count(F.lit(1)).alias("c"), F.countDistinct("rid").alias("d"), F.max("attr").alias("a")).collect()
+        assert {r.k: (r.c, r.d, r.a) for r in got} == {f"K{i}": ((i + 1) * 50,) * 2 + (len(f"K{i}"),) for i in range(20)}
+        assert sum(r.c for r in got) == total
+
+
+def test_ordered_salted_join_runs_once(spark, tmp_dir):
+    """The join's rows are made once: what is sampled and dealt out by range is the staged file."""
+    from salaria.plans.scratch import materialize
+
+    rows, keys = _skewed(spark)
+    joins = []
+
+    def stage(df):
+        joins.append(df._jdf.queryExecution().simpleString().count("SortMergeJoin"))
+        return materialize(df, f"{tmp_dir}/joined")
+
+    out = keyjoin.attach_by_key(rows, keys, "k", "n", "rid", max_broadcast_bytes=0, rows_per_task=100, join_partitions=7,
+                                order_by=("k", "rid"), order_partitions=5, stage=stage)
+    plan = out._jdf.queryExecution().simpleString()
+    assert joins == [1] and "SortMergeJoin" not in plan and "rangepartitioning" in plan
+    got = [tuple(r) for r in out.select("k", "rid").collect()]
+    assert got == sorted(got) and len(got) == rows.count()
