@@ -15,7 +15,10 @@ from pyspark.sql import functions as F
 
 from salaria import schema as S
 from salaria.operators import ingest, quality, report
-from salaria.sources.fixtures import testdata_employee_lines, testdata_payroll_lines
+from salaria.plans.job import ReportSummary, run_payroll_report
+from salaria.plans.scratch import session_scratch
+from salaria.sources.fixtures import testdata_employee_lines, testdata_lines, testdata_payroll_lines
+from salaria.sources.text import read_lines
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -50,12 +53,12 @@ def _valid_payroll(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def employee_lines(spark, sf_dir):
-    """Employee text lines derived from ``customer`` (SRC-1 fixture)."""
+    """Employee text lines derived from ``customer`` (the fixture itself)."""
     return testdata_employee_lines(spark, sf_dir).select(S.LINE)
 
 
 def payroll_lines(spark, sf_dir):
-    """Payroll text lines derived from ``orders`` (SRC-2 fixture)."""
+    """Payroll text lines derived from ``orders`` (the fixture itself)."""
     return testdata_payroll_lines(spark, sf_dir).select(S.LINE)
 
 
@@ -162,6 +165,56 @@ def employees_without_payroll(spark, sf_dir):
     return quality.employees_without_payroll(_keys(spark, sf_dir))
 
 
+def payroll_report_salted_ordered(spark, sf_dir):
+    """The totally ordered report through the salted join, which runs once (JOIN-1, SORT-1)."""
+    emp, pay = _valid(spark, sf_dir)
+    return report.payroll_report(emp, pay, ordered=True, max_broadcast_bytes=0, rows_per_task=1000)
+
+
+def _text_files(spark, sf_dir) -> tuple[str, str, str]:
+    """The fixture as text files, some in subfolders: (employees, payroll, folder for an output)."""
+    folder = session_scratch(spark, "text")
+    employees, payroll = testdata_lines(spark, sf_dir)
+    employees.write.text(f"{folder}/employees/2024/01")
+    odd = F.pmod(F.col(S.LINE_ID), F.lit(2)) == 1
+    payroll.filter(odd).select(S.LINE).write.text(f"{folder}/payroll")
+    payroll.filter(~odd).select(S.LINE).write.text(f"{folder}/payroll/late/more")
+    return f"{folder}/employees", f"{folder}/payroll", f"{folder}/report"
+
+
+def employee_text_scan(spark, sf_dir):
+    """Employee lines read from nested text files (SRC-1)."""
+    return read_lines(spark, _text_files(spark, sf_dir)[0])
+
+
+def payroll_text_scan(spark, sf_dir):
+    """Payroll lines read from nested text files, with ids (SRC-2)."""
+    return read_lines(spark, _text_files(spark, sf_dir)[1], with_line_id=True).select(S.LINE)
+
+
+def _job(spark, sf_dir, **options) -> tuple[ReportSummary, str]:
+    employees, payroll, out = _text_files(spark, sf_dir)
+    return run_payroll_report(spark, employees, payroll, out, **options), out
+
+
+def job_report_lines(spark, sf_dir):
+    """The text job's part files, read back (JOB-1, SNK-1, SNK-2)."""
+    return spark.read.text(_job(spark, sf_dir)[1])
+
+
+def job_report_lines_salted(spark, sf_dir):
+    """The same through the salted join."""
+    return spark.read.text(_job(spark, sf_dir, max_broadcast_bytes=0, rows_per_task=1000)[1])
+
+
+def job_summary(spark, sf_dir):
+    """The text job's counters, with the lines that it wrote (JOB-1, AGG-5)."""
+    summary, _ = _job(spark, sf_dir)
+    counts = {f"emp_{k}": v for k, v in summary.employee.items()} | {f"pay_{k}": v for k, v in summary.payroll.items()}
+    counts |= summary.keys | {"lines_written": summary.records_emitted}
+    return spark.createDataFrame([tuple(counts.values())], ", ".join(f"{k} bigint" for k in counts))
+
+
 def employee_quality(spark, sf_dir):
     """Employee line counters (AGG-2)."""
     return quality.employee_quality(_classified_employees(spark, sf_dir))
@@ -192,6 +245,7 @@ QUERIES: dict[str, Query] = {
         "max_pay_by_employee", "payroll_report", "payroll_report_salted", "payroll_report_ordered",
         "payroll_report_wrapped", "job_counters",
         "report_lines", "missing_employees", "employees_without_payroll", "employee_quality",
-        "payroll_quality", "key_census", "report_quality",
+        "payroll_quality", "key_census", "report_quality", "payroll_report_salted_ordered",
+        "employee_text_scan", "payroll_text_scan", "job_report_lines", "job_report_lines_salted", "job_summary",
     )
 }

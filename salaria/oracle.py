@@ -195,3 +195,13 @@ ORACLE_SQL: dict[str, str] = {
         "(select cast(count(*) as bigint) from pay_ok) as valid_payroll_records"
     ),
 }
+# Other ways to the same rows: through text files and the text job, or by another join.
+ORACLE_SQL |= {
+    "employee_text_scan": ORACLE_SQL["employee_lines"],
+    "payroll_text_scan": ORACLE_SQL["payroll_lines"],
+    "job_report_lines": ORACLE_SQL["report_lines"],
+    "job_report_lines_salted": ORACLE_SQL["report_lines"],
+    "payroll_report_salted_ordered": ORACLE_SQL["payroll_report"],
+    "job_summary": ORACLE_SQL["job_counters"].replace(
+        "select e.*, p.*, k.* from", f"select e.*, p.*, k.*, (select {_COUNT} from rep) as lines_written from"),
+}
