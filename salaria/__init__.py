@@ -1,4 +1,4 @@
-"""salaria: employee payroll analytics on Spark DataFrames.
+"""salaria: a batch engine for pay reports, built on Spark DataFrames.
 
 Reads an employee directory and payroll transactions as text lines, classifies
 every line by the first rule it fails, joins valid payroll to one record per

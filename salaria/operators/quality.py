@@ -1,7 +1,7 @@
 """Data-quality and join-quality counts (the reference's job counters).
 
-Each count is a plain aggregate expression, so the same expressions serve a
-one-row query and an ``Observation`` attached to the job's scan (no second pass).
+Each count is a plain aggregate expression; the job folds its counts into the key
+table (``counts_from_key_table_exprs``), so no line is scanned twice for them.
 """
 
 from __future__ import annotations

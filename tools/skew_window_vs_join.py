@@ -4,7 +4,11 @@ Usage: python tools/skew_window_vs_join.py [sf_dir]
 The fixture books a third of all payroll rows on one employee. The window needs
 all rows of a key in one task; the library's plan does not.
 """
-import sys; sys.path.insert(0, '/root/repo')
+import os
+import sys
+
+sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+
 from pyspark.sql import functions as F, Window
 from salaria.plans.session import local_session
 from salaria.catalog import _valid
