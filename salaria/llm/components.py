@@ -12,11 +12,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from salaria.llm.rows import table
-
-
-def _least_neighbour(pairs: DataFrame, node: str, other: str) -> DataFrame:
-    return table(pairs.groupBy(node).agg(F.min(other).alias("least")), "cc-least")
+from salaria.llm.rows import passing_tables, table
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -25,21 +21,24 @@ def components(edges: DataFrame) -> DataFrame:
     ``component`` is the smallest node reachable. Loops, repeated edges and rows with
     a null end add nothing; without edges the result is empty.
     """
-    def state(e):
-        return e.agg(F.count(F.lit(1)), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
-
-    e = table(edges.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(), "cc-edges")
-    seen = state(e)
-    while seen[0]:
-        both = e.union(e.select("b", "a"))
-        m = _least_neighbour(both, "a", "b")
-        large = both.join(m, "a").where("b > a").select(F.col("b").alias("a"), F.least("a", "least").alias("b")).distinct()
-        large = table(large, "cc-large")
-        m = _least_neighbour(large, "a", "b")
-        small = large.join(m, "a").where("b <> least").select(F.col("b").alias("a"), F.col("least").alias("b"))
-        e = table(small.union(m.select("a", F.col("least").alias("b"))).distinct(), "cc-edges")
-        before, seen = seen, state(e)
-        if before == seen:
-            break
-    return e.select(F.col("a").alias("node"), F.col("b").alias("component")).union(
-        e.select(F.col("b").alias("node"), F.col("b").alias("component")).distinct())
+    with passing_tables(edges.sparkSession, "components") as passing:
+        def least_neighbour(pairs: DataFrame) -> DataFrame:
+            return passing(pairs.groupBy("a").agg(F.min("b").alias("least")), "least")
+
+        def state(e: DataFrame):
+            return e.agg(F.count(F.lit(1)), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
+
+        e = passing(edges.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(), "edges")
+        seen = state(e)
+        while seen[0]:
+            both = e.union(e.select("b", "a"))
+            large = both.join(least_neighbour(both), "a").where("b > a").select(F.col("b").alias("a"), F.least("a", "least").alias("b"))
+            large = passing(large.distinct(), "large")
+            m = least_neighbour(large)
+            small = large.join(m, "a").where("b <> least").select(F.col("b").alias("a"), F.col("least").alias("b"))
+            e = passing(small.union(m.select("a", F.col("least").alias("b"))).distinct(), "edges")
+            before, seen = seen, state(e)
+            if before == seen:
+                break
+        return table(e.select(F.col("a").alias("node"), F.col("b").alias("component")).union(
+            e.select(F.col("b").alias("node"), F.col("b").alias("component")).distinct()), "components")

@@ -13,14 +13,16 @@ of one task, a column block a range of shingle keys.
    n - ceil(0.8 n) + 1 columns in any order common to all documents. The order is
    rarest first; for most documents these are columns of their own, and they are
    done: no pair of theirs can reach the bound.
-4. Pairs that meet in such a column, and whose sizes allow the similarity, get
-   their overlap counted over all shared columns. Documents with equal sets are
-   one row throughout.
+4. Pairs that meet in such a column get their overlap counted over all shared
+   columns, unless the bounds rule them out: two rows of a and b entries need
+   ceil(4 (a + b) / 9) in common, and from place i on a row of a entries has a - i
+   left. Rows meet by column and by band of size, so most pairs that the bounds rule
+   out are never formed. Documents with equal sets are one row throughout.
 
 Pairs within a group are not all needed for its component: each column first
-compares its rows with one pivot, then only rows of different components are
-compared, column by column, until no such pair is left. No pair that could join two
-components is skipped.
+compares its rows with one pivot, the row with the fewest rare columns before it
+(the one nearest to the others), then only rows of different components are
+compared. No pair that could join two components is skipped.
 
 Hot columns: a column with more than ``LOCAL_ROWS`` rows in one row block is sent as
 a count alone, its rows stay with their row block.
@@ -40,19 +42,21 @@ import pandas as pd
 import pyarrow as pa
 import xxhash
 from pyspark import TaskContext
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType
 
 from salaria.llm.components import components
-from salaria.llm.rows import documents, pick_rows, row_fp, table
+from salaria.llm.rows import documents, passing_tables, pick_rows, row_fp, table
 
 WORDS = 5
 KEY_BITS = 48
 #: Keys of a row block, rows of one column that a row block sends on, characters per column block.
 BLOCK_KEYS, LOCAL_ROWS, COLUMN_CHARS = 2_000_000, 64, 8_000_000
 #: Pivot rounds go on while the open pairs outnumber this many times the entries, and get fewer.
-OPEN_PAIRS = 4
+OPEN_PAIRS = 1
+#: Sizes of one band differ by this factor at most.
+BAND = 1.05
 
 _MIX = np.uint64(0x9E3779B97F4A7C15)
 
@@ -178,13 +182,14 @@ def _bounded_rows(pdf: pd.DataFrame) -> pd.DataFrame:
     place = (count - shared)[row] + np.arange(len(row)) - start[row]
     first = place < np.where(n > 0, bound(n), 0)[row]
     taken = np.bincount(row[first], minlength=len(ids))
+    alone = count - shared
     prefix, packed = [], []
     for i in range(len(ids)):
         own = keys[start[i]:start[i + 1]]
         prefix.append(own[:taken[i]].astype(np.int64) if taken[i] else None)
         packed.append(pack(np.sort(own)) if taken[i] else None)
     return pd.DataFrame({"doc_id": pd.array(ids, dtype="Int64"), "row_fp": fps, "n_shingles": n, "sid": sids,
-                         "prefix": prefix, "shared_keys": packed})
+                         "alone": alone, "prefix": prefix, "shared_keys": packed})
 
 
 @F.pandas_udf(LongType())
@@ -194,8 +199,8 @@ def overlap(a: pd.Series, b: pd.Series) -> pd.Series:
 
 
 def shingle_rows(docs: DataFrame) -> DataFrame:
-    """Every row of ``docs``: doc_id, row_fp, n_shingles, sid (its shingle set's 128-bit identity), prefix and
-    shared_keys (null where no other document can reach the bound). Written to the checkpoint folder."""
+    """Every row of ``docs``: doc_id, row_fp, n_shingles, sid (its shingle set's 128-bit identity), alone
+    (columns that it alone has), prefix and shared_keys (null where no other document can reach the bound). Written to the checkpoint folder."""
     chars = docs.select(F.length(docs["text"]).alias("n")).agg(F.sum("n")).first()[0] or 0
     width = max(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")) * 4, chars // COLUMN_CHARS, 1)
     bits = min(24, math.ceil(math.log2(width)))
@@ -203,64 +208,92 @@ def shingle_rows(docs: DataFrame) -> DataFrame:
     blocks = src.mapInArrow(_row_blocks(bits), "col int, block long, own boolean, blob binary")
     counted = blocks.groupBy("col").applyInPandas(_column_block, "block long, own boolean, blob binary")
     rows = counted.groupBy("block").applyInPandas(
-        _bounded_rows, "doc_id long, row_fp long, n_shingles long, sid binary, prefix array<long>, shared_keys binary")
+        _bounded_rows, "doc_id long, row_fp long, n_shingles long, sid binary, alone long, prefix array<long>, shared_keys binary")
     return table(rows, "join-rows")
 
 
-def _sizes_fit(a: str, b: str):
-    return 5 * F.least(a, b) >= 4 * F.greatest(a, b)
+def _band(n: Column) -> Column:
+    return F.floor(F.log(n.cast("double")) / math.log(BAND)).cast("int")
+
+
+def _entries(sets: DataFrame) -> DataFrame:
+    """Columns under the size bound: key, band, sid, n, place, small.
+
+    A row stands in every band of sizes that a partner no larger than itself can have,
+    with this column as their first common one; ``small``: it can itself be that partner.
+    """
+    e = sets.select("sid", "n", "alone", F.posexplode("prefix").alias("k", "key")).withColumn("place", F.col("alone") + F.col("k"))
+    n, least = F.col("n"), F.expr("(4 * n + 4) div 5")
+    most = F.least(n, F.expr("(9 * (n - place)) div 4 - n"))
+    e = e.withColumn("least", least).withColumn("most", most).where("most >= least")
+    e = e.select("key", "sid", "n", "place", F.explode(F.sequence(_band(F.col("least")), _band(F.col("most")))).alias("band"))
+    return e.withColumn("small", (F.col("band") == _band(n)) & F.expr("place <= n - (8 * n + 8) div 9"))
+
+
+def _may_reach(n, i, m, j) -> Column:
+    """Rows of n and m entries that first meet at places i and j can share 4 (n + m) / 9 entries."""
+    n, i, m, j = map(F.col, (n, i, m, j))
+    return (5 * F.least(n, m) >= 4 * F.greatest(n, m)) & (9 * (n - i) >= 4 * (n + m)) & (9 * (m - j) >= 4 * (n + m))
 
 
 def _linked(pairs: DataFrame, sets: DataFrame) -> DataFrame:
-    """The pairs (a, b, component_a, component_b) with similarity 0.8 or more."""
+    """Of the pairs (a, b, component_a, component_b), those with similarity 0.8 or more, as components."""
     def side(x):
         return sets.select(F.col("sid").alias(x), F.col("n").alias(f"n_{x}"), F.col("shared_keys").alias(f"keys_{x}"))
 
     both = pairs.join(side("a"), "a").join(side("b"), "b").withColumn("both", overlap("keys_a", "keys_b"))
-    return both.where(5 * F.col("both") >= 4 * (F.col("n_a") + F.col("n_b") - F.col("both"))).select("component_a", "component_b")
-
-
-def _merged(entries: DataFrame, comp: DataFrame, links: DataFrame) -> DataFrame:
-    """``comp`` (sid, component) after joining components by ``links``."""
-    cc = components(links.select(F.col("component_a").alias("a"), F.col("component_b").alias("b")))
-    cc = table(cc, "join-merge")
-    out = comp.join(cc.withColumnRenamed("component", "_to"), comp["component"] == cc["node"], "left")
-    return table(out.select("sid", F.coalesce("_to", "component").alias("component")), "join-components")
+    both = both.where(5 * F.col("both") >= 4 * (F.col("n_a") + F.col("n_b") - F.col("both")))
+    return both.select(F.col("component_a").alias("a"), F.col("component_b").alias("b"))
 
 
 def set_components(sets: DataFrame) -> DataFrame:
-    """(sid, component) of the distinct sets ``sets`` (sid, n, prefix, shared_keys)."""
-    exploded = sets.select("sid", "n", F.explode("prefix").alias("key"))
-    often = table(exploded.groupBy("key").agg(F.count(F.lit(1)).alias("_n")).where("_n > 1").drop("_n"), "join-columns")
-    entries = table(exploded.join(often, "key", "left_semi"), "join-entries")
-    comp = table(entries.select("sid", F.col("sid").alias("component")).distinct(), "join-components")
-    left, turn = None, 0
-    while True:
-        placed = table(entries.join(comp, "sid"), "join-placed")
-        parts = placed.groupBy("key", "component").agg(F.count(F.lit(1)).alias("m"))
-        open_ = parts.groupBy("key").agg(F.sum("m").alias("n"), F.sum(F.col("m") * F.col("m")).alias("sq"), F.count(F.lit(1)).alias("parts"))
-        open_ = table(open_.where("parts > 1"), "join-open")
-        pairs, rows = open_.agg(F.coalesce(F.sum((F.col("n") * F.col("n") - F.col("sq")) / 2), F.lit(0)), F.coalesce(F.sum("n"), F.lit(0))).first()
-        if not pairs:
-            return comp
-        placed = table(placed.join(open_.select("key"), "key", "left_semi"), "join-placed")
-        if pairs <= OPEN_PAIRS * rows or (left is not None and pairs > 0.8 * left):
-            break
-        left, turn = pairs, turn + 1
-        pivots = placed.groupBy("key").agg(F.min(F.struct(F.xxhash64(F.lit(turn), "sid").alias("h"), "sid", "n", "component")).alias("p"))
-        pivots = table(pivots.select("key", F.col("p.sid").alias("b"), F.col("p.n").alias("pn"), F.col("p.component").alias("component_b")), "join-pivots")
-        pairs = (placed.join(pivots, "key").where(F.col("component") != F.col("component_b")).where(_sizes_fit("n", "pn"))
-                 .select(F.col("sid").alias("a"), "b", F.col("component").alias("component_a"), "component_b").distinct())
-        comp = _merged(entries, comp, _linked(pairs, sets))
-    # Every pair of rows of different components that share a column.
-    groups = table(placed.select("key", "component").distinct(), "join-groups")
-    meet = groups.select("key", F.col("component").alias("component_a")).join(
-        groups.select("key", F.col("component").alias("component_b")), "key").where("component_a < component_b")
-    a = placed.select("key", F.col("component").alias("component_a"), F.col("sid").alias("a"), F.col("n").alias("na"))
-    b = placed.select("key", F.col("component").alias("component_b"), F.col("sid").alias("b"), F.col("n").alias("nb"))
-    pairs = (meet.join(a, ["key", "component_a"]).join(b, ["key", "component_b"]).where(_sizes_fit("na", "nb"))
-             .select("a", "b", "component_a", "component_b").distinct())
-    return _merged(entries, comp, _linked(pairs, sets))
+    """(sid, component) of the distinct sets ``sets`` (sid, n, alone, prefix, shared_keys); sets without a possible partner may be missing."""
+    spot = ["key", "band"]
+    with passing_tables(sets.sparkSession, "join") as passing:
+        exploded = _entries(sets)
+        meet = passing(exploded.groupBy(*spot).agg(F.count(F.lit(1)).alias("rows"), F.max("small").alias("small"))
+                       .where("rows > 1 and small").select(*spot), "spots")
+        entries = passing(exploded.join(meet, spot, "left_semi"), "entries")
+        comp = passing(entries.select("sid", F.col("sid").alias("component")).distinct(), "components")
+
+        def merged(comp: DataFrame, links: DataFrame) -> DataFrame:
+            to = components(links).select(F.col("node").alias("component"), F.col("component").alias("_to"))
+            return passing(comp.join(to, "component", "left").select("sid", F.coalesce("_to", "component").alias("component")), "components")
+
+        left, turn = None, 0
+        while True:
+            placed = passing(entries.join(comp, "sid"), "placed")
+            parts = placed.groupBy(*spot, "component").agg(F.count(F.lit(1)).alias("m"), F.count_if("small").alias("s"))
+            open_ = parts.groupBy(*spot).agg(F.sum("m").alias("m"), F.sum("s").alias("s"), F.sum(F.col("m") * F.col("s")).alias("own"))
+            open_ = passing(open_.where("m * s > own"), "open")
+            pairs, rows = open_.agg(F.coalesce(F.sum(F.col("m") * F.col("s") - F.col("own")), F.lit(0)), F.coalesce(F.sum("m"), F.lit(0))).first()
+            if not pairs:
+                return table(comp, "join-components")
+            placed = passing(placed.join(open_.select(*spot), spot, "left_semi"), "placed")
+            if turn and (pairs <= OPEN_PAIRS * rows or pairs > 0.8 * left):
+                break
+            # The first pivot is the row nearest to the others; later ones are drawn with a preference for such rows.
+            draw = F.shiftrightunsigned(F.xxhash64(F.lit(turn), "sid"), 11) / float(1 << 53)
+            rank = F.col("place") * (F.lit(1.0) if turn == 0 else 0.5 + draw)
+            left, turn = pairs, turn + 1
+            pivots = placed.where("small").groupBy(*spot).agg(F.min(F.struct(
+                rank.alias("rank"), draw.alias("draw"), F.col("sid").alias("b"), F.col("n").alias("n_b"), F.col("place").alias("place_b"),
+                F.col("component").alias("component_b"))).alias("p"))
+            pivots = passing(pivots.select(*spot, "p.b", "p.n_b", "p.place_b", "p.component_b"), "pivots")
+            pairs = (placed.join(pivots, spot).where(F.col("component") != F.col("component_b")).where(_may_reach("n", "place", "n_b", "place_b"))
+                     .select(F.col("sid").alias("a"), "b", F.col("component").alias("component_a"), "component_b").distinct())
+            comp = merged(comp, _linked(pairs, sets))
+        # Every pair of rows of different components that may reach the bound.
+        groups = passing(parts.join(open_.select(*spot), spot, "left_semi"), "groups")
+        both = groups.select(*spot, F.col("component").alias("component_a")).join(
+            groups.where("s > 0").select(*spot, F.col("component").alias("component_b")), spot).where("component_a <> component_b")
+        a = placed.select(*spot, F.col("component").alias("component_a"), F.col("sid").alias("a"), F.col("n").alias("n_a"), F.col("place").alias("place_a"))
+        b = placed.where("small").select(*spot, F.col("component").alias("component_b"), F.col("sid").alias("b"), F.col("n").alias("n_b"),
+                                         F.col("place").alias("place_b"))
+        pairs = (both.join(a, [*spot, "component_a"]).join(b, [*spot, "component_b"])
+                 .where("n_a > n_b or n_a = n_b and a > b").where(_may_reach("n_a", "place_a", "n_b", "place_b"))
+                 .select("a", "b", "component_a", "component_b").distinct())
+        return table(merged(comp, _linked(pairs, sets)), "join-components")
 
 
 def jaccard_components(docs: DataFrame) -> DataFrame:
@@ -274,7 +307,7 @@ def jaccard_components(docs: DataFrame) -> DataFrame:
     """
     rows = shingle_rows(docs)
     sets = rows.where("prefix is not null").groupBy("sid").agg(
-        F.min("doc_id").alias("low"), *(F.any_value(F.col(c)).alias(a) for c, a in (("n_shingles", "n"), ("prefix", "prefix"), ("shared_keys", "shared_keys"))))
+        F.min("doc_id").alias("low"), *(F.any_value(F.col(c)).alias(a) for c, a in (("n_shingles", "n"), ("alone", "alone"), ("prefix", "prefix"), ("shared_keys", "shared_keys"))))
     sets = table(sets, "join-sets")
     comp = set_components(sets)
     named = sets.select("sid", "low").join(comp, "sid", "left").withColumn("component", F.coalesce("component", "sid"))

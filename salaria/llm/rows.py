@@ -8,11 +8,13 @@ that agree on both are copies of one row and are interchangeable.
 from __future__ import annotations
 
 import math
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from salaria.plans.scratch import materialize, new_scratch
+from salaria.plans.scratch import drop_scratch, materialize, new_scratch
 
 #: Key bits of ``prefix_positions``; keys lie in [0, 2**KEY_BITS).
 KEY_BITS = 52
@@ -29,6 +31,22 @@ def table(df: DataFrame, label: str) -> DataFrame:
     return materialize(df, new_scratch(df.sparkSession, label))
 
 
+@contextmanager
+def passing_tables(spark: SparkSession, label: str) -> Iterator:
+    """A function that writes tables as ``table`` does; they are deleted at the end, so what is kept must be written elsewhere by then."""
+    folder, number = new_scratch(spark, label), 0
+
+    def write(df: DataFrame, name: str) -> DataFrame:
+        nonlocal number
+        number += 1
+        return materialize(df, f"{folder}/{number}-{name}")
+
+    try:
+        yield write
+    finally:
+        drop_scratch(spark, folder)
+
+
 def row_fp(text: Column) -> Column:
     return F.xxhash64(text)
 

@@ -1,0 +1,57 @@
+import hashlib
+import re
+from collections import defaultdict
+
+import pytest
+
+from salaria.llm.exact_dedup import dedup_stage, exact_dedup
+from tests_llm_data import awkward
+
+
+def norm(text):
+    return re.sub(r"[\x20\x09-\x0D]+", " ", text or "")
+
+
+def expected(rows):
+    groups = defaultdict(list)
+    for r in rows:
+        groups[norm(r[1])].append(r[0])
+    out = []
+    for text, ids in groups.items():
+        known = [i for i in ids if i is not None]
+        keep = min(known) if known else None
+        digest = hashlib.sha256(text.encode()).hexdigest()
+        first = True
+        for i in sorted(ids, key=lambda x: (x is None, x)):
+            out.append((i, keep, len(ids), first, digest))
+            first = False
+    return sorted(out, key=repr)
+
+
+@pytest.mark.parametrize("block_bytes", [16, 8192])
+def test_groups_equal_brute_force(frame, block_bytes):
+    rows = awkward(1)
+    got = exact_dedup(frame(rows, extra=True), block_bytes).drop("row_fp_norm").collect()
+    assert sorted((tuple(r) for r in got), key=repr) == expected(rows)
+
+
+def test_texts_that_differ_in_one_late_byte_stay_apart(frame):
+    base = "x" * 5000
+    rows = [(1, base + "a", None, "s"), (2, base + "b", None, "s"), (3, base + "a", None, "s"), (4, base, None, "s"), (5, base + "a" * 2, None, "s")]
+    got = {r.doc_id: r.keep_id for r in exact_dedup(frame(rows), 16).collect()}
+    assert got == {1: 1, 2: 2, 3: 1, 4: 4, 5: 5}
+
+
+def test_empty_table(frame):
+    assert exact_dedup(frame([])).count() == 0
+
+
+def test_stage_keeps_one_row_of_each_text_with_all_columns(spark, frame):
+    rows = awkward(2)
+    docs = frame(rows, extra=True)
+    out = dedup_stage(spark, docs, None)
+    assert out.columns == docs.columns
+    got = out.collect()
+    assert sorted(norm(r.text) for r in got) == sorted({norm(r[1]) for r in rows})
+    keep = {norm(r[1]): min((x[0] for x in rows if norm(x[1]) == norm(r[1]) and x[0] is not None), default=None) for r in rows}
+    assert all(r.doc_id == keep[norm(r.text)] for r in got)

@@ -1,0 +1,118 @@
+import random
+from collections import defaultdict
+
+import numpy as np
+import pytest
+
+from salaria.llm.components import components
+from salaria.llm.jaccard_join import bound, jaccard_components, near_dup_stage, pack, shingle_keys, unpack
+from tests_llm_data import awkward, prose
+
+
+def shingles(text):
+    words = (text or "").encode().lower().split()
+    return frozenset(tuple(words[k:k + 5]) for k in range(max(1, len(words) - 4))) if words else frozenset()
+
+
+def brute(rows):
+    """(n_shingles, component id) of each row, by comparing all pairs."""
+    sets = [shingles(r[1]) for r in rows]
+    top = list(range(len(rows)))
+
+    def find(x):
+        while top[x] != x:
+            x = top[x]
+        return x
+
+    for i in range(len(rows)):
+        for j in range(i):
+            both = len(sets[i] & sets[j])
+            if both and 100 * both >= 80 * (len(sets[i]) + len(sets[j]) - both):
+                top[find(i)] = find(j)
+    low = defaultdict(lambda: None)
+    for i, r in enumerate(rows):
+        c = find(i)
+        if r[0] is not None and (low[c] is None or r[0] < low[c]):
+            low[c] = r[0]
+    return sorted(((r[0], len(s), low[find(i)]) for i, (r, s) in enumerate(zip(rows, sets))), key=repr)
+
+
+def near_groups(rng, groups, copies, edits):
+    rows = []
+    for _ in range(groups):
+        base = prose(rng, rng.choice((20, 60, 150))).split()
+        for _ in range(copies):
+            words = list(base)
+            for _ in range(rng.randrange(edits + 1)):
+                words[rng.randrange(len(words))] = f"w{rng.randrange(10**6)}"
+            if rng.random() < 0.3:
+                words = words[: rng.randrange(len(words) // 2, len(words)) + 1]
+            rows.append(" ".join(words))
+    return rows
+
+
+@pytest.mark.parametrize("seed", [1, 2])
+def test_components_equal_all_pairs(frame, seed):
+    rng = random.Random(seed)
+    texts = near_groups(rng, 12, 8, 6) + near_groups(rng, 1, 60, 9)
+    rows = awkward(seed) + [(1000 + k, t, None, "s") for k, t in enumerate(texts)]
+    got = jaccard_components(frame(rows, extra=True)).collect()
+    assert sorted(((r.doc_id, r.n_shingles, r.component_id) for r in got), key=repr) == brute(rows)
+
+
+def test_passage_shared_by_very_many_rows(frame):
+    """More rows than a row block sends on for one column; only the near copies link."""
+    rng = random.Random(5)
+    passage = prose(rng, 60)
+    rows = [(k, f"{prose(rng, 10)} {passage} {prose(rng, 30)}", None, "s") for k in range(150)]
+    rows += [(200 + k, f"{passage} t{k}", None, "s") for k in range(90)]
+    got = jaccard_components(frame(rows)).collect()
+    assert sorted(((r.doc_id, r.n_shingles, r.component_id) for r in got), key=repr) == brute(rows)
+
+
+def test_keys_and_packing():
+    assert len(shingle_keys(None)) == len(shingle_keys(" \n")) == 0
+    assert len(shingle_keys("one two")) == 1
+    assert (shingle_keys("A b\nC d e") == shingle_keys("a B c\td e")).all()
+    assert not (shingle_keys("a b c d") == shingle_keys("a b c e")).all()
+    keys = np.unique(np.random.default_rng(1).integers(0, 1 << 48, 500, dtype=np.uint64))
+    assert (unpack(pack(keys)) == keys).all()
+
+
+def test_bound_is_the_least_that_misses_no_pair():
+    for n in range(1, 200):
+        need = next(k for k in range(n + 1) if 100 * k >= 80 * n)
+        assert bound(n) == n - need + 1
+
+
+def test_empty_table(frame):
+    assert jaccard_components(frame([])).count() == 0
+    assert near_dup_stage(None, frame([]), None).count() == 0
+
+
+def test_stage_keeps_one_row_of_each_component(frame):
+    rng = random.Random(6)
+    rows = [(k, t, None, "s") for k, t in enumerate(near_groups(rng, 6, 5, 2))] + [(100, None, None, None), (101, "", None, "s"), (3, "x y", None, "s")]
+    docs = frame(rows, extra=True)
+    out = near_dup_stage(None, docs, None)
+    assert out.columns == docs.columns
+    want = {(i, c) for i, _, c in brute(rows) if i == c}
+    assert {r.doc_id for r in out.collect()} == {i for i, _ in want}
+
+
+@pytest.mark.parametrize("edges", [[], [(1, 1)], [(1, 2), (2, 3), (5, 4)], [(k, k + 1) for k in range(40)], [(0, k) for k in range(1, 50)] + [(49, 50)],
+                                   [(3, None), (None, 2), (2, 7), (7, 2)]])
+def test_components_of_edges(spark, edges):
+    got = {r.node: r.component for r in components(spark.createDataFrame(edges, "a long, b long")).collect()}
+    top = {}
+
+    def find(x):
+        while top.setdefault(x, x) != x:
+            x = top[x]
+        return x
+
+    for a, b in edges:
+        if a is not None and b is not None and a != b:
+            x, y = find(a), find(b)
+            top[max(x, y)] = min(x, y)
+    assert got == {x: find(x) for x in top}

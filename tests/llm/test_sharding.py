@@ -1,0 +1,45 @@
+import zlib
+from collections import defaultdict
+
+import pytest
+
+from salaria.llm.sharding import shard_rows
+from tests_llm_data import awkward
+
+
+def test_rows_sizes_and_slots(frame):
+    rows = awkward(7, docs=300)
+    got = shard_rows(frame(rows, extra=True), shards=10).collect()
+    want = sorted(((r[0], r[3], len((r[1] or "").encode()) + 16, zlib.crc32((r[1] or "").encode())) for r in rows), key=repr)
+    assert sorted(((r.doc_id, r.source, r["size"], r.text_crc32) for r in got), key=repr) == want
+    slots = defaultdict(list)
+    for r in got:
+        slots[r.shard].append(r.slot)
+    assert set(slots) == set(range(10))
+    assert all(sorted(s) == list(range(len(s))) for s in slots.values())
+    counts = [len(s) for s in slots.values()]
+    assert max(counts) - min(counts) <= 1
+
+
+def test_every_shard_matches_the_mixture(frame):
+    rows = awkward(8, docs=400)
+    got = shard_rows(frame(rows), shards=8).collect()
+    total, each = defaultdict(int), defaultdict(int)
+    for r in got:
+        total[r.source] += 1
+        each[r.source, r.shard] += 1
+    for source, n in total.items():
+        for shard in range(8):
+            assert abs(each[source, shard] - n / 8) <= 2
+
+
+def test_reruns_agree_and_do_not_depend_on_row_order(frame):
+    rows = awkward(9)
+    one = sorted((tuple(r) for r in shard_rows(frame(rows)).collect()), key=repr)
+    assert one == sorted((tuple(r) for r in shard_rows(frame(rows[::-1]).repartition(3)).collect()), key=repr)
+
+
+@pytest.mark.parametrize("n", [0, 1, 3])
+def test_fewer_rows_than_shards(frame, n):
+    got = shard_rows(frame([(i, "t", None, "s") for i in range(n)])).collect()
+    assert len(got) == n and all(r.slot == 0 and 0 <= r.shard < 40 for r in got) and len({r.shard for r in got}) == n
