@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 from salaria.llm.rows import table
 
 #: Vectors of a page (about), entries of a node, queries of a block. SCALE turns components into integers.
-PAGE_ROWS, NODE, QUERY_BLOCK, SCALE, K, EVERY = 4096, 64, 512, 256, 5, 50
+PAGE_ROWS, NODE, QUERY_BLOCK, SCALE, K, EVERY = 8192, 256, 512, 256, 5, 50
 #: Distances are square roots of exact integers; bounds are widened by this against rounding.
 SLACK = 1e-6
 
