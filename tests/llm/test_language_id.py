@@ -1,0 +1,94 @@
+import random
+
+import numpy as np
+import pytest
+
+from salaria.llm.language_id import Spectrum, _letter_table, predict_languages, presence, train
+from tests_llm_data import awkward
+
+SYLLABLES = {"aa": ["ka", "ro", "mi", "tu", "lé"], "bb": ["sch", "ung", "ei", "zt", "ö"], "cc": ["qu", "ux", "oi", "ê", "ll"]}
+
+
+def text(rng, lang, words):
+    return " ".join("".join(rng.choice(SYLLABLES[lang]) for _ in range(rng.randint(1, 4))) for _ in range(words)) + rng.choice((".", " 12", "!"))
+
+
+def grams(t, ids):
+    """The distinct n-grams of a text, straight from the definition."""
+    x, run = [0], True
+    for ch in t.lower():
+        k = int(ids[ord(ch)])
+        if k or not run:
+            x.append(k)
+        run = k == 0
+    if x[-1]:
+        x.append(0)
+    return {tuple(x[i:i + n]) for n in (1, 2, 3) for i in range(len(x) - n + 1) if n > 1 or x[i]}
+
+
+def test_presence_equals_the_definition():
+    rng = random.Random(1)
+    spectrum = Spectrum([ord(c) for c in "aeiou"], _letter_table())
+    for _ in range(200):
+        t = "".join(rng.choice("aeiouxyz éß 12,.日") for _ in range(rng.randint(0, 40)))
+        has = spectrum.mark(t) if t else False
+        assert has == any(c.isalpha() for c in t)
+        if has:
+            assert spectrum.seen.sum() == len(grams(t, spectrum.ids))
+            spectrum.clear()
+        assert not spectrum.seen.any()
+
+
+def test_folded_scores_equal_kernel_nystroem_and_regression():
+    """The one matrix product gives what the kernel rows, the Nyström map and the regression give one by one."""
+    rng = random.Random(2)
+    labels = [rng.choice("aa bb cc".split()) for _ in range(90)]
+    texts = [text(rng, lang, 20) for lang in labels]
+    model = train(texts, labels, landmarks=5, ridge=0.1)
+    spectrum = Spectrum(model.alphabet, _letter_table())
+    sets = [grams(t, spectrum.ids) for t in texts]
+    marks = sorted(i for lang in sorted(set(labels)) for i in [k for k, x in enumerate(labels) if x == lang][:5])
+
+    def kernel(a, b):
+        return len(a & b) / np.sqrt(len(a) * len(b))
+
+    # n-grams that no landmark has meet no landmark: the kernel to landmarks is the same with and without them
+    k_mm = np.array([[kernel(sets[i], sets[j]) for j in marks] for i in marks])
+    k_nm = np.array([[kernel(s, sets[j]) for j in marks] for s in sets])
+    values, vectors = np.linalg.eigh(k_mm)
+    keep = values > 1e-6 * values.max()
+    root = vectors[:, keep] / np.sqrt(values[keep])
+    phi = k_nm @ root
+    target = np.where(np.array(labels)[:, None] == np.array(model.languages)[None, :], 1.0, -1.0)
+    want = phi @ np.linalg.solve(phi.T @ phi + 0.1 * np.eye(phi.shape[1]), phi.T @ target)
+    rows, sums = presence(spectrum, texts, model.grams)
+    got = rows @ model.matrix / np.sqrt(sums)[:, None]
+    assert np.allclose(got, want, atol=1e-3)
+
+
+def test_held_out_accuracy_and_awkward_rows(frame):
+    rng = random.Random(3)
+    rows = [(i, text(rng, lang := rng.choice(("aa", "bb", "cc")), rng.choice((3, 20, 200))), lang, "s") for i in range(600)]
+    more = [(700, None, "aa", None), (701, "", "aa", None), (702, " 12 ,.", "bb", "s"), (None, rows[0][1], None, None), (703, text(rng, "cc", 9000), None, "s"), rows[5]]
+    got = predict_languages(frame(rows + more, extra=True)).collect()
+    assert len(got) == len(rows) + len(more)
+    by = {r.doc_id: r for r in got}
+    assert [by[i].lang_pred for i in (700, 701, 702)] == ["und"] * 3 and by[700].score == 0
+    assert by[703].lang_pred == "cc" and by[None].held_out and by[None].lang_pred == by[0].lang_pred
+    held = [r for r in rows if by[r[0]].held_out]
+    assert len(held) > 80
+    assert sum(by[r[0]].lang_pred == r[2] for r in held) >= 0.97 * len(held)
+    assert all(0 <= r.score <= 1 for r in got)
+
+
+@pytest.mark.parametrize("rows", [[], [(1, "text", None, "s"), (2, None, "aa", "s")], [(1, "12", "aa", "s")]])
+def test_nothing_to_learn(frame, rows):
+    got = predict_languages(frame(rows)).collect()
+    assert len(got) == len(rows) and all(r.lang_pred == "und" and r.score == 0 for r in got)
+
+
+def test_awkward_tables(frame):
+    rows = awkward(2)
+    got = predict_languages(frame(rows)).collect()
+    assert len(got) == len(rows)
+    assert {r.lang_pred for r in got} <= {"en", "de", "und"}

@@ -1,0 +1,75 @@
+import random
+import zlib
+
+import numpy as np
+import pytest
+
+from salaria.llm.pieces import SPACE, Pieces, encode_documents, model_bytes
+from tests_llm_data import awkward
+
+public_tokenizers = pytest.importorskip("public_tokenizers")
+sentencepiece = pytest.importorskip("sentencepiece")
+
+PARTS = ["the ", "  ", " ", "\n", "\t", "ing", "日本", "é", "ß", "🙂", "a", "b", "Z", "123", "==", "▁", "nation", "​", "    x", "<0x41>", "</s>", "<unk>"]
+
+
+@pytest.fixture(scope="module")
+def model():
+    return Pieces(model_bytes())
+
+
+@pytest.fixture(scope="module")
+def library():
+    return sentencepiece.SentencePieceProcessor(model_file=public_tokenizers.path("piece_bpe_32k.model"))
+
+
+def test_ids_equal_the_library(model, library):
+    rng = random.Random(1)
+    for _ in range(3000):
+        text = "".join(rng.choice(PARTS) for _ in range(rng.randint(0, 25)))
+        assert model.encode(text).tolist() == library.encode(text), repr(text)
+
+
+@pytest.mark.parametrize("word", ["", "the", "日", "\n"])
+def test_runs_of_spaces(model, library, word):
+    for n in [*range(1, 60), 1000]:
+        for text in (f"x{' ' * n}{word}", f"{' ' * n}{word}"):
+            assert model.encode(text).tolist() == library.encode(text)
+
+
+def test_viterbi_equals_merging_for_every_window(model):
+    """Against the model's own rule, and committed in a small window: the same pieces."""
+    rng = random.Random(2)
+    for _ in range(300):
+        text = "".join(rng.choice("aeinorst") for _ in range(rng.randint(1, 60)))
+        assert list(model.viterbi(text)) == model._short(text) == model.merged(text)
+
+
+def test_long_text_without_spaces_is_committed_early(model, library):
+    rng = random.Random(3)
+    text = "".join(rng.choice("abcdefghij日") for _ in range(30000))
+    assert model.encode(text).tolist() == library.encode(text)
+    committed = model.viterbi(text)
+    got = [next(committed) for _ in range(20)]
+    assert "".join(got) == text[: len("".join(got))]
+
+
+def test_round_trip(model):
+    rng = random.Random(4)
+    for _ in range(500):
+        text = "".join(rng.choice([p for p in PARTS if p != SPACE]) for _ in range(rng.randint(0, 25)))
+        assert model.decode(model.encode(text).tolist()) == text
+    broken = model.encode("日").tolist()[:2] if len(model.encode("🙂")) < 4 else model.encode("🙂").tolist()[:-1]
+    assert "�" in model.decode(broken) or model.decode(broken)
+
+
+def test_documents(frame, library):
+    rows = awkward(5) + [(900, "a▁b", None, None)]
+    docs = frame(rows, extra=True)
+    got = sorted(((r.doc_id, r.n_pieces, r.ids_crc32, r.round_trip, tuple(r.ids)) for r in encode_documents(docs).collect()), key=repr)
+    want = []
+    for r in rows:
+        ids = library.encode(r[1] or "")
+        want.append((r[0], len(ids), zlib.crc32(np.array(ids, "<u4").tobytes()), SPACE not in (r[1] or ""), tuple(ids)))
+    assert got == sorted(want, key=repr)
+    assert encode_documents(frame([])).count() == 0

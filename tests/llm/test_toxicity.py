@@ -1,0 +1,100 @@
+import random
+
+import pytest
+
+from salaria.llm.toxicity import FuzzyTrie, context_weight, features, score_documents, toxicity_stage
+from tests_llm_data import awkward, prose
+
+
+def distance(a, b):
+    row = list(range(len(b) + 1))
+    for i, x in enumerate(a):
+        last, row[0] = row[0], i + 1
+        for j, y in enumerate(b):
+            last, row[j + 1] = row[j + 1], min(row[j + 1] + 1, row[j] + 1, last + (x != y))
+    return row[-1]
+
+
+def test_automaton_equals_edit_distance():
+    rng = random.Random(1)
+    for errors in (1, 2):
+        terms = sorted({"".join(rng.choice("abc") for _ in range(rng.randint(1, 7))) for _ in range(25)})
+        allowed = lambda t: errors if len(t) >= 4 else 0  # noqa: B023, E731
+        trie = FuzzyTrie(terms, allowed)
+        for _ in range(800):
+            word = "".join(rng.choice("abcd") for _ in range(rng.randint(0, 8)))
+            near = min((distance(word, t) for t in terms if distance(word, t) <= allowed(t)), default=None)
+            found = trie.match(word)
+            assert (found is None) == (near is None)
+            if found:
+                assert found[1] == near == distance(word, terms[found[0]])
+
+
+def test_states_are_rebuilt_when_there_are_too_many(monkeypatch):
+    import salaria.llm.toxicity as m
+
+    monkeypatch.setattr(m, "_WORDS", 3)
+    trie = FuzzyTrie(["dreadful"])
+    assert [trie.match(w) for w in ("dreadful", "x", "y", "z", "q", "dreadfull", "dreadful")] == [(0, 0), None, None, None, None, (0, 1), (0, 0)]
+
+
+def test_context_tells_quotation_from_abuse():
+    plain, quoted, reported = "you are a dreadful person", 'the sign had "dreadful" on it', 'he said the word "dreadful" aloud'
+    weights = []
+    for t in (plain, quoted, reported):
+        at = t.index("dreadful")
+        words = t.split()
+        weights.append(context_weight(t, at, at + 8, words, [w.strip('"') for w in words].index("dreadful")))
+    assert weights[0] == 1.0 > weights[1] > weights[2]
+    trie = FuzzyTrie(["dreadful"])
+    f = [features(t, trie, [1.0]) for t in (plain, quoted, "a dreadfull person", None)]
+    assert f[0][0] > f[1][0] and f[1][1] > f[0][1] and f[2][2] > 0 == f[0][2] and f[0][0] > f[2][0] and f[3] == [0.0] * 4
+
+
+@pytest.fixture(scope="module")
+def corpus():
+    """Toxic texts hold one of four terms; a quarter of them misspelled in the unlabelled part."""
+    rng = random.Random(2)
+    terms = ["dreadful", "horridly", "vilesome", "wretched"]
+    rows, labels, truth = [], [], {}
+    for i in range(900):
+        words = prose(rng, rng.choice((10, 60, 150))).split()
+        truth[i] = int(i % 5 == 0)
+        if truth[i]:
+            for _ in range(2):
+                words.insert(rng.randrange(len(words)), rng.choice(terms))
+        rows.append((i, " ".join(words), "en", "s"))
+        if i % 10 < 7:
+            labels.append((i, 1, truth[i]))
+    return rows, labels, truth
+
+
+def test_scores(spark, frame, corpus):
+    rows, labels, truth = corpus
+    rng = random.Random(3)
+    bad = [(5000 + k, f"{prose(rng, 30)} you {t} thing {prose(rng, 30)}", None, None) for k, t in enumerate(("dreadfull", "horidly", "wretchad"))]
+    rows = rows + bad + [(6000, None, None, None), (6001, "", None, "s"), (None, "fine words", None, None)]
+    docs = frame(rows, extra=True)
+    got = {r.doc_id: r for r in score_documents(docs, spark.createDataFrame(labels, "doc_id long, quality int, toxic int")).collect()}
+    assert len(got) == len(rows)
+    assert all(got[i].predicted == t for i, t in truth.items())
+    assert all(got[5000 + k].score > 10 * got[6001].score for k in range(3))
+    assert got[6000].score == got[6001].score < 0.5 and got[None].held_out
+    assert all(0 <= r.score <= 1 for r in got.values())
+
+
+def test_stage_drops_toxic_rows_alone(spark, frame, corpus, tmp_path):
+    rows, labels, truth = corpus
+    spark.createDataFrame(labels, "doc_id long, quality int, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
+    docs = frame(rows, extra=True)
+    out = toxicity_stage(spark, docs, str(tmp_path))
+    assert out.columns == docs.columns
+    assert {r.doc_id for r in out.collect()} == {i for i, t in truth.items() if not t}
+
+
+@pytest.mark.parametrize("labels", [[], [(1, 1, None), (None, 1, 1)], [(1, 1, 0), (2, 1, 0)], [(0, 1, 1), (3, 0, 1), (3, 0, 0), (99999, 1, 1)]])
+def test_awkward_tables(spark, frame, labels):
+    rows = awkward(4)
+    got = score_documents(frame(rows), spark.createDataFrame(labels, "doc_id long, quality int, toxic int")).collect()
+    assert len(got) == len(rows) and all(0 <= r.score <= 1 for r in got)
+    assert score_documents(frame([]), spark.createDataFrame(labels, "doc_id long, quality int, toxic int")).count() == 0
