@@ -30,6 +30,8 @@ from salaria.llm.jaccard_join import shingle_keys
 from salaria.llm.rows import documents, table
 
 SAMPLE_ROWS, TERMS, FUZZY_LETTERS, WINDOW, CUT = 20_000, 2_000, 5, 8, 0.7
+#: A misspelled hit counts for so much of an exact one, until the sample teaches otherwise.
+MISSPELLED = 0.5
 #: A term occurs in this many toxic texts of the sample at least, and in this share of them.
 LEAST_TEXTS, LEAST_SHARE, LEAST_LOG_ODDS = 3, 0.002, 3.0
 TOKEN = r"\w+(?:[*@$!]+\w+)*"
@@ -129,6 +131,18 @@ class FuzzyTrie:
             return found
 
 
+_TRIES: dict[tuple, FuzzyTrie] = {}
+
+
+def _trie(terms: list[str]) -> FuzzyTrie:
+    """The last one used stays with the worker: its states serve the worker's later tasks."""
+    key = tuple(terms)
+    if key not in _TRIES:
+        _TRIES.clear()
+        _TRIES[key] = FuzzyTrie(terms)
+    return _TRIES[key]
+
+
 def context_weight(text: str, start: int, end: int, words: list[str], at: int) -> float:
     """1 for plain use; less where the hit is quoted, or reported in the window round it."""
     near = text[max(0, start - 40):start], text[end:end + 40]
@@ -140,23 +154,27 @@ def context_weight(text: str, start: int, end: int, words: list[str], at: int) -
 
 
 def features(text: str | None, trie: FuzzyTrie, weights: list[float]) -> list[float]:
-    """Of the whole text: log(1 + mass) of exact and of misspelled hits, each as abuse and as quotation, and whether there is an exact hit used plainly."""
+    """Of the whole text: log(1 + mass) of hits as abuse, of hits as quotation and of misspelled hits, and the plainest hit.
+
+    The mass of a hit is its term's log odds; a misspelled one counts in part. The
+    third feature lets the regression correct that part where the sample shows it.
+    """
     low = (text or "").lower()
     words = _FIND.findall(low)
     match = trie.match
     hits = {w: m for w in set(words) if (m := match(w)) is not None}
-    mass = [0.0, 0.0, 0.0, 0.0]
-    plain = 0.0
+    abuse = quoted = misspelled = plain = 0.0
     if hits:
         for at, m in enumerate(_FIND.finditer(low)):
             hit = hits.get(m.group())
             if hit is not None:
                 c = context_weight(low, m.start(), m.end(), words, at)
-                k = 2 * (hit[1] > 0)
-                mass[k] += c * weights[hit[0]]
-                mass[k + 1] += (1 - c) * weights[hit[0]]
-                plain = max(plain, c * (hit[1] == 0))
-    return [*(math.log1p(x) for x in mass), plain]
+                part = MISSPELLED if hit[1] else 1.0
+                abuse += part * c * weights[hit[0]]
+                quoted += part * (1 - c) * weights[hit[0]]
+                misspelled += c * weights[hit[0]] * (hit[1] > 0)
+                plain = max(plain, part * c)
+    return [math.log1p(abuse), math.log1p(quoted), math.log1p(misspelled), plain]
 
 
 def _logistic(x: np.ndarray, y: np.ndarray, penalty: float = 0.05, steps: int = 60) -> np.ndarray:
@@ -190,9 +208,9 @@ class Scorer:
 
         @F.pandas_udf("double")
         def score(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-            trie = FuzzyTrie(terms)
+            trie = _trie(terms)
             for texts in batches:
-                x = np.array([features(t, trie, weights) for t in texts]).reshape(-1, 5)
+                x = np.array([features(t, trie, weights) for t in texts]).reshape(-1, 4)
                 yield pd.Series(1 / (1 + np.exp(-np.clip(x @ w[:-1] + w[-1], -30, 30))))
 
         return score(text)
@@ -212,7 +230,7 @@ def fit(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS) -> S
     n1, n0 = apart.agg(F.coalesce(F.sum("y"), F.lit(0.0)), F.coalesce(F.sum(1 - F.col("y")), F.lit(0.0))).first()
     if not n1 or not n0:
         bias = 30.0 if n1 else -30.0
-        return Scorer([], [], np.array([0.0] * 5 + [bias]))
+        return Scorer([], [], np.array([0.0] * 4 + [bias]))
     words = apart.select("y", F.explode(F.array_distinct(F.regexp_extract_all(F.lower("text"), F.lit(f"(?U){TOKEN}"), F.lit(0)))).alias("word"))
     odds = F.log((F.col("pos") + 0.5) / (n1 + 1)) - F.log((F.col("neg") + 0.5) / (n0 + 1))
     counted = words.groupBy("word").agg(F.sum("y").alias("pos"), F.sum(1 - F.col("y")).alias("neg")).withColumn("odds", odds)
@@ -223,10 +241,10 @@ def fit(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS) -> S
     def extract(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         trie = FuzzyTrie(lexicon)
         for b in batches:
-            yield pd.DataFrame([[*features(t, trie, weights), y] for t, y in zip(b.text, b.y)], columns=list("abcdey"))
+            yield pd.DataFrame([[*features(t, trie, weights), y] for t, y in zip(b.text, b.y)], columns=list("abcdy"))
 
-    rows = sample.select("text", "y").mapInPandas(extract, "a double, b double, c double, d double, e double, y double").toPandas()
-    return Scorer(lexicon, weights, _logistic(rows[list("abcde")].to_numpy(float), rows.y.to_numpy(float)))
+    rows = sample.select("text", "y").mapInPandas(extract, "a double, b double, c double, d double, y double").toPandas()
+    return Scorer(lexicon, weights, _logistic(rows[list("abcd")].to_numpy(float), rows.y.to_numpy(float)))
 
 
 def _is_held_out(doc_id: Column) -> Column:
