@@ -20,7 +20,6 @@ joined, and remembered.
 
 from __future__ import annotations
 
-import re
 import struct
 import zlib
 from collections.abc import Iterator
@@ -37,8 +36,8 @@ from salaria.plans.scratch import new_scratch
 
 END = 2
 #: Ids of a shard (about), turns and least count of a pair, pairs of a turn, stretches remembered (twice as many at most).
-SHARD_IDS, TURNS, LEAST, PER_TURN, MEMORY = 4_000_000, 4, 64, 4096, 300_000
-_HASH = 1 << 20
+SHARD_IDS, TURNS, LEAST, PER_TURN, MEMORY = 2_000_000, 3, 32, 4096, 500_000
+_CELL_BITS = 20
 _MAGIC = b"RPS1"
 
 
@@ -51,12 +50,20 @@ def tokenizer_json(path: str | None = None) -> str:
         return f.read()
 
 
+#: White space of any kind but the space itself.
+_SPACES = "\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f\x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a\u2028\u2029\u202f\u205f\u3000"
+
+
+def _plain(text: str) -> bool:
+    """Whether every space stands between two characters that are no white space."""
+    if not text or "  " in text or text[0].isspace() or text[-1].isspace():
+        return False
+    return not any(x in text and (" " + x in text or x + " " in text) for x in (_SPACES[:9] if text.isascii() else _SPACES))
+
+
 class Encoder:
     """ids of whole texts as little-endian unsigned 32-bit integers."""
 
-    #: A space that does not simply stand between two words, or the text's start or end.
-    _ODD = re.compile(r"^\s|\s$|\s\x20|\x20\s")
-
     def __init__(self, spec: str):
         from tokenizers import Tokenizer
 
@@ -64,80 +71,103 @@ class Encoder:
         self.tokenizer.encode_special_tokens = True
         self.known: dict[str, bytes] = {}
         self.earlier: dict[str, bytes] = {}
+        self.spaced = np.zeros(self.tokenizer.get_vocab_size(), bool)
+        for token, k in self.tokenizer.get_vocab().items():
+            self.spaced[k] = token.startswith("\u0120")  # the tokenizer's sign for a space
+
+    def whole(self, text: str) -> np.ndarray:
+        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4")
 
-    def _whole(self, texts: list[str]) -> list[bytes]:
-        found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
-        return [np.array(e.ids, "<u4").tobytes() for e in found]
+    def _learn(self, words: list[str]) -> None:
+        """Encode words, each with a space before it, in one text: an id that begins with a space begins a word."""
+        ids = self.whole(" " + " ".join(words))
+        at = np.flatnonzero(self.spaced[ids]).tolist()
+        raw, known = ids.tobytes(), self.known
+        for w, a, b in zip(words, at, [*at[1:], len(ids)]):
+            known[w] = raw[4 * a:4 * b]
 
     def batch(self, texts: list[str]) -> list[bytes]:
-        known, earlier = self.known, self.earlier
-        plain = [not self._ODD.search(t) for t in texts]
-        cut = []
-        for t, p in zip(texts, plain):
-            if p and t:
-                first, *rest = t.split(" ")
-                cut.append([first, *map(" ".__add__, rest)])
-            else:
-                cut.append([])
-        new: dict[str, bytes] = {}
-        for words in cut:
-            for w in words:
-                if w not in known:
-                    new[w] = earlier.get(w)
-        missing = [w for w, code in new.items() if code is None]
-        new.update(zip(missing, self._whole(missing)))
-        if len(known) + len(new) > MEMORY:
-            self.earlier = known
-            known = self.known = {w: earlier[w] if w in earlier else known[w] for words in cut for w in words if w in known}
-        known.update(new)
-        odd = iter(self._whole([t for t, p in zip(texts, plain) if not (p and t)]))
-        return [b"".join(map(known.__getitem__, words)) if words else next(odd) for words in cut]
-
-
-def _frequent(seq: np.ndarray, ends: np.ndarray, least: int) -> np.ndarray:
-    """The pairs (left << 32 | right) to replace in this turn, most frequent first."""
-    pair = (seq[:-1].astype(np.uint64) << np.uint64(32)) | seq[1:]
-    inner = ~ends[:-1]
-    place = ((pair * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(44)).astype(np.int64)
-    counts = np.bincount(place[inner], minlength=_HASH)
-    hot = counts >= least  # every pair as frequent as that lies in such a cell
-    uniq, n = np.unique(pair[inner & hot[place]], return_counts=True)
-    uniq, n = uniq[n >= least], n[n >= least]
-    return uniq[np.lexsort((uniq, -n))[:PER_TURN]]
+        if len(self.known) > MEMORY:
+            self.known, self.earlier = {}, self.known
+        known, earlier, cut, missing = self.known, self.earlier, [], {}
+        for t in texts:
+            # The first word has no space before it; it is encoded apart.
+            words = t.split(" ") if _plain(t) else None
+            codes = None
+            if words:
+                codes = list(map(known.get, words))
+                if None in codes:
+                    for w, c in zip(words, codes):
+                        if c is None and w not in missing:
+                            code = earlier.get(w)
+                            if code is None:
+                                missing[w] = None
+                            else:
+                                known[w] = code
+            cut.append((words, codes))
+        if missing:
+            self._learn(list(missing))
+        out = []
+        for t, (words, codes) in zip(texts, cut):
+            if words is None:
+                out.append(self.whole(t).tobytes())
+                continue
+            if None in codes:
+                codes = list(map(known.__getitem__, words))
+            codes[0] = self.whole(words[0]).tobytes()
+            out.append(b"".join(codes))
+        return out
 
 
 def repair(seq: np.ndarray, ends: np.ndarray, first: int, turns: int = TURNS, least: int = LEAST) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(rules, symbols, ends) of ``seq``; rule k is the pair that symbol ``first + k`` stands for.
 
-    ``ends`` marks the last symbol of each document. Occurrences that overlap are
-    resolved from the left: of a run of touching pairs every other one is replaced.
+    ``ends`` marks the last symbol of each document. In a turn all pairs are counted
+    in hashed cells; the fullest cells each give one pair, which is kept if it occurs
+    often enough itself. Occurrences that overlap are resolved from the left: of a run
+    of touching ones every other one is replaced.
     """
     rules = np.empty((0, 2), np.uint32)
     for _ in range(turns):
         if len(seq) < 2:
             break
-        pairs = _frequent(seq, ends, least)
-        if not len(pairs):
-            break
-        number = {p: first + len(rules) + k for k, p in enumerate(pairs.tolist())}
-        by = np.sort(pairs)
-        symbol = np.array([number[p] for p in by.tolist()], np.uint32)
         pair = (seq[:-1].astype(np.uint64) << np.uint64(32)) | seq[1:]
-        at = np.searchsorted(by, pair)
-        at[at == len(by)] = 0
-        chosen = (by[at] == pair) & ~ends[:-1]
-        place = np.flatnonzero(chosen)
-        run = np.concatenate([[0], np.flatnonzero(np.diff(place) != 1) + 1]) if len(place) else place
-        start = np.repeat(place[run], np.diff(np.append(run, len(place)))) if len(place) else place
-        place = place[(place - start) % 2 == 0]
-        seq = seq.copy()
-        seq[place] = symbol[at[place]]
-        ends = ends.copy()
+        cell = ((pair * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(64 - _CELL_BITS)).astype(np.int32)
+        cell[ends[:-1]] = 0  # no pair over a document's end: cell 0 is not used
+        counts = np.bincount(cell, minlength=1 << _CELL_BITS)
+        counts[0] = 0
+        full = np.argsort(-counts, kind="stable")[:PER_TURN] if (counts >= least).sum() > PER_TURN else np.flatnonzero(counts >= least)
+        if not len(full):
+            break
+        some = np.zeros(1 << _CELL_BITS, bool)
+        some[full] = True
+        place = np.flatnonzero(some[cell])
+        held, inside = pair[place], cell[place]
+        one = np.zeros(1 << _CELL_BITS, np.uint64)
+        one[inside] = held  # of the pairs in a cell, one
+        match = held == one[inside]
+        place, inside = place[match], inside[match]
+        run = np.concatenate([[0], np.flatnonzero(np.diff(place) != 1) + 1])
+        start = np.repeat(place[run], np.diff(np.append(run, len(place))))
+        match = (place - start) % 2 == 0
+        place, inside = place[match], inside[match]
+        uses = np.bincount(inside, minlength=1 << _CELL_BITS)
+        kept = np.flatnonzero(uses >= least)
+        if not len(kept):
+            break
+        kept = kept[np.argsort(-uses[kept], kind="stable")]
+        symbol = np.zeros(1 << _CELL_BITS, np.uint32)
+        symbol[kept] = np.arange(first + len(rules), first + len(rules) + len(kept), dtype=np.uint32)
+        new = symbol[inside]
+        place, new = place[new > 0], new[new > 0]
+        pairs = one[kept]
+        rules = np.vstack([rules, np.stack([pairs >> np.uint64(32), pairs & np.uint64(0xFFFFFFFF)], axis=1).astype(np.uint32)])
+        seq, ends = seq.copy(), ends.copy()
+        seq[place] = new
         ends[place] |= ends[place + 1]
         keep = np.ones(len(seq), bool)
         keep[place + 1] = False
         seq, ends = seq[keep], ends[keep]
-        rules = np.vstack([rules, np.stack([pairs >> np.uint64(32), pairs & np.uint64(0xFFFFFFFF)], axis=1).astype(np.uint32)])
     return rules, seq, ends
 
 
@@ -149,18 +179,27 @@ def expansion_lengths(rules: np.ndarray, first: int) -> np.ndarray:
     return out
 
 
-def expand(symbols: np.ndarray, rules: np.ndarray, first: int) -> np.ndarray:
-    """The ids of ``symbols``: all nonterminals give way to their pairs, turn by turn."""
-    while True:
-        inner = symbols >= first
-        if not inner.any():
-            return symbols.astype(np.uint32)
-        place = np.arange(len(symbols)) + np.concatenate([[0], np.cumsum(inner)[:-1]])
-        out = np.empty(len(symbols) + int(inner.sum()), np.uint32)
-        out[place[~inner]] = symbols[~inner]
-        pair = rules[symbols[inner] - first]
-        out[place[inner]], out[place[inner] + 1] = pair[:, 0], pair[:, 1]
-        symbols = out
+def expand(symbols: np.ndarray, rules: np.ndarray, sizes: np.ndarray, first: int) -> np.ndarray:
+    """The ids of ``symbols``; ``sizes``: expansion lengths of the rules."""
+    begin = np.concatenate([[0], np.cumsum(sizes, dtype=np.int64)])
+    words = np.empty(begin[-1], np.uint32)  # the expansions of all rules, one after the other
+    for k, (a, b) in enumerate(rules.tolist()):
+        mid = begin[k] + (sizes[a - first] if a >= first else 1)
+        words[begin[k]:mid] = words[begin[a - first]:begin[a - first + 1]] if a >= first else a
+        words[mid:begin[k + 1]] = words[begin[b - first]:begin[b - first + 1]] if b >= first else b
+    inner = symbols >= first
+    rule = symbols[inner].astype(np.int64) - first
+    size = np.ones(len(symbols), np.int64)
+    size[inner] = sizes[rule]
+    upto = np.cumsum(size)
+    out = np.empty(int(upto[-1]) if len(symbols) else 0, np.uint32)
+    at = upto - size
+    out[at[~inner]] = symbols[~inner]
+    # Per expanded id: where its rule's expansion begins, plus how far it is in it.
+    n = size[inner]
+    step = np.arange(int(n.sum())) - np.repeat(np.cumsum(n) - n, n)
+    out[np.repeat(at[inner], n) + step] = words[np.repeat(begin[rule], n) + step]
+    return out
 
 
 def pack_shard(doc_ids: list[int | None], codes: list[bytes], vocabulary: int) -> bytes:
@@ -210,12 +249,12 @@ class Shard:
         end = int(upto[-1]) if end is None else end
         a, b = np.searchsorted(upto, start, "right"), np.searchsorted(upto, end, "left") + 1
         skip = start - (int(upto[a - 1]) if a else 0)
-        return expand(self.symbols[a:b].astype(np.uint32), self.rules, self.first)[skip:skip + end - start]
+        return expand(self.symbols[a:b].astype(np.uint32), self.rules, self.sizes, self.first)[skip:skip + end - start]
 
     def document(self, k: int) -> np.ndarray:
         """The ids of document number ``k`` of the shard."""
         stop = self.begin[k + 1] if k + 1 < len(self.begin) else len(self.symbols)
-        return expand(self.symbols[self.begin[k]:stop].astype(np.uint32), self.rules, self.first)
+        return expand(self.symbols[self.begin[k]:stop].astype(np.uint32), self.rules, self.sizes, self.first)
 
 
 _ENCODERS: dict[int, Encoder] = {}
