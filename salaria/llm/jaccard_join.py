@@ -52,11 +52,11 @@ from salaria.llm.rows import documents, passing_tables, pick_rows, row_fp, table
 WORDS = 5
 KEY_BITS = 48
 #: Keys of a row block, rows of one column that a row block sends on, characters per column block.
-BLOCK_KEYS, LOCAL_ROWS, COLUMN_CHARS = 2_000_000, 64, 8_000_000
+BLOCK_KEYS, LOCAL_ROWS, COLUMN_CHARS = 1_000_000, 64, 8_000_000
 #: Pivot rounds go on while the open pairs outnumber this many times the entries, and get fewer.
 OPEN_PAIRS = 1
 #: Sizes of one band differ by this factor at most.
-BAND = 1.05
+BAND = 1.12
 
 _MIX = np.uint64(0x9E3779B97F4A7C15)
 
@@ -116,7 +116,7 @@ def _row_blocks(bits: int):
         hot = np.repeat(local > LOCAL_ROWS, local)
         hot_keys, hot_counts = uniq[local > LOCAL_ROWS], local[local > LOCAL_ROWS]
         own = pickle.dumps((ids, fps, np.array(ns, np.int64), count, sids, flat[hot], row[hot]), protocol=5)
-        out = [(block % (1 << bits), block, True, own)]
+        out = [(xxhash.xxh3_64_intdigest(block.to_bytes(8, "little")) % (1 << bits), block, True, own)]
         flat, row = flat[~hot], row[~hot]
         edges = np.arange(1, 1 << bits, dtype=np.uint64) << np.uint64(KEY_BITS - bits)
         for c, (k, r, hk, hc) in enumerate(zip(*(np.split(x, np.searchsorted(by, edges)) for x, by in (
