@@ -10,7 +10,7 @@ the scores, which are ranks of merges here, gives other ids than the library.)
 The pass keeps a window of positions, bounded by the longest piece. Whenever the
 backpointers of all positions in it lead through one boundary, the ids before it are
 committed and forgotten, so texts of any length run in bounded memory. Encodings of
-short stretches between positions that no piece crosses are remembered.
+words are remembered: no piece reaches over the space before a word.
 
 Runs of spaces, whose pieces share one score, are merged directly. One pass over the
 texts, no shuffle; the model is read on the driver and sent along with the function.
@@ -23,15 +23,16 @@ import zlib
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
-from pyspark.sql import Column, DataFrame
-from pyspark.sql import functions as F
+import pyarrow as pa
+from pyspark.sql import DataFrame
 
 from salaria.llm.rows import documents
 
 SPACE = "▁"
-#: Stretches remembered (twice as many at most), their greatest length, and pairs of pieces remembered, per worker.
-MEMORY, SHORT, PAIRS = 400_000, 40, 1_000_000
+#: Words remembered (twice as many at most), their greatest length, and pairs of pieces remembered, per worker.
+MEMORY, SHORT, PAIRS = 250_000, 40, 300_000
+#: Characters of texts that are encoded together, and come out as one batch.
+CHUNK = 1_000_000
 
 
 def model_bytes(path: str | None = None) -> bytes:
@@ -61,6 +62,9 @@ class Pieces:
         self.unknown = next(k for k, p in enumerate(model.pieces) if p.type == kinds.UNKNOWN)
         self.longest = max(map(len, self.ids))
         self.window = max(self.longest, window or 0)
+        self.reach: dict[str, int] = {}
+        for p in self.ids:
+            self.reach[p[-3:]] = max(len(p), self.reach.get(p[-3:], 2))
         crossing = [p for p in self.ids if SPACE in p.lstrip(SPACE)]
         if crossing or any("\n" in p for p in self.ids):
             raise ValueError("pieces over word ends are not supported")
@@ -70,7 +74,8 @@ class Pieces:
         # Long runs of spaces: the leftmost are joined to the longest such piece first, over and over.
         self.run = max((len(p) for p in self.ids if not p.strip(SPACE)), default=1)
         self.runs_repeat = self.merged(SPACE * 3 * self.run) == [SPACE * self.run] * 3
-        self.known: dict[str, bytes] = {}
+        self.codes = {p: k.to_bytes(4, "little") for p, k in self.ids.items()}
+        self.words: dict[str, bytes] = {}
         self.earlier: dict[str, bytes] = {}
         self.edges: dict[str, tuple] = {}
         self.pairs: dict[tuple[str, str], bool] = {}
@@ -133,9 +138,9 @@ class Pieces:
         return found
 
     def _code(self, piece: str) -> bytes:
-        k = self.ids.get(piece)
-        if k is not None:
-            return k.to_bytes(4, "little")
+        code = self.codes.get(piece)
+        if code is not None:
+            return code
         if not self.bytes:
             return self.unknown.to_bytes(4, "little")
         return b"".join(self.bytes[b].to_bytes(4, "little") for b in piece.encode())
@@ -158,6 +163,28 @@ class Pieces:
                     last = {p: t for p, t in last.items() if p >= start}
         yield from self._trace(last, start, len(text))
 
+    def _short(self, text: str, last: list[str] | None = None) -> list[str]:
+        """``viterbi`` for a text no longer than the window: nothing is committed before its end.
+
+        ``last``: the backpointers of a prefix of ``text``, which are extended.
+        """
+        last = [""] if last is None else last
+        ids, pairs, reach = self.ids, self.pairs, self.reach
+        for end in range(len(last), len(text) + 1):
+            # No longer piece ends in these three characters.
+            for start in range(max(0, end - reach.get(text[end - 3:end], 2)) if end > 2 else 0, end):
+                piece = text[start:end]
+                if piece in ids or start == end - 1:
+                    pair = (last[start], piece)
+                    if pairs[pair] if pair in pairs else self._may_follow(*pair):
+                        last.append(piece)
+                        break
+        out, end = [], len(text)
+        while end:
+            out.append(last[end])
+            end -= len(last[end])
+        return out[::-1]
+
     def _agreed(self, last: dict[int, str], end: int) -> int:
         """The latest boundary through which the paths of all positions a piece can still start from lead."""
         live = {p for p in range(end - self.longest + 1, end + 1) if p in last}
@@ -178,14 +205,11 @@ class Pieces:
         return out[::-1]
 
     def _stretch(self, text: str) -> bytes:
-        found = self.earlier.get(text)
-        if found is None:
-            found = b"".join(map(self._code, self._spaced(text) if text.startswith(SPACE * 2) else self.viterbi(text)))
-        if len(text) <= SHORT:
-            if len(self.known) >= MEMORY:
-                self.known, self.earlier = {}, self.known
-            self.known[text] = found
-        return found
+        if text.startswith(SPACE * 2):
+            pieces = self._spaced(text)
+        else:
+            pieces = self._short(text) if len(text) <= SHORT else self.viterbi(text)
+        return b"".join(map(self._code, pieces))
 
     def _spaced(self, text: str) -> list[str]:
         """A stretch that begins with several spaces; only the last of them can join the word behind."""
@@ -203,13 +227,51 @@ class Pieces:
         return np.frombuffer(self.encode_bytes(text), "<u4")
 
     def encode_bytes(self, text: str) -> bytes:
-        if not text:
-            return b""
-        text = (SPACE if self.prefix else "") + text.replace(" ", SPACE)
+        return self.encode_batch([text])[0]
+
+    def encode_batch(self, texts: list[str]) -> list[bytes]:
+        """ids of each text as little-endian unsigned 32-bit integers."""
+        if len(self.words) >= MEMORY:
+            self.words, self.earlier = {}, self.words
+        cut, missing = [], {}
+        for t in texts:
+            # One space before every word: the word alone decides its stretch.
+            plain = self.prefix and t and SPACE not in t and "  " not in t and t[0] != " " and t[-1] != " "
+            words = t.split(" ") if plain else None
+            codes = list(map(self.words.get, words)) if words else None
+            if codes and None in codes:
+                for w, c in zip(words, codes):
+                    if c is None:
+                        missing[w] = None
+            cut.append((words, codes))
+        self._learn(sorted(missing))
         out = []
-        for s in self.stretches.findall(text):
-            out.append(self.known.get(s) or self._stretch(s))
-        return b"".join(out)
+        for t, (words, codes) in zip(texts, cut):
+            if words is None:
+                t = (SPACE if self.prefix else "") + t.replace(" ", SPACE) if t else ""
+                codes = map(self._stretch, self.stretches.findall(t))
+            elif None in codes:
+                codes = map(self.words.__getitem__, words)
+            out.append(b"".join(codes))
+        return out
+
+    def _learn(self, words: list[str]) -> None:
+        """Encode words in sorted order: each starts from the backpointers of what it shares with the one before."""
+        known, before, last = self.words, "", [""]
+        for w in words:
+            code = self.earlier.get(w)
+            if code is None:
+                if "\n" in w or len(w) >= SHORT:
+                    code = b"".join(map(self._stretch, self.stretches.findall(SPACE + w)))
+                else:
+                    text = SPACE + w
+                    same, most = 0, min(len(before), len(text))
+                    while same < most and before[same] == text[same]:
+                        same += 1
+                    del last[same + 1:]
+                    code = b"".join(map(self._code, self._short(text, last)))
+                    before = text
+            known[w] = code
 
     def decode(self, ids) -> str:
         """The text of ``ids``; broken byte sequences become U+FFFD."""
@@ -223,24 +285,42 @@ class Pieces:
             return out.encode("utf-8", "surrogateescape").decode("utf-8", "replace")
 
 
-def pieces_column(text: Column, raw: bytes, with_ids: bool) -> Column:
-    """struct<n_pieces, ids_crc32, round_trip[, ids]> of each whole text."""
-    kind = "n_pieces:long,ids_crc32:long,round_trip:boolean" + (",ids:array<int>" if with_ids else "")
+_MODELS: dict[int, Pieces] = {}
+
+
+def _model(raw: bytes) -> Pieces:
+    """One per worker: what it remembers serves the worker's later tasks."""
+    key = zlib.crc32(raw)
+    if key not in _MODELS:
+        _MODELS[key] = Pieces(raw)
+    return _MODELS[key]
+
+
+def _rows(raw: bytes, with_ids: bool):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        model = _model(raw)
 
-    @F.pandas_udf(f"struct<{kind}>")
-    def run(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
-        model = Pieces(raw)
-        for texts in batches:
-            rows = []
-            for t in texts:
-                t = t or ""
-                code = model.encode_bytes(t)
-                ids = np.frombuffer(code, "<u4")
-                row = (len(ids), zlib.crc32(code), model.decode(ids.tolist()) == t)
-                rows.append((*row, ids.astype(np.int32)) if with_ids else row)
-            yield pd.DataFrame(rows, columns=["n_pieces", "ids_crc32", "round_trip", "ids"][:3 + with_ids])
+        def out(ids: list, texts: list[str]) -> pa.RecordBatch:
+            codes = model.encode_batch(texts)
+            numbers = [np.frombuffer(c, "<u4") for c in codes]
+            columns = [pa.array(ids, pa.int64()), pa.array([len(n) for n in numbers], pa.int64()), pa.array(map(zlib.crc32, codes), pa.int64()),
+                       pa.array([model.decode(n.tolist()) == t for n, t in zip(numbers, texts)], pa.bool_())]
+            if with_ids:
+                ends = np.concatenate([[0], np.cumsum([len(n) for n in numbers])]).astype(np.int32)
+                columns.append(pa.ListArray.from_arrays(pa.array(ends), pa.array(np.frombuffer(b"".join(codes), "<i4"))))
+            return pa.RecordBatch.from_arrays(columns, names=["doc_id", "n_pieces", "ids_crc32", "round_trip", "ids"][:4 + with_ids])
 
-    return run(text)
+        for batch in batches:
+            ids, texts, size = [], [], 0
+            for i, t in zip(batch.column(0), batch.column(1)):
+                ids.append(i.as_py())
+                texts.append(t.as_py() or "")
+                size += len(texts[-1])
+                if size >= CHUNK:
+                    yield out(ids, texts)
+                    ids, texts, size = [], [], 0
+            yield out(ids, texts)
+    return run
 
 
 def encode_documents(docs: DataFrame, model_path: str | None = None, with_ids: bool = True) -> DataFrame:
@@ -250,8 +330,9 @@ def encode_documents(docs: DataFrame, model_path: str | None = None, with_ids: b
     model's sign for a space). Null and empty texts have no ids. Repeated rows come
     out alike; an empty table gives an empty result. Other columns are ignored.
     """
-    found = pieces_column(docs["text"], model_bytes(model_path), with_ids)
-    return docs.select(docs["doc_id"].alias("doc_id"), found.alias("_found")).select("doc_id", "_found.*")
+    kind = "doc_id long, n_pieces long, ids_crc32 long, round_trip boolean" + (", ids array<int>" if with_ids else "")
+    src = docs.select(docs["doc_id"].cast("long").alias("doc_id"), docs["text"].alias("text"))
+    return src.mapInArrow(_rows(model_bytes(model_path), with_ids), kind)
 
 
 def op5_sentencepiece(spark, sf_dir):
