@@ -39,7 +39,8 @@ QUOTES = "\"'“”„«»‘’‹›「」"
 REPORTING = frozenset("word words term terms quote quoted quotes said says wrote writes called calls slur slurs insult insults "
                       "mot mots terme dit palabra palabras dijo dice wort wörter sagte sagt".split())
 _FIND = re.compile(TOKEN)
-_STATES, _WORDS = 100_000, 400_000
+#: States and words that a worker remembers.
+_STATES, _WORDS = 30_000, 150_000
 
 
 class FuzzyTrie:
