@@ -1,0 +1,38 @@
+import random
+from collections import defaultdict
+
+import pytest
+from pyspark.sql import functions as F
+
+from salaria.llm import rows
+from salaria.llm.rows import KEY_BITS, pick_rows, prefix_positions, row_fp
+from tests_llm_data import awkward
+
+
+@pytest.mark.parametrize("leaf_rows, fan_bits", [(256, 10), (4, 2), (1, 1), (2, 3)])
+def test_positions_and_sums_equal_brute_force(spark, monkeypatch, leaf_rows, fan_bits):
+    """Trees of one to many levels, a group with two thirds of the rows, ties of the key."""
+    monkeypatch.setattr(rows, "LEAF_ROWS", leaf_rows)
+    monkeypatch.setattr(rows, "FAN_BITS", fan_bits)
+    rng = random.Random(leaf_rows)
+    data = [(i, rng.choice("aaaaaabc"), rng.choice((rng.randrange(1 << KEY_BITS), 12345, 0, (1 << KEY_BITS) - 1)), rng.randrange(50)) for i in range(500)]
+    df = spark.createDataFrame(data, "id long, g string, k long, w long")
+    got = {r.id: r for r in prefix_positions(df, len(data), "g", "k", ["id"], sums=("w",)).collect()}
+    groups = defaultdict(list)
+    for r in sorted(data, key=lambda r: (r[2], r[0])):
+        groups[r[1]].append(r)
+    for own in groups.values():
+        before = 0
+        for pos, (i, _, _, w) in enumerate(own):
+            assert (got[i].pos, got[i].before_w, got[i].group_rows, got[i].group_w) == (pos, before, len(own), sum(x[3] for x in own))
+            before += w
+
+
+def test_pick_rows_gives_one_row_for_each_key(frame):
+    data = awkward(11)
+    docs = frame(data, extra=True)
+    keys = docs.where("lang = 'en' or doc_id is null").select("doc_id", row_fp(F.col("text")).alias("row_fp"))
+    out = pick_rows(docs, keys)
+    assert out.columns == docs.columns
+    named = {(r[0], r[1]) for r in data if r[2] == "en" or r[0] is None}
+    assert sorted(((r.doc_id, r.text) for r in out.collect()), key=repr) == sorted(named, key=repr)
