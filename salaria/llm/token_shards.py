@@ -20,6 +20,7 @@ joined, and remembered.
 
 from __future__ import annotations
 
+import os
 import struct
 import zlib
 from collections.abc import Iterator
@@ -32,12 +33,14 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from salaria.llm.rows import documents
-from salaria.plans.scratch import new_scratch
+from salaria.plans.scratch import session_scratch
 
 END = 2
 #: Ids of a shard (about), turns and least count of a pair, pairs of a turn, stretches remembered (twice as many at most).
 SHARD_IDS, TURNS, LEAST, PER_TURN, MEMORY = 2_000_000, 3, 32, 4096, 500_000
 _CELL_BITS = 20
+#: Words that are learned in one text.
+_RUN_WORDS = 100
 _MAGIC = b"RPS1"
 
 
@@ -65,6 +68,7 @@ class Encoder:
     """ids of whole texts as little-endian unsigned 32-bit integers."""
 
     def __init__(self, spec: str):
+        os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # a task has one core
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_str(spec)
@@ -75,16 +79,18 @@ class Encoder:
         for token, k in self.tokenizer.get_vocab().items():
             self.spaced[k] = token.startswith("\u0120")  # the tokenizer's sign for a space
 
-    def whole(self, text: str) -> np.ndarray:
-        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4")
+    def whole(self, texts: list[str]) -> list[np.ndarray]:
+        return [np.array(e.ids, "<u4") for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
     def _learn(self, words: list[str]) -> None:
-        """Encode words, each with a space before it, in one text: an id that begins with a space begins a word."""
-        ids = self.whole(" " + " ".join(words))
-        at = np.flatnonzero(self.spaced[ids]).tolist()
-        raw, known = ids.tobytes(), self.known
-        for w, a, b in zip(words, at, [*at[1:], len(ids)]):
-            known[w] = raw[4 * a:4 * b]
+        """Encode words, each with a space before it, many in one text: an id that begins with a space begins a word."""
+        runs = [words[k:k + _RUN_WORDS] for k in range(0, len(words), _RUN_WORDS)]
+        known = self.known
+        for run, ids in zip(runs, self.whole([" " + " ".join(run) for run in runs])):
+            at = np.flatnonzero(self.spaced[ids]).tolist()
+            raw = ids.tobytes()
+            for w, a, b in zip(run, at, [*at[1:], len(ids)]):
+                known[w] = raw[4 * a:4 * b]
 
     def batch(self, texts: list[str]) -> list[bytes]:
         if len(self.known) > MEMORY:
@@ -107,14 +113,16 @@ class Encoder:
             cut.append((words, codes))
         if missing:
             self._learn(list(missing))
+        apart = iter(self.whole([t if words is None else words[0] for t, (words, _) in zip(texts, cut)]))
         out = []
-        for t, (words, codes) in zip(texts, cut):
+        for words, codes in cut:
+            first = next(apart).tobytes()
             if words is None:
-                out.append(self.whole(t).tobytes())
+                out.append(first)
                 continue
             if None in codes:
                 codes = list(map(known.__getitem__, words))
-            codes[0] = self.whole(words[0]).tobytes()
+            codes[0] = first
             out.append(b"".join(codes))
         return out
 
@@ -342,6 +350,6 @@ def token_index(spark, path: str) -> DataFrame:
 
 def op8_repair_token_shards(spark, sf_dir):
     """All documents as token shards, read back."""
-    path = new_scratch(spark, "token-shards")
+    path = session_scratch(spark, "token-shards")
     write_token_shards(documents(spark, sf_dir), path)
     return token_index(spark, path)
