@@ -18,7 +18,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from salaria.llm.rows import documents, table
+from salaria.llm.rows import documents, parts_by_size, table
 
 BLOCK_BYTES = 8192
 #: Every maximal run of these characters that is not already one space.
@@ -95,11 +95,13 @@ def exact_dedup(docs: DataFrame, block_bytes: int = BLOCK_BYTES) -> DataFrame:
     and each come out; one of them is kept. An empty table gives an empty result.
     Other columns are ignored, whatever their names.
     """
-    ids = table(identities(docs, block_bytes), "dedup-ids")
+    with parts_by_size(docs.sparkSession):
+        ids = table(identities(docs, block_bytes), "dedup-ids")
     smallest = F.min(F.struct(F.col("doc_id").isNull().alias("last"), F.col("doc_id").alias("id")))
-    groups = table(ids.groupBy("level", "name").agg(smallest.alias("keep"), F.sum("copies").alias("size"),
-                                                    F.count(F.lit(1)).alias("rows"))
-                   .where("rows > 1").drop("rows"), "dedup-groups")
+    with parts_by_size(docs.sparkSession):
+        groups = table(ids.groupBy("level", "name").agg(smallest.alias("keep"), F.sum("copies").alias("size"),
+                                                        F.count(F.lit(1)).alias("rows"))
+                       .where("rows > 1").drop("rows"), "dedup-groups")
     out = ids.join(groups, ["level", "name"], "left").withColumn(
         "keep_id", F.when(F.col("keep").isNull(), F.col("doc_id")).otherwise(F.col("keep.id")))
     out = out.select("doc_id", "keep_id", F.coalesce("size", "copies").alias("group_size"), "fp", "sha",

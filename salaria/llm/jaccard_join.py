@@ -47,7 +47,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import LongType
 
 from salaria.llm.components import components
-from salaria.llm.rows import documents, passing_tables, pick_rows, row_fp, table
+from salaria.llm.rows import documents, parts_by_size, passing_tables, pick_rows, release_memory, row_fp, small_batches, table
 
 WORDS = 5
 KEY_BITS = 48
@@ -139,6 +139,8 @@ def _row_blocks(bits: int):
                     block, held, size = block + 1, [], 0
         if held:
             yield flush(held, block)
+        held.clear()
+        release_memory()
     return run
 
 
@@ -188,6 +190,7 @@ def _bounded_rows(pdf: pd.DataFrame) -> pd.DataFrame:
         own = keys[start[i]:start[i + 1]]
         prefix.append(own[:taken[i]].astype(np.int64) if taken[i] else None)
         packed.append(pack(np.sort(own)) if taken[i] else None)
+    release_memory()
     return pd.DataFrame({"doc_id": pd.array(ids, dtype="Int64"), "row_fp": fps, "n_shingles": n, "sid": sids,
                          "alone": alone, "prefix": prefix, "shared_keys": packed})
 
@@ -201,6 +204,7 @@ def overlap(a: pd.Series, b: pd.Series) -> pd.Series:
 def shingle_rows(docs: DataFrame) -> DataFrame:
     """Every row of ``docs``: doc_id, row_fp, n_shingles, sid (its shingle set's 128-bit identity), alone
     (columns that it alone has), prefix and shared_keys (null where no other document can reach the bound). Written to the checkpoint folder."""
+    small_batches(docs.sparkSession)
     chars = docs.select(F.length(docs["text"]).alias("n")).agg(F.sum("n")).first()[0] or 0
     width = max(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")) * 4, chars // COLUMN_CHARS, 1)
     bits = min(24, math.ceil(math.log2(width)))
@@ -306,6 +310,14 @@ def jaccard_components(docs: DataFrame) -> DataFrame:
     the smallest id reached, or null. An empty table gives an empty result. Other columns are ignored.
     """
     rows = shingle_rows(docs)
+    with parts_by_size(docs.sparkSession):
+        by_set = _set_ids(rows)
+    out = rows.select("doc_id", "row_fp", "n_shingles", "sid").join(by_set, "sid", "left")
+    return out.select("doc_id", "n_shingles", F.coalesce("component_id", "doc_id").alias("component_id"), "row_fp")
+
+
+def _set_ids(rows: DataFrame) -> DataFrame:
+    """(sid, component_id) of the sets that may have a partner."""
     sets = rows.where("prefix is not null").groupBy("sid").agg(
         F.min("doc_id").alias("low"), *(F.any_value(F.col(c)).alias(a) for c, a in (("n_shingles", "n"), ("alone", "alone"), ("prefix", "prefix"), ("shared_keys", "shared_keys"))))
     sets = table(sets, "join-sets")
@@ -313,9 +325,7 @@ def jaccard_components(docs: DataFrame) -> DataFrame:
     named = sets.select("sid", "low").join(comp, "sid", "left").withColumn("component", F.coalesce("component", "sid"))
     named = table(named, "join-named")
     lows = table(named.groupBy("component").agg(F.min("low").alias("component_id")), "join-lows")
-    by_set = table(named.join(lows, "component").select("sid", "component_id"), "join-ids")
-    out = rows.select("doc_id", "row_fp", "n_shingles", "sid").join(by_set, "sid", "left")
-    return out.select("doc_id", "n_shingles", F.coalesce("component_id", "doc_id").alias("component_id"), "row_fp")
+    return table(named.join(lows, "component").select("sid", "component_id"), "join-ids")
 
 
 def op10_ngram_jaccard_join(spark, sf_dir):

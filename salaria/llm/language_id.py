@@ -18,7 +18,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from salaria.llm.rows import documents
+from salaria.llm.rows import documents, small_batches
 
 #: Per language: texts sampled (about), landmarks among them. Ridge penalty. Letters told apart.
 SAMPLE, LANDMARKS, RIDGE, LETTERS = 500, 32, 1e-2, 100
@@ -168,6 +168,7 @@ def predict_languages(docs: DataFrame) -> DataFrame:
     so is every text if there is nothing to learn from. Repeated rows come out alike;
     an empty table gives an empty result. Only the text reaches a prediction.
     """
+    small_batches(docs.sparkSession)
     found = fit(docs).columns(docs["text"]).alias("_found")
     out = docs.select(docs["doc_id"].alias("doc_id"), _is_held_out(docs["doc_id"]).alias("held_out"), found)
     return out.select("doc_id", "held_out", "_found.*")

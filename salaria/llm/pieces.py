@@ -26,13 +26,13 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from salaria.llm.rows import documents
+from salaria.llm.rows import documents, release_memory, small_batches
 
 SPACE = "▁"
 #: Words remembered (twice as many at most), their greatest length, and pairs of pieces remembered, per worker.
-MEMORY, SHORT, PAIRS = 250_000, 40, 300_000
+MEMORY, SHORT, PAIRS = 300_000, 40, 300_000
 #: Characters of texts that are encoded together, and come out as one batch.
-CHUNK = 1_000_000
+CHUNK = 4_000_000
 
 
 def model_bytes(path: str | None = None) -> bytes:
@@ -237,32 +237,37 @@ class Pieces:
         for t in texts:
             # One space before every word: the word alone decides its stretch.
             plain = self.prefix and t and SPACE not in t and "  " not in t and t[0] != " " and t[-1] != " "
-            words = t.split(" ") if plain else None
-            codes = list(map(self.words.get, words)) if words else None
-            if codes and None in codes:
-                for w, c in zip(words, codes):
-                    if c is None:
-                        missing[w] = None
-            cut.append((words, codes))
+            if not plain:
+                cut.append((None, None, ()))
+                continue
+            words = t.split(" ")
+            codes = list(map(self.words.get, words))
+            holes = [k for k, c in enumerate(codes) if c is None] if None in codes else ()
+            for k in holes:
+                missing[words[k]] = None
+            cut.append((words, codes, holes))
         self._learn(sorted(missing))
-        out = []
-        for t, (words, codes) in zip(texts, cut):
+        out, known = [], self.words
+        for t, (words, codes, holes) in zip(texts, cut):
             if words is None:
                 t = (SPACE if self.prefix else "") + t.replace(" ", SPACE) if t else ""
                 codes = map(self._stretch, self.stretches.findall(t))
-            elif None in codes:
-                codes = map(self.words.__getitem__, words)
+            for k in holes:
+                codes[k] = known[words[k]]
             out.append(b"".join(codes))
         return out
 
     def _learn(self, words: list[str]) -> None:
         """Encode words in sorted order: each starts from the backpointers of what it shares with the one before."""
-        known, before, last = self.words, "", [""]
+        known, before, last, line = self.words, "", [""], self._code("\n")
         for w in words:
             code = self.earlier.get(w)
             if code is None:
-                if "\n" in w or len(w) >= SHORT:
-                    code = b"".join(map(self._stretch, self.stretches.findall(SPACE + w)))
+                if "\n" in w:
+                    first, *rest = w.split("\n")
+                    code = b"".join([self._part(first, SPACE + first), *(self._part(SPACE + x, x, line) for x in rest)])
+                elif len(w) >= SHORT:
+                    code = self._stretch(SPACE + w)
                 else:
                     text = SPACE + w
                     same, most = 0, min(len(before), len(text))
@@ -273,6 +278,15 @@ class Pieces:
                     before = text
             known[w] = code
 
+    def _part(self, key: str, stretch: str, before: bytes = b"") -> bytes:
+        """A stretch of a word that holds line ends, behind ``before``."""
+        code = self.words.get(key) or self.earlier.get(key)
+        if code is None:
+            code = before + (self._stretch(stretch) if stretch else b"")
+            if len(key) < SHORT:
+                self.words[key] = code
+        return code
+
     def decode(self, ids) -> str:
         """The text of ``ids``; broken byte sequences become U+FFFD."""
         out = "".join(map(self.surface.__getitem__, ids))
@@ -320,6 +334,7 @@ def _rows(raw: bytes, with_ids: bool):
                     yield out(ids, texts)
                     ids, texts, size = [], [], 0
             yield out(ids, texts)
+        release_memory()
     return run
 
 
@@ -330,6 +345,7 @@ def encode_documents(docs: DataFrame, model_path: str | None = None, with_ids: b
     model's sign for a space). Null and empty texts have no ids. Repeated rows come
     out alike; an empty table gives an empty result. Other columns are ignored.
     """
+    small_batches(docs.sparkSession)
     kind = "doc_id long, n_pieces long, ids_crc32 long, round_trip boolean" + (", ids array<int>" if with_ids else "")
     src = docs.select(docs["doc_id"].cast("long").alias("doc_id"), docs["text"].alias("text"))
     return src.mapInArrow(_rows(model_bytes(model_path), with_ids), kind)

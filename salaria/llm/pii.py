@@ -22,7 +22,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from salaria.llm.rows import documents
+from salaria.llm.rows import documents, small_batches
 
 KINDS = ("email", "ip", "card", "phone")
 Span = tuple[int, int]
@@ -247,6 +247,7 @@ def find_pii(docs: DataFrame) -> DataFrame:
     Repeated rows come out alike; an empty table gives an empty result. Other columns
     are ignored.
     """
+    small_batches(docs.sparkSession)
     kind = "struct<n_email:long,n_ip:long,n_card:long,n_phone:long,n_added:long,base_sha256:string,spans:string>"
 
     @F.pandas_udf(kind)

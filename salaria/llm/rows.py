@@ -7,14 +7,17 @@ that agree on both are copies of one row and are interchangeable.
 
 from __future__ import annotations
 
+import ctypes
+import gc
 import math
 from collections.abc import Iterator
 from contextlib import contextmanager
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from salaria.plans.scratch import drop_scratch, materialize, new_scratch
+from salaria.plans.scratch import drop_scratch, materialize, new_scratch, session_scratch
 
 #: Key bits of ``prefix_positions``; keys lie in [0, 2**KEY_BITS).
 KEY_BITS = 52
@@ -27,13 +30,34 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def table(df: DataFrame, label: str) -> DataFrame:
-    """``df`` written to the shared checkpoint folder and read back: lineage is cut."""
-    return materialize(df, new_scratch(df.sparkSession, label))
+    """``df`` written to the shared checkpoint folder and read back: lineage is cut.
+
+    The folder is deleted when Python ends (``plans.scratch.drop_session_scratch`` does it earlier).
+    """
+    return materialize(df, session_scratch(df.sparkSession, label))
+
+
+@contextmanager
+def parts_by_size(spark: SparkSession) -> Iterator[None]:
+    """Within the block, adaptive execution merges shuffle parts up to the advisory size, not only down to the number of
+    cores: small intermediate tables are a file or two. For work that runs inside the block."""
+    name = "spark.sql.adaptive.coalescePartitions.parallelismFirst"
+    before = spark.conf.get(name)
+    spark.conf.set(name, "false")
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
 
 
 @contextmanager
 def passing_tables(spark: SparkSession, label: str) -> Iterator:
     """A function that writes tables as ``table`` does; they are deleted at the end, so what is kept must be written elsewhere by then."""
+    with parts_by_size(spark):
+        yield from _passing(spark, label)
+
+
+def _passing(spark: SparkSession, label: str) -> Iterator:
     folder, number = new_scratch(spark, label), 0
 
     def write(df: DataFrame, name: str) -> DataFrame:
@@ -47,6 +71,31 @@ def passing_tables(spark: SparkSession, label: str) -> Iterator:
         drop_scratch(spark, folder)
 
 
+#: Rows of an Arrow batch that carries whole texts.
+TEXT_BATCH = 1000
+
+
+def small_batches(spark: SparkSession) -> None:
+    """Have Arrow batches of at most ``TEXT_BATCH`` rows from now on in this session.
+
+    Spark's 10,000 rows of whole texts are tens of megabytes on both sides of every
+    task. The setting is read when a plan runs, so it is not put back.
+    """
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(spark.conf.get(name)) <= TEXT_BATCH:
+        spark.conf.set(name, str(TEXT_BATCH))
+
+
+def release_memory() -> None:
+    """Give freed memory back to the system; a Python worker lives on after its task."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL("libc.so.6").malloc_trim(0)
+    except (OSError, AttributeError):  # another C library
+        pass
+
+
 def row_fp(text: Column) -> Column:
     return F.xxhash64(text)
 

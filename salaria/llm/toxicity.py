@@ -18,6 +18,7 @@ from __future__ import annotations
 
 import math
 import re
+from array import array
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -27,7 +28,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import LongType
 
 from salaria.llm.jaccard_join import shingle_keys
-from salaria.llm.rows import documents, table
+from salaria.llm.rows import documents, release_memory, small_batches, table
 
 SAMPLE_ROWS, TERMS, FUZZY_LETTERS, WINDOW, CUT = 20_000, 2_000, 5, 8, 0.7
 #: A misspelled hit counts for so much of an exact one, until the sample teaches otherwise.
@@ -46,7 +47,7 @@ _STATES, _WORDS = 30_000, 150_000
 class FuzzyTrie:
     """The lexicon's trie intersected with Levenshtein automata, determinised lazily.
 
-    ``match(word)`` gives (term number, errors) of the nearest term, or None.
+    ``match(word)`` gives (term number, errors) of the nearest term, or None. Up to 3 errors.
     """
 
     def __init__(self, terms: list[str], errors: Callable[[str], int] = lambda t: int(len(t) >= FUZZY_LETTERS)):
@@ -70,8 +71,8 @@ class FuzzyTrie:
         self._reset()
 
     def _reset(self) -> None:
-        self.ids: dict[frozenset, int] = {}
-        self.sets: list[frozenset] = []
+        self.ids: dict[bytes, int] = {}
+        self.sets: list[bytes] = []  # 4 * node + errors of each member, packed
         self.moves: list[dict[str, int]] = []
         self.accepts: list[tuple[int, int] | None] = []
         self.known: dict[str, tuple[int, int] | None] = {}
@@ -86,14 +87,14 @@ class FuzzyTrie:
                 if e + 1 <= self.allowed[child] and e + 1 < reached.get(child, 99):
                     reached[child] = e + 1
                     todo.append((child, e + 1))
-        key = frozenset(reached.items())
-        if not key:
+        if not reached:
             return -1
+        key = array("I", sorted(4 * n + e for n, e in reached.items())).tobytes()
         if key not in self.ids:
             self.ids[key] = len(self.sets)
             self.sets.append(key)
             self.moves.append({})
-            ends = [(e, self.term[n]) for n, e in key if self.term[n] is not None and e <= self.own[n]]
+            ends = [(e, self.term[n]) for n, e in reached.items() if self.term[n] is not None and e <= self.own[n]]
             self.accepts.append(min(ends)[::-1] if ends else None)
         return self.ids[key]
 
@@ -104,7 +105,7 @@ class FuzzyTrie:
             if e <= self.allowed[node] and e < reached.get(node, 99):
                 reached[node] = e
 
-        for node, e in self.sets[state]:
+        for node, e in (divmod(x, 4) for x in array("I", self.sets[state])):
             reach(node, e + 1)
             for letter, child in self.children[node].items():
                 reach(child, e if letter == ch else e + 1)
@@ -132,18 +133,6 @@ class FuzzyTrie:
             return found
 
 
-_TRIES: dict[tuple, FuzzyTrie] = {}
-
-
-def _trie(terms: list[str]) -> FuzzyTrie:
-    """The last one used stays with the worker: its states serve the worker's later tasks."""
-    key = tuple(terms)
-    if key not in _TRIES:
-        _TRIES.clear()
-        _TRIES[key] = FuzzyTrie(terms)
-    return _TRIES[key]
-
-
 def context_weight(text: str, start: int, end: int, words: list[str], at: int) -> float:
     """1 for plain use; less where the hit is quoted, or reported in the window round it."""
     near = text[max(0, start - 40):start], text[end:end + 40]
@@ -209,10 +198,12 @@ class Scorer:
 
         @F.pandas_udf("double")
         def score(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-            trie = _trie(terms)
+            trie = FuzzyTrie(terms)
             for texts in batches:
                 x = np.array([features(t, trie, weights) for t in texts]).reshape(-1, 4)
                 yield pd.Series(1 / (1 + np.exp(-np.clip(x @ w[:-1] + w[-1], -30, 30))))
+            del trie
+            release_memory()
 
         return score(text)
 
@@ -222,6 +213,7 @@ def fit(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS) -> S
 
     Without toxic or without other rows in the sample, every text gets the share of toxic rows (0 without any).
     """
+    small_batches(docs.sparkSession)
     known = labels.where(labels["toxic"].isNotNull() & labels["doc_id"].isNotNull()).groupBy(labels["doc_id"].alias("_id")).agg(F.max("toxic").alias("_toxic"))
     chosen = known.orderBy(F.xxhash64(F.lit(3), "_id"), "_id").limit(sample_rows)
     src = docs.select(docs["doc_id"].alias("_id"), F.coalesce(docs["text"], F.lit("")).alias("text"))
