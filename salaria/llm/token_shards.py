@@ -32,7 +32,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from salaria.llm.rows import documents
+from salaria.llm.rows import documents, small_batches
 from salaria.plans.scratch import session_scratch
 
 END = 2
@@ -98,31 +98,31 @@ class Encoder:
         known, earlier, cut, missing = self.known, self.earlier, [], {}
         for t in texts:
             # The first word has no space before it; it is encoded apart.
-            words = t.split(" ") if _plain(t) else None
-            codes = None
-            if words:
-                codes = list(map(known.get, words))
-                if None in codes:
-                    for w, c in zip(words, codes):
-                        if c is None and w not in missing:
-                            code = earlier.get(w)
-                            if code is None:
-                                missing[w] = None
-                            else:
-                                known[w] = code
-            cut.append((words, codes))
+            if not _plain(t):
+                cut.append((None, None, ()))
+                continue
+            words = t.split(" ")
+            codes = list(map(known.get, words))
+            holes = [k for k, c in enumerate(codes) if c is None] if None in codes else ()
+            for k in holes:
+                w = words[k]
+                code = earlier.get(w)
+                if code is None:
+                    missing[w] = None
+                else:
+                    known[w] = code
+            cut.append((words, codes, holes))
         if missing:
             self._learn(list(missing))
-        apart = iter(self.whole([t if words is None else words[0] for t, (words, _) in zip(texts, cut)]))
+        apart = self.whole([t if words is None else words[0] for t, (words, _, _) in zip(texts, cut)])
         out = []
-        for words, codes in cut:
-            first = next(apart).tobytes()
+        for first, (words, codes, holes) in zip(apart, cut):
             if words is None:
-                out.append(first)
+                out.append(first.tobytes())
                 continue
-            if None in codes:
-                codes = list(map(known.__getitem__, words))
-            codes[0] = first
+            for k in holes:
+                codes[k] = known[words[k]]
+            codes[0] = first.tobytes()
             out.append(b"".join(codes))
         return out
 
@@ -139,18 +139,19 @@ def repair(seq: np.ndarray, ends: np.ndarray, first: int, turns: int = TURNS, le
     for _ in range(turns):
         if len(seq) < 2:
             break
-        pair = (seq[:-1].astype(np.uint64) << np.uint64(32)) | seq[1:]
-        cell = ((pair * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(64 - _CELL_BITS)).astype(np.int32)
+        cell = ((seq[:-1] * np.uint32(0x9E3779B1) + seq[1:] * np.uint32(0x85EBCA77)) >> np.uint32(32 - _CELL_BITS)).view(np.int32)
         cell[ends[:-1]] = 0  # no pair over a document's end: cell 0 is not used
         counts = np.bincount(cell, minlength=1 << _CELL_BITS)
         counts[0] = 0
-        full = np.argsort(-counts, kind="stable")[:PER_TURN] if (counts >= least).sum() > PER_TURN else np.flatnonzero(counts >= least)
+        full = np.flatnonzero(counts >= least)
+        if len(full) > PER_TURN:
+            full = full[counts[full] >= np.partition(counts[full], -PER_TURN)[-PER_TURN]]
         if not len(full):
             break
         some = np.zeros(1 << _CELL_BITS, bool)
         some[full] = True
         place = np.flatnonzero(some[cell])
-        held, inside = pair[place], cell[place]
+        held, inside = (seq[place].astype(np.uint64) << np.uint64(32)) | seq[place + 1], cell[place]
         one = np.zeros(1 << _CELL_BITS, np.uint64)
         one[inside] = held  # of the pairs in a cell, one
         match = held == one[inside]
@@ -215,7 +216,7 @@ def pack_shard(doc_ids: list[int | None], codes: list[bytes], vocabulary: int) -
     nonterminal (4 x u32); then doc_ids (i64) and whether they are null (u8), first symbol of each document
     (u32), ids of each document (u32), rules (2 x u32), their expansion lengths (u32), symbols (u16 where all fit, else u32)."""
     lengths = np.array([len(c) // 4 for c in codes], np.int64)
-    seq = np.frombuffer(b"".join(codes), "<u4")
+    seq = np.frombuffer(b"".join(codes), "<u4").astype(np.uint32)
     ends = np.zeros(len(seq), bool)
     ends[np.cumsum(lengths) - 1] = True
     rules, symbols, ends = repair(seq, ends, vocabulary)
@@ -311,6 +312,7 @@ def write_token_shards(docs: DataFrame, path: str, tokenizer_path: str | None =
     follow each other, ordered by their text's hash; null ids come first. An empty
     table gives no shard.
     """
+    small_batches(docs.sparkSession)
     src = docs.select(docs["doc_id"].cast("long").alias("doc_id"), docs["text"].alias("text"))
     src = src.repartitionByRange("doc_id", F.xxhash64("text")).sortWithinPartitions("doc_id", F.xxhash64("text"))
     shards = src.mapInArrow(_shards(tokenizer_json(tokenizer_path), shard_ids), "part int, shard int, n_ids long, blob binary")
