@@ -3,8 +3,8 @@
 Documents are put in ascending order of their ids (range partitions, sorted), encoded
 with a byte-level tokenizer, and packed into shards of consecutive documents. In
 each shard the most frequent pairs of neighbouring ids are replaced by new symbols
-(nonterminals), over and over (Larsson and Moffat 1999); every turn replaces the
-frequent pairs of that turn together. A pair never reaches over a document's end, so
+(nonterminals), over and over until no pair is frequent (Larsson and Moffat 1999);
+every turn replaces the frequent pairs of that turn together. A pair never reaches over a document's end, so
 a document is a run of symbols of its own. The shard stores the rules, the length
 each symbol expands to, the symbols, and where documents begin: any run of ids is
 read by walking expansion lengths and expanding only the symbols it touches.
@@ -36,8 +36,8 @@ from salaria.llm.rows import documents, small_batches
 from salaria.plans.scratch import session_scratch
 
 END = 2
-#: Ids of a shard (about), turns and least count of a pair, pairs of a turn, stretches remembered (twice as many at most).
-SHARD_IDS, TURNS, LEAST, PER_TURN, MEMORY = 2_000_000, 3, 32, 4096, 500_000
+#: Ids of a shard (about), least count of a pair, stretches remembered (twice as many at most).
+SHARD_IDS, LEAST, MEMORY = 2_000_000, 32, 500_000
 _CELL_BITS = 20
 #: Words that are learned in one text.
 _RUN_WORDS = 100
@@ -127,57 +127,110 @@ class Encoder:
         return out
 
 
-def repair(seq: np.ndarray, ends: np.ndarray, first: int, turns: int = TURNS, least: int = LEAST) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def _every_other(same: np.ndarray) -> np.ndarray:
+    """False for every second place of a run; ``same``: the place goes on with the run of the one before."""
+    place = np.arange(len(same))
+    return (place - np.maximum.accumulate(np.where(same, 0, place))) % 2 == 0 if same.any() else np.ones(len(same), bool)
+
+
+def _apart(places: np.ndarray, after: np.ndarray, weight: np.ndarray, chosen: np.ndarray, open_: np.ndarray) -> np.ndarray:
+    """Which pairs to replace: ``chosen``, and of the ``open_`` ones the heaviest first, so that none overlap.
+
+    ``places`` are in order, ``after``: the places of the pairs' second symbols.
+    Weights are equal for equal pairs only; in a run of one pair every other one counts.
+    """
+    chosen = chosen.copy()
+    near = after[:-1] == places[1:]
+    open_ = open_ & ~chosen
+    open_[:-1] &= ~(near & chosen[1:])
+    open_[1:] &= ~(near & chosen[:-1])
+    left = np.flatnonzero(open_)
+    while len(left):
+        near = after[left[:-1]] == places[left[1:]]
+        w = weight[left]
+        win = _every_other(np.append(False, near & (w[1:] == w[:-1])))
+        win[1:] &= ~near | (w[1:] >= w[:-1])
+        win[:-1] &= ~near | (w[:-1] >= w[1:])
+        chosen[left[win]] = True
+        out = win.copy()
+        out[:-1] |= near & win[1:]
+        out[1:] |= near & win[:-1]
+        left = left[~out]
+    return chosen
+
+
+def repair(seq: np.ndarray, ends: np.ndarray, first: int, turns: int | None = None, least: int = LEAST) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(rules, symbols, ends) of ``seq``; rule k is the pair that symbol ``first + k`` stands for.
 
-    ``ends`` marks the last symbol of each document. In a turn all pairs are counted
-    in hashed cells; the fullest cells each give one pair, which is kept if it occurs
-    often enough itself. Occurrences that overlap are resolved from the left: of a run
-    of touching ones every other one is replaced.
+    ``ends`` marks the last symbol of each document. Turns go on until no pair occurs
+    ``least`` times (``turns``: at most so many), counted exactly and without overlaps:
+    of a run of one symbol every other pair counts. In a turn all frequent pairs are
+    replaced together, at an overlap the more frequent one. Symbols stay in a linked
+    list; a pair of known symbols never gets more frequent, so after the first turn
+    only pairs of new symbols are counted anew.
     """
-    rules = np.empty((0, 2), np.uint32)
-    for _ in range(turns):
-        if len(seq) < 2:
-            break
-        cell = ((seq[:-1] * np.uint32(0x9E3779B1) + seq[1:] * np.uint32(0x85EBCA77)) >> np.uint32(32 - _CELL_BITS)).view(np.int32)
-        cell[ends[:-1]] = 0  # no pair over a document's end: cell 0 is not used
-        counts = np.bincount(cell, minlength=1 << _CELL_BITS)
-        counts[0] = 0
-        full = np.flatnonzero(counts >= least)
-        if len(full) > PER_TURN:
-            full = full[counts[full] >= np.partition(counts[full], -PER_TURN)[-PER_TURN]]
-        if not len(full):
-            break
-        some = np.zeros(1 << _CELL_BITS, bool)
-        some[full] = True
-        place = np.flatnonzero(some[cell])
-        held, inside = (seq[place].astype(np.uint64) << np.uint64(32)) | seq[place + 1], cell[place]
-        one = np.zeros(1 << _CELL_BITS, np.uint64)
-        one[inside] = held  # of the pairs in a cell, one
-        match = held == one[inside]
-        place, inside = place[match], inside[match]
-        run = np.concatenate([[0], np.flatnonzero(np.diff(place) != 1) + 1])
-        start = np.repeat(place[run], np.diff(np.append(run, len(place))))
-        match = (place - start) % 2 == 0
-        place, inside = place[match], inside[match]
-        uses = np.bincount(inside, minlength=1 << _CELL_BITS)
-        kept = np.flatnonzero(uses >= least)
-        if not len(kept):
+    n = len(seq)
+    symbols = np.append(seq, 0).astype(np.uint32)
+    after, before = np.arange(1, n + 1), np.arange(-1, n)
+    after[:-1][ends[:-1]] = n  # place n: none
+    after[-1:] = n
+    before[:1] = n
+    before[1:n][ends[:-1]] = n
+    kind = np.full(n + 1, -1, np.int32)  # number of the pair that begins at a place; -1: rare, or none
+    known, rules, size = np.empty(0, np.uint64), [], 0
+    fresh, active, turn = np.flatnonzero(after < n), np.empty(0, np.int64), 0
+    while turns is None or turn < turns:
+        turn += 1
+        pair = (symbols[fresh].astype(np.uint64) << np.uint64(32)) | symbols[after[fresh]]
+        if len(fresh) > 1 << _CELL_BITS - 4:  # a pair is at most as frequent as its hashed cell
+            cell = ((pair * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(64 - _CELL_BITS)).astype(np.int32)
+            full = (np.bincount(cell, minlength=1 << _CELL_BITS) >= least)[cell]
+            fresh, pair = fresh[full], pair[full]
+        order = np.argsort(pair)
+        by = pair[order]
+        begin = np.flatnonzero(np.append(True, by[1:] != by[:-1])[:len(by)])
+        count = np.diff(np.append(begin, len(by)))
+        often = count >= least
+        number = np.where(often, len(known) + np.cumsum(often) - 1, -1)
+        kind[fresh[order]] = np.repeat(number, count)
+        known = np.concatenate([known, by[begin[often]]])
+        active = np.sort(np.concatenate([active, fresh[kind[fresh] >= 0]]))
+        k = kind[active]
+        same = np.append(False, (after[active[:-1]] == active[1:]) & (k[1:] == k[:-1]))[:len(active)]
+        count = np.bincount(k[_every_other(same)], minlength=len(known))
+        live = (count >= least)[k]
+        kind[active[~live]] = -1
+        active, k = active[live], k[live]
+        if not len(active):
             break
+        # Equal counts: by the number, scrambled, so that a repeated passage is paired all over at once.
+        weight = (count << 32) | (np.arange(len(known)) * 0x9E3779B1 & 0xFFFFFFFF)
+        chosen = _apart(active, after[active], weight[k], np.zeros(len(active), bool), np.ones(len(active), bool))
+        often = np.bincount(k[chosen], minlength=len(known)) >= least
+        # Places that pairs chosen too seldom held: every place of the others is replaced, or overlaps one that is.
+        chosen = _apart(active, after[active], weight[k], chosen & often[k], often[k])
+        place, inside = active[chosen], k[chosen]
+        uses = np.bincount(inside, minlength=len(known))
+        kept = np.flatnonzero(uses)
         kept = kept[np.argsort(-uses[kept], kind="stable")]
-        symbol = np.zeros(1 << _CELL_BITS, np.uint32)
-        symbol[kept] = np.arange(first + len(rules), first + len(rules) + len(kept), dtype=np.uint32)
+        symbol = np.zeros(len(known), np.uint32)
+        symbol[kept] = np.arange(first + size, first + size + len(kept), dtype=np.uint32)
         new = symbol[inside]
-        place, new = place[new > 0], new[new > 0]
-        pairs = one[kept]
-        rules = np.vstack([rules, np.stack([pairs >> np.uint64(32), pairs & np.uint64(0xFFFFFFFF)], axis=1).astype(np.uint32)])
-        seq, ends = seq.copy(), ends.copy()
-        seq[place] = new
-        ends[place] |= ends[place + 1]
-        keep = np.ones(len(seq), bool)
-        keep[place + 1] = False
-        seq, ends = seq[keep], ends[keep]
-    return rules, seq, ends
+        rules.append(np.stack([known[kept] >> np.uint64(32), known[kept] & np.uint64(0xFFFFFFFF)], axis=1).astype(np.uint32))
+        size += len(kept)
+        gone = after[place]
+        symbols[place] = new
+        after[place] = after[gone]
+        before[after[place]] = place
+        before[gone], after[gone], kind[gone], kind[place] = -1, -1, -1, -1
+        back = before[place]
+        fresh = np.concatenate([place[after[place] < n], back[back < n]])
+        kind[fresh] = -1
+        active = active[kind[active] >= 0]
+        fresh = np.sort(fresh)
+        fresh = fresh[np.append(True, fresh[1:] != fresh[:-1])[:len(fresh)]]
+    held = after[:n] >= 0
+    return np.concatenate(rules or [np.empty((0, 2), np.uint32)]), symbols[:n][held], after[:n][held] == n
 
 
 def expansion_lengths(rules: np.ndarray, first: int) -> np.ndarray:

@@ -95,3 +95,23 @@ def test_null_ids_and_empty_table(spark, frame, tmp_path):
 def test_repeated_text_compresses(tokenizer):
     codes = [ids(tokenizer, prose(random.Random(k % 7), 200)).tobytes() for k in range(300)]
     assert len(pack_shard(list(range(300)), codes, tokenizer.get_vocab_size())) < 0.35 * sum(map(len, codes))
+
+
+def test_grammar_ends_when_no_pair_is_frequent():
+    rng = np.random.default_rng(3)
+    passage = rng.integers(0, 50_000, 500)
+    docs = [np.concatenate([rng.integers(0, 300, rng.integers(0, 80)), passage if k % 3 else passage[:90], [9] * (k % 40), [END]]) for k in range(900)]
+    seq = np.concatenate(docs).astype(np.uint32)
+    ends = np.zeros(len(seq), bool)
+    ends[np.cumsum([len(d) for d in docs]) - 1] = True
+    rules, symbols, last = repair(seq, ends, 50_257)
+    assert len(np.unique(rules, axis=0)) == len(rules)
+    uses, free = {}, {}
+    for k in np.flatnonzero(~last[:-1]).tolist():
+        pair = int(symbols[k]), int(symbols[k + 1])
+        if free.get(pair, 0) <= k:  # does not overlap the last one counted
+            uses[pair], free[pair] = uses.get(pair, 0) + 1, k + 2
+    assert max(uses.values()) < token_shards.LEAST
+    assert token_shards.expansion_lengths(rules, 50_257).max() >= 500
+    blob = pack_shard(list(range(900)), [d.astype("<u4").tobytes() for d in docs], 50_257)
+    assert (Shard(blob).ids() == seq).all() and (Shard(blob).document(7) == docs[7]).all()
