@@ -65,14 +65,23 @@ def _plain(text: str) -> bool:
 
 
 class Encoder:
-    """ids of whole texts as little-endian unsigned 32-bit integers."""
+    """ids of whole texts as little-endian unsigned 32-bit integers.
 
-    def __init__(self, spec: str):
+    ``literal``: the text of an added token marked special (an end-of-text mark) is
+    spelled out in pieces; False: it is that token, as in the library's plain call.
+    """
+
+    def __init__(self, spec: str, literal: bool = True):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # a task has one core
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_str(spec)
-        self.tokenizer.encode_special_tokens = True
+        self.tokenizer.encode_special_tokens = literal
+        added = self.tokenizer.get_added_tokens_decoder().values()
+        #: Found before the text is cut into words: texts with one of them are encoded whole.
+        self.added = [t.content for t in added if not (literal and t.special)]
+        #: Tokens that take up or ask for what stands beside them, or are sought in normalised text: no text is cut.
+        self.uncut = any(t.lstrip or t.rstrip or t.single_word or t.normalized or any(map(str.isspace, t.content)) for t in added)
         self.known: dict[str, bytes] = {}
         self.earlier: dict[str, bytes] = {}
         self.spaced = np.zeros(self.tokenizer.get_vocab_size(), bool)
@@ -98,7 +107,7 @@ class Encoder:
         known, earlier, cut, missing = self.known, self.earlier, [], {}
         for t in texts:
             # The first word has no space before it; it is encoded apart.
-            if not _plain(t):
+            if self.uncut or not _plain(t) or any(x in t for x in self.added):
                 cut.append((None, None, ()))
                 continue
             words = t.split(" ")
@@ -326,7 +335,7 @@ def _encoder(spec: str) -> Encoder:
     """One per worker: what it remembers serves the worker's later tasks."""
     key = zlib.crc32(spec.encode())
     if key not in _ENCODERS:
-        _ENCODERS[key] = Encoder(spec)
+        _ENCODERS[key] = Encoder(spec, literal=False)
     return _ENCODERS[key]
 
 

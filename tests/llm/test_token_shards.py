@@ -115,3 +115,17 @@ def test_grammar_ends_when_no_pair_is_frequent():
     assert token_shards.expansion_lengths(rules, 50_257).max() >= 500
     blob = pack_shard(list(range(900)), [d.astype("<u4").tobytes() for d in docs], 50_257)
     assert (Shard(blob).ids() == seq).all() and (Shard(blob).document(7) == docs[7]).all()
+
+
+def test_added_tokens_as_in_the_plain_call(spark, frame, tmp_path):
+    plain = tokenizers.Tokenizer.from_str(tokenizer_json())
+    texts = ["one two<|endoftext|>three four", "a <|endoftext|> b", "<|endoftext|>", "<|endoftext|><|endoftext|>\n x", "no mark here", "<|endoftext"]
+    assert 50256 in ids(plain, texts[0])
+    rng = random.Random(2)
+    texts += ["".join(rng.choice(PARTS) for _ in range(rng.randint(0, 15))) for _ in range(300)]
+    encoder = Encoder(tokenizer_json(), literal=False)
+    assert encoder.batch(texts) == [ids(plain, t).tobytes() for t in texts]
+    write_token_shards(frame([(k, t, None, None) for k, t in enumerate(texts)]), f"{tmp_path}/shards")
+    want = [np.append(ids(plain, t), END).astype("<u4") for t in texts]
+    got = token_index(spark, f"{tmp_path}/shards").orderBy("start").collect()
+    assert [(r.doc_id, r.n_tokens, r.ids_crc32) for r in got] == [(k, len(c), zlib.crc32(c.tobytes())) for k, c in enumerate(want)]
