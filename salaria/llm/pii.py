@@ -120,10 +120,25 @@ _SPELLED = re.compile(rf"(?:\bplus[\s,-]+)?\b(?:{_WORD})\b(?:(?:[\s,.()-]{{1,3}}
 _SPELLED_PART = re.compile(rf"\b(?:plus|dot|point|{_WORD})\b", re.I)
 _BRACKET_AT = re.compile(r"\s{0,3}[(\[{<]\s{0,3}(?:at|@|arroba)\s{0,3}[)\]}>]\s{0,3}", re.I)
 _BRACKET_DOT = re.compile(r"\s{0,3}[(\[{<]\s{0,3}(?:dot|\.|punkt|punto|point)\s{0,3}[)\]}>]\s{0,3}", re.I)
-#: "name at host dot tld": the bare words count only together, before one of these (fixed values).
-_TLD = "com|org|net|edu|gov|info|biz|io|co|uk|us|de|fr|es|eu|ch|at|it|nl|example|test"
-_BARE = re.compile(rf"(?<=[A-Za-z0-9._%+-])(?P<at> at |@)[A-Za-z0-9-]{{1,63}}(?:(?: dot |\.)[A-Za-z0-9-]{{1,63}}){{0,7}}(?: dot |\.)(?:{_TLD})\b", re.I)
-_BARE_PART = re.compile(r" at | dot ", re.I)
+#: "name at host dot ending", the dot spelled: every country's ending and common others (fixed values) count anywhere, any
+#: ending of 2 to 24 letters behind an @ or where no word follows it ("he sat at home dot matrix printers" is no address).
+_TLD = (
+    "com|org|net|edu|gov|mil|int|info|biz|name|pro|mobi|jobs|travel|museum|aero|coop|cat|asia|tel|arpa|onion|example|test|invalid|localhost|local|"
+    "dev|app|xyz|online|site|tech|store|shop|cloud|blog|email|mail|live|club|agency|company|digital|design|network|software|systems|solutions|services|"
+    "academy|consulting|foundation|institute|university|berlin|wien|london|paris|nyc|tokyo|moscow|"
+    "ac|ad|ae|af|ag|ai|al|am|ao|aq|ar|as|at|au|aw|ax|az|ba|bb|bd|be|bf|bg|bh|bi|bj|bm|bn|bo|br|bs|bt|bv|bw|by|bz|ca|cc|cd|cf|cg|ch|ci|ck|cl|cm|cn|co|cr|cu|"
+    "cv|cw|cx|cy|cz|de|dj|dk|dm|do|dz|ec|ee|eg|er|es|et|eu|fi|fj|fk|fm|fo|fr|ga|gb|gd|ge|gf|gg|gh|gi|gl|gm|gn|gp|gq|gr|gs|gt|gu|gw|gy|hk|hm|hn|hr|ht|hu|id|"
+    "ie|il|im|in|io|iq|ir|is|it|je|jm|jo|jp|ke|kg|kh|ki|km|kn|kp|kr|kw|ky|kz|la|lb|lc|li|lk|lr|ls|lt|lu|lv|ly|ma|mc|md|me|mg|mh|mk|ml|mm|mn|mo|mp|mq|mr|ms|"
+    "mt|mu|mv|mw|mx|my|mz|na|nc|ne|nf|ng|ni|nl|no|np|nr|nu|nz|om|pa|pe|pf|pg|ph|pk|pl|pm|pn|pr|ps|pt|pw|py|qa|re|ro|rs|ru|rw|sa|sb|sc|sd|se|sg|sh|si|sj|sk|"
+    "sl|sm|sn|so|sr|ss|st|su|sv|sx|sy|sz|tc|td|tf|tg|th|tj|tk|tl|tm|tn|to|tr|tt|tv|tw|tz|ua|ug|uk|us|uy|uz|va|vc|ve|vg|vi|vn|vu|wf|ws|ye|yt|za|zm|zw"
+)
+_DOT = r"(?:\s{1,3}dot\s{1,3}|\.)"
+_HOST = rf"[A-Za-z0-9-]{{1,63}}(?:{_DOT}[A-Za-z0-9-]{{1,63}}){{0,7}}{_DOT}"
+#: A host after a spelled "at" is no article or the like.
+_BARE = re.compile(rf"(?<=[A-Za-z0-9._%+-])(?:(?P<at>\s{{1,3}}at\s{{1,3}})(?!(?:the|a|an|this|that|each|every|his|her|its|my|our|your|their|one)\s){_HOST}"
+                   rf"(?:(?:{_TLD})\b|[A-Za-z]{{2,24}}(?![A-Za-z0-9-])(?!\s{{1,3}}[^\W_]))|@{_HOST}[A-Za-z]{{2,24}}(?![A-Za-z0-9-]))", re.I)
+_BARE_PART = re.compile(r"\s{1,3}(?:at|dot)\s{1,3}", re.I)
+_SPELLED_DOT = re.compile(r"\sdot\s", re.I)
 
 
 class Rewriting:
@@ -188,7 +203,7 @@ def _spells_digits(low: str) -> bool:
 def _bare(text: str) -> list[tuple[int, int, str]]:
     out = []
     for m in _BARE.finditer(text):
-        if " dot " in m.group().lower():
+        if _SPELLED_DOT.search(m.group()):
             out += [(*p.span(), "@" if "at" in p.group().lower() else ".") for p in _BARE_PART.finditer(text, *m.span())]
     return out
 
@@ -212,7 +227,7 @@ def rewritings(text: str) -> list[Rewriting]:
         apply(_edits(_BRACKET_DOT, text, "."))
     if _spells_digits(low):
         apply(_spelled(text))
-    if " dot " in low:
+    if "dot" in low and _SPELLED_DOT.search(text):
         apply(_bare(text))
     return out
 

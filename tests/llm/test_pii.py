@@ -102,3 +102,19 @@ def test_documents(frame):
                      hashlib.sha256(joined[0].encode()).hexdigest(), joined[1]))
     assert got == sorted(want, key=repr)
     assert find_pii(frame([])).count() == 0
+
+
+@pytest.mark.parametrize("ending", ["ru", "se", "jp", "ca", "dev", "museum", "com"])
+def test_bare_disguises_with_any_ending(ending):
+    for found in (f"anna at mail dot {ending}", f"anna at mail dot co dot {ending}", f"anna  at mail\ndot {ending}", f"anna\nat mail dot\t{ending}", f"anna@mail dot {ending}"):
+        for text in (f"write to {found} please", found, f"({found}), or not"):
+            base, full = all_spans(text)
+            assert not base["email"] and [text[s:e] for s, e in full["email"]] == [found], text
+
+
+def test_unknown_endings_where_no_word_follows():
+    for found in ("anna at mail dot somewhere", "anna@mail dot somewhere"):
+        text = f"write to {found}. Thanks"
+        assert [text[s:e] for s, e in all_spans(text)[1]["email"]] == [found]
+    for text in ("stare at the dot in the middle", "look at this dot there.", "anna at home dot"):
+        assert not all_spans(text)[1]["email"]
