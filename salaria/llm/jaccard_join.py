@@ -316,14 +316,19 @@ def jaccard_components(docs: DataFrame) -> DataFrame:
     return out.select("doc_id", "n_shingles", F.coalesce("component_id", "doc_id").alias("component_id"), "row_fp")
 
 
-def _set_ids(rows: DataFrame) -> DataFrame:
-    """(sid, component_id) of the sets that may have a partner."""
+def _named_sets(rows: DataFrame) -> DataFrame:
+    """(sid, low, component) of the sets that may have a partner: smallest doc_id of the set, component as its smallest sid. Written."""
     sets = rows.where("prefix is not null").groupBy("sid").agg(
         F.min("doc_id").alias("low"), *(F.any_value(F.col(c)).alias(a) for c, a in (("n_shingles", "n"), ("alone", "alone"), ("prefix", "prefix"), ("shared_keys", "shared_keys"))))
     sets = table(sets, "join-sets")
     comp = set_components(sets)
     named = sets.select("sid", "low").join(comp, "sid", "left").withColumn("component", F.coalesce("component", "sid"))
-    named = table(named, "join-named")
+    return table(named, "join-named")
+
+
+def _set_ids(rows: DataFrame) -> DataFrame:
+    """(sid, component_id) of the sets that may have a partner."""
+    named = _named_sets(rows)
     lows = table(named.groupBy("component").agg(F.min("low").alias("component_id")), "join-lows")
     return table(named.join(lows, "component").select("sid", "component_id"), "join-ids")
 
@@ -334,6 +339,15 @@ def op10_ngram_jaccard_join(spark, sf_dir):
 
 
 def near_dup_stage(spark, docs, sf_dir):
-    """Pipeline stage: of each component, the row with the smallest doc_id stays."""
-    found = jaccard_components(docs)
-    return pick_rows(docs, found.where(F.col("doc_id").eqNullSafe(F.col("component_id"))))
+    """Pipeline stage: of each component, one row stays: the smallest doc_id (a null one last), then the smallest row key.
+
+    Components are told apart by their sets, not by their smallest id, which rows of
+    other texts may repeat. A row without a partner is a component of its own.
+    """
+    rows = shingle_rows(docs)
+    with parts_by_size(docs.sparkSession):
+        named = _named_sets(rows)
+    found = rows.select("doc_id", "row_fp", "sid").join(named.select("sid", "component"), "sid", "left")
+    own = [F.when(F.col("component").isNull(), F.col(c)).alias(f"own_{c}") for c in ("doc_id", "row_fp")]
+    first = found.groupBy("component", *own).agg(F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "row_fp")).alias("first"))
+    return pick_rows(docs, first.select("first.doc_id", "first.row_fp"))

@@ -116,3 +116,21 @@ def test_components_of_edges(spark, edges):
             x, y = find(a), find(b)
             top[max(x, y)] = min(x, y)
     assert got == {x: find(x) for x in top}
+
+
+def test_stage_keeps_one_row_where_ids_are_repeated_or_null(frame):
+    def copies(word):
+        words = [f"{word}{k}" for k in range(80)]
+        return [" ".join([*words, *(["end", str(k)] if k else [])]) for k in range(3)]
+
+    one, two, three = copies("a"), copies("b"), copies("c")
+    rows = [(5, one[0]), (5, one[1]), (9, one[2]),  # the smallest id stands at two near copies
+            (None, two[0]), (None, two[1]), (None, two[2]),  # no id at all
+            (None, three[0]), (7, three[1]),  # an id beside none
+            (5, "no copy of anything else in here"), (None, "alone and without an id as well"), (None, None), (5, "")]
+    out = near_dup_stage(None, frame([(i, t, None, "s") for i, t in rows]), None)
+    kept = [(r.doc_id, r.text) for r in out.collect()]
+    assert sum(t in one for _, t in kept) == sum(t in two for _, t in kept) == 1
+    assert [(i, t) for i, t in kept if t in one][0][0] == 5
+    assert [(i, t) for i, t in kept if t in three] == [(7, three[1])]
+    assert len(kept) == 7 and set(rows[8:]) <= set(kept)
