@@ -73,3 +73,14 @@ def test_documents(frame, library):
         want.append((r[0], len(ids), zlib.crc32(np.array(ids, "<u4").tobytes()), SPACE not in (r[1] or ""), tuple(ids)))
     assert got == sorted(want, key=repr)
     assert encode_documents(frame([])).count() == 0
+
+
+def test_words_without_commits_equal_the_window_on_a_whole_table(model):
+    """Every distinct word of a table: backpointers read at the end, and committed in the streaming window, give the same pieces."""
+    import pyarrow.parquet as pq
+
+    texts = pq.read_table("/root/testdata/sf0.001/documents.parquet", columns=["text"]).column(0).to_pylist()
+    words = sorted({w for t in texts if t for line in t.split("\n") for w in line.split(" ") if w and SPACE not in w})
+    assert len(words) > 1000
+    for w in words:
+        assert model._short(SPACE + w) == list(model.viterbi(SPACE + w)), w
