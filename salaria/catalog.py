@@ -40,8 +40,7 @@ def _valid(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
 
 
 def _keys(spark: SparkSession, sf_dir: str) -> DataFrame:
-    emp, pay = _valid(spark, sf_dir)
-    return report.key_info(report.one_per_key(emp), report.with_total_pay(pay))
+    return report.tagged_keys(*_valid(spark, sf_dir))
 
 
 def _valid_employees(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -207,6 +206,14 @@ def job_report_lines_salted(spark, sf_dir):
     return spark.read.text(_job(spark, sf_dir, max_broadcast_bytes=0, rows_per_task=1000)[1])
 
 
+def job_report_replaced(spark, sf_dir):
+    """The part files of a run over the output of an earlier one on part of the payroll (SNK-2)."""
+    employees, payroll, out = _text_files(spark, sf_dir)
+    run_payroll_report(spark, employees, f"{payroll}/late", out, overflow=S.OVERFLOW_WRAP, ordered=False)
+    run_payroll_report(spark, employees, payroll, out)
+    return spark.read.text(out)
+
+
 def job_summary(spark, sf_dir):
     """The text job's counters, with the lines that it wrote (JOB-1, AGG-5)."""
     summary, _ = _job(spark, sf_dir)
@@ -247,5 +254,6 @@ QUERIES: dict[str, Query] = {
         "report_lines", "missing_employees", "employees_without_payroll", "employee_quality",
         "payroll_quality", "key_census", "report_quality", "payroll_report_salted_ordered",
         "employee_text_scan", "payroll_text_scan", "job_report_lines", "job_report_lines_salted", "job_summary",
+        "job_report_replaced",
     )
 }

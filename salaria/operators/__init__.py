@@ -18,6 +18,7 @@ from salaria.operators.report import (
     one_per_key,
     payroll_report,
     report_lines,
+    tagged_keys,
     with_total_pay,
 )
 
@@ -25,5 +26,5 @@ __all__ = [
     "clean_employees", "clean_payroll", "valid_employees", "valid_payroll",
     "employee_quality", "employees_without_payroll", "key_census", "missing_employees",
     "payroll_quality", "report_quality", "status_counts",
-    "is_employee_key", "key_info", "key_info_with_counts", "max_pay_by_employee", "one_per_key", "payroll_report", "report_lines", "with_total_pay",
+    "is_employee_key", "key_info", "key_info_with_counts", "max_pay_by_employee", "one_per_key", "payroll_report", "report_lines", "tagged_keys", "with_total_pay",
 ]

@@ -59,7 +59,7 @@ def key_census_exprs(where: Column | None = None) -> list[Column]:
 
 
 def key_census(keys: DataFrame) -> DataFrame:
-    """One row over ``key_info``: keys seen, keys without employee, keys without payroll."""
+    """One row over ``tagged_keys`` or ``key_info``: keys seen, keys without employee, keys without payroll."""
     return keys.agg(*key_census_exprs())
 
 

@@ -70,6 +70,20 @@ def key_info(employees_one: DataFrame, payroll_with_total: DataFrame) -> DataFra
     return pay_keys.join(emp_keys, S.EMPLOYEE_ID, "full")
 
 
+def tagged_keys(employees: DataFrame, payroll: DataFrame) -> DataFrame:
+    """Every key of either side, from a union of tagged ids and one aggregate (no join, no sort).
+
+    ``has_employee`` and ``n_payroll`` as in ``key_info``. A hot key costs one narrow
+    partial row per map task.
+    """
+    def tag(df: DataFrame, has_employee, payroll_lines) -> DataFrame:
+        return df.select(S.EMPLOYEE_ID, F.lit(has_employee).cast("boolean").alias(S.HAS_EMPLOYEE),
+                         F.lit(payroll_lines).cast("bigint").alias(S.N_PAYROLL))
+
+    return tag(employees, True, None).unionAll(tag(payroll, None, 1)).groupBy(S.EMPLOYEE_ID).agg(
+        F.max(S.HAS_EMPLOYEE).alias(S.HAS_EMPLOYEE), F.sum(S.N_PAYROLL).alias(S.N_PAYROLL))
+
+
 # Rejected lines are counted under marker keys: U+0000 followed by the status.
 # No employee id can equal one, since ids are trimmed of U+0000..U+0020.
 REJECT_MARK = "\x00"

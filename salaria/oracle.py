@@ -201,6 +201,7 @@ ORACLE_SQL |= {
     "payroll_text_scan": ORACLE_SQL["payroll_lines"],
     "job_report_lines": ORACLE_SQL["report_lines"],
     "job_report_lines_salted": ORACLE_SQL["report_lines"],
+    "job_report_replaced": ORACLE_SQL["report_lines"],
     "payroll_report_salted_ordered": ORACLE_SQL["payroll_report"],
     "job_summary": ORACLE_SQL["job_counters"].replace(
         "select e.*, p.*, k.* from", f"select e.*, p.*, k.*, (select {_COUNT} from rep) as lines_written from"),

@@ -15,10 +15,10 @@ Stages (``PLANS.md`` shows their physical plans):
    line_id)``: range partitioning on a unique composite key, so a hot employee
    or a mass of identical lines is split over many tasks, into part files in key
    order (the reference's single reducer gave one ordered file);
-5. text sink, replacing the output folder; refused when the output overlaps an
-   input, which would delete the input first. The lines are counted as they are
-   written, and the run fails if they are not as many as the key table says. The
-   scratch folder is removed.
+5. text sink into a sibling of the output folder. The lines are counted as they are
+   written; if they are as many as the key table says, the folder takes the
+   output's place (``sources.publish``), else the run fails and the old output stays.
+   Refused when the output overlaps an input. The scratch folder is removed.
 
 Parts and splits are sized by bytes (``plans.sizing``), and grow with the input.
 """
@@ -38,6 +38,7 @@ from salaria.operators import ingest, quality, report
 from salaria.plans import keyjoin, sizing
 from salaria.plans.scratch import default_parallelism, drop_scratch, materialize, new_scratch
 from salaria.sources.paths import check_paths, input_bytes
+from salaria.sources.publish import publishing
 from salaria.sources.text import read_lines, write_lines
 
 # Bytes of a narrow payroll row (key, month, total, line id) in a shuffle, and of a
@@ -171,10 +172,11 @@ def _run(spark, employee_path, payroll_path, output_path, scratch, *, overflow,
     # Counted in the write's own tasks: each part counts once, however often its task was tried.
     written = Observation("written")
     lines = report.report_lines(rep).select(S.REPORT_LINE).observe(written, F.count(F.lit(1)).alias("lines"))
-    write_lines(lines, output_path, compression=compression)
-    emitted = written.get["lines"]
-    if emitted != rows:
-        raise RuntimeError(f"{emitted} report lines were written for {rows} valid payroll records")
+    with publishing(spark, output_path) as folder:
+        write_lines(lines, folder, compression=compression)
+        emitted = written.get["lines"]
+        if emitted != rows:
+            raise RuntimeError(f"{emitted} report lines were written for {rows} valid payroll records")
 
     def counters(prefix: str) -> dict:
         return {k[len(prefix):]: v for k, v in stats.items() if k.startswith(prefix)}

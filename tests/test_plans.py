@@ -6,7 +6,8 @@ import io
 from pyspark.sql import functions as F
 
 from salaria import schema as S
-from salaria.operators import clean_employees, clean_payroll, is_employee_key, key_info_with_counts, payroll_report
+from salaria.operators import quality, valid_employees, valid_payroll
+from salaria.operators import clean_employees, clean_payroll, is_employee_key, key_info_with_counts, payroll_report, tagged_keys
 from salaria.plans.scratch import materialize
 
 from helpers import lines_df
@@ -48,6 +49,17 @@ def test_key_table_one_exchange_per_side(spark):
     assert "partial_max" in plan and "partial_count" in plan   # map-side pre-aggregation
 
 
+def test_census_is_a_tagged_union_and_one_aggregate(spark):
+    emp, pay = valid_employees(clean_employees(lines_df(spark, EMP))), valid_payroll(clean_payroll(lines_df(spark, PAY)))
+    keys = tagged_keys(emp, pay)
+    for df in (keys, quality.missing_employees(keys), quality.employees_without_payroll(keys), quality.key_census(keys)):
+        plan = _plan(df)
+        assert plan.count("Exchange hashpartitioning") == 1 and plan.count("Union") == 1
+        assert "Join" not in plan and "Sort" not in plan
+    assert quality.key_census(keys).first().asDict() == {"keys_processed": 3, "missing_employee_records": 1, "no_payroll_records": 0}
+    assert {(r.employee_id, r.has_employee, r.n_payroll) for r in keys.collect()} == {("E0", None, 20), ("E1", True, 20), ("E2", True, 20)}
+
+
 def test_ordered_broadcast_path_shuffles_narrow_rows_only(spark, tmp_dir):
     _, _, keys, valid = _inputs(spark, tmp_dir)
     plan = _plan(payroll_report(None, valid, keys=keys, ordered=True, order_partitions=4))
