@@ -176,10 +176,9 @@ def payroll_report(
     bonus``). ``keys`` may pass an already materialised ``key_info`` of the same
     inputs (``employees`` is then not read).
     Unknown employees get ``UNKNOWN EMPLOYEE`` / ``UNKNOWN``. With ``ordered``
-    the rows are totally ordered by ``(employee_id, line_id)``: the range
-    partitioning on this unique composite key splits a hot key, or a mass of
-    identical lines, over many tasks. Lines of one scan split keep their order
-    within a key; the order between files is Spark's. A missing ``line_id`` is
+    the rows are totally ordered by ``(employee_id, line_id)``: this unique
+    composite key splits a hot key, or a mass of identical lines, over many
+    tasks. A missing ``line_id`` is
     assigned here, and fixed by writing the rows with it before anything is
     partitioned by it.
     """
@@ -211,7 +210,7 @@ def payroll_report(
         order_partitions=order_partitions,
         join_partitions=join_partitions,
         max_broadcast_bytes=max_broadcast_bytes, rows_per_task=rows_per_task, size=key_size,
-        stage=lambda df: stage(df, "report_joined"),
+        stage=stage,
     )
     out = [
         S.EMPLOYEE_ID,

@@ -12,6 +12,11 @@ task:
   The list of such hot keys is broadcast if its measured bytes fit, else joined by
   shuffle (adaptive execution splits its skewed parts).
 
+A total order needs no sampling on the salted path: the key table's counts, summed in
+key order, give every key the part of the output in which it begins, and a hot
+key's rows, counted by ranges of their ids, the parts over which they go on. That
+part is the salt, too, and after the join the rows are dealt out by it once.
+
 The key table must already be materialised (see ``plans.scratch.materialize``)
 so that measuring it is cheap and exact.
 """
@@ -21,10 +26,12 @@ from __future__ import annotations
 from collections.abc import Callable
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from salaria.plans import ordering, sizing
+
 DEFAULT_MAX_BROADCAST_BYTES = 256 * 1024 * 1024
 DEFAULT_ROWS_PER_TASK = 2_000_000
 # Per-row overhead of a broadcast hash relation entry (key and value rows with
@@ -35,6 +42,10 @@ ROW_OVERHEAD_BYTES = 128
 
 _SALT = "_salt"
 _BUCKETS = "_buckets"
+_CHUNK = "_chunk"
+_FIRST = "_first_part"
+# Ranges of a hot key's row ids are this share of an output part at most.
+_CHUNKS_PER_PART = 8
 
 
 @dataclass(frozen=True)
@@ -117,13 +128,13 @@ def attach_by_key(
     rows_per_task: int = DEFAULT_ROWS_PER_TASK,
     max_hot_bytes: int = DEFAULT_MAX_BROADCAST_BYTES,
     size: KeyTableSize | None = None,
-    stage: Callable[[DataFrame], DataFrame] | None = None,
+    stage: Callable[[DataFrame, str], DataFrame] | None = None,
 ) -> DataFrame:
     """``rows JOIN keys USING (key)``; ``keys`` has one row per key and ``count_col``
     holds the number of ``rows`` with that key. ``count_col`` is not returned.
 
-    ``order_by`` asks for a total order of the result (range-partitioned part
-    files, ``order_partitions`` of them, default ``spark.sql.shuffle.partitions``).
+    ``order_by`` (the key and the row id) asks for a total order of the result, in
+    ``order_partitions`` part files (default ``spark.sql.shuffle.partitions``).
     On the broadcast path the narrow ``rows`` are range-partitioned before the
     join, which keeps the order of its streamed side, and sorted within
     partitions after it: the shuffle and the range sampling pass carry only the
@@ -132,11 +143,13 @@ def attach_by_key(
     are hash-partitioned on ``(key, salt)`` into that many parts, which the
     sort-merge join then uses as they are.
 
-    Range partitioning runs its input twice (to sample it, then to deal it out).
-    ``stage`` writes the salted join's result before it is ordered and reads it
-    back, so the join runs once and the sample reads a file. ``size``: a
+    On the salted path the rows are neither sampled nor written before they are ordered
+    (``_ordered_salted``); every row's key must be in ``keys``. ``stage`` (a table and its
+    name) writes the small tables of that path and reads them back. ``size``: a
     ``measure`` of ``keys`` with ``key`` and the same ``rows_per_task``.
     """
+    if order_by and tuple(order_by) != (key, row_id_col):
+        raise ValueError("rows can be ordered by the key and the row id")
     ranged_args = ((order_partitions,) if order_partitions else ()) + tuple(order_by)
     size = size or measure(keys, count_col, key, rows_per_task)
     attrs = keys.drop(count_col)
@@ -146,6 +159,11 @@ def attach_by_key(
         ranged = rows.repartitionByRange(*ranged_args)
         return ranged.join(F.broadcast(attrs), key, how).sortWithinPartitions(*order_by)
 
+    if order_by:
+        parts = order_partitions or int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+        return _ordered_salted(rows, keys, key, count_col, row_id_col, how, parts, join_partitions, max_hot_bytes, size,
+                               stage or (lambda df, name: df))
+
     # Salted path.
     hot = keys.filter(F.col(count_col) > rows_per_task).select(
         key, F.ceil(F.col(count_col) / F.lit(rows_per_task)).cast("int").alias(_BUCKETS)
@@ -163,9 +181,45 @@ def attach_by_key(
     if join_partitions:
         salted_rows = salted_rows.repartition(join_partitions, key, _SALT)
         salted_keys = salted_keys.repartition(join_partitions, key, _SALT)
-    joined = salted_rows.join(salted_keys, [key, _SALT], how).drop(_SALT)
-    if not order_by:
-        return joined
-    if stage is not None:
-        joined = stage(joined)
-    return joined.repartitionByRange(*ranged_args).sortWithinPartitions(*order_by)
+    return salted_rows.join(salted_keys, [key, _SALT], how).drop(_SALT)
+
+
+def _ordered_salted(rows: DataFrame, keys: DataFrame, key: str, count_col: str, row_id_col: str, how: str, parts: int,
+                    join_partitions: int | None, max_hot_bytes: int, size: KeyTableSize, stage) -> DataFrame:
+    """The salted join, totally ordered by ``(key, row id)`` over ``parts`` part files of about equal rows.
+
+    Running sums over the key table give each key its first part. A key of more rows than a part is hot: there are
+    fewer than ``parts`` of them. Their rows are counted by ranges of ids, whose running
+    sums give each range its part, which is the salt of its rows; all other keys keep one salt and lie
+    in their first part. The narrow rows cross the shuffle for the join, the joined rows once
+    more, straight to their part.
+    """
+    total = size.total_rows
+    share = -(-total // parts)
+    starts = ordering.running_sums(keys, [key], count_col, sizing.partitions(size.payload_bytes, 1), stage, "report_starts")
+    starts = starts.withColumn(_FIRST, ordering.part_at(F.col(ordering.BEFORE), total, parts))
+    bits = max(0, (share // _CHUNKS_PER_PART).bit_length() - 1)
+    chunk = F.shiftright(row_id_col, bits)
+    hot = starts.filter(F.col(count_col) > share).select(key, ordering.BEFORE)
+    ahead = Window.partitionBy(key).orderBy(_CHUNK).rowsBetween(Window.unboundedPreceding, -1)
+    chunks = rows.select(key, chunk.alias(_CHUNK)).join(F.broadcast(hot), key).groupBy(key, _CHUNK).agg(
+        F.count(F.lit(1)).alias("_n"), F.first(ordering.BEFORE).alias(ordering.BEFORE))
+    before = F.col(ordering.BEFORE) + F.coalesce(F.sum("_n").over(ahead), F.lit(0))
+    chunks = stage(chunks.select(key, _CHUNK, ordering.part_at(before, total, parts).alias(_SALT)), "report_chunks")
+    # Measured before it is broadcast, as the hot list is.
+    chunk_bytes = chunks.agg(F.coalesce(F.sum(_value_bytes(F.col(key), keys.schema[key].dataType) + ROW_OVERHEAD_BYTES), F.lit(0))).first()[0]
+
+    def sized(df: DataFrame) -> DataFrame:
+        return F.broadcast(df) if chunk_bytes <= max_hot_bytes else df.hint("merge")
+
+    other = F.coalesce(F.col(_SALT), F.lit(-1)).alias(_SALT)
+    own = [F.col(c) for c in rows.columns]
+    salted_rows = rows.withColumn(_CHUNK, chunk).join(sized(chunks), [key, _CHUNK], "left").select(*own, other)
+    attrs = [F.col(c) for c in keys.columns if c != count_col]
+    salted_keys = starts.join(sized(chunks.select(key, _SALT).distinct()), key, "left").select(*attrs, _FIRST, other)
+    if join_partitions:
+        salted_rows = salted_rows.repartition(join_partitions, key, _SALT)
+        salted_keys = salted_keys.repartition(join_partitions, key, _SALT)
+    joined = salted_rows.join(salted_keys, [key, _SALT], how)
+    part = F.when(F.col(_SALT) >= 0, F.col(_SALT)).otherwise(F.coalesce(F.col(_FIRST), F.lit(0)))
+    return joined.repartitionById(parts, part).sortWithinPartitions(key, row_id_col).drop(_SALT, _FIRST)

@@ -1,6 +1,10 @@
+from collections import Counter
+
+import pytest
 from pyspark.sql import functions as F
 
-from salaria.plans import keyjoin
+from salaria.plans import keyjoin, ordering
+from salaria.plans.scratch import materialize
 
 
 def test_measure_is_exact(spark):
@@ -46,20 +50,48 @@ def test_hot_list_too_large_to_broadcast_is_shuffled_and_results_are_whole(spark
         assert sum(r.c for r in got) == total
 
 
-def test_ordered_salted_join_runs_once(spark, tmp_dir):
-    """The join's rows are made once: what is sampled and dealt out by range is the staged file."""
-    from salaria.plans.scratch import materialize
-
+@pytest.mark.parametrize("parts,small_parts,hot_bytes", [(5, False, 1 << 20), (40, False, 0), (1, False, 1 << 20), (13, True, 1 << 20)])
+def test_ordered_salted_join_from_counts(spark, tmp_dir, monkeypatch, parts, small_parts, hot_bytes):
+    """One wide exchange, no range sampling; part files in order and of even size, also where one key spans many."""
     rows, keys = _skewed(spark)
-    joins = []
+    keys = materialize(keys, f"{tmp_dir}/keys")
+    rows = materialize(rows.withColumn("pad", F.lit("x")), f"{tmp_dir}/rows")
+    if small_parts:  # running sums over several ranges of keys
+        monkeypatch.setattr(keyjoin.sizing, "MIN_BYTES", 8)
+    staged = []
 
-    def stage(df):
-        joins.append(df._jdf.queryExecution().simpleString().count("SortMergeJoin"))
-        return materialize(df, f"{tmp_dir}/joined")
+    def stage(df, name):
+        staged.append(name)
+        return materialize(df, f"{tmp_dir}/{name}")
 
     out = keyjoin.attach_by_key(rows, keys, "k", "n", "rid", max_broadcast_bytes=0, rows_per_task=100, join_partitions=7,
-                                order_by=("k", "rid"), order_partitions=5, stage=stage)
-    plan = out._jdf.queryExecution().simpleString()
-    assert joins == [1] and "SortMergeJoin" not in plan and "rangepartitioning" in plan
-    got = [tuple(r) for r in out.select("k", "rid").collect()]
-    assert got == sorted(got) and len(got) == rows.count()
+                                order_by=("k", "rid"), order_partitions=parts, max_hot_bytes=hot_bytes, stage=stage)
+    assert staged == ["report_starts_ranges"] * small_parts + ["report_starts", "report_chunks"]
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert "rangepartitioning" not in plan and plan.count("SortMergeJoin") >= 1
+    assert plan.count("Exchange shufflepartitionidpassthrough" if parts > 1 else "Exchange SinglePartition") == 1 and plan.count("Exchange hashpartitioning(k") >= 2
+    got = [tuple(r) for r in out.select("k", "rid", "attr", "pad", F.spark_partition_id()).collect()]
+    assert [r[:2] for r in got] == sorted(tuple(r) for r in rows.select("k", "rid").collect())
+    assert all(r[2] == len(r[0]) and r[3] == "x" for r in got)
+    sizes = Counter(r[4] for r in got)
+    # A key that is not hot lies in one part, and a range of a hot key's ids is an eighth of a part.
+    assert len(sizes) <= parts and max(sizes.values()) <= 2.2 * len(got) / parts
+
+
+def test_ordered_salted_join_of_nothing(spark):
+    rows, keys = _skewed(spark)
+    out = keyjoin.attach_by_key(rows.limit(0), keys.limit(0), "k", "n", "rid", max_broadcast_bytes=0, order_by=("k", "rid"))
+    assert out.count() == 0 and out.columns == ["k", "rid", "attr"]
+    with pytest.raises(ValueError):
+        keyjoin.attach_by_key(rows, keys, "k", "n", "rid", order_by=("rid",))
+
+
+@pytest.mark.parametrize("parts", [1, 3, 50])
+def test_running_sums(spark, tmp_dir, parts):
+    df = spark.createDataFrame([(f"k{i * 7 % 100:03d}", i % 5) for i in range(100)], "k string, n long")
+    got = ordering.running_sums(df, ["k"], "n", parts, lambda d, name: materialize(d, f"{tmp_dir}/{name}"), "s").collect()
+    total = 0
+    for r in sorted(got):
+        assert r["_before"] == total
+        total += r.n
+    assert ordering.running_sums(df.limit(0), ["k"], "n", parts, lambda d, name: materialize(d, f"{tmp_dir}/e{name}"), "s").count() == 0
