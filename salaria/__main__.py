@@ -46,6 +46,9 @@ def main(argv: list[str] | None = None) -> int:
                         help="report rows per part file of the ordered output (default: sized by bytes)")
     parser.add_argument("--rows-per-task", type=int, default=None,
                         help="payroll rows per task before a key is split over salt buckets (default: sized by bytes)")
+    parser.add_argument("--rejects", default=None, metavar="FOLDER", help="write the text of rejected lines to this folder (replaced), by input and status")
+    parser.add_argument("--resume", action="store_true",
+                        help="keep staged tables if the run fails, and begin with those that an earlier run over the same files finished")
     parser.add_argument("--keep-scratch", action="store_true", help="keep the staged tables in the checkpoint folder")
     args = parser.parse_args(argv)
 
@@ -59,6 +62,7 @@ def main(argv: list[str] | None = None) -> int:
         overflow=args.overflow, ordered=not args.unordered, compression=args.compression,
         max_broadcast_bytes=args.max_broadcast_mb << 20, rows_per_output_file=args.rows_per_output_file,
         rows_per_task=args.rows_per_task, keep_scratch=args.keep_scratch,
+        rejects_path=args.rejects, resume=args.resume,
     )
     print(json.dumps(dataclasses.asdict(summary), sort_keys=True))
     return 0

@@ -191,6 +191,16 @@ def payroll_text_scan(spark, sf_dir):
     return read_lines(spark, _text_files(spark, sf_dir)[1], with_line_id=True).select(S.LINE)
 
 
+def payroll_gzip_scan(spark, sf_dir):
+    """Payroll lines of one gzip file beside plain ones, dealt out over many tasks (SRC-2)."""
+    folder = session_scratch(spark, "gzip")
+    lines = testdata_payroll_lines(spark, sf_dir)
+    third = F.pmod(F.col(S.LINE_ID), F.lit(3)) == 0
+    lines.filter(third).select(S.LINE).write.text(f"{folder}/plain")
+    lines.filter(~third).select(S.LINE).coalesce(1).write.option("compression", "gzip").text(f"{folder}/packed")
+    return read_lines(spark, folder, deal_bytes=0)
+
+
 def _job(spark, sf_dir, **options) -> tuple[ReportSummary, str]:
     employees, payroll, out = _text_files(spark, sf_dir)
     return run_payroll_report(spark, employees, payroll, out, **options), out
@@ -214,6 +224,13 @@ def job_report_replaced(spark, sf_dir):
     return spark.read.text(out)
 
 
+def job_rejected_lines(spark, sf_dir):
+    """The text of rejected lines that the job wrote, by input and status (AGG-2, AGG-3)."""
+    rejects = session_scratch(spark, "rejects")
+    _job(spark, sf_dir, rejects_path=rejects)
+    return spark.read.schema("value string, input string, status string").text(rejects)
+
+
 def job_summary(spark, sf_dir):
     """The text job's counters, with the lines that it wrote (JOB-1, AGG-5)."""
     summary, _ = _job(spark, sf_dir)
@@ -254,6 +271,6 @@ QUERIES: dict[str, Query] = {
         "report_lines", "missing_employees", "employees_without_payroll", "employee_quality",
         "payroll_quality", "key_census", "report_quality", "payroll_report_salted_ordered",
         "employee_text_scan", "payroll_text_scan", "job_report_lines", "job_report_lines_salted", "job_summary",
-        "job_report_replaced",
+        "job_report_replaced", "payroll_gzip_scan", "job_rejected_lines",
     )
 }

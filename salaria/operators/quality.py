@@ -87,33 +87,21 @@ def report_quality(report: DataFrame, valid_payroll: DataFrame) -> DataFrame:
     )
 
 
-def _sum(col: str) -> Column:
-    return F.coalesce(F.sum(col), F.lit(0)).cast("bigint")
-
-
 def counts_from_key_table_exprs() -> list[Column]:
     """Quality counters as sums over ``key_info_with_counts`` (marker rows included)."""
-    from salaria.operators.report import rejected_key
-
-    def rejected(side: str, status: str) -> Column:
-        on_marker = F.col(S.EMPLOYEE_ID) == rejected_key(status)
-        return F.coalesce(F.sum(F.when(on_marker, F.col(f"{side}_rejected"))), F.lit(0)).cast("bigint")
-
-    def read(valid: str, side: str) -> Column:
-        lines = F.coalesce(F.col(valid), F.lit(0)) + F.coalesce(F.col(f"{side}_rejected"), F.lit(0))
-        return F.coalesce(F.sum(lines), F.lit(0)).cast("bigint")
-
-    return [
-        read("n_employee", "emp").alias("emp_" + S.LINES_READ),
-        _sum("n_employee").alias("emp_" + S.RECORDS_EMITTED),
-        rejected("emp", S.BLANK).alias("emp_" + S.BLANK_LINES_SKIPPED),
-        rejected("emp", S.MALFORMED).alias("emp_" + S.MALFORMED_RECORDS_SKIPPED),
-        rejected("emp", S.INCOMPLETE).alias("emp_" + S.INCOMPLETE_RECORDS_SKIPPED),
-        read(S.N_PAYROLL, "pay").alias("pay_" + S.LINES_READ),
-        _sum(S.N_PAYROLL).alias("pay_" + S.RECORDS_EMITTED),
-        rejected("pay", S.BLANK).alias("pay_" + S.BLANK_LINES_SKIPPED),
-        rejected("pay", S.MALFORMED).alias("pay_" + S.MALFORMED_RECORDS_SKIPPED),
-        rejected("pay", S.INCOMPLETE).alias("pay_" + S.INCOMPLETE_RECORDS_SKIPPED),
-        rejected("pay", S.INVALID_NUMERIC).alias("pay_" + S.INVALID_NUMERIC_FIELDS_SKIPPED),
-        rejected("pay", S.NEGATIVE).alias("pay_" + S.NEGATIVE_VALUE_RECORDS_SKIPPED),
-    ]
+    from salaria.operators.report import REJECT_MARK
+
+    def total(what: str, name: str) -> Column:
+        return F.expr(f"cast(coalesce(sum({what}), 0) as bigint) as {name}")
+
+    out = []
+    for side, valid, reasons in (
+        ("emp", "n_employee", {S.BLANK: S.BLANK_LINES_SKIPPED, S.MALFORMED: S.MALFORMED_RECORDS_SKIPPED, S.INCOMPLETE: S.INCOMPLETE_RECORDS_SKIPPED}),
+        ("pay", S.N_PAYROLL, {S.BLANK: S.BLANK_LINES_SKIPPED, S.MALFORMED: S.MALFORMED_RECORDS_SKIPPED, S.INCOMPLETE: S.INCOMPLETE_RECORDS_SKIPPED,
+                              S.INVALID_NUMERIC: S.INVALID_NUMERIC_FIELDS_SKIPPED, S.NEGATIVE: S.NEGATIVE_VALUE_RECORDS_SKIPPED}),
+    ):
+        out += [total(f"coalesce({valid}, 0) + coalesce({side}_rejected, 0)", f"{side}_{S.LINES_READ}"), total(valid, f"{side}_{S.RECORDS_EMITTED}")]
+        # Rejected lines of a status lie under its marker key.
+        out += [total(f"if({S.EMPLOYEE_ID} = concat(char({ord(REJECT_MARK)}), '{status}'), {side}_rejected, null)", f"{side}_{counter}")
+                for status, counter in reasons.items()]
+    return out

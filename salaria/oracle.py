@@ -199,6 +199,9 @@ ORACLE_SQL: dict[str, str] = {
 ORACLE_SQL |= {
     "employee_text_scan": ORACLE_SQL["employee_lines"],
     "payroll_text_scan": ORACLE_SQL["payroll_lines"],
+    "payroll_gzip_scan": ORACLE_SQL["payroll_lines"],
+    "job_rejected_lines": _q("select line as value, 'employee' as input, status from emp_c where status <> 'OK' "
+                             "union all select line, 'payroll', status from pay_c where status <> 'OK'"),
     "job_report_lines": ORACLE_SQL["report_lines"],
     "job_report_lines_salted": ORACLE_SQL["report_lines"],
     "job_report_replaced": ORACLE_SQL["report_lines"],

@@ -198,25 +198,29 @@ def _ordered_salted(rows: DataFrame, keys: DataFrame, key: str, count_col: str,
     share = -(-total // parts)
     starts = ordering.running_sums(keys, [key], count_col, sizing.partitions(size.payload_bytes, 1), stage, "report_starts")
     starts = starts.withColumn(_FIRST, ordering.part_at(F.col(ordering.BEFORE), total, parts))
-    bits = max(0, (share // _CHUNKS_PER_PART).bit_length() - 1)
-    chunk = F.shiftright(row_id_col, bits)
+    own, attrs = [F.col(c) for c in rows.columns], [F.col(c) for c in keys.columns if c != count_col]
     hot = starts.filter(F.col(count_col) > share).select(key, ordering.BEFORE)
-    ahead = Window.partitionBy(key).orderBy(_CHUNK).rowsBetween(Window.unboundedPreceding, -1)
-    chunks = rows.select(key, chunk.alias(_CHUNK)).join(F.broadcast(hot), key).groupBy(key, _CHUNK).agg(
-        F.count(F.lit(1)).alias("_n"), F.first(ordering.BEFORE).alias(ordering.BEFORE))
-    before = F.col(ordering.BEFORE) + F.coalesce(F.sum("_n").over(ahead), F.lit(0))
-    chunks = stage(chunks.select(key, _CHUNK, ordering.part_at(before, total, parts).alias(_SALT)), "report_chunks")
-    # Measured before it is broadcast, as the hot list is.
-    chunk_bytes = chunks.agg(F.coalesce(F.sum(_value_bytes(F.col(key), keys.schema[key].dataType) + ROW_OVERHEAD_BYTES), F.lit(0))).first()[0]
-
-    def sized(df: DataFrame) -> DataFrame:
-        return F.broadcast(df) if chunk_bytes <= max_hot_bytes else df.hint("merge")
-
-    other = F.coalesce(F.col(_SALT), F.lit(-1)).alias(_SALT)
-    own = [F.col(c) for c in rows.columns]
-    salted_rows = rows.withColumn(_CHUNK, chunk).join(sized(chunks), [key, _CHUNK], "left").select(*own, other)
-    attrs = [F.col(c) for c in keys.columns if c != count_col]
-    salted_keys = starts.join(sized(chunks.select(key, _SALT).distinct()), key, "left").select(*attrs, _FIRST, other)
+    hot_rows = hot.collect()
+    if hot_rows:
+        hot = rows.sparkSession.createDataFrame(hot_rows, hot.schema)
+        bits = max(0, (share // _CHUNKS_PER_PART).bit_length() - 1)
+        chunk = F.shiftright(row_id_col, bits)
+        ahead = Window.partitionBy(key).orderBy(_CHUNK).rowsBetween(Window.unboundedPreceding, -1)
+        chunks = rows.select(key, chunk.alias(_CHUNK)).join(F.broadcast(hot), key).groupBy(key, _CHUNK).agg(
+            F.count(F.lit(1)).alias("_n"), F.first(ordering.BEFORE).alias(ordering.BEFORE))
+        before = F.col(ordering.BEFORE) + F.coalesce(F.sum("_n").over(ahead), F.lit(0))
+        chunks = stage(chunks.select(key, _CHUNK, ordering.part_at(before, total, parts).alias(_SALT)), "report_chunks")
+        # Measured before it is broadcast, as the hot list is.
+        chunk_bytes = chunks.agg(F.sum(_value_bytes(F.col(key), keys.schema[key].dataType) + ROW_OVERHEAD_BYTES)).first()[0]
+
+        def sized(df: DataFrame) -> DataFrame:
+            return F.broadcast(df) if chunk_bytes <= max_hot_bytes else df.hint("merge")
+
+        other = F.coalesce(F.col(_SALT), F.lit(-1)).alias(_SALT)
+        salted_rows = rows.withColumn(_CHUNK, chunk).join(sized(chunks), [key, _CHUNK], "left").select(*own, other)
+        salted_keys = starts.join(sized(chunks.select(key, _SALT).distinct()), key, "left").select(*attrs, _FIRST, other)
+    else:
+        salted_rows, salted_keys = (df.withColumn(_SALT, F.lit(-1)) for df in (rows, starts.select(*attrs, _FIRST)))
     if join_partitions:
         salted_rows = salted_rows.repartition(join_partitions, key, _SALT)
         salted_keys = salted_keys.repartition(join_partitions, key, _SALT)

@@ -16,7 +16,7 @@ Stage = Callable[[DataFrame, str], DataFrame]
 def running_sums(df: DataFrame, order_by: list[str], value: str, parts: int, stage: Stage, name: str) -> DataFrame:
     """``df`` with ``_before``: the sum of ``value`` over the rows ahead of it in ``order_by``, which must be unique.
 
-    The rows are range-partitioned into ``parts`` (one part: sorted in one task), written, and summed part by
+    The rows are range-partitioned into ``parts`` (one part: sorted in one task), written as ``name``, and summed part by
     part; a part's offset is the sum of those ahead, of which there are ``parts`` only. For tables of one row per key or
     split, not for the rows that they describe.
     """
@@ -24,13 +24,13 @@ def running_sums(df: DataFrame, order_by: list[str], value: str, parts: int, sta
     if parts <= 1:
         ranged, offset = df.withColumn(_RANGE, F.lit(0)), F.lit(0).cast("bigint")
     else:
-        ranged = stage(df.repartitionByRange(parts, *order_by).withColumn(_RANGE, F.spark_partition_id()), f"{name}_ranges")
+        ranged = stage(df.repartitionByRange(parts, *order_by).withColumn(_RANGE, F.spark_partition_id()), name)
         sums = dict(ranged.groupBy(_RANGE).agg(F.sum(value)).collect())
         ahead = [0]
         for part in range(max(sums, default=0)):
             ahead.append(ahead[-1] + (sums.get(part) or 0))
         offset = F.element_at(F.array(*(F.lit(a).cast("bigint") for a in ahead)), F.col(_RANGE) + 1)
-    return stage(ranged.withColumn(BEFORE, offset + F.coalesce(F.sum(value).over(within), F.lit(0))).drop(_RANGE), name)
+    return ranged.withColumn(BEFORE, offset + F.coalesce(F.sum(value).over(within), F.lit(0))).drop(_RANGE)
 
 
 def part_at(before: Column, total: int, parts: int) -> Column:

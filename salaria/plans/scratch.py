@@ -11,6 +11,7 @@ fall back to a fresh temporary folder.
 from __future__ import annotations
 
 import atexit
+import re
 import tempfile
 import uuid
 from collections.abc import Iterator
@@ -88,6 +89,13 @@ def checkpoint_root(spark: SparkSession) -> str:
     return sc.getCheckpointDir() or root
 
 
+def durable_root(spark: SparkSession) -> str:
+    """The folder that was named for checkpoints: Spark gives each application a folder of its own (a UUID) in it."""
+    root = checkpoint_root(spark)
+    parent, _, name = root.rpartition("/")
+    return parent if parent and re.fullmatch(r"[0-9a-f]{8}(-[0-9a-f]{4}){3}-[0-9a-f]{12}", name) else root
+
+
 def new_scratch(spark: SparkSession, label: str) -> str:
     """A fresh, unique folder under the checkpoint root for one run."""
     return f"{checkpoint_root(spark)}/salaria/{label}-{uuid.uuid4().hex}"
@@ -128,13 +136,14 @@ def drop_session_scratch() -> None:
             return
 
 
-def materialize(df: DataFrame, path: str) -> DataFrame:
-    """Write ``df`` as Parquet to ``path`` and read it back.
+def materialize(df: DataFrame, path: str, by: tuple[str, ...] = ()) -> DataFrame:
+    """Write ``df`` as Parquet to ``path`` (in folders by the columns ``by``) and read it back.
 
     This is an action: later plans start from files (no recomputation after executor
     loss) and Catalyst sees the true size.
     """
-    df.write.mode("overwrite").parquet(path)
+    writer = df.write.mode("overwrite")
+    (writer.partitionBy(*by) if by else writer).parquet(path)
     return df.sparkSession.read.parquet(path)
 
 

@@ -49,6 +49,9 @@ PAYROLL_FIELDS = (PAYROLL_ID, EMPLOYEE_ID, MONTH, BASE_SALARY, BONUS)
 
 LINE = "line"          # raw text of an input line
 LINE_ID = "line_id"    # unique, scan-assigned row id: salt and sort tie-break
+FILE = "_file"         # file of a line, and the start of its split in the file
+START = "_start"
+REJECTED = "_rejected"  # 1 for lines that fail a rule, else 0
 STATUS = "status"      # first rule a line fails, or OK
 
 FULL_NAME = "full_name"

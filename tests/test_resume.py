@@ -1,0 +1,150 @@
+"""A run that was lost on its way is taken up from its finished tables."""
+
+import glob
+import os
+import subprocess
+import sys
+import textwrap
+
+import pytest
+from test_job import EMPLOYEES, GOLDEN_TEXT, PAYROLL, _read_output, _write
+
+from salaria import run_payroll_report
+from salaria.operators import report
+from salaria.plans import job
+from salaria.plans.scratch import checkpoint_root, durable_root
+from salaria.plans.staging import fingerprint
+
+REPO = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+
+
+@pytest.fixture
+def inputs(tmp_dir):
+    emp, pay, out = (os.path.join(tmp_dir, n) for n in ("emp.csv", "pay/part-0", "out"))
+    _write(emp, EMPLOYEES)
+    _write(pay, PAYROLL)
+    return emp, os.path.dirname(pay), out
+
+
+def _garble(path):
+    """Other content of the same length and time: only a scan would notice."""
+    before = os.stat(path)
+    with open(path, "r+b") as f:
+        f.write(b"?" * before.st_size)
+    os.utime(path, ns=(before.st_atime_ns, before.st_mtime_ns))
+    checksum = os.path.join(os.path.dirname(path), f".{os.path.basename(path)}.crc")
+    assert not os.path.exists(checksum)
+
+
+def _kept(spark):
+    roots = {r(spark).replace("file:", "") for r in (checkpoint_root, durable_root)}
+    return {f for root in roots for f in glob.glob(os.path.join(root, "salaria", "report-*"))}
+
+
+def _fails(monkeypatch, module, name):
+    def lost(*args, **kwargs):
+        raise RuntimeError("driver lost")
+
+    monkeypatch.setattr(module, name, lost)
+
+
+def test_taken_up_after_staging(spark, inputs, monkeypatch):
+    emp, pay, out = inputs
+    before = _kept(spark)
+    with monkeypatch.context() as m:
+        _fails(m, report, "key_info_with_counts")
+        with pytest.raises(RuntimeError, match="driver lost"):
+            run_payroll_report(spark, emp, pay, out, resume=True)
+    (folder,) = _kept(spark) - before
+    assert os.path.exists(os.path.join(folder, "manifest.json")) and not os.path.exists(out)
+    _garble(os.path.join(pay, "part-0"))
+    summary = run_payroll_report(spark, emp, pay, out, resume=True)
+    assert summary.resumed == ["payroll_parsed"] and _read_output(out) == GOLDEN_TEXT
+    assert _kept(spark) == before
+
+
+def test_taken_up_before_the_write(spark, inputs, monkeypatch):
+    emp, pay, out = inputs
+    with monkeypatch.context() as m:
+        _fails(m, job, "_write_counted")
+        with pytest.raises(RuntimeError, match="driver lost"):
+            run_payroll_report(spark, emp, pay, out, resume=True, rejects_path=out + "-rejects")
+    _garble(os.path.join(pay, "part-0"))
+    _garble(emp)
+    summary = run_payroll_report(spark, emp, pay, out, resume=True, rejects_path=out + "-rejects")
+    assert summary.resumed == ["employees_parsed", "payroll_parsed", "key_info"] and summary.records_rejected == 1
+    assert _read_output(out) == GOLDEN_TEXT and summary.payroll["lines_read"] == 6
+
+
+def test_an_unfinished_table_is_written_again(spark, inputs, monkeypatch):
+    emp, pay, out = inputs
+    before = _kept(spark)
+    with monkeypatch.context() as m:
+        _fails(m, report, "key_info_with_counts")
+        with pytest.raises(RuntimeError):
+            run_payroll_report(spark, emp, pay, out, resume=True)
+    (folder,) = _kept(spark) - before
+    os.unlink(os.path.join(folder, "payroll_parsed.done"))
+    for f in glob.glob(os.path.join(folder, "payroll_parsed", "part-*"))[:1]:
+        os.unlink(f)
+    summary = run_payroll_report(spark, emp, pay, out, resume=True)
+    assert summary.resumed == [] and _read_output(out) == GOLDEN_TEXT
+
+
+def test_other_inputs_or_options_begin_anew(spark, inputs, monkeypatch):
+    emp, pay, out = inputs
+    before = _kept(spark)
+    with monkeypatch.context() as m:
+        _fails(m, report, "key_info_with_counts")
+        with pytest.raises(RuntimeError):
+            run_payroll_report(spark, emp, pay, out, resume=True)
+        with pytest.raises(RuntimeError):  # without resume nothing is kept
+            run_payroll_report(spark, emp, pay, out)
+    assert len(_kept(spark) - before) == 1
+    assert run_payroll_report(spark, emp, pay, out, resume=True, overflow="wrap").resumed == []
+    assert run_payroll_report(spark, emp, pay, out).resumed == []
+    _write(os.path.join(pay, "part-1"), b"PR9,EMP01,Mar,1,1\n")
+    summary = run_payroll_report(spark, emp, pay, out, resume=True)
+    assert summary.resumed == [] and summary.payroll["lines_read"] == 7
+    os.unlink(os.path.join(pay, "part-1"))
+    assert run_payroll_report(spark, emp, pay, out, resume=True).resumed == ["payroll_parsed"]
+    assert _read_output(out) == GOLDEN_TEXT and _kept(spark) == before
+
+
+def test_fingerprint_follows_names_lengths_and_times(spark, tmp_dir):
+    folder = os.path.join(tmp_dir, "in")
+    _write(os.path.join(folder, "a", "x"), b"12")
+    _write(os.path.join(folder, "y"), b"345")
+    first = fingerprint(spark, folder)
+    assert (first["files"], first["bytes"]) == (2, 5) and fingerprint(spark, folder) == first
+    os.utime(os.path.join(folder, "y"), (1, 1))
+    later = fingerprint(spark, folder)
+    assert later != first
+    os.rename(os.path.join(folder, "y"), os.path.join(folder, "z"))
+    assert fingerprint(spark, folder) != later
+
+
+SCRIPT = textwrap.dedent("""
+    import os, sys
+    sys.path.insert(0, {repo!r})
+    from salaria.operators import report
+    from salaria.plans.job import run_payroll_report
+    from salaria.plans.session import local_session
+    spark = local_session(cores=2, shuffle_partitions=2, extra={{"spark.checkpoint.dir": {ckpt!r}}})
+    report.key_info_with_counts = lambda *a: os._exit(7)
+    run_payroll_report(spark, {emp!r}, {pay!r}, {out!r}, resume=True)
+""")
+
+
+def test_a_killed_driver_is_followed_by_another(spark, inputs, tmp_dir):
+    emp, pay, out = inputs
+    ckpt = os.path.join(tmp_dir, "ckpt")
+    args = [sys.executable, "-c", SCRIPT.format(repo=REPO, ckpt=ckpt, emp=emp, pay=pay, out=out)]
+    assert subprocess.run(args, capture_output=True, timeout=300).returncode == 7
+    _garble(os.path.join(pay, "part-0"))
+    again = SCRIPT.format(repo=REPO, ckpt=ckpt, emp=emp, pay=pay, out=out).replace("report.key_info_with_counts = lambda *a: os._exit(7)", "")
+    again = again.rstrip().replace("run_payroll_report(spark", "print(run_payroll_report(spark") + ".resumed)\n"
+    done = subprocess.run([sys.executable, "-c", again], capture_output=True, text=True, timeout=300)
+    assert done.returncode == 0, done.stderr[-3000:]
+    assert "['payroll_parsed']" in done.stdout and _read_output(out) == GOLDEN_TEXT
+    assert glob.glob(os.path.join(ckpt, "**", "salaria", "report-*"), recursive=True) == []

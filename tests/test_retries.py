@@ -37,8 +37,8 @@ SCRIPT = textwrap.dedent(
             raise RuntimeError("injected task failure")
         return line
 
-    def read_flaky(spark, path, with_line_id=False):
-        df = text.read_lines(spark, path, with_line_id=with_line_id)
+    def read_flaky(spark, path, **options):
+        df = text.read_lines(spark, path, **options)
         return df.withColumn("line", flaky("line")) if "pay" in str(path) else df
 
     def run(label):
