@@ -28,7 +28,6 @@ KINDS = ("email", "ip", "card", "phone")
 Span = tuple[int, int]
 
 _LOCAL = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
-_LOCAL_TAIL = re.compile(r"[A-Za-z0-9._%+-]*+")
 _DOMAIN = re.compile(r"[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)++")
 # A run of digits matches from its start or not at all, so a start within a run need not be tried.
 _IP = re.compile(r"(?<![0-9])[0-9]++(?:\.[0-9]++){3}")
@@ -86,25 +85,28 @@ def base_spans(text: str) -> dict[str, list[Span]]:
             "card": of(_CARD, _is_card) if some else [], "phone": of(_PHONE, _is_phone) if some and "+" in text else []}
 
 
-#: Letters of other scripts that look like a Latin letter, next to the letter.
-HOMOGLYPHS = dict(zip("аеорсухіјѕԁӏһԛԝАВЕКМНОРСТХУІЈЅαοινρΑΒΕΖΗΙΚΜΝΟΡΤΥΧ", "aeopcyxijsdlhqwABEKMHOPCTXYIJSaoivpABEZHIKMNOPTYX"))
+#: Letters of other scripts that look like a Latin letter, next to the letter; full stops of other scripts.
+HOMOGLYPHS = dict(zip("аеорсухіјѕԁӏһԛԝѵкАВЕКМНОРСТХУІЈЅαοινρκΑΒΕΖΗΙΚΜΝΟΡΤΥΧɑɡոսօհզ。｡۔", "aeopcyxijsdlhqwvkABEKMHOPCTXYIJSaoivpkABEZHIKMNOPTYXagnuohq..."))
 _ZERO_WIDTH = "​‌‍⁠﻿­"
+#: Characters from here on are looked at; those before are common letters of clean texts.
+_FIRST_ODD = 0x250
 
 
 def _looks() -> dict[int, str]:
-    """Single characters and the ASCII character they stand for: homoglyphs, full-width forms, decimal digits of all scripts."""
+    """Single characters and the ASCII character they stand for: homoglyphs, compatibility forms (full-width, mathematical,
+    circled and the like, from the Unicode database), decimal digits of all scripts."""
     table = {ord(k): v for k, v in HOMOGLYPHS.items()}
-    table |= {0xFEE0 + c: chr(c) for c in range(0x21, 0x7F)}
-    for c in range(0x80, 0x20000):
-        if unicodedata.category(chr(c)) == "Nd":
-            table[c] = str(unicodedata.digit(chr(c)))
+    for c in range(_FIRST_ODD, 0x20000):
+        form = str(unicodedata.digit(chr(c))) if unicodedata.category(chr(c)) == "Nd" else unicodedata.normalize("NFKC", chr(c))
+        if len(form) == 1 and "!" <= form <= "~":
+            table.setdefault(c, form)
     return table
 
 
 _LOOKS = _looks()
 _ODD = re.compile(f"[{''.join(map(re.escape, map(chr, _LOOKS)))}{_ZERO_WIDTH}]")
 #: A quick test: all of them lie here.
-_FAR = re.compile("[\u00ad\u0250-\U0010ffff]")
+_FAR = re.compile("[\u00ad\u0250-\U0001ffff]")
 
 #: Words for digits.
 DIGIT_WORDS = {
@@ -114,11 +116,12 @@ DIGIT_WORDS = {
     "cero": 0, "uno": 1, "dos": 2, "tres": 3, "cuatro": 4, "cinco": 5, "seis": 6, "siete": 7, "ocho": 8, "nueve": 9,
 }
 _WORD = "|".join(sorted(DIGIT_WORDS, key=len, reverse=True))
-_NUMBER = rf"(?:[0-9]|\b(?:{_WORD})\b)"
+_TIMES = r"(?:double|triple)\s{1,3}"
+_NUMBER = rf"(?:{_TIMES})?(?:[0-9]|\b(?:{_WORD})\b)"
 #: Digits of which some are spelled, a plus sign or the word before them; "dot" or "point" may stand between.
-_SPELLED = re.compile(rf"(?:\bplus[\s,-]+)?\b(?:{_WORD})\b(?:(?:[\s,.()-]{{1,3}}|\s(?:dot|point)\s)?{_NUMBER}){{3,}}", re.I)
-_SPELLED_PART = re.compile(rf"\b(?:plus|dot|point|{_WORD})\b", re.I)
-_BRACKET_AT = re.compile(r"\s{0,3}[(\[{<]\s{0,3}(?:at|@|arroba)\s{0,3}[)\]}>]\s{0,3}", re.I)
+_SPELLED = re.compile(rf"(?:\bplus[\s,-]+)?\b(?:{_TIMES})?(?:{_WORD})\b(?:(?:[\s,.()-]{{1,3}}|\s(?:dot|point)\s)?{_NUMBER}){{3,}}", re.I)
+_SPELLED_PART = re.compile(rf"\b(?P<times>double|triple)\s{{1,3}}(?P<digit>[0-9]|(?:{_WORD})\b)|\b(?:plus|dot|point|{_WORD})\b", re.I)
+_BRACKET_AT = re.compile(r"\s{0,3}[(\[{<]\s{0,3}(?:at|ät|@|arroba)\s{0,3}[)\]}>]\s{0,3}", re.I)
 _BRACKET_DOT = re.compile(r"\s{0,3}[(\[{<]\s{0,3}(?:dot|\.|punkt|punto|point)\s{0,3}[)\]}>]\s{0,3}", re.I)
 #: "name at host dot ending", the dot spelled: every country's ending and common others (fixed values) count anywhere, any
 #: ending of 2 to 24 letters behind an @ or where no word follows it ("he sat at home dot matrix printers" is no address).
@@ -132,13 +135,13 @@ _TLD = (
     "mt|mu|mv|mw|mx|my|mz|na|nc|ne|nf|ng|ni|nl|no|np|nr|nu|nz|om|pa|pe|pf|pg|ph|pk|pl|pm|pn|pr|ps|pt|pw|py|qa|re|ro|rs|ru|rw|sa|sb|sc|sd|se|sg|sh|si|sj|sk|"
     "sl|sm|sn|so|sr|ss|st|su|sv|sx|sy|sz|tc|td|tf|tg|th|tj|tk|tl|tm|tn|to|tr|tt|tv|tw|tz|ua|ug|uk|us|uy|uz|va|vc|ve|vg|vi|vn|vu|wf|ws|ye|yt|za|zm|zw"
 )
-_DOT = r"(?:\s{1,3}dot\s{1,3}|\.)"
+_DOT = r"(?:\s{1,3}(?:dot|punto|punkt)\s{1,3}|\.)"
 _HOST = rf"[A-Za-z0-9-]{{1,63}}(?:{_DOT}[A-Za-z0-9-]{{1,63}}){{0,7}}{_DOT}"
 #: A host after a spelled "at" is no article or the like.
-_BARE = re.compile(rf"(?<=[A-Za-z0-9._%+-])(?:(?P<at>\s{{1,3}}at\s{{1,3}})(?!(?:the|a|an|this|that|each|every|his|her|its|my|our|your|their|one)\s){_HOST}"
+_BARE = re.compile(rf"(?<=[A-Za-z0-9._%+-])(?:(?P<at>\s{{1,3}}(?:at|ät|arroba)\s{{1,3}})(?!(?:the|a|an|this|that|each|every|his|her|its|my|our|your|their|one)\s){_HOST}"
                    rf"(?:(?:{_TLD})\b|[A-Za-z]{{2,24}}(?![A-Za-z0-9-])(?!\s{{1,3}}[^\W_]))|@{_HOST}[A-Za-z]{{2,24}}(?![A-Za-z0-9-]))", re.I)
-_BARE_PART = re.compile(r"\s{1,3}(?:at|dot)\s{1,3}", re.I)
-_SPELLED_DOT = re.compile(r"\sdot\s", re.I)
+_BARE_PART = re.compile(r"\s{1,3}(?:(?P<at>at|ät|arroba)|dot|punto|punkt)\s{1,3}", re.I)
+_SPELLED_DOT = re.compile(r"\s(?:dot|punto|punkt)\s", re.I)
 
 
 class Rewriting:
@@ -179,8 +182,10 @@ def _spelled(text: str) -> list[tuple[int, int, str]]:
     out: list[tuple[int, int, str]] = []
     for run in _SPELLED.finditer(text):
         for m in _SPELLED_PART.finditer(text, *run.span()):
-            w = m.group().lower()
-            new = {"plus": "+", "dot": ".", "point": "."}.get(w) or str(DIGIT_WORDS[w])
+            w = (m["digit"] or m.group()).lower()
+            new = {"plus": "+", "dot": ".", "point": "."}.get(w) or str(DIGIT_WORDS.get(w, w))
+            if m["times"]:
+                new *= 2 if m["times"].lower() == "double" else 3
             start, last = m.start(), out[-1] if out and out[-1][0] >= run.start() else None
             if last and not text[last[1]:start].strip(" \t\r\n,-"):
                 start = last[1]
@@ -204,7 +209,7 @@ def _bare(text: str) -> list[tuple[int, int, str]]:
     out = []
     for m in _BARE.finditer(text):
         if _SPELLED_DOT.search(m.group()):
-            out += [(*p.span(), "@" if "at" in p.group().lower() else ".") for p in _BARE_PART.finditer(text, *m.span())]
+            out += [(*p.span(), "@" if p["at"] else ".") for p in _BARE_PART.finditer(text, *m.span())]
     return out
 
 
@@ -221,13 +226,13 @@ def rewritings(text: str) -> list[Rewriting]:
     if not text.isascii() and _FAR.search(text) and _ODD.search(text):
         apply([(*m.span(), _LOOKS.get(ord(m.group()), "")) for m in _ODD.finditer(text)])
     low = text.lower()
-    if any(x in low for x in ("(at", "[at", "{at", "<at", "( at", "[ at", "{ at", "< at", "(@", "[@", "{@", "<@", "arroba")):
+    if any(x in low for x in ("(at", "[at", "{at", "<at", "( at", "[ at", "{ at", "< at", "ät", "(@", "[@", "{@", "<@", "arroba")):
         apply(_edits(_BRACKET_AT, text, "@"))
     if any(x in low for x in ("(dot", "[dot", "{dot", "<dot", "( dot", "[ dot", "{ dot", "< dot", "(.)", "[.]", "{.}", "<.>", "punkt", "punto", "(point", "[point")):
         apply(_edits(_BRACKET_DOT, text, "."))
     if _spells_digits(low):
         apply(_spelled(text))
-    if "dot" in low and _SPELLED_DOT.search(text):
+    if ("dot" in low or "punto" in low or "punkt" in low) and _SPELLED_DOT.search(text):
         apply(_bare(text))
     return out
 
@@ -244,7 +249,7 @@ def all_spans(text: str) -> tuple[dict[str, list[Span]], dict[str, list[Span]]]:
             new = chain[-1].text[slice(*span)]
             for step in reversed(chain):
                 span = step.back(span)
-            if text[slice(*span)] != new and all(span[1] <= s or span[0] >= e for s, e in base[kind]):
+            if text[slice(*span)] != new and not any(s <= span[0] and span[1] <= e for s, e in base[kind]):
                 full[kind].append(span)
     return base, {k: sorted(set(v)) for k, v in full.items()}
 
