@@ -15,61 +15,103 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from salaria.llm.rows import documents, small_batches
 
-#: Per language: texts sampled (about), landmarks among them. Ridge penalty. Letters told apart.
-SAMPLE, LANDMARKS, RIDGE, LETTERS = 500, 32, 1e-2, 100
+#: Per language: texts sampled at most, landmarks among them. Ridge penalty.
+SAMPLE, LANDMARKS, RIDGE = 500, 32, 1e-2
+#: Of a sampled text, so many characters at most are learned from (predictions read whole texts). Languages at most.
+SAMPLE_CHARS, LANGUAGES = 20_000, 1_000
 BATCH = 256
+#: Texts of a batch are numbered densely while their n-grams' numbers stay below this; else n-grams are sorted. Both are exact.
+DENSE = 1 << 24
+#: Stands for a run of other characters, and for both ends of a text, among code points.
+EDGE = 0x110000
+_BITS = 21
 _NO_LANGUAGE = "und"
 
 
 def _letter_table() -> np.ndarray:
-    """By code point: 1 for letters."""
-    return np.fromiter((chr(c).isalpha() for c in range(0x110000)), np.uint8, 0x110000)
+    """By code point: true for letters."""
+    return np.fromiter((chr(c).isalpha() for c in range(0x110000)), bool, 0x110000)
 
 
-class Spectrum:
-    """Distinct n-grams (1 to 3) of the lower-cased letters of a text, as numbers.
+def spell(text: str, letters: np.ndarray) -> np.ndarray:
+    """The lower-cased letters of a text as code points, with ``EDGE`` for each run of other characters and at both ends."""
+    x = np.frombuffer(text.lower().encode("utf-32-le", "surrogatepass"), np.uint32)
+    x = np.concatenate([[EDGE], np.where(letters[x], x, EDGE), [EDGE]]).astype(np.int64)
+    return x[np.concatenate([[True], (x[1:] != EDGE) | (x[:-1] != EDGE)])]
 
-    ``alphabet``: code points in order; letter k counts as 2 + k % LETTERS, any other
-    letter as 1, a run of other characters as 0.
-    """
 
-    def __init__(self, alphabet: list[int], letters: np.ndarray):
-        self.base = 2 + min(len(alphabet), LETTERS)
-        self.ids = letters.astype(np.int32)
-        for k, c in enumerate(alphabet):
-            self.ids[c] = 2 + k % LETTERS
-        self.size = self.base + self.base ** 2 + self.base ** 3
-        self.seen = np.zeros(self.size, bool)
-
-    def mark(self, text: str) -> bool:
-        """Set ``seen`` for the text's n-grams; False if it has no letter. Call ``clear`` after."""
-        x = self.ids[np.frombuffer(text.lower().encode("utf-32-le", "surrogatepass"), np.uint32)]
-        x = np.concatenate([[0], x, [0]])
-        x = x[np.concatenate([[True], (x[1:] > 0) | (x[:-1] > 0)])]  # runs of other characters as one
-        self.used = [x[x > 0]]
-        if not len(self.used[0]):
-            return False
-        two = x[:-1] * self.base + x[1:]
-        self.used += [two + self.base, two[:-1] * self.base + x[2:] + self.base + self.base ** 2]
-        for u in self.used:
-            self.seen[u] = True
-        return True
-
-    def clear(self) -> None:
-        for u in self.used:
-            self.seen[u] = False
+def grams(x: np.ndarray, base: int | None = None) -> list[np.ndarray]:
+    """The n-grams (1 to 3) of spelled letters, each a number of its own.
+
+    Without ``base``: code points packed in 21 bits each (none is 0, so lengths stay apart). With it, ``x`` holds
+    numbers below ``base`` with 0 for ``EDGE``, and n-grams of each length have a range of their own.
+    """
+    one = x[x != (EDGE if base is None else 0)]
+    if base is None:
+        two = x[:-1] << _BITS | x[1:]
+        return [one, two, two[:-1] << _BITS | x[2:]]
+    two = x[:-1] * base + x[1:]
+    return [one, two + base, two[:-1] * base + x[2:] + base + base ** 2]
+
+
+class Presence:
+    """Which of some n-grams (packed, ascending) texts hold, and how many distinct n-grams each has."""
+
+    def __init__(self, wanted: np.ndarray):
+        self.letters, self.wanted = _letter_table(), wanted
+        mask = (1 << _BITS) - 1
+        self.parts = [wanted >> 2 * _BITS, wanted >> _BITS & mask, wanted & mask]
+        self.number = np.zeros(EDGE + 1, np.int64)
+
+    def __call__(self, texts) -> tuple[np.ndarray, np.ndarray]:
+        """(texts by n-grams, distinct n-grams of each text; 0 for a text without letters)."""
+        rows, sums = np.zeros((len(texts), len(self.wanted)), np.float32), np.zeros(len(texts))
+        spelled = [(i, x) for i, x in ((i, spell(t, self.letters)) for i, t in enumerate(texts) if t) if len(x) > 1]
+        met = np.zeros(EDGE + 1, bool)
+        for _, x in spelled:
+            met[x] = True
+        met[EDGE] = False
+        alphabet = np.flatnonzero(met)
+        base = len(alphabet) + 1
+        if base + base ** 2 + base ** 3 > DENSE:
+            for i, x in spelled:
+                own = np.unique(np.concatenate(grams(x)))
+                at = np.searchsorted(self.wanted, own)
+                at, hit = np.minimum(at, max(0, len(self.wanted) - 1)), len(self.wanted) > 0
+                rows[i, at[self.wanted[at] == own] if hit else []] = 1
+                sums[i] = len(own)
+            return rows, sums
+        self.number[:] = -1
+        self.number[alphabet] = np.arange(1, base)
+        self.number[EDGE] = 0
+        # The wanted n-grams in these numbers; one with a letter that no text here has is in none of them.
+        a, b, c = (self.number[p] for p in self.parts)
+        length = 1 + (self.parts[1] > 0) + (self.parts[0] > 0)
+        numbers = np.choose(length - 1, [c, b * base + c + base, (a * base + b) * base + c + base + base ** 2])
+        possible = (c >= 0) & ((length < 2) | (b >= 0)) & ((length < 3) | (a >= 0))
+        numbers = numbers[possible]
+        seen = np.zeros(base + base ** 2 + base ** 3, bool)
+        for i, x in spelled:
+            own = grams(self.number[x], base)
+            for g in own:
+                seen[g] = True
+            rows[i, possible] = seen[numbers]
+            sums[i] = np.count_nonzero(seen)
+            for g in own:
+                seen[g] = False
+        return rows, sums
 
 
 class Model:
-    """languages, alphabet, grams (numbers in the alphabet's spectrum), matrix (grams by languages)."""
+    """languages, grams (packed, ascending), matrix (grams by languages)."""
 
-    def __init__(self, languages: list[str], alphabet: list[int], grams: np.ndarray, matrix: np.ndarray):
-        self.languages, self.alphabet, self.grams, self.matrix = languages, alphabet, grams, matrix
+    def __init__(self, languages: list[str], wanted: np.ndarray, matrix: np.ndarray):
+        self.languages, self.grams, self.matrix = languages, wanted, matrix
 
     def columns(self, text: Column) -> Column:
         """struct<lang_pred, score>; null texts and texts without a letter are ``und`` with score 0."""
@@ -77,13 +119,13 @@ class Model:
 
         @F.pandas_udf("struct<lang_pred:string,score:double>")
         def predict(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
-            spectrum = Spectrum(model.alphabet, _letter_table())
+            presence = Presence(model.grams)
             for texts in batches:
                 langs, scores = [_NO_LANGUAGE] * len(texts), np.zeros(len(texts))
                 for at in range(0, len(texts), BATCH):
-                    rows, sums = presence(spectrum, texts.iloc[at:at + BATCH], model.grams)
                     if not len(model.languages):
                         continue
+                    rows, sums = presence(texts.iloc[at:at + BATCH])
                     margins = (rows @ model.matrix) / np.sqrt(np.maximum(sums, 1))[:, None]
                     best = margins.argmax(axis=1)
                     for i in np.flatnonzero(sums):
@@ -94,36 +136,15 @@ class Model:
         return predict(text)
 
 
-def presence(spectrum: Spectrum, texts, grams: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """(texts by ``grams`` presence matrix, distinct n-grams of each text; 0 for a text without letters)."""
-    rows, sums = np.zeros((len(texts), len(grams)), np.float32), np.zeros(len(texts))
-    for i, t in enumerate(texts):
-        if t and spectrum.mark(t):
-            rows[i] = spectrum.seen[grams]
-            sums[i] = np.count_nonzero(spectrum.seen)
-            spectrum.clear()
-    return rows, sums
-
-
 def train(texts: list[str], labels: list[str], landmarks: int = LANDMARKS, ridge: float = RIDGE) -> Model:
     """Fit on texts with letters. ``landmarks``: the first texts of each language."""
     letters = _letter_table()
     languages = sorted(set(labels))
     chosen = sorted(i for lang in languages for i in [k for k, x in enumerate(labels) if x == lang][:landmarks])
-    counts: dict[int, int] = {}
-    for i in chosen:
-        for ch in set(texts[i].lower()):
-            if letters[ord(ch)]:
-                counts[ord(ch)] = counts.get(ord(ch), 0) + 1
-    alphabet = sorted(counts, key=lambda c: (-counts[c], c))
-    spectrum = Spectrum(alphabet, letters)
-    union = np.zeros(spectrum.size, bool)
-    for i in chosen:
-        if spectrum.mark(texts[i]):
-            union |= spectrum.seen
-            spectrum.clear()
-    grams = np.flatnonzero(union)
-    rows, sums = presence(spectrum, texts, grams)
+    wanted = np.unique(np.concatenate([g for i in chosen for g in grams(spell(texts[i], letters))]))
+    presence = Presence(wanted)
+    found = [presence(texts[at:at + BATCH]) for at in range(0, len(texts), BATCH)]
+    rows, sums = np.concatenate([r for r, _ in found]), np.concatenate([n for _, n in found])
     rows = rows / np.sqrt(np.maximum(sums, 1))[:, None]
     marks = rows[chosen]
     kernel = marks @ marks.T
@@ -133,7 +154,7 @@ def train(texts: list[str], labels: list[str], landmarks: int = LANDMARKS, ridge
     phi = (rows @ marks.T) @ root
     target = np.where(np.array(labels)[:, None] == np.array(languages)[None, :], 1.0, -1.0)
     weights = np.linalg.solve(phi.T @ phi + ridge * np.eye(phi.shape[1]), phi.T @ target)
-    return Model(languages, alphabet, grams, (marks.T @ (root @ weights)).astype(np.float32))
+    return Model(languages, wanted, (marks.T @ (root @ weights)).astype(np.float32))
 
 
 def _is_held_out(doc_id: Column) -> Column:
@@ -141,23 +162,24 @@ def _is_held_out(doc_id: Column) -> Column:
     return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % 5 == 0, F.lit(True))
 
 
-def fit(docs: DataFrame, sample: int = SAMPLE) -> Model:
-    """Learn from rows with text and lang that are not held out: about ``sample`` texts of each language.
+def fit(docs: DataFrame, sample: int = SAMPLE, sample_chars: int = SAMPLE_CHARS) -> Model:
+    """Learn from rows with text and lang that are not held out: the ``sample`` of each language with the smallest hash of id and text.
 
-    The sample is chosen by a hash of id and text at a rate per language, so it is
-    bounded and reproducible. Without such rows the model knows no language.
+    So the sample is bounded, in rows and in characters of each, and reproducible; the bound is applied before the
+    shuffle, too. Rows that share an id are drawn by their texts. Without such rows the model knows no language;
+    more than ``LANGUAGES`` languages are refused.
     """
-    src = docs.select(docs["doc_id"].alias("doc_id"), docs["text"].alias("text"), docs["lang"].alias("lang"))
-    src = src.where(src["lang"].isNotNull() & src["text"].isNotNull() & ~_is_held_out(src["doc_id"]))
-    counts = {r["lang"]: r["count"] for r in src.groupBy("lang").count().collect()}
-    if not counts:
-        return Model([], [], np.zeros(0, np.int64), np.zeros((0, 0), np.float32))
-    draw = F.shiftrightunsigned(F.xxhash64(F.lit(4), "doc_id"), 11) / float(1 << 53)
-    rate = F.create_map(*(F.lit(x) for lang, n in counts.items() for x in (lang, min(1.0, sample / n))))
-    rows = src.where(draw < rate[F.col("lang")]).select("text", "lang", draw.alias("d")).orderBy("d").collect()
-    rows = [r for r in rows if any(ch.isalpha() for ch in r.text)]
+    src = docs.select(docs["text"].alias("text"), docs["lang"].alias("lang"), F.xxhash64(F.lit(4), docs["doc_id"], docs["text"]).alias("draw"),
+                      docs["doc_id"].alias("doc_id"))
+    src = src.where(src["lang"].isNotNull() & src["text"].rlike(r"\p{L}") & ~_is_held_out(src["doc_id"]))
+    src = src.select("lang", "draw", F.substring("text", 1, sample_chars).alias("text"))
+    drawn = src.withColumn("_place", F.row_number().over(Window.partitionBy("lang").orderBy("draw", "text"))).where(F.col("_place") <= sample)
+    rows = drawn.where("_place = 1").limit(LANGUAGES + 1).count()
+    if rows > LANGUAGES:
+        raise ValueError(f"more than {LANGUAGES} languages")
+    rows = [r for r in drawn.select("lang", "draw", "text").orderBy("draw", "lang", "text").collect() if any(map(str.isalpha, r.text.lower()))]
     if not rows:
-        return Model([], [], np.zeros(0, np.int64), np.zeros((0, 0), np.float32))
+        return Model([], np.zeros(0, np.int64), np.zeros((0, 0), np.float32))
     return train([r.text for r in rows], [r.lang for r in rows])
 
 

@@ -1,9 +1,11 @@
 import random
+import zlib
 
 import numpy as np
 import pytest
 
-from salaria.llm.language_id import Spectrum, _letter_table, predict_languages, presence, train
+from salaria.llm import language_id
+from salaria.llm.language_id import EDGE, Presence, predict_languages, train
 from tests_llm_data import awkward
 
 SYLLABLES = {"aa": ["ka", "ro", "mi", "tu", "lé"], "bb": ["sch", "ung", "ei", "zt", "ö"], "cc": ["qu", "ux", "oi", "ê", "ll"]}
@@ -13,46 +15,67 @@ def text(rng, lang, words):
     return " ".join("".join(rng.choice(SYLLABLES[lang]) for _ in range(rng.randint(1, 4))) for _ in range(words)) + rng.choice((".", " 12", "!"))
 
 
-def grams(t, ids):
-    """The distinct n-grams of a text, straight from the definition."""
-    x, run = [0], True
+def definition(t):
+    """The distinct n-grams of a text, straight from the definition: runs of other characters count as one edge."""
+    x = [" "]
     for ch in t.lower():
-        k = int(ids[ord(ch)])
-        if k or not run:
-            x.append(k)
-        run = k == 0
-    if x[-1]:
-        x.append(0)
-    return {tuple(x[i:i + n]) for n in (1, 2, 3) for i in range(len(x) - n + 1) if n > 1 or x[i]}
+        ch = ch if ch.isalpha() else " "
+        if ch != " " or x[-1] != " ":
+            x.append(ch)
+    if x[-1] != " ":
+        x.append(" ")
+    return {"".join(x[i:i + n]) for n in (1, 2, 3) for i in range(len(x) - n + 1) if n > 1 or x[i] != " "} - {" "} if len(x) > 1 else set()
 
 
-def test_presence_equals_the_definition():
+def packed(gram):
+    out = 0
+    for ch in gram:
+        out = out << 21 | (EDGE if ch == " " else ord(ch))
+    return out
+
+
+@pytest.mark.parametrize("dense", [1 << 24, 0])
+def test_presence_equals_the_definition(monkeypatch, dense):
+    monkeypatch.setattr(language_id, "DENSE", dense)
     rng = random.Random(1)
-    spectrum = Spectrum([ord(c) for c in "aeiou"], _letter_table())
-    for _ in range(200):
-        t = "".join(rng.choice("aeiouxyz éß 12,.日") for _ in range(rng.randint(0, 40)))
-        has = spectrum.mark(t) if t else False
-        assert has == any(c.isalpha() for c in t)
-        if has:
-            assert spectrum.seen.sum() == len(grams(t, spectrum.ids))
-            spectrum.clear()
-        assert not spectrum.seen.any()
-
-
-def test_folded_scores_equal_kernel_nystroem_and_regression():
-    """The one matrix product gives what the kernel rows, the Nyström map and the regression give one by one."""
+    texts = ["".join(rng.choice("aeiouxyz éß 12,.日本ΩЖ😀") for _ in range(rng.randint(0, 40))) for _ in range(300)] + ["", None, "12 .", "İ"]
+    sets = [definition(t or "") for t in texts]
+    wanted = sorted({packed(g) for s in sets[:60] for g in s} | {packed("qqq"), packed("q"), packed(" q")})
+    presence = Presence(np.array(wanted, np.int64))
+    for at in (0, 100, 250):
+        rows, sums = presence(texts[at:at + 100])
+        for row, total, s in zip(rows, sums, sets[at:at + 100]):
+            assert total == len(s)
+            assert {wanted[k] for k in np.flatnonzero(row)} == {packed(g) for g in s} & set(wanted)
+
+
+def scripts(rng, n):
+    """Texts of three languages in scripts of their own with 50 letters each, and some letters of the others."""
+    alphabets = [[chr(c) for c in range(start, start + 50)] for start in (0x61, 0x430, 0x4E00)]
+    alphabets[0] = [c for c in map(chr, range(0xC0, 0x250)) if c.isalpha() and c.lower() == c][:50]
+    labels = [rng.choice("abc") for _ in range(n)]
+    return [" ".join("".join(rng.choice(alphabets["abc".index(x) if rng.random() < 0.8 else rng.randrange(3)][:rng.choice((5, 50))]) for _ in range(rng.randint(1, 6)))
+                     for _ in range(25)) for x in labels], labels
+
+
+@pytest.mark.parametrize("dense", [1 << 24, 0])
+@pytest.mark.parametrize("many_letters", [False, True])
+def test_folded_scores_equal_kernel_nystroem_and_regression(monkeypatch, dense, many_letters):
+    """The one matrix product gives what the exact kernel rows, the Nyström map and the regression give one by one."""
+    monkeypatch.setattr(language_id, "DENSE", dense)
     rng = random.Random(2)
     labels = [rng.choice("aa bb cc".split()) for _ in range(90)]
     texts = [text(rng, lang, 20) for lang in labels]
+    if many_letters:
+        texts, labels = scripts(rng, 90)
+        assert len(set("".join(texts))) > 140
     model = train(texts, labels, landmarks=5, ridge=0.1)
-    spectrum = Spectrum(model.alphabet, _letter_table())
-    sets = [grams(t, spectrum.ids) for t in texts]
+    sets = [definition(t) for t in texts]
     marks = sorted(i for lang in sorted(set(labels)) for i in [k for k, x in enumerate(labels) if x == lang][:5])
 
     def kernel(a, b):
         return len(a & b) / np.sqrt(len(a) * len(b))
 
-    # n-grams that no landmark has meet no landmark: the kernel to landmarks is the same with and without them
     k_mm = np.array([[kernel(sets[i], sets[j]) for j in marks] for i in marks])
     k_nm = np.array([[kernel(s, sets[j]) for j in marks] for s in sets])
     values, vectors = np.linalg.eigh(k_mm)
@@ -61,11 +84,47 @@ def test_folded_scores_equal_kernel_nystroem_and_regression():
     phi = k_nm @ root
     target = np.where(np.array(labels)[:, None] == np.array(model.languages)[None, :], 1.0, -1.0)
     want = phi @ np.linalg.solve(phi.T @ phi + 0.1 * np.eye(phi.shape[1]), phi.T @ target)
-    rows, sums = presence(spectrum, texts, model.grams)
+    rows, sums = Presence(model.grams)(texts)
     got = rows @ model.matrix / np.sqrt(sums)[:, None]
     assert np.allclose(got, want, atol=1e-3)
 
 
+def test_one_repeated_id_is_learned_from_within_the_bound(spark, frame, monkeypatch):
+    rng = random.Random(5)
+    free = next(i for i in range(100) if zlib.crc32(str(i).encode()) % 5)
+    rows = [(free, text(rng, "bb", 12), "bb", "s") for _ in range(3000)] + [(free, text(rng, "aa", 12) * 50, "aa", "s") for _ in range(40)]
+    seen = {}
+    real = language_id.train
+
+    def spy(texts, labels):
+        seen["texts"], seen["labels"] = texts, labels
+        return real(texts, labels)
+
+    monkeypatch.setattr(language_id, "train", spy)
+    model = language_id.fit(frame(rows), sample=100, sample_chars=300)
+    assert model.languages == ["aa", "bb"] and max(map(len, seen["texts"])) == 300
+    assert sorted(seen["labels"]) == ["aa"] * 40 + ["bb"] * 100
+    got = predict_languages(frame(rows[:50] + rows[-20:] + [(7, text(rng, "bb", 30), None, None)])).collect()
+    assert all(r.lang_pred == ("aa" if k >= 50 and k < 70 else "bb") for k, r in enumerate(got))
+
+
+def test_too_many_languages_are_refused(frame, monkeypatch):
+    monkeypatch.setattr(language_id, "LANGUAGES", 3)
+    with pytest.raises(ValueError, match="more than 3 languages"):
+        language_id.fit(frame([(i, "some words", f"l{i}", "s") for i in range(40)]))
+
+
+def test_held_out_rows_are_no_part_of_the_fit(frame):
+    """held_out is crc32 of the id as text; labels and texts of held-out rows leave the predictions of others as they are."""
+    rng = random.Random(6)
+    rows = [(i, text(rng, lang := rng.choice(("aa", "bb", "cc")), 20), lang, "s") for i in range(300)]
+    got = {r.doc_id: r for r in predict_languages(frame(rows)).collect()}
+    assert all(r.held_out == (zlib.crc32(str(i).encode()) % 5 == 0) for i, r in got.items())
+    other = [(i, t, "aa" if got[i].held_out else lang, s) for i, t, lang, s in rows]
+    again = {r.doc_id: r for r in predict_languages(frame(other)).collect()}
+    assert again == got
+
+
 def test_held_out_accuracy_and_awkward_rows(frame):
     rng = random.Random(3)
     rows = [(i, text(rng, lang := rng.choice(("aa", "bb", "cc")), rng.choice((3, 20, 200))), lang, "s") for i in range(600)]
