@@ -28,6 +28,7 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -64,8 +65,50 @@ def _plain(text: str) -> bool:
     return not any(x in text and (" " + x in text or x + " " in text) for x in (_SPACES[:9] if text.isascii() else _SPACES))
 
 
+class _Memory:
+    """Ids of words, one after the other in an array: ``start`` and ``size`` by the word's number.
+
+    Of the generation before, what is asked for again is taken over; the rest is forgotten.
+    """
+
+    def __init__(self):
+        self.number: dict[str, int] = {}
+        self.ids, self.start, self.size, self.used = np.empty(1 << 16, np.uint32), np.empty(1 << 14, np.int64), np.empty(1 << 14, np.int64), 0
+
+    def add(self, ids: np.ndarray, size: np.ndarray) -> range:
+        """Numbers of new entries, whose ``ids`` follow each other in pieces of ``size``."""
+        n = self._n = getattr(self, "_n", 0)
+        while n + len(size) > len(self.start):
+            self.start, self.size = (np.concatenate([x, np.empty_like(x)]) for x in (self.start, self.size))
+        while self.used + len(ids) > len(self.ids):
+            self.ids = np.concatenate([self.ids, np.empty_like(self.ids)])
+        self.size[n:n + len(size)] = size
+        self.start[n:n + len(size)] = self.used + np.cumsum(size) - size
+        self.ids[self.used:self.used + len(ids)] = ids
+        self.used += len(ids)
+        self._n = n + len(size)
+        return range(n, self._n)
+
+    def mark(self) -> tuple[int, int]:
+        return getattr(self, "_n", 0), self.used
+
+    def forget_since(self, mark: tuple[int, int]) -> None:
+        """Drop the entries added after ``mark`` (none of them may have a word)."""
+        self._n, self.used = mark
+
+    def gather(self, entries: np.ndarray) -> np.ndarray:
+        """The ids of ``entries``, one after the other."""
+        size = self.size[entries]
+        upto = np.cumsum(size)
+        shift = self.start[entries]
+        shift[1:] -= upto[:-1]
+        at = np.repeat(shift, size)
+        at += np.arange(len(at))
+        return self.ids[at]
+
+
 class Encoder:
-    """ids of whole texts as little-endian unsigned 32-bit integers.
+    """ids of whole texts.
 
     ``literal``: the text of an added token marked special (an end-of-text mark) is
     spelled out in pieces; False: it is that token, as in the library's plain call.
@@ -82,8 +125,7 @@ class Encoder:
         self.added = [t.content for t in added if not (literal and t.special)]
         #: Tokens that take up or ask for what stands beside them, or are sought in normalised text: no text is cut.
         self.uncut = any(t.lstrip or t.rstrip or t.single_word or t.normalized or any(map(str.isspace, t.content)) for t in added)
-        self.known: dict[str, bytes] = {}
-        self.earlier: dict[str, bytes] = {}
+        self.memory, self.earlier = _Memory(), _Memory()
         self.spaced = np.zeros(self.tokenizer.get_vocab_size(), bool)
         for token, k in self.tokenizer.get_vocab().items():
             self.spaced[k] = token.startswith("\u0120")  # the tokenizer's sign for a space
@@ -91,49 +133,61 @@ class Encoder:
     def whole(self, texts: list[str]) -> list[np.ndarray]:
         return [np.array(e.ids, "<u4") for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
-    def _learn(self, words: list[str]) -> None:
+    def _learn(self, words: list[str]) -> range:
         """Encode words, each with a space before it, many in one text: an id that begins with a space begins a word."""
-        runs = [words[k:k + _RUN_WORDS] for k in range(0, len(words), _RUN_WORDS)]
-        known = self.known
-        for run, ids in zip(runs, self.whole([" " + " ".join(run) for run in runs])):
-            at = np.flatnonzero(self.spaced[ids]).tolist()
-            raw = ids.tobytes()
-            for w, a, b in zip(run, at, [*at[1:], len(ids)]):
-                known[w] = raw[4 * a:4 * b]
+        ids = self.whole([" " + " ".join(words[k:k + _RUN_WORDS]) for k in range(0, len(words), _RUN_WORDS)])
+        ids = np.concatenate(ids)
+        at = np.flatnonzero(self.spaced[ids])
+        return self.memory.add(ids, np.diff(np.append(at, len(ids))))
+
+    def _entries(self, words: list[str]) -> np.ndarray:
+        """The memory's entries of distinct words; unknown ones are learned."""
+        memory, old = self.memory, self.earlier
+        found = np.array([-1 if k is None else k for k in map(memory.number.get, words)], np.int64)
+        holes = np.flatnonzero(found < 0)
+        if not len(holes):
+            return found
+        missing = [words[k] for k in holes.tolist()]
+        before = np.array([-1 if k is None else k for k in map(old.number.get, missing)], np.int64)
+        known = before >= 0
+        for some, entries in ((known, lambda new: memory.add(old.gather(before[known]), old.size[before[known]])), (~known, self._learn)):
+            places = np.flatnonzero(some)
+            if len(places):
+                new = [missing[k] for k in places.tolist()]
+                numbers = entries(new)
+                memory.number.update(zip(new, numbers))
+                found[holes[places]] = numbers
+        return found
+
+    def encode(self, texts: pa.Array, end: int | None = None) -> tuple[np.ndarray, np.ndarray]:
+        """(ids of all texts one after the other, ids of each text); nulls are empty, ``end`` is put behind each."""
+        if len(self.memory.number) > MEMORY:
+            self.memory, self.earlier = _Memory(), self.memory
+        strings = [t or "" for t in texts.to_pylist()]
+        cut = [not self.uncut and _plain(t) and not any(x in t for x in self.added) for t in strings]
+        # Texts that are not cut count as one empty word; each text's first word has no space before it and is encoded apart.
+        words = pc.split_pattern(pc.if_else(pa.array(cut, pa.bool_()), texts, ""), " ")
+        offsets = words.offsets.to_numpy().astype(np.int64)
+        words = words.values.slice(offsets[0], offsets[-1] - offsets[0]).dictionary_encode()
+        offsets -= offsets[0]
+        entries = self._entries(words.dictionary.to_pylist())[words.indices.to_numpy()]
+        passing = self.memory.mark()
+        firsts = self.whole([t.partition(" ")[0] if c else t for t, c in zip(strings, cut)])
+        firsts.append(np.array([] if end is None else [end], "<u4"))
+        numbers = np.array(self.memory.add(np.concatenate(firsts), np.array([len(f) for f in firsts])))
+        entries[offsets[:-1]] = numbers[:-1]
+        entries = np.insert(entries, offsets[1:], numbers[-1])
+        upto = np.concatenate([[0], np.cumsum(self.memory.size[entries])])
+        ends = offsets + np.arange(len(offsets))
+        out = self.memory.gather(entries), np.diff(upto[ends])
+        self.memory.forget_since(passing)
+        return out
 
     def batch(self, texts: list[str]) -> list[bytes]:
-        if len(self.known) > MEMORY:
-            self.known, self.earlier = {}, self.known
-        known, earlier, cut, missing = self.known, self.earlier, [], {}
-        for t in texts:
-            # The first word has no space before it; it is encoded apart.
-            if self.uncut or not _plain(t) or any(x in t for x in self.added):
-                cut.append((None, None, ()))
-                continue
-            words = t.split(" ")
-            codes = list(map(known.get, words))
-            holes = [k for k, c in enumerate(codes) if c is None] if None in codes else ()
-            for k in holes:
-                w = words[k]
-                code = earlier.get(w)
-                if code is None:
-                    missing[w] = None
-                else:
-                    known[w] = code
-            cut.append((words, codes, holes))
-        if missing:
-            self._learn(list(missing))
-        apart = self.whole([t if words is None else words[0] for t, (words, _, _) in zip(texts, cut)])
-        out = []
-        for first, (words, codes, holes) in zip(apart, cut):
-            if words is None:
-                out.append(first.tobytes())
-                continue
-            for k in holes:
-                codes[k] = known[words[k]]
-            codes[0] = first.tobytes()
-            out.append(b"".join(codes))
-        return out
+        """Little-endian unsigned 32-bit ids of each text."""
+        ids, sizes = self.encode(pa.array(texts, pa.string()))
+        upto = np.cumsum(sizes)
+        return [ids[b - n:b].astype("<u4").tobytes() for b, n in zip(upto.tolist(), sizes.tolist())]
 
 
 def _every_other(same: np.ndarray) -> np.ndarray:
@@ -250,14 +304,29 @@ def expansion_lengths(rules: np.ndarray, first: int) -> np.ndarray:
     return out
 
 
+def needed_rules(symbols: np.ndarray, rules: np.ndarray, first: int) -> np.ndarray:
+    """Numbers of the rules that ``symbols`` expand through, ascending: found by walking down from them."""
+    asked = np.zeros(len(rules), bool)
+    front = symbols[symbols >= first].astype(np.int64) - first
+    while len(front):
+        asked[front] = True
+        front = rules[np.unique(front)].ravel().astype(np.int64) - first
+        front = front[front >= 0]
+        front = front[~asked[front]]
+    return np.flatnonzero(asked)
+
+
 def expand(symbols: np.ndarray, rules: np.ndarray, sizes: np.ndarray, first: int) -> np.ndarray:
-    """The ids of ``symbols``; ``sizes``: expansion lengths of the rules."""
-    begin = np.concatenate([[0], np.cumsum(sizes, dtype=np.int64)])
-    words = np.empty(begin[-1], np.uint32)  # the expansions of all rules, one after the other
-    for k, (a, b) in enumerate(rules.tolist()):
-        mid = begin[k] + (sizes[a - first] if a >= first else 1)
-        words[begin[k]:mid] = words[begin[a - first]:begin[a - first + 1]] if a >= first else a
-        words[mid:begin[k + 1]] = words[begin[b - first]:begin[b - first + 1]] if b >= first else b
+    """The ids of ``symbols``; ``sizes``: expansion lengths of the rules. Only rules that occur below ``symbols`` are expanded."""
+    asked = needed_rules(symbols, rules, first)
+    begin = np.zeros(len(rules), np.int64)  # of the asked rules' expansions, one after the other
+    upto = np.cumsum(sizes[asked], dtype=np.int64)
+    begin[asked] = upto - sizes[asked]
+    words = np.empty(int(upto[-1]) if len(asked) else 0, np.uint32)
+    for (a, b), at, end in zip(rules[asked].tolist(), begin[asked].tolist(), upto.tolist()):
+        mid = at + (int(sizes[a - first]) if a >= first else 1)
+        words[at:mid] = words[begin[a - first]:begin[a - first] + mid - at] if a >= first else a
+        words[mid:end] = words[begin[b - first]:begin[b - first] + end - mid] if b >= first else b
     inner = symbols >= first
     rule = symbols[inner].astype(np.int64) - first
     size = np.ones(len(symbols), np.int64)
@@ -274,17 +343,20 @@ def expand(symbols: np.ndarray, rules: np.ndarray, sizes: np.ndarray, first: int
 
 
 def pack_shard(doc_ids: list[int | None], codes: list[bytes], vocabulary: int) -> bytes:
-    """The blob of a shard. Little-endian: magic RPS1; counts of documents, rules, symbols and the first
-    nonterminal (4 x u32); then doc_ids (i64) and whether they are null (u8), first symbol of each document
+    """``pack_ids`` of documents whose ids come as little-endian unsigned 32-bit integers."""
+    return pack_ids(doc_ids, np.frombuffer(b"".join(codes), "<u4"), np.array([len(c) // 4 for c in codes], np.int64), vocabulary)
+
+
+def pack_ids(doc_ids: list[int | None], seq: np.ndarray, lengths: np.ndarray, vocabulary: int) -> bytes:
+    """The blob of a shard of the ids ``seq``, ``lengths`` of them for each document. Little-endian: magic RPS1; counts of documents,
+    rules, symbols and the first nonterminal (4 x u32); then doc_ids (i64) and whether they are null (u8), first symbol of each document
     (u32), ids of each document (u32), rules (2 x u32), their expansion lengths (u32), symbols (u16 where all fit, else u32)."""
-    lengths = np.array([len(c) // 4 for c in codes], np.int64)
-    seq = np.frombuffer(b"".join(codes), "<u4").astype(np.uint32)
     ends = np.zeros(len(seq), bool)
     ends[np.cumsum(lengths) - 1] = True
     rules, symbols, ends = repair(seq, ends, vocabulary)
     begin = np.concatenate([[0], np.flatnonzero(ends)[:-1] + 1])
     wide = "<u2" if vocabulary + len(rules) <= 1 << 16 else "<u4"
-    head = _MAGIC + struct.pack("<4I", len(codes), len(rules), len(symbols), vocabulary)
+    head = _MAGIC + struct.pack("<4I", len(doc_ids), len(rules), len(symbols), vocabulary)
     return b"".join([head, np.array([d or 0 for d in doc_ids], "<i8").tobytes(), np.array([d is None for d in doc_ids], "u1").tobytes(),
                      begin.astype("<u4").tobytes(), lengths.astype("<u4").tobytes(), rules.astype("<u4").tobytes(),
                      expansion_lengths(rules, vocabulary).astype("<u4").tobytes(), symbols.astype(wide).tobytes()])
@@ -308,24 +380,37 @@ class Shard:
         ids, none = take("<i8", n), take("u1", n)
         self.doc_ids = [None if x else int(d) for d, x in zip(ids, none)]
         self.begin, self.lengths = take("<u4", n), take("<u4", n)
+        self.upto = np.cumsum(self.lengths, dtype=np.int64)
         self.rules, self.sizes = take("<u4", 2 * r).reshape(-1, 2), take("<u4", r)
         self.symbols = take("<u2" if self.first + r <= 1 << 16 else "<u4", s)
 
     def ids(self, start: int = 0, end: int | None = None) -> np.ndarray:
         """Ids ``start`` to ``end`` of the shard; only the symbols that hold them are expanded."""
-        size = np.ones(len(self.symbols), np.int64)
-        inner = self.symbols >= self.first
-        size[inner] = self.sizes[self.symbols[inner].astype(np.int64) - self.first]
+        if end is None:
+            end = int(self.upto[-1]) if len(self.upto) else 0
+        if start >= end:
+            return np.empty(0, np.uint32)
+        # The documents, then the symbols in them, by expansion lengths.
+        low, high = int(np.searchsorted(self.upto, start, "right")), int(np.searchsorted(self.upto, end, "left"))
+        symbols = self._symbols(low, high)
+        size = np.ones(len(symbols), np.int64)
+        inner = symbols >= self.first
+        size[inner] = self.sizes[symbols[inner].astype(np.int64) - self.first]
         upto = np.cumsum(size)
-        end = int(upto[-1]) if end is None else end
-        a, b = np.searchsorted(upto, start, "right"), np.searchsorted(upto, end, "left") + 1
-        skip = start - (int(upto[a - 1]) if a else 0)
-        return expand(self.symbols[a:b].astype(np.uint32), self.rules, self.sizes, self.first)[skip:skip + end - start]
+        skip = start - (int(self.upto[low - 1]) if low else 0)
+        end += skip - start
+        a, b = np.searchsorted(upto, skip, "right"), np.searchsorted(upto, end, "left") + 1
+        before = int(upto[a - 1]) if a else 0
+        return expand(symbols[a:b], self.rules, self.sizes, self.first)[skip - before:end - before]
+
+    def _symbols(self, low: int, high: int) -> np.ndarray:
+        """Symbols of the documents ``low`` to ``high``."""
+        stop = self.begin[high + 1] if high + 1 < len(self.begin) else len(self.symbols)
+        return self.symbols[self.begin[low]:stop].astype(np.uint32)
 
     def document(self, k: int) -> np.ndarray:
         """The ids of document number ``k`` of the shard."""
-        stop = self.begin[k + 1] if k + 1 < len(self.begin) else len(self.symbols)
-        return expand(self.symbols[self.begin[k]:stop].astype(np.uint32), self.rules, self.sizes, self.first)
+        return expand(self._symbols(k, k), self.rules, self.sizes, self.first)
 
 
 _ENCODERS: dict[int, Encoder] = {}
@@ -343,25 +428,30 @@ def _shards(spec: str, shard_ids: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = _encoder(spec)
         vocabulary = encoder.tokenizer.get_vocab_size()
-        end, part, number = END.to_bytes(4, "little"), TaskContext.get().partitionId(), 0
-        ids, codes, size = [], [], 0
+        part, number = TaskContext.get().partitionId(), 0
+        ids, codes, sizes, held = [], [], [], 0
 
         def flush() -> pa.RecordBatch:
-            blob = pack_shard(ids, codes, vocabulary)
-            return pa.RecordBatch.from_arrays([pa.array([part], pa.int32()), pa.array([number], pa.int32()), pa.array([size // 4], pa.int64()),
+            blob = pack_ids(ids, np.concatenate(codes), np.concatenate(sizes), vocabulary)
+            return pa.RecordBatch.from_arrays([pa.array([part], pa.int32()), pa.array([number], pa.int32()), pa.array([held], pa.int64()),
                                                pa.array([blob], pa.binary())], names=["part", "shard", "n_ids", "blob"])
 
         for batch in batches:
             for at in range(0, batch.num_rows, 1000):
                 some = batch.slice(at, 1000)
-                found = encoder.batch([t or "" for t in some.column(1).to_pylist()])
-                for doc_id, code in zip(some.column(0).to_pylist(), found):
-                    ids.append(doc_id)
-                    codes.append(code + end)
-                    size += len(codes[-1])
-                    if size >= 4 * shard_ids:
+                code, size = encoder.encode(some.column(1), END)
+                doc_ids, upto, done = some.column(0).to_pylist(), np.cumsum(size), 0
+                while done < len(size):  # a shard ends with the document that fills it
+                    begun = int(upto[done - 1]) if done else 0
+                    stop = min(int(np.searchsorted(upto, begun + shard_ids - held)) + 1, len(size))
+                    ids += doc_ids[done:stop]
+                    codes.append(code[begun:upto[stop - 1]])
+                    sizes.append(size[done:stop])
+                    held += len(codes[-1])
+                    done = stop
+                    if held >= shard_ids:
                         yield flush()
-                        ids, codes, size, number = [], [], 0, number + 1
+                        ids, codes, sizes, held, number = [], [], [], 0, number + 1
         if ids:
             yield flush()
     return run

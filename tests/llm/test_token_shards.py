@@ -59,6 +59,27 @@ def test_grammar_is_lossless_with_random_access(least):
         assert shard.ids(a, b).tolist() == seq[a:b].tolist()
 
 
+def test_random_access_walks_down_only_the_rules_it_needs(monkeypatch):
+    rng = np.random.default_rng(4)
+    phrases = [rng.integers(0, 5000, 12) for _ in range(300)]
+    docs = [np.concatenate([phrases[k] for k in rng.integers(0, 300, 20)] + [[END]]).astype("<u4") for _ in range(1500)]
+    seq, at = np.concatenate(docs), np.cumsum([0, *map(len, docs)])
+    shard = Shard(pack_shard(list(range(1500)), [d.tobytes() for d in docs], 5000))
+    assert len(shard.rules) > 2000
+    walked, real = [], token_shards.needed_rules
+
+    def spy(*args):
+        walked.append(len(real(*args)))
+        return real(*args)
+
+    monkeypatch.setattr(token_shards, "needed_rules", spy)
+    for k in (0, 7, 1499):
+        assert (shard.document(k) == docs[k]).all()
+        assert (shard.ids(int(at[k]) + 3, int(at[k]) + 8) == docs[k][3:8]).all()
+    assert max(walked[::2]) <= 20 * 12 and max(walked[1::2]) <= 3 * 12 and min(walked) > 0  # a phrase of 12 ids takes 11 rules
+    assert shard.ids(5, 5).tolist() == [] and (shard.ids() == seq).all() and walked[-1] == len(shard.rules)
+
+
 def test_runs_of_one_id():
     for n in (1, 2, 3, 64, 1001):
         seq = np.full(n, 5, np.uint32)
