@@ -27,10 +27,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 
 from salaria.llm.rows import documents, release_memory, small_batches
+from salaria.llm.words import WordMemory
 
 SPACE = "▁"
 #: Words remembered (twice as many at most), their greatest length, and pairs of pieces remembered, per worker.
-MEMORY, SHORT, PAIRS = 300_000, 40, 300_000
+MEMORY, SHORT, PAIRS = 800_000, 40, 300_000
 #: Characters of texts that are encoded together, and come out as one batch.
 CHUNK = 4_000_000
 
@@ -75,8 +76,8 @@ class Pieces:
         self.run = max((len(p) for p in self.ids if not p.strip(SPACE)), default=1)
         self.runs_repeat = self.merged(SPACE * 3 * self.run) == [SPACE * self.run] * 3
         self.codes = {p: k.to_bytes(4, "little") for p, k in self.ids.items()}
-        self.words: dict[str, bytes] = {}
-        self.earlier: dict[str, bytes] = {}
+        self.memory = WordMemory(MEMORY)
+        self.parts: dict[str, bytes] = {}
         self.edges: dict[str, tuple] = {}
         self.pairs: dict[tuple[str, str], bool] = {}
 
@@ -231,60 +232,52 @@ class Pieces:
 
     def encode_batch(self, texts: list[str]) -> list[bytes]:
         """ids of each text as little-endian unsigned 32-bit integers."""
-        if len(self.words) >= MEMORY:
-            self.words, self.earlier = {}, self.words
-        cut, missing = [], {}
-        for t in texts:
-            # One space before every word: the word alone decides its stretch.
-            plain = self.prefix and t and SPACE not in t and "  " not in t and t[0] != " " and t[-1] != " "
-            if not plain:
-                cut.append((None, None, ()))
-                continue
-            words = t.split(" ")
-            codes = list(map(self.words.get, words))
-            holes = [k for k, c in enumerate(codes) if c is None] if None in codes else ()
-            for k in holes:
-                missing[words[k]] = None
-            cut.append((words, codes, holes))
-        self._learn(sorted(missing))
-        out, known = [], self.words
-        for t, (words, codes, holes) in zip(texts, cut):
-            if words is None:
-                t = (SPACE if self.prefix else "") + t.replace(" ", SPACE) if t else ""
-                codes = map(self._stretch, self.stretches.findall(t))
-            for k in holes:
-                codes[k] = known[words[k]]
-            out.append(b"".join(codes))
-        return out
-
-    def _learn(self, words: list[str]) -> None:
+        # One space before every word: the word alone decides its stretch.
+        plain = [bool(self.prefix and t and SPACE not in t and "  " not in t and t[0] != " " and t[-1] != " ") for t in texts]
+        # Texts of another kind count as one empty word, and are encoded stretch by stretch.
+        entries, offsets = self.memory.words(pa.array([t if p else "" for t, p in zip(texts, plain)], pa.string()), self._learn)
+        passing = self.memory.mark()
+        others = [k for k, p in enumerate(plain) if not p]
+        if others:
+            codes = [self._stretches((SPACE if self.prefix else "") + texts[k].replace(" ", SPACE)) if texts[k] else b"" for k in others]
+            entries[offsets[others]] = self.memory.add(np.frombuffer(b"".join(codes), "<u4"), np.array([len(c) // 4 for c in codes]))
+        ids, sizes = self.memory.gather_lists(entries, offsets)
+        self.memory.forget_since(passing)
+        raw, upto = memoryview(ids.astype("<u4").tobytes()), np.cumsum(4 * sizes)
+        return [bytes(raw[b - 4 * n:b]) for b, n in zip(upto.tolist(), sizes.tolist())]
+
+    def _stretches(self, text: str) -> bytes:
+        return b"".join(map(self._stretch, self.stretches.findall(text)))
+
+    def _learn(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """Encode words in sorted order: each starts from the backpointers of what it shares with the one before."""
-        known, before, last, line = self.words, "", [""], self._code("\n")
-        for w in words:
-            code = self.earlier.get(w)
-            if code is None:
-                if "\n" in w:
-                    first, *rest = w.split("\n")
-                    code = b"".join([self._part(first, SPACE + first), *(self._part(SPACE + x, x, line) for x in rest)])
-                elif len(w) >= SHORT:
-                    code = self._stretch(SPACE + w)
-                else:
-                    text = SPACE + w
-                    same, most = 0, min(len(before), len(text))
-                    while same < most and before[same] == text[same]:
-                        same += 1
-                    del last[same + 1:]
-                    code = b"".join(map(self._code, self._short(text, last)))
-                    before = text
-            known[w] = code
+        codes, before, last, line = [b""] * len(words), "", [""], self._code("\n")
+        if len(self.parts) >= MEMORY:
+            self.parts.clear()
+        for k in sorted(range(len(words)), key=words.__getitem__):
+            w = words[k]
+            if "\n" in w:
+                first, *rest = w.split("\n")
+                codes[k] = b"".join([self._part(first, SPACE + first), *(self._part(SPACE + x, x, line) for x in rest)])
+            elif len(w) >= SHORT:
+                codes[k] = self._stretch(SPACE + w)
+            elif w:
+                text = SPACE + w
+                same, most = 0, min(len(before), len(text))
+                while same < most and before[same] == text[same]:
+                    same += 1
+                del last[same + 1:]
+                codes[k] = b"".join(map(self._code, self._short(text, last)))
+                before = text
+        return np.frombuffer(b"".join(codes), "<u4"), np.array([len(c) // 4 for c in codes], np.int64)
 
     def _part(self, key: str, stretch: str, before: bytes = b"") -> bytes:
         """A stretch of a word that holds line ends, behind ``before``."""
-        code = self.words.get(key) or self.earlier.get(key)
+        code = self.parts.get(key)
         if code is None:
             code = before + (self._stretch(stretch) if stretch else b"")
             if len(key) < SHORT:
-                self.words[key] = code
+                self.parts[key] = code
         return code
 
     def decode(self, ids) -> str:

@@ -34,6 +34,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from salaria.llm.rows import documents, small_batches
+from salaria.llm.words import WordMemory, insert_behind
 from salaria.plans.scratch import session_scratch
 
 END = 2
@@ -65,48 +66,6 @@ def _plain(text: str) -> bool:
     return not any(x in text and (" " + x in text or x + " " in text) for x in (_SPACES[:9] if text.isascii() else _SPACES))
 
 
-class _Memory:
-    """Ids of words, one after the other in an array: ``start`` and ``size`` by the word's number.
-
-    Of the generation before, what is asked for again is taken over; the rest is forgotten.
-    """
-
-    def __init__(self):
-        self.number: dict[str, int] = {}
-        self.ids, self.start, self.size, self.used = np.empty(1 << 16, np.uint32), np.empty(1 << 14, np.int64), np.empty(1 << 14, np.int64), 0
-
-    def add(self, ids: np.ndarray, size: np.ndarray) -> range:
-        """Numbers of new entries, whose ``ids`` follow each other in pieces of ``size``."""
-        n = self._n = getattr(self, "_n", 0)
-        while n + len(size) > len(self.start):
-            self.start, self.size = (np.concatenate([x, np.empty_like(x)]) for x in (self.start, self.size))
-        while self.used + len(ids) > len(self.ids):
-            self.ids = np.concatenate([self.ids, np.empty_like(self.ids)])
-        self.size[n:n + len(size)] = size
-        self.start[n:n + len(size)] = self.used + np.cumsum(size) - size
-        self.ids[self.used:self.used + len(ids)] = ids
-        self.used += len(ids)
-        self._n = n + len(size)
-        return range(n, self._n)
-
-    def mark(self) -> tuple[int, int]:
-        return getattr(self, "_n", 0), self.used
-
-    def forget_since(self, mark: tuple[int, int]) -> None:
-        """Drop the entries added after ``mark`` (none of them may have a word)."""
-        self._n, self.used = mark
-
-    def gather(self, entries: np.ndarray) -> np.ndarray:
-        """The ids of ``entries``, one after the other."""
-        size = self.size[entries]
-        upto = np.cumsum(size)
-        shift = self.start[entries]
-        shift[1:] -= upto[:-1]
-        at = np.repeat(shift, size)
-        at += np.arange(len(at))
-        return self.ids[at]
-
-
 class Encoder:
     """ids of whole texts.
 
@@ -125,7 +84,7 @@ class Encoder:
         self.added = [t.content for t in added if not (literal and t.special)]
         #: Tokens that take up or ask for what stands beside them, or are sought in normalised text: no text is cut.
         self.uncut = any(t.lstrip or t.rstrip or t.single_word or t.normalized or any(map(str.isspace, t.content)) for t in added)
-        self.memory, self.earlier = _Memory(), _Memory()
+        self.memory = WordMemory(MEMORY)
         self.spaced = np.zeros(self.tokenizer.get_vocab_size(), bool)
         for token, k in self.tokenizer.get_vocab().items():
             self.spaced[k] = token.startswith("\u0120")  # the tokenizer's sign for a space
@@ -133,53 +92,28 @@ class Encoder:
     def whole(self, texts: list[str]) -> list[np.ndarray]:
         return [np.array(e.ids, "<u4") for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
-    def _learn(self, words: list[str]) -> range:
+    def _learn(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """Encode words, each with a space before it, many in one text: an id that begins with a space begins a word."""
-        ids = self.whole([" " + " ".join(words[k:k + _RUN_WORDS]) for k in range(0, len(words), _RUN_WORDS)])
-        ids = np.concatenate(ids)
+        words = [w or "x" for w in words]  # the empty word stands for texts that are not cut; its ids are not used
+        ids = np.concatenate(self.whole([" " + " ".join(words[k:k + _RUN_WORDS]) for k in range(0, len(words), _RUN_WORDS)]))
         at = np.flatnonzero(self.spaced[ids])
-        return self.memory.add(ids, np.diff(np.append(at, len(ids))))
-
-    def _entries(self, words: list[str]) -> np.ndarray:
-        """The memory's entries of distinct words; unknown ones are learned."""
-        memory, old = self.memory, self.earlier
-        found = np.array([-1 if k is None else k for k in map(memory.number.get, words)], np.int64)
-        holes = np.flatnonzero(found < 0)
-        if not len(holes):
-            return found
-        missing = [words[k] for k in holes.tolist()]
-        before = np.array([-1 if k is None else k for k in map(old.number.get, missing)], np.int64)
-        known = before >= 0
-        for some, entries in ((known, lambda new: memory.add(old.gather(before[known]), old.size[before[known]])), (~known, self._learn)):
-            places = np.flatnonzero(some)
-            if len(places):
-                new = [missing[k] for k in places.tolist()]
-                numbers = entries(new)
-                memory.number.update(zip(new, numbers))
-                found[holes[places]] = numbers
-        return found
+        if len(at) != len(words):  # a tokenizer that joins otherwise
+            each = self.whole([" " + w for w in words])
+            return np.concatenate(each), np.array([len(e) for e in each])
+        return ids, np.diff(np.append(at, len(ids)))
 
     def encode(self, texts: pa.Array, end: int | None = None) -> tuple[np.ndarray, np.ndarray]:
         """(ids of all texts one after the other, ids of each text); nulls are empty, ``end`` is put behind each."""
-        if len(self.memory.number) > MEMORY:
-            self.memory, self.earlier = _Memory(), self.memory
         strings = [t or "" for t in texts.to_pylist()]
         cut = [not self.uncut and _plain(t) and not any(x in t for x in self.added) for t in strings]
         # Texts that are not cut count as one empty word; each text's first word has no space before it and is encoded apart.
-        words = pc.split_pattern(pc.if_else(pa.array(cut, pa.bool_()), texts, ""), " ")
-        offsets = words.offsets.to_numpy().astype(np.int64)
-        words = words.values.slice(offsets[0], offsets[-1] - offsets[0]).dictionary_encode()
-        offsets -= offsets[0]
-        entries = self._entries(words.dictionary.to_pylist())[words.indices.to_numpy()]
+        entries, offsets = self.memory.words(pc.if_else(pa.array(cut, pa.bool_()), texts, ""), self._learn)
         passing = self.memory.mark()
         firsts = self.whole([t.partition(" ")[0] if c else t for t, c in zip(strings, cut)])
         firsts.append(np.array([] if end is None else [end], "<u4"))
-        numbers = np.array(self.memory.add(np.concatenate(firsts), np.array([len(f) for f in firsts])))
+        numbers = self.memory.add(np.concatenate(firsts), np.array([len(f) for f in firsts]))
         entries[offsets[:-1]] = numbers[:-1]
-        entries = np.insert(entries, offsets[1:], numbers[-1])
-        upto = np.concatenate([[0], np.cumsum(self.memory.size[entries])])
-        ends = offsets + np.arange(len(offsets))
-        out = self.memory.gather(entries), np.diff(upto[ends])
+        out = self.memory.gather_lists(*insert_behind(entries, offsets, numbers[-1]))
         self.memory.forget_since(passing)
         return out
 
