@@ -5,12 +5,15 @@ squared length at most M lengthened by sqrt(M - |x|^2), the Euclidean distance t
 query (lengthened by 0) falls as the inner product grows, so nearest neighbours are
 the highest scores. Squared distances come from integer inner products.
 
-Vectors are dealt into pages by a hash of their id; each page holds one tree whose
-nodes keep a routing vector, a covering radius and the distances to the parent.
-Queries are packed in blocks that visit every page. Within a page a query expands
-the node of the least possible distance first and skips, by the triangle
-inequality on stored distances, entries that cannot beat its k-th best so far,
-without computing their distance. Each page gives at most k rows per query to the
+Vectors are dealt to groups by their nearest pivot, and a group's vectors to pages of bounded
+size; each page holds one tree whose nodes keep a routing vector, a covering radius and the distances to
+the parent. A query first searches a page of its nearest group. Its k-th best score goes along to the other pages:
+whole groups are skipped by their pivots and radii, and within a page the node of the least possible distance is expanded first
+and entries that cannot beat the k-th best so far are skipped by the triangle
+inequality on stored distances, without computing their distance. Queries walk a tree in blocks: a node is
+visited once for all queries it may still serve, with one matrix product.
+
+Blocks of queries are sent to the pages; a page goes through the shuffle once. Each page gives at most k rows per query to the
 final ranking.
 """
 
@@ -23,15 +26,16 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from salaria.llm.rows import table
 
-#: Vectors of a page (about), entries of a node, queries of a block. SCALE turns components into integers.
-PAGE_ROWS, NODE, QUERY_BLOCK, SCALE, K, EVERY = 8192, 256, 512, 256, 5, 50
-#: Distances are square roots of exact integers; bounds are widened by this against rounding.
-SLACK = 1e-6
+#: Vectors of a page (about), entries of a node, groups at most, queries sent together, queries that walk together. SCALE turns components into integers.
+PAGE_ROWS, NODE, GROUPS, QUERY_BLOCK, WALK, SCALE, K, EVERY = 8192, 256, 1024, 4096, 512, 256, 5, 50
+#: A score below all others.
+NONE = np.iinfo(np.int64).min
 
 
 def quantised(vector: Column) -> Column:
@@ -49,6 +53,28 @@ def dots(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return a @ b.T
 
 
+class Space:
+    """The metric over vectors of squared length at most ``most``."""
+
+    def __init__(self, most: int):
+        self.most = most
+        #: Distances are roots of exact integers; bounds are widened by this against rounding.
+        self.slack = 1e-6 + 1e-12 * float(most) ** 0.5
+
+    def heights(self, squares: np.ndarray) -> np.ndarray:
+        return np.sqrt((self.most - squares).astype(float))
+
+    def between(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+        """Distances of lengthened vectors, rows of ``a`` by rows of ``b``."""
+        square_a, square_b = (a * a).sum(axis=1), (b * b).sum(axis=1)
+        flat = square_a[:, None] + square_b[None] - 2 * dots(a, b)
+        return np.sqrt(np.maximum(0, flat) + (self.heights(square_a)[:, None] - self.heights(square_b)[None]) ** 2)
+
+    def from_scores(self, squares: np.ndarray, scores: np.ndarray) -> np.ndarray:
+        """Distances of queries of squared lengths ``squares`` (one a row, at most ``most``) to vectors by their scores."""
+        return np.sqrt(np.maximum(0, squares[:, None] + self.most - 2 * scores).astype(float))
+
+
 class Node:
     """``pivot``: row of the routing vector; ``radius`` covers all rows below; ``own``: distances of the
     entries to the pivot. A leaf has ``rows``, an inner node ``children``."""
@@ -60,121 +86,176 @@ class Node:
 
 
 class Tree:
-    def __init__(self, ids: np.ndarray, vectors: np.ndarray):
-        """``ids`` in ascending order, ``vectors``: integers, one row each."""
+    def __init__(self, ids: np.ndarray, vectors: np.ndarray, most: int | None = None):
+        """``ids`` in ascending order, ``vectors``: integers, one row each; ``most``: largest squared length of the table."""
         self.ids, self.vectors = ids, vectors
-        self.squares = (vectors * vectors).sum(axis=1)
-        self.most = int(self.squares.max()) if len(ids) else 0
-        self.height = np.sqrt((self.most - self.squares).astype(float))
+        self.space = Space(int((vectors * vectors).sum(axis=1).max(initial=0)) if most is None else most)
         self.root = self._build(np.arange(len(ids)), 0) if len(ids) else None
 
-    def _between(self, pivot: int, rows: np.ndarray) -> np.ndarray:
-        """Distances of lengthened vectors."""
-        flat = self.squares[pivot] + self.squares[rows] - 2 * dots(self.vectors[pivot][None], self.vectors[rows])[0]
-        return np.sqrt(np.maximum(0, flat) + (self.height[pivot] - self.height[rows]) ** 2)
+    def _from(self, pivot: int, rows: np.ndarray) -> np.ndarray:
+        return self.space.between(self.vectors[pivot][None], self.vectors[rows])[0]
 
     def _build(self, rows: np.ndarray, pivot: int) -> Node:
-        own = self._between(pivot, rows)
+        own = self._from(pivot, rows)
         radius = float(own.max())
         if len(rows) <= NODE:
             return Node(pivot, radius, own, rows=rows)
         # Routing vectors: spread over the order of distance to the pivot; rows go to the nearest.
-        marks = rows[np.unique(np.argsort(own, kind="stable")[np.linspace(0, len(rows) - 1, min(NODE, -(-len(rows) // NODE) + 1)).astype(int)])]
-        nearest = np.argmin(np.stack([self._between(m, rows) for m in marks]), axis=0)
+        parts = min(NODE, -(-len(rows) // NODE) + 1)
+        marks = rows[np.unique(np.argsort(own, kind="stable")[np.linspace(0, len(rows) - 1, parts).astype(int)])]
+        nearest = np.argmin(self.space.between(self.vectors[marks], self.vectors[rows]), axis=0)
         groups = [(m, rows[nearest == k]) for k, m in enumerate(marks) if (nearest == k).any()]
         if max(len(g) for _, g in groups) > 0.9 * len(rows):  # (nearly) equal vectors: deal by place
             groups = [(g[0], g) for g in np.array_split(rows, min(NODE, -(-len(rows) // NODE)))]
         children = [self._build(g, int(m)) for m, g in groups]
-        return Node(pivot, radius, self._between(pivot, np.array([c.pivot for c in children])), children=children)
-
-    def search(self, query: np.ndarray, own_id: int, k: int) -> tuple[list[tuple[int, int]], int]:
-        """The k best (score, id), ties to the smaller id, without the row ``own_id``; and the distances computed."""
-        if self.root is None:
-            return [], 0
-        square = int((query * query).sum())
+        return Node(pivot, radius, self._from(pivot, np.array([c.pivot for c in children])), children=children)
+
+    def search(self, queries: np.ndarray, own_ids: np.ndarray, k: int, floor: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray, int]:
+        """(query number, id, score) of the k best of each of ``queries`` (squared lengths at most the space's), ties to the smaller id, without the
+        row of the query's own id; and the distances computed. ``floor``: scores below it are not wanted."""
+        n = len(queries)
+        found = Best(n, k, floor)
+        if self.root is None or not n:
+            return *found.rows(), 0
+        space, slack = self.space, self.space.slack
+        squares = (queries * queries).sum(axis=1)
         asked = 0
 
-        def distances(rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        def distances(who: np.ndarray, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
             nonlocal asked
-            asked += len(rows)
-            scores = dots(query[None], self.vectors[rows])[0]
-            return scores, np.sqrt(np.maximum(0.0, (square + self.most - 2 * scores).astype(float)))
+            asked += len(who) * len(rows)
+            scores = dots(queries[who], self.vectors[rows])
+            return scores, space.from_scores(squares[who], scores)
+
+        def worst(who: np.ndarray) -> np.ndarray:
+            """Distances beyond which nothing is wanted."""
+            least = found.least[who]
+            return np.where(least == NONE, np.inf, np.sqrt(np.maximum(0, squares[who] + space.most - 2 * np.where(least == NONE, 0, least)).astype(float))) + slack
 
-        best: list[tuple[int, int]] = []  # a heap: the worst of the k best first
-        worst = float("inf")
         tick = itertools.count()
-        at = float(distances(np.array([self.root.pivot]))[1][0])
-        queue = [(max(0.0, at - self.root.radius), next(tick), at, self.root)]
+        everyone = np.arange(n)
+        queue = [(0.0, next(tick), everyone, distances(everyone, np.array([self.root.pivot]))[1][:, 0], self.root)]
         while queue:
-            least, _, at, node = heapq.heappop(queue)
-            if least > worst + SLACK:
-                break
+            _, _, who, at, node = heapq.heappop(queue)
+            live = at - node.radius <= worst(who)
+            who, at = who[live], at[live]
+            if not len(who):
+                continue
             if node.children is not None:
                 radii = np.array([c.radius for c in node.children])
-                near = np.flatnonzero(np.abs(at - node.own) - radii <= worst + SLACK)
-                to = distances(np.array([node.children[i].pivot for i in near]))[1] if len(near) else []
-                for i, d in zip(near, to):
-                    if d - radii[i] <= worst + SLACK:
-                        heapq.heappush(queue, (max(0.0, float(d - radii[i])), next(tick), float(d), node.children[i]))
-                continue
-            rows = node.rows[np.abs(at - node.own) <= worst + SLACK]
-            if not len(rows):
-                continue
-            scores, to = distances(rows)
-            close = np.flatnonzero(to <= worst + SLACK)
-            if len(close) > k:
-                close = close[np.lexsort((self.ids[rows[close]], -scores[close]))[:k + 1]]  # one may be the query's own
-            for i in close:
-                found = (int(scores[i]), -int(self.ids[rows[i]]))
-                if found[1] == -own_id:
-                    continue
-                if len(best) < k:
-                    heapq.heappush(best, found)
-                elif found > best[0]:
-                    heapq.heapreplace(best, found)
-                else:
+                limit = worst(who)[:, None]
+                possible = np.abs(at[:, None] - node.own[None]) - radii[None] <= limit
+                near = np.flatnonzero(possible.any(axis=0))
+                if not len(near):
                     continue
-                if len(best) == k:
-                    worst = float(np.sqrt(max(0, square + self.most - 2 * best[0][0])))
-        return [(s, -i) for s, i in sorted(best, reverse=True)], asked
-
-
-def _matrix(vectors) -> np.ndarray:
+                to = distances(who, np.array([node.children[i].pivot for i in near]))[1]
+                least = np.maximum(0.0, to - radii[near][None])
+                possible = possible[:, near] & (least <= limit)
+                for j, i in enumerate(near):
+                    some = possible[:, j]
+                    if some.any():
+                        heapq.heappush(queue, (float(least[some, j].min()), next(tick), who[some], to[some, j], node.children[i]))
+                continue
+            possible = np.abs(at[:, None] - node.own[None]) <= worst(who)[:, None]
+            used = np.flatnonzero(possible.any(axis=0))
+            if len(used):
+                rows = node.rows[used]
+                scores = distances(who, rows)[0]
+                scores[~possible[:, used] | (self.ids[rows][None] == own_ids[who][:, None])] = NONE
+                found.offer(who, self.ids[rows], scores)
+        return *found.rows(), asked
+
+
+class Best:
+    """The k best (score, id) of each of ``n`` queries so far."""
+
+    def __init__(self, n: int, k: int, floor: np.ndarray | None = None):
+        self.k = k
+        self.scores, self.ids = np.full((n, k), NONE), np.zeros((n, k), np.int64)
+        #: Scores below this are not wanted: the k-th best, or the floor given.
+        self.least = np.full(n, NONE) if floor is None else floor.copy()
+
+    def offer(self, who: np.ndarray, ids: np.ndarray, scores: np.ndarray) -> None:
+        """``scores`` of the queries ``who`` (rows) with the vectors ``ids`` (columns); ``NONE``: not offered."""
+        limit = self.least[who]
+        if len(ids) > self.k:
+            limit = np.maximum(limit, np.partition(scores, len(ids) - self.k, axis=1)[:, len(ids) - self.k])
+        q, r = np.nonzero((scores >= limit[:, None]) & (scores != NONE))
+        if not len(q):
+            return
+        held = np.repeat(np.arange(len(who)), self.k)
+        q = np.concatenate([held, q])
+        score = np.concatenate([self.scores[who].ravel(), scores[q[len(held):], r]])
+        name = np.concatenate([self.ids[who].ravel(), ids[r]])
+        order = np.lexsort((name, -np.maximum(score, NONE + 1), q))
+        q, score, name = q[order], score[order], name[order]
+        place = np.arange(len(q)) - np.searchsorted(q, q)
+        top = place < self.k
+        self.scores[who[q[top]], place[top]], self.ids[who[q[top]], place[top]] = score[top], name[top]
+        self.least[who] = np.maximum(self.least[who], self.scores[who, -1])
+
+    def rows(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        q, place = np.nonzero(self.scores != NONE)
+        return q, self.ids[q, place], self.scores[q, place]
+
+
+def _matrix(vectors, width: int) -> np.ndarray:
     """Integer rows; shorter ones end in zeros."""
-    width = max(map(len, vectors), default=0)
     out = np.zeros((len(vectors), width), np.int64)
     for i, v in enumerate(vectors):
         out[i, :len(v)] = v
     return out
 
 
-def _fit(m: np.ndarray, width: int) -> np.ndarray:
-    return np.hstack([m, np.zeros((len(m), width - m.shape[1]), np.int64)]) if m.shape[1] < width else m
+def _near(pivots: np.ndarray, space: Space, width: int):
+    """Nearest pivot (group) of each vector, and its distance."""
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for b in batches:
+            to = space.between(_matrix(list(b.q), width), pivots)
+            yield b.assign(group=to.argmin(axis=1).astype("int32"), off=to.min(axis=1) if len(b) else np.zeros(0))
+    return run
 
 
-def _page(pdf: pd.DataFrame) -> pd.DataFrame:
-    pdf = pdf.sort_values("vec_id", kind="stable")
-    m = _matrix(list(pdf.q))
-    again = np.zeros(len(m), bool)
-    ids = pdf.vec_id.to_numpy()
-    again[1:] = (ids[1:] == ids[:-1]) & (m[1:] == m[:-1]).all(axis=1)
-    return pd.DataFrame({"page": [int(pdf.page.iloc[0])], "tree": [pickle.dumps(Tree(ids[~again], m[~again]), protocol=5)]})
+def _page(most: int, width: int):
+    def run(pdf: pd.DataFrame) -> pd.DataFrame:
+        pdf = pdf.sort_values("vec_id", kind="stable")
+        tree = Tree(pdf.vec_id.to_numpy(), _matrix(list(pdf.q), width), most)
+        return pd.DataFrame({"page": [int(pdf.page.iloc[0])], "tree": [pickle.dumps(tree, protocol=5)]})
+    return run
 
 
-def _query_block(pdf: pd.DataFrame) -> pd.DataFrame:
-    pdf = pdf.drop_duplicates("query_id")
-    return pd.DataFrame({"queries": [pickle.dumps((pdf.query_id.to_numpy(), _matrix(list(pdf.q))), protocol=5)]})
+def _first_visit(width: int):
+    """Queries of one page, and block, as one row."""
+    def run(pdf: pd.DataFrame) -> pd.DataFrame:
+        asked = (pdf.vec_id.to_numpy(), _matrix(list(pdf.q), width), None, None)
+        return pd.DataFrame({"page": [int(pdf.page.iloc[0])], "queries": [pickle.dumps(asked, protocol=5)]})
+    return run
+
+
+def _other_visits(pivots: np.ndarray, radii: np.ndarray, first: np.ndarray, space: Space, width: int):
+    """Queries of one block, and the pages that any of them may still need, but for each query's first."""
+    def run(pdf: pd.DataFrame) -> pd.DataFrame:
+        m = _matrix(list(pdf.q), width)
+        floor = pdf["floor"].to_numpy(np.int64)
+        squares = (m * m).sum(axis=1)
+        worst = np.where(floor == NONE, np.inf, np.sqrt(np.maximum(0, squares + space.most - 2 * np.where(floor == NONE, 0, floor)).astype(float)))
+        needed = (space.from_scores(squares, dots(m, pivots)) - radii[None] <= worst[:, None] + space.slack).any(axis=0)
+        pages = np.concatenate([np.arange(first[g], first[g + 1]) for g in np.flatnonzero(needed)] or [np.zeros(0)]).astype(int)
+        asked = (pdf.vec_id.to_numpy(), m, floor, pdf.page.to_numpy())
+        return pd.DataFrame({"pages": [pages.tolist()], "queries": [pickle.dumps(asked, protocol=5)]})
+    return run
 
 
 def _search(k: int):
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for b in batches:
-            for tree, queries in zip(b.tree, b.queries):
-                tree, (ids, vectors) = pickle.loads(tree), pickle.loads(queries)
-                width = max(vectors.shape[1], tree.vectors.shape[1])
-                tree.vectors, vectors = _fit(tree.vectors, width), _fit(vectors, width)
-                rows = [(int(i), v, s) for i, q in zip(ids, vectors) for s, v in tree.search(q, int(i), k)[0]]
-                yield pd.DataFrame(rows, columns=["query_id", "vec_id", "score"]).astype("int64")
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for page, tree, asked in zip(*(batch.column(c) for c in ("page", "tree", "queries"))):
+                tree, (ids, queries, floor, done), page = pickle.loads(tree.as_buffer()), pickle.loads(asked.as_buffer()), page.as_py()
+                left = np.arange(len(ids)) if done is None else np.flatnonzero(done != page)
+                for at in range(0, len(left), WALK):
+                    who = left[at:at + WALK]
+                    q, found, score, _ = tree.search(queries[who], ids[who], k, None if floor is None else floor[who])
+                    yield pa.RecordBatch.from_arrays([pa.array(ids[who][q]), pa.array(found), pa.array(score)], ["query_id", "vec_id", "score"])
     return run
 
 
@@ -184,24 +265,70 @@ def top_k(vectors: DataFrame, queries: DataFrame, k: int = K, page_rows: int = P
     Both have vec_id and embedding. Returns query_id, rank (from 1), vec_id, score;
     ties go to the smaller vec_id. Null ids and vectors that are null or hold null or
     non-finite components take no part; a shorter vector ends in zeros. Rows that
-    repeat id and vector count once; of queries that repeat an id the first counts. With
-    fewer than k other rows all come; empty tables give an empty result. Other columns are ignored.
+    repeat id and vector count once; of queries that repeat an id the one of the smallest vector counts. With
+    fewer than k other rows all come; empty tables give an empty result. Other columns are ignored. Refused (ValueError) are
+    vectors whose squared lengths could pass 2**61, where scores would not fit 64 bits.
     """
-    def usable(df):
+    spark = vectors.sparkSession
+
+    def usable(df: DataFrame) -> DataFrame:
         out = df.select(df["vec_id"].cast("long").alias("vec_id"), quantised(df["embedding"]).alias("q"))
         return out.where("vec_id is not null and q is not null")
 
-    rows = usable(vectors)
-    pages = max(1, -(-rows.count() // page_rows))
-    trees = rows.withColumn("page", F.pmod(F.xxhash64("vec_id"), F.lit(pages)).cast("int")).groupBy("page").applyInPandas(_page, "page int, tree binary")
+    rows = table(usable(vectors).distinct(), "search-rows")
+    asked = table(usable(queries).groupBy("vec_id").agg(F.min("q").alias("q")), "search-queries")
+    # As doubles: squares of large components must not overflow before they are refused.
+    square = F.aggregate("q", F.lit(0.0), lambda s, x: s + x.cast("double") * x.cast("double"))
+    sizes = [F.count(F.lit(1)), F.coalesce(F.max(F.size("q")), F.lit(0)), F.coalesce(F.max(square), F.lit(0.0))]
+    (total, width, most), (n_asked, asked_width, asked_most) = (df.agg(*sizes).first() for df in (rows, asked))
+    schema = "query_id long, rank int, vec_id long, score long"
+    if not total or not n_asked:
+        return spark.createDataFrame([], schema)
+    if max(most, asked_most) >= 1 << 61:
+        raise ValueError("components are too large for 64-bit scores")
+    width, most = max(width, asked_width), int(max(most, asked_most)) + 1
+    space = Space(most)
+    pages = -(-total // page_rows)
+    drawn = rows.withColumn("draw", F.xxhash64("vec_id", "q")).orderBy("draw", "vec_id").limit(min(GROUPS, pages)).select("q").collect()
+    pivots = _matrix([r.q for r in drawn], width)
+    near = _near(pivots, space, width)
+    dealt = table(rows.mapInPandas(near, "vec_id long, q array<bigint>, group int, off double"), "search-groups")
+    groups = {r.group: r for r in dealt.groupBy("group").agg(F.count(F.lit(1)).alias("n"), F.max("off").alias("off")).collect()}
+    count = np.array([groups[g].n if g in groups else 0 for g in range(len(pivots))])
+    # The farthest vector of each group; nothing lies in a group without vectors.
+    radii = np.array([groups[g].off if g in groups else -np.inf for g in range(len(pivots))])
+    per_group = -(-count // page_rows)
+    first = np.concatenate([[0], np.cumsum(per_group)])
+
+    def of_group(values) -> Column:
+        return F.element_at(F.array(*(F.lit(int(v)) for v in values)), F.col("group") + 1)
+
+    page = (of_group(first[:-1]) + F.pmod(F.xxhash64("vec_id"), of_group(np.maximum(1, per_group)))).cast("int").alias("page")
+    trees = dealt.select("vec_id", "q", page).groupBy("page").applyInPandas(_page(most, width), "page int, tree binary")
     trees = table(trees, "search-pages")
-    asked = usable(queries).withColumnRenamed("vec_id", "query_id")
-    blocks = max(1, -(-asked.count() // QUERY_BLOCK))
-    asked = asked.withColumn("block", F.pmod(F.xxhash64("query_id", F.lit(1)), F.lit(blocks)))
-    asked = asked.groupBy("block").applyInPandas(_query_block, "queries binary")
-    # Every block of queries visits every page.
-    visits = asked.select("queries", F.explode(F.sequence(F.lit(0), F.lit(pages - 1))).alias("page")).join(trees, "page").select("tree", "queries")
-    found = visits.repartition(min(pages * blocks, 100_000)).mapInPandas(_search(k), "query_id long, vec_id long, score long")
+    # A query's first page: one of its nearest group. Queries of a group travel together, so that a block may skip groups.
+    seeking = asked.mapInPandas(near, "vec_id long, q array<bigint>, group int, off double").select("vec_id", "q", "group", page)
+    seeking = table(seeking, "search-seeking")
+    asking = dict(seeking.groupBy("group").count().collect())
+    blocks = of_group([max(1, -(-asking.get(g, 0) // QUERY_BLOCK)) for g in range(len(pivots))])
+    seeking = seeking.withColumn("block", F.pmod(F.xxhash64("vec_id", F.lit(1)), blocks))
+
+    def search(visits: DataFrame, name: str) -> DataFrame:
+        """Runs here: rows of megabytes cross to Python a few at a time (the setting is read when a plan runs)."""
+        work = visits.join(trees, "page").select("page", "tree", "queries").mapInArrow(_search(k), "query_id long, vec_id long, score long")
+        setting = "spark.sql.execution.arrow.maxRecordsPerBatch"
+        before = spark.conf.get(setting)
+        spark.conf.set(setting, "4")
+        try:
+            return table(work, name)
+        finally:
+            spark.conf.set(setting, before)
+
+    found = search(seeking.groupBy("page", "block").applyInPandas(_first_visit(width), "page int, queries binary"), "search-first")
+    floors = found.groupBy(F.col("query_id").alias("vec_id")).agg(F.when(F.count(F.lit(1)) >= k, F.min("score")).alias("floor"))
+    others = seeking.join(floors, "vec_id", "left").withColumn("floor", F.coalesce("floor", F.lit(NONE))).groupBy("group", "block").applyInPandas(
+        _other_visits(pivots, radii, first, space, width), "pages array<int>, queries binary")
+    found = found.unionAll(search(others.select(F.explode("pages").alias("page"), "queries"), "search-others"))
     order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
     return found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
 
