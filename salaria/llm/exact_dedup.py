@@ -2,7 +2,9 @@
 
 The whitespace-normalised text is cut into fixed-size blocks. Equal blocks get one
 integer name: the position (document, block number) of their smallest occurrence,
-found by sorting the blocks into groups; no hash decides equality. Then adjacent
+found by sorting the blocks into groups; no hash decides whether blocks are equal. (Rows that repeat an id, null ids among
+them, are told apart by a 64-bit hash of their text, so two different texts under one id are taken for one row with a
+chance of 2**-64 per pair.) Then adjacent
 names are paired and the pairs named in the same way, which halves every sequence,
 until each document has one name. Documents share a name (of the same level)
 exactly when their normalised texts are identical.

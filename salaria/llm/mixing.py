@@ -1,7 +1,8 @@
 """Mixing sources to target weights.
 
 Each source is one stream of words (its documents in a seeded order), packed into
-fixed-length blocks. The mix is a row of slots, cut into output shards of equal
+fixed-length blocks; a small source has shorter ones, so that it has ``LEAST_BLOCKS`` of
+them, or one a word, and meets its target as closely as a large one. The mix is a row of slots, cut into output shards of equal
 length. Which source fills a slot is drawn: a pseudorandom permutation of all slots
 is laid over the sources' quotas, so the counts of a shard are a multinomial draw
 conditioned on the mix's totals (without replacement). An unconditioned draw would
@@ -24,8 +25,8 @@ from salaria.llm.rows import documents, pick_rows, prefix_positions, row_fp, see
 
 WORD = r"[^\x20\x09-\x0D]+"
 WEIGHTS, SHARE, REPEATS = (5, 2, 1), 1.5, 2
-BLOCK_WORDS, SHARD_SLOTS, SEED, ROUNDS = 128, 4096, 11, 24
-#: Cells of the grid in which a slot finds its source's quota.
+BLOCK_WORDS, LEAST_BLOCKS, SHARD_SLOTS, SEED, ROUNDS = 128, 64, 4096, 11, 24
+#: Cells, at least, of the grid in which a slot finds its source's quota; there are as many as sources.
 CELLS = 1024
 
 
@@ -39,6 +40,11 @@ def permuted(x: Column, n: Column, *seed) -> Column:
     return F.aggregate(F.sequence(F.lit(1), F.lit(ROUNDS)), x.cast("long"), swap)
 
 
+def block_length(words: str, block_words: int) -> Column:
+    """Words of a block of a source with (the column) ``words``."""
+    return F.expr(f"least({block_words}L, greatest(1L, {words} div {LEAST_BLOCKS}))")
+
+
 def stream_rows(docs: DataFrame, seed: int = SEED) -> DataFrame:
     """Every row with its place in its source's word stream: doc_id, row_fp, source, size, grp, pos, before_size, group_size."""
     text = F.coalesce(docs["text"], F.lit(""))
@@ -71,7 +77,7 @@ def source_targets(stream: DataFrame, weights=WEIGHTS, share: float = SHARE, rep
     s = s.withColumn("level", F.min_by(F.when(F.col("level") < F.col("reach"), F.col("level")),
                                        F.when(F.col("level") < F.col("reach"), F.struct("reach", "nth"))).over(all_))
     s = s.withColumn("target", F.least(F.col("cap"), F.coalesce(F.col("weight") * F.col("level"), F.col("cap"))))
-    s = s.withColumn("blocks", F.ceil(F.col("words") / block_words))
+    s = s.withColumn("length", block_length("words", block_words)).withColumn("blocks", F.expr("(words + length - 1) div length"))
     # A slot takes words / blocks words on average (the last block of a source is short).
     slots = F.round(F.col("target") * F.col("blocks") / F.col("words"))
     s = s.withColumn("quota", F.when(F.col("words") > 0, F.least(slots.cast("long"), repeats * F.col("blocks"))).otherwise(F.lit(0)))
@@ -82,8 +88,8 @@ def source_targets(stream: DataFrame, weights=WEIGHTS, share: float = SHARE, rep
 
 def mix_slots(sources: DataFrame, seed: int = SEED, shard_slots: int = SHARD_SLOTS) -> DataFrame:
     """The mix: one row per slot with shard, slot (in the shard), grp, pass, block."""
-    slots = sources.agg(F.coalesce(F.sum("quota"), F.lit(0))).first()[0]
-    cell = max(1, -(-slots // CELLS))
+    slots, n = sources.agg(F.coalesce(F.sum("quota"), F.lit(0)), F.count(F.lit(1))).first()
+    cell = max(1, -(-slots // max(CELLS, n)))
     quotas = sources.where("quota > 0").select(
         "grp", "blocks", "first_slot", (F.col("first_slot") + F.col("quota")).alias("_end"),
         F.explode(F.sequence(F.expr(f"first_slot div {cell}"), F.expr(f"(first_slot + quota - 1) div {cell}"))).alias("_cell"))
@@ -105,12 +111,12 @@ def shard_counts(slots: DataFrame) -> DataFrame:
 
 def block_pieces(stream: DataFrame, block_words: int = BLOCK_WORDS) -> DataFrame:
     """The words of each row by block: grp, pos, block, from_word and n_words (in the row). Rows without words have none."""
-    b = F.col("block") * block_words
+    b = F.col("block") * F.col("length")
     start, end = F.col("before_size"), F.col("before_size") + F.col("size")
-    pieces = stream.where("size > 0").select(
-        "grp", "pos", "before_size", "size",
-        F.explode(F.sequence(F.expr(f"before_size div {block_words}"), F.expr(f"(before_size + size - 1) div {block_words}"))).alias("block"))
-    lo, hi = F.greatest(b, start), F.least(b + block_words, end)
+    pieces = stream.where("size > 0").withColumn("length", block_length("group_size", block_words)).select(
+        "grp", "pos", "before_size", "size", "length",
+        F.explode(F.sequence(F.expr("before_size div length"), F.expr("(before_size + size - 1) div length"))).alias("block"))
+    lo, hi = F.greatest(b, start), F.least(b + F.col("length"), end)
     return pieces.select("grp", "pos", "block", (lo - start).alias("from_word"), (hi - lo).alias("n_words"))
 
 
@@ -126,7 +132,8 @@ def mix_taken(docs: DataFrame, seed: int = SEED, block_words: int = BLOCK_WORDS)
 
     Returns doc_id, source, size, source_size, target (its source's words in the
     mix), taken. Null or empty texts have size 0 and give nothing; a null source is a
-    source of its own, last in order. Repeated rows are rows like others, each with
+    source of its own, last in order. A source's taken words miss its target by less than two of its blocks
+    (``block_length``: 1/64 of its words at most each, or a word). Repeated rows are rows like others, each with
     its own place. An empty table gives an empty result. Other columns are ignored.
     """
     stream, sources, slots = mixed(docs, seed, block_words)

@@ -1,7 +1,8 @@
 """Sharding by proportional stratified interleaving.
 
 Rows are shuffled within their source by a seeded key and ranked; row ``r`` of
-``n`` gets the fractional rank ``(2 r + 1) / (2 n)``. Sorting all rows by it deals
+``n`` gets the fractional rank ``(r + u) / n``, with a seeded offset ``u`` of its source between 0 and 1, so that
+many sources of few rows do not meet at one rank. Sorting all rows by it deals
 every source evenly over the whole order, so cutting the order into equal runs
 gives shards that each hold the corpus's mixture and differ by one row at most.
 
@@ -38,7 +39,8 @@ def shard_rows(docs: DataFrame, shards: int = SHARDS, seed: int = SEED) -> DataF
     rows = narrow.count()
     ranked = prefix_positions(narrow, rows, "_group", "_key", ["doc_id", "size", "text_crc32"])
     # Doubles hold 53 bits; ties of the scaled rank fall to the source, then to the rank.
-    fraction = (2 * F.col("pos") + 1) / (2 * F.col("group_rows"))
+    offset = seeded_key("_group", seed=seed + 1) / float(1 << KEY_BITS)
+    fraction = (F.col("pos") + offset) / F.col("group_rows")
     ranked = table(ranked.select("doc_id", "source", "size", "text_crc32", "_group", F.col("pos").alias("_rank"),
                                  F.least(F.floor(fraction * float(1 << KEY_BITS)), F.lit((1 << KEY_BITS) - 1)).alias("_key"),
                                  F.lit(0).alias("_all")), "shard-ranks")

@@ -113,6 +113,40 @@ def test_mixed_documents_hold_the_taken_words(frame):
     assert got == {k: v for k, v in taken.items() if v}
 
 
+def test_many_small_sources_meet_their_targets(frame):
+    rng = __import__("random").Random(12)
+    rows = [(i, prose(rng, 20), None, f"site{i:05d}") for i in range(3000)] + [(5000 + i, "one two three", None, "tiny") for i in range(2)]
+    rows.append((6000, prose(rng, 3000), None, "large"))
+    got = mix_taken(frame(rows)).collect()
+    want = targets({**{r[3]: size(r[1]) for r in rows}, "tiny": 6})
+    taken = defaultdict(int)
+    for r in got:
+        taken[r.source] += r.taken
+        assert r.taken <= 2 * r.size
+    assert abs(sum(taken.values()) - sum(want.values())) <= 0.02 * sum(want.values())
+    assert all(abs(taken[s] - want[s]) <= 2 * max(1, size_ // 64) for s, size_ in (("large", 3000), ("tiny", 6), *((f"site{i:05d}", 20) for i in range(3000))))
+
+
+@pytest.mark.parametrize("block_words", [8, 128])
+def test_taken_equals_walking_the_slots(frame, block_words):
+    """Words are counted one by one: each slot's block, word after word, in its source's stream."""
+    rows = awkward(5, docs=100)
+    stream, sources, slots = mixed(frame(rows), block_words=block_words)
+    words = defaultdict(list)  # source: for each word of the stream, the place of its row
+    for r in sorted(stream.collect(), key=lambda r: r.pos):
+        assert r.before_size == len(words[r.grp])
+        words[r.grp] += [r.pos] * r["size"]
+    taken = defaultdict(int)
+    for r in slots.collect():
+        own = words[r.grp]
+        length = min(block_words, max(1, len(own) // 64))
+        for pos in own[r.block * length:(r.block + 1) * length]:
+            taken[r.grp, pos] += 1
+    place = {(r.grp, r.pos): (r.doc_id, r["size"]) for r in stream.collect()}
+    want = sorted(((*place[k], taken[k]) for k in place), key=repr)
+    assert sorted(((r.doc_id, r["size"], r.taken) for r in mix_taken(frame(rows), block_words=block_words).collect()), key=repr) == want
+
+
 def test_without_words(frame):
     assert mix_taken(frame([])).count() == 0
     got = mix_taken(frame([(1, None, None, None), (2, "", None, "x"), (3, " \n", None, "x")])).collect()

@@ -33,6 +33,43 @@ def test_every_shard_matches_the_mixture(frame):
             assert abs(each[source, shard] - n / 8) <= 2
 
 
+def test_shards_follow_the_order_of_fractional_ranks(spark, frame):
+    """Against a sort of its own: each source's rows by the seeded key, all rows by (rank + offset) / rows."""
+    from pyspark.sql import functions as F
+
+    from salaria.llm.rows import KEY_BITS, seeded_key
+    from salaria.llm.sharding import SEED
+
+    rows = [(i, f"text {i}", None, "abcdefg"[min(6, i % 11)]) for i in range(400)]
+    docs = frame(rows)
+    keys = {r.doc_id: r.k for r in docs.select("doc_id", seeded_key("doc_id", "text", seed=SEED).alias("k")).collect()}
+    offset = {r.source: r.u for r in docs.select("source", (seeded_key(F.concat(F.lit("s"), "source"), seed=SEED + 1) / float(1 << KEY_BITS)).alias("u")).distinct().collect()}
+    order = []
+    for source in sorted({r[3] for r in rows}):
+        own = sorted((keys[r[0]], r[0]) for r in rows if r[3] == source)
+        order += [((k + offset[source]) / len(own), source, k, i) for k, (_, i) in enumerate(own)]
+    want = {i: (s, n - -(-s * 400 // 7)) for n, (_, _, _, i) in enumerate(sorted(order)) for s in [((n + 1) * 7 - 1) // 400]}
+    got = {r.doc_id: r.shard for r in shard_rows(docs, shards=7).collect()}
+    assert got == {i: s for i, (s, _) in want.items()}
+
+
+def test_sources_of_one_row_are_spread(spark, frame, monkeypatch):
+    """With a source per row, fractional ranks do not meet: no key range holds them all."""
+    from salaria.llm import sharding
+
+    seen = []
+    real = sharding.prefix_positions
+
+    def spy(df, *args, **kwargs):
+        seen.append(df)
+        return real(df, *args, **kwargs)
+
+    monkeypatch.setattr(sharding, "prefix_positions", spy)
+    got = shard_rows(frame([(i, f"t{i}", None, f"s{i}") for i in range(2000)]), shards=9).collect()
+    assert len(got) == 2000 and len(seen) == 2
+    assert seen[1].select("_key").distinct().count() > 1990
+
+
 def test_reruns_agree_and_do_not_depend_on_row_order(frame):
     rows = awkward(9)
     one = sorted((tuple(r) for r in shard_rows(frame(rows)).collect()), key=repr)
