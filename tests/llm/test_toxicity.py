@@ -7,17 +7,19 @@ from tests_llm_data import awkward, prose
 
 
 def distance(a, b):
-    row = list(range(len(b) + 1))
-    for i, x in enumerate(a):
-        last, row[0] = row[0], i + 1
-        for j, y in enumerate(b):
-            last, row[j + 1] = row[j + 1], min(row[j + 1] + 1, row[j] + 1, last + (x != y))
-    return row[-1]
+    """Edits, with a swap of neighbours as one (no letter is edited twice)."""
+    d = [[i + j if not i * j else 0 for j in range(len(b) + 1)] for i in range(len(a) + 1)]
+    for i in range(1, len(a) + 1):
+        for j in range(1, len(b) + 1):
+            d[i][j] = min(d[i - 1][j] + 1, d[i][j - 1] + 1, d[i - 1][j - 1] + (a[i - 1] != b[j - 1]))
+            if i > 1 and j > 1 and a[i - 1] == b[j - 2] and a[i - 2] == b[j - 1]:
+                d[i][j] = min(d[i][j], d[i - 2][j - 2] + 1)
+    return d[-1][-1]
 
 
 def test_automaton_equals_edit_distance():
     rng = random.Random(1)
-    for errors in (1, 2):
+    for errors in (1, 2, 3):
         terms = sorted({"".join(rng.choice("abc") for _ in range(rng.randint(1, 7))) for _ in range(25)})
         allowed = lambda t: errors if len(t) >= 4 else 0  # noqa: B023, E731
         trie = FuzzyTrie(terms, allowed)
@@ -30,6 +32,16 @@ def test_automaton_equals_edit_distance():
                 assert found[1] == near == distance(word, terms[found[0]])
 
 
+@pytest.mark.parametrize("word, term, errors", [
+    ("draedful", "dreadful", 1), ("dredfull", "dreadful", 2), ("wr3tch3d", "wretched", 2), ("wretched", "wretched", 0), ("vlie", None, 0),
+    ("vile", "vile", 0), ("nasyt", "nasty", 1), ("naasstty", None, 0), ("nast", "nasty", 1), ("dr3adfvlx", None, 0),
+])
+def test_errors_by_length_of_the_term(word, term, errors):
+    terms = ["dreadful", "wretched", "vile", "nasty"]
+    found = FuzzyTrie(terms).match(word)
+    assert (found is None) if term is None else found == (terms.index(term), errors)
+
+
 def test_states_are_rebuilt_when_there_are_too_many(monkeypatch):
     import salaria.llm.toxicity as m
 
@@ -48,7 +60,7 @@ def test_context_tells_quotation_from_abuse():
     assert weights[0] == 1.0 > weights[1] > weights[2]
     trie = FuzzyTrie(["dreadful"])
     f = [features(t, trie, [1.0]) for t in (plain, quoted, "a dreadfull person", None)]
-    assert f[0][0] > f[1][0] and f[1][1] > f[0][1] and f[2][2] > 0 == f[0][2] and f[0][0] > f[2][0] and f[3] == [0.0] * 4
+    assert f[0][0] > f[1][0] and f[1][1] > f[0][1] and f[2][2] > 0 == f[0][2] and f[0][0] > f[2][0] and f[3] == [0.0] * 5
 
 
 @pytest.fixture(scope="module")
@@ -83,6 +95,31 @@ def test_scores(spark, frame, corpus):
     assert all(0 <= r.score <= 1 for r in got.values())
 
 
+def test_a_repeated_id_is_one_row_of_the_sample(spark, frame, corpus, monkeypatch):
+    from salaria.llm import toxicity
+
+    rows, labels, _ = corpus
+    known = next(i for i, _, _ in labels if __import__("zlib").crc32(str(i).encode()) % 3 != 1)
+    seen = {}
+    real = toxicity._logistic
+    monkeypatch.setattr(toxicity, "_logistic", lambda x, y: seen.update(n=len(x)) or real(x, y))
+    df = spark.createDataFrame(labels, "doc_id long, quality int, toxic int")
+    score_documents(frame(rows + [(known, f"another text {k}", None, None) for k in range(500)]), df)
+    assert seen["n"] <= len(labels)
+
+
+def test_held_out_labels_leave_all_scores_as_they_are(spark, frame, corpus):
+    import zlib
+
+    rows, labels, _ = corpus
+    got = {r.doc_id: r for r in score_documents(frame(rows), spark.createDataFrame(labels, "doc_id long, quality int, toxic int")).collect()}
+    assert all(r.held_out == (zlib.crc32(str(i).encode()) % 3 == 1) for i, r in got.items())
+    other = [(i, q, 1 - t if got[i].held_out else t) for i, q, t in labels]
+    assert other != labels
+    again = {r.doc_id: r for r in score_documents(frame(rows), spark.createDataFrame(other, "doc_id long, quality int, toxic int")).collect()}
+    assert again == got
+
+
 def test_stage_drops_toxic_rows_alone(spark, frame, corpus, tmp_path):
     rows, labels, truth = corpus
     spark.createDataFrame(labels, "doc_id long, quality int, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
