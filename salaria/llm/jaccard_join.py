@@ -13,11 +13,14 @@ of one task, a column block a range of shingle keys.
    n - ceil(0.8 n) + 1 columns in any order common to all documents. The order is
    rarest first; for most documents these are columns of their own, and they are
    done: no pair of theirs can reach the bound.
-4. Pairs that meet in such a column get their overlap counted over all shared
-   columns, unless the bounds rule them out: two rows of a and b entries need
+4. Pairs that meet in such a column are candidates, unless the bounds rule them out: two rows of a and b entries need
    ceil(4 (a + b) / 9) in common, and from place i on a row of a entries has a - i
    left. Rows meet by column and by band of size, so most pairs that the bounds rule
    out are never formed. Documents with equal sets are one row throughout.
+5. Candidates get their overlap from products of sparse blocks: the candidates' rows are dealt to row blocks, and for each pair of
+   row blocks that has candidates, the rows that occur in them are brought together once, however many pairs they are in. The product
+   is accumulated column block by column block; after each, pairs whose count cannot reach the bound any more are
+   discarded, and rows without a pair left take no further part.
 
 Pairs within a group are not all needed for its component: each column first
 compares its rows with one pivot, the row with the fewest rare columns before it
@@ -44,10 +47,9 @@ import xxhash
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import LongType
 
 from salaria.llm.components import components
-from salaria.llm.rows import documents, parts_by_size, passing_tables, pick_rows, release_memory, row_fp, small_batches, table
+from salaria.llm.rows import documents, parts_by_size, passing_tables, pick_rows, release_memory, row_fp, settled, small_batches, table
 
 WORDS = 5
 KEY_BITS = 48
@@ -55,6 +57,8 @@ KEY_BITS = 48
 BLOCK_KEYS, LOCAL_ROWS, COLUMN_CHARS = 1_000_000, 64, 8_000_000
 #: Pivot rounds go on while the open pairs outnumber this many times the entries, and get fewer.
 OPEN_PAIRS = 1
+#: Rows of a row block of the product (about), and products of entries that are held at a time.
+BLOCK_ROWS, PRODUCT_ENTRIES = 1000, 4_000_000
 #: Sizes of one band differ by this factor at most.
 BAND = 1.12
 
@@ -195,16 +199,91 @@ def _bounded_rows(pdf: pd.DataFrame) -> pd.DataFrame:
                          "alone": alone, "prefix": prefix, "shared_keys": packed})
 
 
-@F.pandas_udf(LongType())
-def overlap(a: pd.Series, b: pd.Series) -> pd.Series:
-    """Entries of the product: keys common to two packed rows."""
-    return pd.Series([len(np.intersect1d(unpack(x), unpack(y), assume_unique=True)) for x, y in zip(a, b)], dtype="int64")
+class _Side:
+    """The rows of one side of a product: their entries by key, and how many entries each has left."""
+
+    def __init__(self, rows: pd.DataFrame):
+        self.sid = {sid: k for k, sid in enumerate(rows.sid)}
+        self.n = rows.n.to_numpy(np.int64)
+        keys = [unpack(k) for k in rows.shared_keys]
+        self.left = np.array([len(k) for k in keys], np.int64)
+        flat, row = np.concatenate(keys), np.repeat(np.arange(len(keys)), self.left)
+        order = np.argsort(flat, kind="stable")
+        self.key, self.row = flat[order], row[order]
+
+
+def overlaps(a: _Side, b: _Side, i: np.ndarray, j: np.ndarray, entries: int) -> np.ndarray:
+    """Entries common to rows ``i`` of ``a`` and ``j`` of ``b``, pair by pair; -1 for pairs found to be under the bound.
+
+    The product of the two blocks, summed up over column blocks of at most about ``entries`` products of entries.
+    """
+    need = -(-4 * (a.n[i] + b.n[j]) // 9)
+    pair = np.full((len(a.n), len(b.n)), -1, np.int64)
+    pair[i, j] = np.arange(len(i))
+    count, live = np.zeros(len(i), np.int64), np.ones(len(i), bool)
+    left_a, left_b = a.left.copy(), b.left.copy()
+    # Columns of both sides, and the products of entries that each takes.
+    columns = np.intersect1d(a.key, b.key)
+    first_a, end_a = (np.searchsorted(a.key, columns, side) for side in ("left", "right"))
+    first_b, end_b = (np.searchsorted(b.key, columns, side) for side in ("left", "right"))
+    work = np.cumsum((end_a - first_a) * (end_b - first_b))
+    at = 0
+    while at < len(columns) and live.any():
+        stop = max(at + 1, int(np.searchsorted(work, (work[at - 1] if at else 0) + entries, "right")))
+        rows_a = np.zeros(len(a.n), bool)
+        rows_a[i[live]] = True
+        rows_b = np.zeros(len(b.n), bool)
+        rows_b[j[live]] = True
+        for k in _runs(first_a[at:stop], end_a[at:stop], first_b[at:stop], end_b[at:stop], entries):
+            x, y = a.row[k[0]], b.row[k[1]]
+            some = rows_a[x] & rows_b[y]
+            found = pair[x[some], y[some]]
+            count += np.bincount(found[found >= 0], minlength=len(i))
+        # What is left of a row: its entries in columns beyond this block.
+        last = columns[stop - 1]
+        for side, left in ((a, left_a), (b, left_b)):
+            left[:] = np.bincount(side.row[np.searchsorted(side.key, last, "right"):], minlength=len(left))
+        live &= count + np.minimum(left_a[i], left_b[j]) >= need
+        at = stop
+    return np.where(live & (count >= need), count, -1)
+
+
+def _runs(first_a, end_a, first_b, end_b, entries: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Places of the entries of both sides that meet in the columns given, at most about ``entries`` pairs of them at a time."""
+    wide_a, wide_b = end_a - first_a, end_b - first_b
+    size = wide_a * wide_b
+    for k in np.flatnonzero(size > entries):  # a column of very many rows, some of its rows of one side at a time
+        step = max(1, entries // int(wide_b[k]))
+        for low in range(int(first_a[k]), int(end_a[k]), step):
+            own = np.arange(low, min(low + step, int(end_a[k])))
+            yield np.repeat(own, wide_b[k]), np.tile(np.arange(first_b[k], end_b[k]), len(own))
+    small = np.flatnonzero(size <= entries)
+    if len(small):
+        size, wide = size[small], wide_b[small]
+        nth = np.arange(int(size.sum())) - np.repeat(np.cumsum(size) - size, size)
+        wide = np.repeat(wide, size)
+        yield np.repeat(first_a[small], size) + nth // wide, np.repeat(first_b[small], size) + nth % wide
+
+
+def _product(rows: pd.DataFrame, pairs: pd.DataFrame) -> pd.DataFrame:
+    """Of the candidate ``pairs`` of two row blocks, those that link, with their overlap. ``rows``: the rows in them, by side."""
+    out = pd.DataFrame({"a": [], "b": [], "both": []}).astype({"both": "int64"})
+    if not len(pairs):
+        return out
+    a, b = (_Side(rows[rows.side == side]) for side in (0, 1))
+    i, j = (np.array([side.sid[s] for s in pairs[c]]) for side, c in ((a, "a"), (b, "b")))
+    both = overlaps(a, b, i, j, PRODUCT_ENTRIES)
+    linked = 5 * both >= 4 * (a.n[i] + b.n[j] - both)
+    linked &= both >= 0
+    release_memory()
+    return pd.DataFrame({"a": pairs.a[linked], "b": pairs.b[linked], "both": both[linked]})
 
 
 def shingle_rows(docs: DataFrame) -> DataFrame:
     """Every row of ``docs``: doc_id, row_fp, n_shingles, sid (its shingle set's 128-bit identity), alone
     (columns that it alone has), prefix and shared_keys (null where no other document can reach the bound). Written to the checkpoint folder."""
     small_batches(docs.sparkSession)
+    docs = settled(docs.select("doc_id", "text"), "join-docs")
     chars = docs.select(F.length(docs["text"]).alias("n")).agg(F.sum("n")).first()[0] or 0
     width = max(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")) * 4, chars // COLUMN_CHARS, 1)
     bits = min(24, math.ceil(math.log2(width)))
@@ -240,14 +319,22 @@ def _may_reach(n, i, m, j) -> Column:
     return (5 * F.least(n, m) >= 4 * F.greatest(n, m)) & (9 * (n - i) >= 4 * (n + m)) & (9 * (m - j) >= 4 * (n + m))
 
 
-def _linked(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+def _linked(pairs: DataFrame, sets: DataFrame, passing) -> DataFrame:
     """Of the pairs (a, b, component_a, component_b), those with similarity 0.8 or more, as components."""
-    def side(x):
-        return sets.select(F.col("sid").alias(x), F.col("n").alias(f"n_{x}"), F.col("shared_keys").alias(f"keys_{x}"))
+    total, rows = pairs.agg(F.count(F.lit(1)), F.approx_count_distinct("a")).first()
+    # As many row blocks as give each about BLOCK_ROWS of the rows that have candidates.
+    blocks = max(1, -(-max(rows, 1) // BLOCK_ROWS))
+
+    def block(x: str) -> Column:
+        return F.pmod(F.xxhash64(x), F.lit(blocks)).cast("int").alias(f"block_{x}")
 
-    both = pairs.join(side("a"), "a").join(side("b"), "b").withColumn("both", overlap("keys_a", "keys_b"))
-    both = both.where(5 * F.col("both") >= 4 * (F.col("n_a") + F.col("n_b") - F.col("both")))
-    return both.select(F.col("component_a").alias("a"), F.col("component_b").alias("b"))
+    pairs = pairs.select("*", block("a"), block("b"))
+    where = ["block_a", "block_b"]
+    used = pairs.select(*where, F.explode(F.array(*(F.struct(F.lit(k).alias("side"), F.col(x).alias("sid")) for k, x in enumerate("ab")))).alias("r"))
+    used = used.select(*where, "r.side", "r.sid").distinct().join(sets.select("sid", "n", "shared_keys"), "sid")
+    candidates = pairs.select(F.col("block_a").alias("of_a"), F.col("block_b").alias("of_b"), "a", "b").groupBy("of_a", "of_b")
+    found = used.groupBy(*where).cogroup(candidates).applyInPandas(_product, "a binary, b binary, both long")
+    return passing(found.join(pairs, ["a", "b"]).select(F.col("component_a").alias("a"), F.col("component_b").alias("b")), "linked")
 
 
 def set_components(sets: DataFrame) -> DataFrame:
@@ -286,7 +373,7 @@ def set_components(sets: DataFrame) -> DataFrame:
             pivots = passing(pivots.select(*spot, "p.b", "p.n_b", "p.place_b", "p.component_b"), "pivots")
             pairs = (placed.join(pivots, spot).where(F.col("component") != F.col("component_b")).where(_may_reach("n", "place", "n_b", "place_b"))
                      .select(F.col("sid").alias("a"), "b", F.col("component").alias("component_a"), "component_b").distinct())
-            comp = merged(comp, _linked(pairs, sets))
+            comp = merged(comp, _linked(passing(pairs, "pairs"), sets, passing))
         # Every pair of rows of different components that may reach the bound.
         groups = passing(parts.join(open_.select(*spot), spot, "left_semi"), "groups")
         both = groups.select(*spot, F.col("component").alias("component_a")).join(
@@ -297,7 +384,7 @@ def set_components(sets: DataFrame) -> DataFrame:
         pairs = (both.join(a, [*spot, "component_a"]).join(b, [*spot, "component_b"])
                  .where("n_a > n_b or n_a = n_b and a > b").where(_may_reach("n_a", "place_a", "n_b", "place_b"))
                  .select("a", "b", "component_a", "component_b").distinct())
-        return table(merged(comp, _linked(pairs, sets)), "join-components")
+        return table(merged(comp, _linked(passing(pairs, "pairs"), sets, passing)), "join-components")
 
 
 def jaccard_components(docs: DataFrame) -> DataFrame:

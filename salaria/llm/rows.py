@@ -37,6 +37,11 @@ def table(df: DataFrame, label: str) -> DataFrame:
     return materialize(df, session_scratch(df.sparkSession, label))
 
 
+def settled(df: DataFrame, label: str) -> DataFrame:
+    """``df``, written first if its plan shuffles: rows that come out of a shuffle may come in another order when a task is run again."""
+    return table(df, label) if "Exchange" in df._jdf.queryExecution().executedPlan().toString() else df
+
+
 @contextmanager
 def parts_by_size(spark: SparkSession) -> Iterator[None]:
     """Within the block, adaptive execution merges shuffle parts up to the advisory size, not only down to the number of

@@ -4,7 +4,9 @@ from collections import defaultdict
 import numpy as np
 import pytest
 
+from salaria.llm import jaccard_join
 from salaria.llm.components import components
+from salaria.llm.rows import settled
 from salaria.llm.jaccard_join import bound, jaccard_components, near_dup_stage, pack, shingle_keys, unpack
 from tests_llm_data import awkward, prose
 
@@ -70,6 +72,73 @@ def test_passage_shared_by_very_many_rows(frame):
     assert sorted(((r.doc_id, r.n_shingles, r.component_id) for r in got), key=repr) == brute(rows)
 
 
+def templated(rng, n):
+    """Texts of 20 slots with three wordings each: very many pairs share columns, hardly any reaches the bound."""
+    slots = [[prose(rng, 6) for _ in range(3)] for _ in range(20)]
+    return [" ".join(rng.choice(s) for s in slots) for _ in range(n)]
+
+
+@pytest.mark.parametrize("block_rows,entries", [(1000, 4_000_000), (40, 500)])
+def test_templated_texts_are_multiplied_in_blocks(frame, monkeypatch, block_rows, entries):
+    """Rows are brought together once for each pair of row blocks, not once for each pair of rows."""
+    monkeypatch.setattr(jaccard_join, "BLOCK_ROWS", block_rows)
+    monkeypatch.setattr(jaccard_join, "PRODUCT_ENTRIES", entries)
+    rng = random.Random(9)
+    rows = [(k, t, None, "s") for k, t in enumerate(templated(rng, 260))]
+    rows += [(1000 + k, rows[k][1] + " a word more", None, "s") for k in range(0, 60, 3)]
+    got = jaccard_components(frame(rows)).collect()
+    assert sorted(((r.doc_id, r.n_shingles, r.component_id) for r in got), key=repr) == brute(rows)
+
+
+def test_rows_cross_the_shuffle_once_per_block_pair(spark, frame, monkeypatch):
+    sent = []
+    real = jaccard_join._linked
+
+    def spy(pairs, sets, passing):
+        kept = []
+
+        def keeping(df, name):
+            kept.append(df)
+            return passing(df, name)
+
+        out = real(pairs, sets, keeping)
+        rows = pairs.select("a").union(pairs.select("b")).distinct().count()
+        sent.append((pairs.count(), rows, kept[-1]._jdf.queryExecution().executedPlan().toString()))
+        return out
+
+    monkeypatch.setattr(jaccard_join, "_linked", spy)
+    rows = [(k, t, None, "s") for k, t in enumerate(templated(random.Random(3), 400))]
+    jaccard_components(frame(rows)).collect()
+    assert max(p for p, _, _ in sent) > 5 * max(n for _, n, _ in sent)  # many pairs of few rows
+    assert all("ArrowEvalPython" not in plan and "CoGroup" in plan for _, _, plan in sent)
+
+
+@pytest.mark.parametrize("entries", [1, 50, 10**6])
+def test_product_equals_set_intersections(entries):
+    import pandas as pd
+
+    rng = np.random.default_rng(entries)
+    sets = [np.unique(rng.integers(0, 400, rng.integers(1, 120)).astype(np.uint64)) for _ in range(60)]
+    sets += [np.unique(np.append(s, rng.integers(0, 400, 3).astype(np.uint64))) for s in sets[:20]]
+    frame_of = pd.DataFrame({"sid": [bytes([k]) for k in range(len(sets))], "n": [len(s) for s in sets], "shared_keys": [pack(s) for s in sets]})
+    i, j = np.array([(x, y) for x in range(0, 80, 2) for y in range(1, 80, 3)]).T
+    got = jaccard_join.overlaps(jaccard_join._Side(frame_of), jaccard_join._Side(frame_of), i, j, entries)
+    for x, y, both in zip(i, j, got):
+        true = len(np.intersect1d(sets[x], sets[y]))
+        assert both == (true if 9 * true >= 4 * (len(sets[x]) + len(sets[y])) else -1)
+
+
+def test_a_shuffled_input_is_written_first(spark, frame):
+    rng = random.Random(2)
+    rows = [(k, t, None, "s") for k, t in enumerate(near_groups(rng, 10, 6, 3))]
+    df = frame(rows)
+    assert settled(df, "x") is df
+    moved = df.repartition(7)
+    assert settled(moved, "x") is not moved
+    want = sorted((tuple(r) for r in jaccard_components(df).collect()), key=repr)
+    assert sorted((tuple(r) for r in jaccard_components(moved).collect()), key=repr) == want
+
+
 def test_keys_and_packing():
     assert len(shingle_keys(None)) == len(shingle_keys(" \n")) == 0
     assert len(shingle_keys("one two")) == 1
