@@ -35,7 +35,7 @@ K, EVERY = 5, 50
 #: Parts: least and most, and rows of one aimed at between them.
 PARTS, PART_ROWS = (32, 256), 65_536
 #: Fit: rows at most, rows per part at least, neighbours in the graph, hidden units, passes, share of true neighbours to meet.
-SAMPLE_ROWS, SAMPLE_PER_PART, GRAPH_K, HIDDEN, EPOCHS, RECALL = 16_384, 64, 10, 128, 8, 0.96
+SAMPLE_ROWS, SAMPLE_PER_PART, GRAPH_K, HIDDEN, EPOCHS, RECALL = 16_384, 64, 10, 128, 8, 0.98
 #: Rows of a page and queries of a block (about).
 PAGE_ROWS, QUERY_BLOCK = 2048, 2048
 #: Scores of a matrix product this far below the k-th best are still computed exactly.
