@@ -37,7 +37,7 @@ from pyspark.sql import functions as F
 from salaria import schema as S
 from salaria.operators import ingest, quality, report
 from salaria.plans import keyjoin, sizing
-from salaria.plans.scratch import default_parallelism
+from salaria.plans.scratch import default_parallelism, materialize
 from salaria.plans.staging import Staging, fingerprint
 from salaria.sources.paths import check_paths, input_bytes
 from salaria.sources.publish import publishing
@@ -176,7 +176,8 @@ def _run(spark, employee_path, payroll_path, output_path, staging, *, overflow,
         valid_pay = valid_pay.filter(F.col(S.REJECTED) == 0)  # reads the folder of valid rows only
     valid_pay = valid_pay.select(S.EMPLOYEE_ID, S.MONTH, S.BASE_SALARY, S.BONUS, S.LINE_ID, *origin)
     if ordered:
-        valid_pay = number_lines(valid_pay, lines.select(S.LINE_ID, *origin), staging)
+        # Not taken up by a resumed run: the scan's ids may differ where the payroll is not staged.
+        valid_pay = number_lines(valid_pay, lines.select(S.LINE_ID, *origin), lambda df, name: materialize(df, f"{staging.folder}/{name}"))
 
     # Stage 2: the key table, with every line's status counted in it (exact under
     # task and stage retries, unlike accumulators), written to the checkpoint folder.
