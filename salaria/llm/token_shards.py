@@ -33,13 +33,13 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from salaria.llm.rows import documents, small_batches
+from salaria.llm.rows import documents, release_memory, small_batches
 from salaria.llm.words import WordMemory, insert_behind
 from salaria.plans.scratch import session_scratch
 
 END = 2
 #: Ids of a shard (about), least count of a pair, stretches remembered (twice as many at most).
-SHARD_IDS, LEAST, MEMORY = 2_000_000, 32, 500_000
+SHARD_IDS, LEAST, MEMORY = 2_000_000, 32, 300_000
 _CELL_BITS = 20
 #: Words that are learned in one text.
 _RUN_WORDS = 100
@@ -388,6 +388,8 @@ def _shards(spec: str, shard_ids: int):
                         ids, codes, sizes, held, number = [], [], [], 0, number + 1
         if ids:
             yield flush()
+        ids, codes, sizes = [], [], []
+        release_memory()
     return run
 
 
