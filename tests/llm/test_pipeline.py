@@ -54,7 +54,7 @@ def test_query_matches_oracle(spark, name):
     import duckdb
 
     con = duckdb.connect()
-    for t in ("documents", "embeddings"):
+    for t in ("documents", "embeddings", "benchmark"):
         con.execute(f"create view {t} as select * from read_parquet('{SF_DIR}/{t}.parquet')")
     want = con.sql(ORACLE_SQL[name])
     got = QUERIES[name](spark, SF_DIR)
@@ -63,7 +63,7 @@ def test_query_matches_oracle(spark, name):
 
 
 def test_every_operator_is_registered():
-    assert sorted(int(n[2:].split("_")[0]) for n in QUERIES) == list(range(1, 11))
+    assert sorted(int(n[2:].split("_")[0]) for n in QUERIES) == list(range(1, 14))
     import __spark_entry__ as contract
 
     assert set(QUERIES) | {"pipeline"} <= set(contract.queries()) and set(ORACLE_SQL) <= set(contract.oracle_sql())
