@@ -32,8 +32,10 @@ from salaria.llm.words import WordMemory
 SPACE = "▁"
 #: Words remembered (twice as many at most), their greatest length, and pairs of pieces remembered, per worker.
 MEMORY, SHORT, PAIRS = 800_000, 40, 300_000
+#: The same in the pipeline, whose executors hold more besides.
+STAGE_MEMORY = 200_000
 #: Characters of texts that are encoded together, and come out as one batch.
-CHUNK = 4_000_000
+CHUNK = 2_000_000
 
 
 def model_bytes(path: str | None = None) -> bytes:
@@ -49,7 +51,7 @@ def model_bytes(path: str | None = None) -> bytes:
 class Pieces:
     """A merge model: encode to ids and back. ``window``: positions kept, at least the longest piece."""
 
-    def __init__(self, raw: bytes, window: int | None = None):
+    def __init__(self, raw: bytes, window: int | None = None, memory: int = MEMORY):
         from sentencepiece import sentencepiece_model_pb2 as proto
 
         model = proto.ModelProto.FromString(raw)
@@ -76,7 +78,7 @@ class Pieces:
         self.run = max((len(p) for p in self.ids if not p.strip(SPACE)), default=1)
         self.runs_repeat = self.merged(SPACE * 3 * self.run) == [SPACE * self.run] * 3
         self.codes = {p: k.to_bytes(4, "little") for p, k in self.ids.items()}
-        self.memory = WordMemory(MEMORY)
+        self.memory = WordMemory(memory)
         self.parts: dict[str, bytes] = {}
         self.edges: dict[str, tuple] = {}
         self.pairs: dict[tuple[str, str], bool] = {}
@@ -252,7 +254,7 @@ class Pieces:
     def _learn(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """Encode words in sorted order: each starts from the backpointers of what it shares with the one before."""
         codes, before, last, line = [b""] * len(words), "", [""], self._code("\n")
-        if len(self.parts) >= MEMORY:
+        if len(self.parts) >= PAIRS:
             self.parts.clear()
         for k in sorted(range(len(words)), key=words.__getitem__):
             w = words[k]
@@ -292,20 +294,20 @@ class Pieces:
             return out.encode("utf-8", "surrogateescape").decode("utf-8", "replace")
 
 
-_MODELS: dict[int, Pieces] = {}
+_MODELS: dict[tuple[int, int], Pieces] = {}
 
 
-def _model(raw: bytes) -> Pieces:
+def _model(raw: bytes, memory: int) -> Pieces:
     """One per worker: what it remembers serves the worker's later tasks."""
-    key = zlib.crc32(raw)
+    key = zlib.crc32(raw), memory
     if key not in _MODELS:
-        _MODELS[key] = Pieces(raw)
+        _MODELS[key] = Pieces(raw, memory=memory)
     return _MODELS[key]
 
 
-def _rows(raw: bytes, with_ids: bool):
+def _rows(raw: bytes, with_ids: bool, memory: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        model = _model(raw)
+        model = _model(raw, memory)
 
         def out(ids: list, texts: list[str]) -> pa.RecordBatch:
             codes = model.encode_batch(texts)
@@ -331,7 +333,7 @@ def _rows(raw: bytes, with_ids: bool):
     return run
 
 
-def encode_documents(docs: DataFrame, model_path: str | None = None, with_ids: bool = True) -> DataFrame:
+def encode_documents(docs: DataFrame, model_path: str | None = None, with_ids: bool = True, memory: int = MEMORY) -> DataFrame:
     """Every row of ``docs``: doc_id, n_pieces, ids_crc32 (of the ids as little-endian 32-bit integers), round_trip, ids.
 
     ``round_trip``: the ids decode to the text (false where a text holds U+2581, the
@@ -341,7 +343,7 @@ def encode_documents(docs: DataFrame, model_path: str | None = None, with_ids: b
     small_batches(docs.sparkSession)
     kind = "doc_id long, n_pieces long, ids_crc32 long, round_trip boolean" + (", ids array<int>" if with_ids else "")
     src = docs.select(docs["doc_id"].cast("long").alias("doc_id"), docs["text"].alias("text"))
-    return src.mapInArrow(_rows(model_bytes(model_path), with_ids), kind)
+    return src.mapInArrow(_rows(model_bytes(model_path), with_ids, memory), kind)
 
 
 def op5_sentencepiece(spark, sf_dir):
@@ -351,4 +353,4 @@ def op5_sentencepiece(spark, sf_dir):
 
 def pieces_stage(spark, docs, sf_dir):
     """Pipeline stage (the last): ids of every document."""
-    return encode_documents(docs)
+    return encode_documents(docs, memory=STAGE_MEMORY)
