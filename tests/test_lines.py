@@ -195,3 +195,17 @@ def test_lost_rejects_leave_both_outputs_untouched(spark, tmp_dir, monkeypatch):
         run_payroll_report(spark, emp, pay, out, rejects_path=rejects)
     assert {f: os.path.getmtime(os.path.join(d, f)) for top in (out, rejects) for d, _, fs in os.walk(top) for f in fs} == before
     assert sorted(os.listdir(tmp_dir)) == ["emp.csv", "out", "pay.csv", "rejects"]
+
+
+def test_command_line_with_rejects_and_resume(spark, tmp_dir, capsys):
+    import json
+
+    from salaria.__main__ import main
+
+    emp, pay, out, rejects = (os.path.join(tmp_dir, n) for n in ("emp.csv", "pay.csv", "out", "rejects"))
+    _write(emp, BAD_EMPLOYEES)
+    _write(pay, BAD_PAYROLL)
+    assert main([emp, pay, out, "--rejects", rejects, "--resume"]) == 0
+    printed = json.loads(capsys.readouterr().out.strip().splitlines()[-1])
+    assert printed["records_rejected"] == 9 and printed["resumed"] == []
+    assert _read_output(out) == GOLDEN_TEXT and _reject_files(rejects) == REJECTS
