@@ -12,14 +12,13 @@ read by walking expansion lengths and expanding only the symbols it touches.
 File format: Parquet rows (part, shard, n_ids, blob) in the checkpoint folder or a
 folder given; ``blob`` is described at ``pack_shard``. One shuffle, of the texts.
 
-Encoding by words: an id sequence never reaches over a border between a character
-that is no white space and a space followed by another such character (the
-tokenizer cuts words there), so the ids of the stretches between such borders are
-joined, and remembered.
+Encoding by words: the ids of stretches between borders where the tokenizer cuts
+words whatever stands around (``stretches``) are joined, and remembered.
 """
 
 from __future__ import annotations
 
+import json
 import os
 import struct
 import zlib
@@ -34,7 +33,8 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from salaria.llm.rows import documents, release_memory, small_batches
-from salaria.llm.words import WordMemory, insert_behind
+from salaria.llm.stretches import StretchMemory, cut, text_bytes
+from salaria.llm.words import gather, insert_behind
 from salaria.plans.scratch import session_scratch
 
 END = 2
@@ -55,17 +55,6 @@ def tokenizer_json(path: str | None = None) -> str:
         return f.read()
 
 
-#: White space of any kind but the space itself.
-_SPACES = "\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f\x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a\u2028\u2029\u202f\u205f\u3000"
-
-
-def _plain(text: str) -> bool:
-    """Whether every space stands between two characters that are no white space."""
-    if not text or "  " in text or text[0].isspace() or text[-1].isspace():
-        return False
-    return not any(x in text and (" " + x in text or x + " " in text) for x in (_SPACES[:9] if text.isascii() else _SPACES))
-
-
 class Encoder:
     """ids of whole texts.
 
@@ -84,37 +73,59 @@ class Encoder:
         self.added = [t.content for t in added if not (literal and t.special)]
         #: Tokens that take up or ask for what stands beside them, or are sought in normalised text: no text is cut.
         self.uncut = any(t.lstrip or t.rstrip or t.single_word or t.normalized or any(map(str.isspace, t.content)) for t in added)
-        self.memory = WordMemory(MEMORY)
+        way, spec = json.loads(spec), None
+        pattern = way["pre_tokenizer"] or {}
+        #: Only texts of this way to find words are cut.
+        self.uncut |= way["normalizer"] is not None or pattern.get("type") != "ByteLevel" or pattern["add_prefix_space"] or not pattern.get("use_regex", True)
+        self.memory = StretchMemory(MEMORY)
         self.spaced = np.zeros(self.tokenizer.get_vocab_size(), bool)
         for token, k in self.tokenizer.get_vocab().items():
             self.spaced[k] = token.startswith("\u0120")  # the tokenizer's sign for a space
+        self.feed = self.whole(["\n"])[0]
 
     def whole(self, texts: list[str]) -> list[np.ndarray]:
         return [np.array(e.ids, "<u4") for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
-    def _learn(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        """Encode words, each with a space before it, many in one text: an id that begins with a space begins a word."""
-        words = [w or "x" for w in words]  # the empty word stands for texts that are not cut; its ids are not used
-        ids = np.concatenate(self.whole([" " + " ".join(words[k:k + _RUN_WORDS]) for k in range(0, len(words), _RUN_WORDS)]))
+    def _spaced(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Encode words that begin with a space and have no other, many in one text: an id that begins with a space begins a word."""
+        ids = np.concatenate(self.whole(["".join(words[k:k + _RUN_WORDS]) for k in range(0, len(words), _RUN_WORDS)]))
         at = np.flatnonzero(self.spaced[ids])
-        if len(at) != len(words):  # a tokenizer that joins otherwise
-            each = self.whole([" " + w for w in words])
-            return np.concatenate(each), np.array([len(e) for e in each])
-        return ids, np.diff(np.append(at, len(ids)))
+        return (ids, np.diff(np.append(at, len(ids)))) if len(at) == len(words) else self._each(words)  # else: a tokenizer that joins otherwise
+
+    def _lines(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Encode words of ASCII letters and digits, many in one text: each on a line of its own."""
+        ids = np.concatenate(self.whole(["\n".join(words[k:k + _RUN_WORDS]) + "\n" for k in range(0, len(words), _RUN_WORDS)]))
+        if len(self.feed) != 1 or np.count_nonzero(feeds := ids == self.feed[0]) != len(words):
+            return self._each(words)
+        return ids[~feeds], np.diff(np.append(-1, np.flatnonzero(feeds))) - 1
+
+    def _each(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        each = self.whole(words)
+        return np.concatenate(each), np.array([len(e) for e in each])
+
+    def _learn(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of ``words`` one after the other, and how many each has."""
+        ways: tuple[list[int], ...] = [], [], []
+        for k, w in enumerate(words):
+            ways[2 if self.uncut else 0 if w[0] == " " and w.split() == [w[1:]] else 1 if w.isascii() and w.isalnum() else 2].append(k)
+        parts = [way([words[k] for k in some]) for way, some in zip((self._spaced, self._lines, self._each), ways) if some]
+        size = np.concatenate([p[1] for p in parts])
+        place = np.empty(len(words), np.int64)
+        place[ways[0] + ways[1] + ways[2]] = np.arange(len(words))
+        return gather(np.concatenate([p[0] for p in parts]), (np.cumsum(size) - size)[place], size[place]), size[place]
 
     def encode(self, texts: pa.Array, end: int | None = None) -> tuple[np.ndarray, np.ndarray]:
         """(ids of all texts one after the other, ids of each text); nulls are empty, ``end`` is put behind each."""
-        strings = [t or "" for t in texts.to_pylist()]
-        cut = [not self.uncut and _plain(t) and not any(x in t for x in self.added) for t in strings]
-        # Texts that are not cut count as one empty word; each text's first word has no space before it and is encoded apart.
-        entries, offsets = self.memory.words(pc.if_else(pa.array(cut, pa.bool_()), texts, ""), self._learn)
-        passing = self.memory.mark()
-        firsts = self.whole([t.partition(" ")[0] if c else t for t, c in zip(strings, cut)])
-        firsts.append(np.array([] if end is None else [end], "<u4"))
-        numbers = self.memory.add(np.concatenate(firsts), np.array([len(f) for f in firsts]))
-        entries[offsets[:-1]] = numbers[:-1]
-        out = self.memory.gather_lists(*insert_behind(entries, offsets, numbers[-1]))
-        self.memory.forget_since(passing)
+        whole = np.full(len(texts), self.uncut)
+        for added in self.added:
+            whole |= pc.match_substring(texts, added).fill_null(False).to_numpy(zero_copy_only=False)
+        raw, begin = text_bytes(texts)
+        places, offsets = cut(raw, begin, whole)
+        entries = self.memory.entries(raw, places, self._learn)
+        if end is not None:
+            entries, offsets = insert_behind(entries, offsets, self.memory.add(np.array([end], "<u4")))
+        out = self.memory.gather_lists(entries, offsets)
+        self.memory.forget()
         return out
 
     def batch(self, texts: list[str]) -> list[bytes]:
@@ -126,36 +137,49 @@ class Encoder:
 
 def _every_other(same: np.ndarray) -> np.ndarray:
     """False for every second place of a run; ``same``: the place goes on with the run of the one before."""
-    place = np.arange(len(same))
-    return (place - np.maximum.accumulate(np.where(same, 0, place))) % 2 == 0 if same.any() else np.ones(len(same), bool)
+    out = np.ones(len(same), bool)
+    at = np.flatnonzero(same)
+    if len(at):
+        step = np.arange(len(at))
+        first = np.append(True, at[1:] != at[:-1] + 1)  # of the places that go on with one run
+        out[at] = (step - np.maximum.accumulate(np.where(first, step, 0))) % 2 == 1
+    return out
 
 
-def _apart(places: np.ndarray, after: np.ndarray, weight: np.ndarray, chosen: np.ndarray, open_: np.ndarray) -> np.ndarray:
-    """Which pairs to replace: ``chosen``, and of the ``open_`` ones the heaviest first, so that none overlap.
+def _apart(places: np.ndarray, after: np.ndarray, weight: np.ndarray) -> np.ndarray:
+    """Which pairs to replace, the heaviest first, so that none overlap and none could be added.
 
     ``places`` are in order, ``after``: the places of the pairs' second symbols.
     Weights are equal for equal pairs only; in a run of one pair every other one counts.
     """
-    chosen = chosen.copy()
-    near = after[:-1] == places[1:]
-    open_ = open_ & ~chosen
-    open_[:-1] &= ~(near & chosen[1:])
-    open_[1:] &= ~(near & chosen[:-1])
-    left = np.flatnonzero(open_)
-    while len(left):
-        near = after[left[:-1]] == places[left[1:]]
-        w = weight[left]
-        win = _every_other(np.append(False, near & (w[1:] == w[:-1])))
-        win[1:] &= ~near | (w[1:] >= w[:-1])
-        win[:-1] &= ~near | (w[:-1] >= w[1:])
-        chosen[left[win]] = True
-        out = win.copy()
-        out[:-1] |= near & win[1:]
-        out[1:] |= near & win[:-1]
-        left = left[~out]
+    chosen = np.zeros(len(places), bool)
+    left = None  # numbers of the pairs to decide on; None: all
+    while left is None or len(left):
+        near = after[:-1] == places[1:]
+        same = weight[1:] == weight[:-1]
+        win = _every_other(np.append(False, near & same)[:len(places)])
+        less = weight[1:] < weight[:-1]
+        win[1:] &= ~(near & less)
+        win[:-1] &= ~(near & ~(less | same))
+        chosen[win if left is None else left[win]] = True
+        keep = ~win
+        keep[:-1] &= ~(near & win[1:])
+        keep[1:] &= ~(near & win[:-1])
+        left = np.flatnonzero(keep) if left is None else left[keep]
+        places, after, weight = places[keep], after[keep], weight[keep]
     return chosen
 
 
+def _ordered(places: np.ndarray, n: int) -> np.ndarray:
+    """``places`` below ``n`` in order, each once."""
+    if len(places) > n >> 6:
+        among = np.zeros(n, bool)
+        among[places] = True
+        return np.flatnonzero(among)
+    places = np.sort(places)
+    return places[np.append(True, places[1:] != places[:-1])[:len(places)]]
+
+
 def repair(seq: np.ndarray, ends: np.ndarray, first: int, turns: int | None = None, least: int = LEAST) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(rules, symbols, ends) of ``seq``; rule k is the pair that symbol ``first + k`` stands for.
 
@@ -178,34 +202,49 @@ def repair(seq: np.ndarray, ends: np.ndarray, first: int, turns: int | None = No
     fresh, active, turn = np.flatnonzero(after < n), np.empty(0, np.int64), 0
     while turns is None or turn < turns:
         turn += 1
-        pair = (symbols[fresh].astype(np.uint64) << np.uint64(32)) | symbols[after[fresh]]
+        if turn == 1:
+            pair = ((symbols[:-1].astype(np.uint64) << np.uint64(32)) | symbols[1:])[after[:n] < n]
+        else:
+            pair = (symbols[fresh].astype(np.uint64) << np.uint64(32)) | symbols[after[fresh]]
         if len(fresh) > 1 << _CELL_BITS - 4:  # a pair is at most as frequent as its hashed cell
-            cell = ((pair * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(64 - _CELL_BITS)).astype(np.int32)
+            cell = ((pair * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(64 - _CELL_BITS)).view(np.int64)
             full = (np.bincount(cell, minlength=1 << _CELL_BITS) >= least)[cell]
             fresh, pair = fresh[full], pair[full]
-        order = np.argsort(pair)
-        by = pair[order]
-        begin = np.flatnonzero(np.append(True, by[1:] != by[:-1])[:len(by)])
-        count = np.diff(np.append(begin, len(by)))
-        often = count >= least
-        number = np.where(often, len(known) + np.cumsum(often) - 1, -1)
-        kind[fresh[order]] = np.repeat(number, count)
-        known = np.concatenate([known, by[begin[often]]])
-        active = np.sort(np.concatenate([active, fresh[kind[fresh] >= 0]]))
+        code, distinct = pd.factorize(pair)
+        often = np.flatnonzero(np.bincount(code, minlength=len(distinct)) >= least)
+        often = often[np.argsort(distinct[often])]
+        number = np.full(len(distinct), -1, np.int32)
+        number[often] = np.arange(len(known), len(known) + len(often))
+        number = number[code]
+        kind[fresh] = number
+        known = np.concatenate([known, distinct[often]])
+        active = _ordered(np.concatenate([active, fresh[number >= 0]]), n)
         k = kind[active]
-        same = np.append(False, (after[active[:-1]] == active[1:]) & (k[1:] == k[:-1]))[:len(active)]
+        then = after[active]
+        same = np.append(False, (then[:-1] == active[1:]) & (k[1:] == k[:-1]))[:len(active)]
         count = np.bincount(k[_every_other(same)], minlength=len(known))
         live = (count >= least)[k]
-        kind[active[~live]] = -1
-        active, k = active[live], k[live]
+        if not live.all():
+            kind[active[~live]] = -1
+            active, then, k = active[live], then[live], k[live]
         if not len(active):
             break
         # Equal counts: by the number, scrambled, so that a repeated passage is paired all over at once.
-        weight = (count << 32) | (np.arange(len(known)) * 0x9E3779B1 & 0xFFFFFFFF)
-        chosen = _apart(active, after[active], weight[k], np.zeros(len(active), bool), np.ones(len(active), bool))
+        weight = np.empty(len(known), np.int32)
+        weight[np.argsort((count << 32) | (np.arange(len(known)) * 0x9E3779B1 & 0xFFFFFFFF))] = np.arange(len(known))
+        weight = weight[k]
+        chosen = _apart(active, then, weight)
         often = np.bincount(k[chosen], minlength=len(known)) >= least
-        # Places that pairs chosen too seldom held: every place of the others is replaced, or overlaps one that is.
-        chosen = _apart(active, after[active], weight[k], chosen & often[k], often[k])
+        seldom = np.flatnonzero(chosen & ~often[k])
+        if len(seldom):
+            # Places that pairs chosen too seldom held: every place of the others is replaced, or overlaps one that is.
+            chosen[seldom] = False
+            beside = np.concatenate([seldom[seldom > 0] - 1, seldom[seldom < len(active) - 1] + 1])
+            beside = _ordered(beside[often[k[beside]] & ~chosen[beside]], len(active))
+            held = chosen[np.maximum(beside - 1, 0)] & (then[beside - 1] == active[beside])
+            held |= chosen[np.minimum(beside + 1, len(active) - 1)] & (then[beside] == active[np.minimum(beside + 1, len(active) - 1)])
+            beside = beside[~held]
+            chosen[beside[_apart(active[beside], then[beside], weight[beside])]] = True
         place, inside = active[chosen], k[chosen]
         uses = np.bincount(inside, minlength=len(known))
         kept = np.flatnonzero(uses)
@@ -221,11 +260,9 @@ def repair(seq: np.ndarray, ends: np.ndarray, first: int, turns: int | None = No
         before[after[place]] = place
         before[gone], after[gone], kind[gone], kind[place] = -1, -1, -1, -1
         back = before[place]
-        fresh = np.concatenate([place[after[place] < n], back[back < n]])
+        fresh = _ordered(np.concatenate([place[after[place] < n], back[back < n]]), n)
         kind[fresh] = -1
         active = active[kind[active] >= 0]
-        fresh = np.sort(fresh)
-        fresh = fresh[np.append(True, fresh[1:] != fresh[:-1])[:len(fresh)]]
     held = after[:n] >= 0
     return np.concatenate(rules or [np.empty((0, 2), np.uint32)]), symbols[:n][held], after[:n][held] == n
 

@@ -17,6 +17,14 @@ import pyarrow.compute as pc
 Learn = Callable[[list[str]], tuple[np.ndarray, np.ndarray]]
 
 
+def gather(ids: np.ndarray, start: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """The runs of ``ids`` that begin at ``start`` and have ``size``, one after the other; ``start`` is overwritten."""
+    start[1:] -= np.cumsum(size)[:-1]
+    at = np.repeat(start, size)
+    at += np.arange(len(at))
+    return ids[at]
+
+
 class _Entries:
     """Runs of ids, one after the other in an array that grows."""
 
@@ -40,13 +48,7 @@ class _Entries:
 
     def gather(self, entries: np.ndarray) -> np.ndarray:
         """The ids of ``entries``, one after the other."""
-        size = self.size[entries]
-        upto = np.cumsum(size)
-        shift = self.start[entries]
-        shift[1:] -= upto[:-1]
-        at = np.repeat(shift, size)
-        at += np.arange(len(at))
-        return self.ids[at]
+        return gather(self.ids, self.start[entries], self.size[entries])
 
 
 class WordMemory:
