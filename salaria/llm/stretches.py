@@ -15,9 +15,10 @@ from __future__ import annotations
 from collections.abc import Callable
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 
-from salaria.llm.words import _Entries
+from salaria.llm.words import Entries
 
 #: White space of any kind but the space itself; also what only Python counts as such.
 SPACES = "\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f\x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a\u2028\u2029\u202f\u205f\u3000"
@@ -94,7 +95,13 @@ def _integers(raw: np.ndarray, start: np.ndarray, size: np.ndarray) -> tuple[lis
     return key, mixed
 
 
-class _Generation(_Entries):
+def _firsts(which: np.ndarray) -> np.ndarray:
+    """Where each number of ``which`` comes first; they are numbered in that order."""
+    most = np.maximum.accumulate(which)
+    return np.flatnonzero(np.append(True, most[1:] > most[:-1])[:len(which)])
+
+
+class _Generation(Entries):
     """Entries found by their keys in a table of pairs of places; a third key at one pair takes the place of the second."""
 
     def __init__(self, most: int):
@@ -155,31 +162,35 @@ class StretchMemory:
         before = self.earlier.find(key, mixed, wide[holes])
         old = np.flatnonzero(before)
         if len(old):
-            entry, first, which = np.unique(before[old], return_index=True, return_inverse=True)
-            some = old[first]
+            which, entry = pd.factorize(before[old])
+            some = old[_firsts(which)]
             found[holes[old]] = self.now.put([k[some] for k in key], mixed[some], self.earlier.gather(entry), self.earlier.size[entry])[which]
         new = np.flatnonzero(before == 0)
         if len(new):
-            words, first, which = self._distinct(raw, start, size, short[holes[new]])
-            some = new[first]
+            which, _ = pd.factorize(mixed[new])
+            some = new[_firsts(which)]
+            if all((k[new] == k[some][which]).all() for k in key):
+                data, at = memoryview(raw), short[holes[some]]
+                words = [str(data[a:b], "utf-8") for a, b in zip(start[at].tolist(), (start[at] + size[at]).tolist())]
+            else:  # two stretches of one hash
+                words, which = self._distinct(raw, start, size, short[holes[new]])
+                some = new[_firsts(which)]
             found[holes[new]] = self.now.put([k[some] for k in key], mixed[some], *learn(words))[which]
         out[short] = found
         self.mark = self.now.count, self.now.used
         long = np.flatnonzero(size > LONGEST)
         if len(long):
-            words, _, which = self._distinct(raw, start, size, long)
+            words, which = self._distinct(raw, start, size, long)
             out[long] = np.array(self.now.add(*learn(words)), np.int64)[which]
         return out
 
     @staticmethod
-    def _distinct(raw: np.ndarray, start: np.ndarray, size: np.ndarray, some: np.ndarray) -> tuple[list[str], np.ndarray, np.ndarray]:
-        """(distinct stretches, where each is first among ``some``, which one each of them is)."""
+    def _distinct(raw: np.ndarray, start: np.ndarray, size: np.ndarray, some: np.ndarray) -> tuple[list[str], np.ndarray]:
+        """(distinct stretches in order of their first place among ``some``, which one each of them is)."""
         data, begin = raw.tobytes(), start[some]
         number: dict[bytes, int] = {}
-        which = np.array([number.setdefault(data[a:b], len(number)) for a, b in zip(begin.tolist(), (begin + size[some]).tolist())], np.int64)
-        first = np.empty(len(number), np.int64)
-        first[which[::-1]] = np.arange(len(which))[::-1]
-        return [w.decode() for w in number], first, which
+        which = [number.setdefault(data[a:b], len(number)) for a, b in zip(begin.tolist(), (begin + size[some]).tolist())]
+        return [w.decode() for w in number], np.array(which, np.int64)
 
     def add(self, ids: np.ndarray) -> int:
         """An entry until ``forget``."""

@@ -32,7 +32,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from salaria.llm.rows import documents, release_memory, small_batches
+from salaria.llm.rows import documents, release_memory, reuse_memory, small_batches
 from salaria.llm.stretches import StretchMemory, cut, text_bytes
 from salaria.llm.words import gather, insert_behind
 from salaria.plans.scratch import session_scratch
@@ -106,8 +106,18 @@ class Encoder:
     def _learn(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """Ids of ``words`` one after the other, and how many each has."""
         ways: tuple[list[int], ...] = [], [], []
-        for k, w in enumerate(words):
-            ways[2 if self.uncut else 0 if w[0] == " " and w.split() == [w[1:]] else 1 if w.isascii() and w.isalnum() else 2].append(k)
+        spaced = [k for k, w in enumerate(words) if w[0] == " "]
+        if self.uncut:
+            ways[2].extend(range(len(words)))
+        elif "".join([words[k] for k in spaced]).split() == [words[k][1:] for k in spaced]:
+            ways[0].extend(spaced)
+        else:
+            for k in spaced:
+                ways[0 if words[k].split() == [words[k][1:]] else 2].append(k)
+        if not self.uncut:
+            for k, w in enumerate(words):
+                if w[0] != " ":
+                    ways[1 if w.isascii() and w.isalnum() else 2].append(k)
         parts = [way([words[k] for k in some]) for way, some in zip((self._spaced, self._lines, self._each), ways) if some]
         size = np.concatenate([p[1] for p in parts])
         place = np.empty(len(words), np.int64)
@@ -165,8 +175,9 @@ def _apart(places: np.ndarray, after: np.ndarray, weight: np.ndarray) -> np.ndar
         keep = ~win
         keep[:-1] &= ~(near & win[1:])
         keep[1:] &= ~(near & win[:-1])
-        left = np.flatnonzero(keep) if left is None else left[keep]
-        places, after, weight = places[keep], after[keep], weight[keep]
+        rest = np.flatnonzero(keep)
+        left = rest if left is None else left[rest]
+        places, after, weight = places[rest], after[rest], weight[rest]
     return chosen
 
 
@@ -202,14 +213,18 @@ def repair(seq: np.ndarray, ends: np.ndarray, first: int, turns: int | None = No
     fresh, active, turn = np.flatnonzero(after < n), np.empty(0, np.int64), 0
     while turns is None or turn < turns:
         turn += 1
-        if turn == 1:
-            pair = ((symbols[:-1].astype(np.uint64) << np.uint64(32)) | symbols[1:])[after[:n] < n]
-        else:
-            pair = (symbols[fresh].astype(np.uint64) << np.uint64(32)) | symbols[after[fresh]]
+        left, right = (symbols[:-1], symbols[1:]) if turn == 1 else (symbols[fresh], symbols[after[fresh]])
         if len(fresh) > 1 << _CELL_BITS - 4:  # a pair is at most as frequent as its hashed cell
-            cell = ((pair * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(64 - _CELL_BITS)).view(np.int64)
+            cell = ((left * np.uint32(0x9E3779B1) ^ right) * np.uint32(0x85EBCA6B) >> np.uint32(32 - _CELL_BITS)).astype(np.int64)
             full = (np.bincount(cell, minlength=1 << _CELL_BITS) >= least)[cell]
-            fresh, pair = fresh[full], pair[full]
+        else:
+            full = np.ones(len(left), bool)
+        if turn == 1:
+            full &= after[:n] < n
+        full = np.flatnonzero(full)
+        fresh = full if turn == 1 else fresh[full]
+        pair = left[full].astype(np.uint64) << np.uint64(32)
+        pair |= right[full]
         code, distinct = pd.factorize(pair)
         often = np.flatnonzero(np.bincount(code, minlength=len(distinct)) >= least)
         often = often[np.argsort(distinct[often])]
@@ -218,7 +233,8 @@ def repair(seq: np.ndarray, ends: np.ndarray, first: int, turns: int | None = No
         number = number[code]
         kind[fresh] = number
         known = np.concatenate([known, distinct[often]])
-        active = _ordered(np.concatenate([active, fresh[number >= 0]]), n)
+        new = fresh[np.flatnonzero(number >= 0)]
+        active = _ordered(np.concatenate([active, new]), n) if len(active) else new
         k = kind[active]
         then = after[active]
         same = np.append(False, (then[:-1] == active[1:]) & (k[1:] == k[:-1]))[:len(active)]
@@ -226,6 +242,7 @@ def repair(seq: np.ndarray, ends: np.ndarray, first: int, turns: int | None = No
         live = (count >= least)[k]
         if not live.all():
             kind[active[~live]] = -1
+            live = np.flatnonzero(live)
             active, then, k = active[live], then[live], k[live]
         if not len(active):
             break
@@ -245,6 +262,7 @@ def repair(seq: np.ndarray, ends: np.ndarray, first: int, turns: int | None = No
             held |= chosen[np.minimum(beside + 1, len(active) - 1)] & (then[beside] == active[np.minimum(beside + 1, len(active) - 1)])
             beside = beside[~held]
             chosen[beside[_apart(active[beside], then[beside], weight[beside])]] = True
+        chosen = np.flatnonzero(chosen)
         place, inside = active[chosen], k[chosen]
         uses = np.bincount(inside, minlength=len(known))
         kept = np.flatnonzero(uses)
@@ -262,7 +280,7 @@ def repair(seq: np.ndarray, ends: np.ndarray, first: int, turns: int | None = No
         back = before[place]
         fresh = _ordered(np.concatenate([place[after[place] < n], back[back < n]]), n)
         kind[fresh] = -1
-        active = active[kind[active] >= 0]
+        active = active[np.flatnonzero(kind[active] >= 0)]
     held = after[:n] >= 0
     return np.concatenate(rules or [np.empty((0, 2), np.uint32)]), symbols[:n][held], after[:n][held] == n
 
@@ -302,15 +320,11 @@ def expand(symbols: np.ndarray, rules: np.ndarray, sizes: np.ndarray, first: int
     rule = symbols[inner].astype(np.int64) - first
     size = np.ones(len(symbols), np.int64)
     size[inner] = sizes[rule]
-    upto = np.cumsum(size)
-    out = np.empty(int(upto[-1]) if len(symbols) else 0, np.uint32)
-    at = upto - size
-    out[at[~inner]] = symbols[~inner]
-    # Per expanded id: where its rule's expansion begins, plus how far it is in it.
-    n = size[inner]
-    step = np.arange(int(n.sum())) - np.repeat(np.cumsum(n) - n, n)
-    out[np.repeat(at[inner], n) + step] = words[np.repeat(begin[rule], n) + step]
-    return out
+    at = np.empty(len(symbols), np.int64)  # of each symbol's ids among the words and, behind them, the symbols that are ids
+    at[inner] = begin[rule]
+    plain = symbols[~inner]
+    at[~inner] = np.arange(len(words), len(words) + len(plain))
+    return gather(np.concatenate([words, plain]), at, size)
 
 
 def pack_shard(doc_ids: list[int | None], codes: list[bytes], vocabulary: int) -> bytes:
@@ -361,6 +375,8 @@ class Shard:
             end = int(self.upto[-1]) if len(self.upto) else 0
         if start >= end:
             return np.empty(0, np.uint32)
+        if start <= 0 and end >= self.upto[-1]:
+            return expand(self.symbols.astype(np.uint32), self.rules, self.sizes, self.first)
         # The documents, then the symbols in them, by expansion lengths.
         low, high = int(np.searchsorted(self.upto, start, "right")), int(np.searchsorted(self.upto, end, "left"))
         symbols = self._symbols(low, high)
@@ -397,6 +413,7 @@ def _encoder(spec: str) -> Encoder:
 
 def _shards(spec: str, shard_ids: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        reuse_memory()
         encoder = _encoder(spec)
         vocabulary = encoder.tokenizer.get_vocab_size()
         part, number = TaskContext.get().partitionId(), 0
@@ -447,6 +464,7 @@ def write_token_shards(docs: DataFrame, path: str, tokenizer_path: str | None =
 def read_token_shards(spark, path: str) -> DataFrame:
     """One row per document from the shards: doc_id, part, shard, nth, at (ids before it in the shard), n_tokens, ids_crc32."""
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        reuse_memory()
         for b in batches:
             for part, number, blob in zip(b.part, b.shard, b.blob):
                 shard = Shard(blob)
@@ -456,6 +474,7 @@ def read_token_shards(spark, path: str) -> DataFrame:
                 crc = [zlib.crc32(ids[4 * a:4 * (a + x)]) for a, x in zip(at.tolist(), n.tolist())]
                 yield pd.DataFrame({"doc_id": pd.array(shard.doc_ids, dtype="Int64"), "part": part, "shard": number,
                                     "nth": np.arange(len(n)), "at": at, "n_tokens": n, "ids_crc32": crc})
+        release_memory()
 
     return spark.read.parquet(path).select("part", "shard", "blob").mapInPandas(
         run, "doc_id long, part int, shard int, nth long, at long, n_tokens long, ids_crc32 long")

@@ -25,7 +25,7 @@ def gather(ids: np.ndarray, start: np.ndarray, size: np.ndarray) -> np.ndarray:
     return ids[at]
 
 
-class _Entries:
+class Entries:
     """Runs of ids, one after the other in an array that grows."""
 
     def __init__(self):
@@ -56,12 +56,12 @@ class WordMemory:
     again is taken over from it, the rest is forgotten."""
 
     def __init__(self, most: int):
-        self.most, self.now, self.earlier = most, _Entries(), _Entries()
+        self.most, self.now, self.earlier = most, Entries(), Entries()
 
     def words(self, texts: pa.Array, learn: Learn) -> tuple[np.ndarray, np.ndarray]:
         """(entries of the words of all ``texts`` between single spaces, where each text's words begin, and the end); nulls are empty."""
         if len(self.now.number) > self.most:
-            self.now, self.earlier = _Entries(), self.now
+            self.now, self.earlier = Entries(), self.now
         words = pc.split_pattern(pc.fill_null(texts, ""), " ")
         offsets = words.offsets.to_numpy().astype(np.int64)
         found = words.values.slice(offsets[0], offsets[-1] - offsets[0]).dictionary_encode()

@@ -1,10 +1,11 @@
+import json
 import random
 import zlib
 
 import numpy as np
 import pytest
 
-from salaria.llm import token_shards
+from salaria.llm import stretches, token_shards
 from salaria.llm.token_shards import END, Encoder, Shard, pack_shard, repair, token_index, tokenizer_json, write_token_shards
 from tests_llm_data import awkward, prose
 
@@ -150,3 +151,60 @@ def test_added_tokens_as_in_the_plain_call(spark, frame, tmp_path):
     want = [np.append(ids(plain, t), END).astype("<u4") for t in texts]
     got = token_index(spark, f"{tmp_path}/shards").orderBy("start").collect()
     assert [(r.doc_id, r.n_tokens, r.ids_crc32) for r in got] == [(k, len(c), zlib.crc32(c.tobytes())) for k, c in enumerate(want)]
+
+
+#: What may stand at a border: every kind of white space, marks, letters and digits of one to four bytes, the longest stretches kept.
+BORDERS = [*stretches.SPACES, *" \n'’.,!_\x00\x7f…“aZ9ñ²٣日🙂̀Ⅷ", "'s", "'ll", "\r\n", "\n\n", "  ", "<|endoftext|>", "word", "x" * 15, "x" * 16, "\x00" * 32, "y" * 33]
+
+
+@pytest.mark.parametrize("memory", [5, 5000])
+def test_stretches_end_where_the_library_begins_a_word(memory, monkeypatch):
+    monkeypatch.setattr(token_shards, "MEMORY", memory)
+    plain = tokenizers.Tokenizer.from_str(tokenizer_json())
+    encoder = Encoder(tokenizer_json(), literal=False)
+    texts = [a + b + c for a in ("w", " ", "\n", ".") for b in BORDERS for c in BORDERS]
+    rng = random.Random(memory)
+    texts += ["".join(rng.choice(BORDERS) for _ in range(rng.randint(0, 20))) for _ in range(1000)]
+    rng.shuffle(texts)
+    for k in range(0, len(texts), 300):
+        some = texts[k:k + 300]
+        assert encoder.batch(some) == [ids(plain, t).tobytes() for t in some]
+
+
+def test_the_library_sees_a_stretch_once(monkeypatch):
+    encoder = Encoder(tokenizer_json(), literal=False)
+    seen, real = [], encoder.whole
+    monkeypatch.setattr(encoder, "whole", lambda texts: seen.extend(texts) or real(texts))
+    words = [f"w{chr(97 + k % 26)}{chr(97 + k // 26)}" for k in range(400)]
+    for mark in ("", ",", ".", ";", "!?", ".\nSo"):
+        text = "Now " + " ".join(w + mark for w in words)
+        assert encoder.batch([text, text]) == [ids(encoder.tokenizer, text).tobytes()] * 2
+    assert sum(map(len, seen)) < 1.2 * len("".join(" " + w for w in words))  # marks behind words make no new ones
+
+
+def test_stretches_of_one_hash_are_told_apart(monkeypatch):
+    real = stretches._integers
+    monkeypatch.setattr(stretches, "_integers", lambda *a: (real(*a)[0], real(*a)[1] >> np.uint64(62) << np.uint64(62)))
+    encoder = Encoder(tokenizer_json())
+    texts = ["one two three, four", "two three five six seven, one", "x" * 20 + " " + "x" * 21, "x" * 16 + " " + "x" * 17 + " six"]
+    for _ in range(3):
+        assert encoder.batch(texts) == [ids(encoder.tokenizer, t).tobytes() for t in texts]
+
+
+def test_another_way_to_find_words_is_not_cut():
+    spec = json.loads(tokenizer_json())
+    spec["pre_tokenizer"] = {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": False}
+    encoder = Encoder(json.dumps(spec))
+    texts = ["of the of the, of the.\nof the", "", "the the"]
+    assert encoder.batch(texts) == [ids(encoder.tokenizer, t).tobytes() for t in texts]
+
+
+def test_pairs_to_replace_neither_overlap_nor_leave_room():
+    rng = np.random.default_rng(5)
+    for n in (1, 2, 50, 500):
+        places = np.flatnonzero(rng.random(2 * n) < 0.8)
+        chosen = token_shards._apart(places, places + 1, rng.integers(0, 3, len(places)))
+        taken = set(places[chosen].tolist())
+        assert not any(p + 1 in taken for p in taken)
+        assert all({p - 1, p, p + 1} & taken for p in places.tolist())
+    assert token_shards._every_other(np.array([0, 1, 1, 1, 0, 0, 1, 0], bool)).tolist() == [True, False, True, False, True, True, False, True]
