@@ -34,3 +34,9 @@ def test_entry_without_the_optional_folders(tmp_path):
         assert queries == sorted(QUERIES) and set(oracles) <= set(queries)
         collected = _run(folder, "-m", "pytest", "tests", "--collect-only", "-q", "-p", "no:cacheprovider")
         assert collected.returncode == 0, collected.stdout + collected.stderr
+
+
+def test_oracle_tests_are_collected_without_duckdb():
+    got = _run(ROOT, "-c", "import sys; sys.modules['duckdb'] = None; import pytest; "
+               "sys.exit(pytest.main(['tests/test_oracle.py', '--collect-only', '-q', '-p', 'no:cacheprovider']))")
+    assert got.returncode == 0, got.stdout + got.stderr

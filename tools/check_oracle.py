@@ -12,8 +12,6 @@ import time
 
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
-import duckdb  # noqa: E402
-
 from salaria.catalog import QUERIES  # noqa: E402
 from salaria.oracle import ORACLE_SQL  # noqa: E402
 from salaria.plans.session import local_session  # noqa: E402
@@ -23,6 +21,8 @@ SPARK_TO_DUCK = {"string": "VARCHAR", "int": "INTEGER", "bigint": "BIGINT", "boo
 
 
 def duck(sf_dir: str):
+    import duckdb  # of the test extra: tests are collected without it
+
     con = duckdb.connect()
     for t in TABLES:
         con.execute(f"create view {t} as select * from read_parquet('{sf_dir}/{t}.parquet')")
