@@ -73,7 +73,7 @@ class Encoder:
         self.added = [t.content for t in added if not (literal and t.special)]
         #: Tokens that take up or ask for what stands beside them, or are sought in normalised text: no text is cut.
         self.uncut = any(t.lstrip or t.rstrip or t.single_word or t.normalized or any(map(str.isspace, t.content)) for t in added)
-        way, spec = json.loads(spec), None
+        way = json.loads(spec)
         pattern = way["pre_tokenizer"] or {}
         #: Only texts of this way to find words are cut.
         self.uncut |= way["normalizer"] is not None or pattern.get("type") != "ByteLevel" or pattern["add_prefix_space"] or not pattern.get("use_regex", True)
