@@ -5,15 +5,15 @@ squared length at most M lengthened by sqrt(M - |x|^2), the Euclidean distance t
 query (lengthened by 0) falls as the inner product grows, so nearest neighbours are
 the highest scores. Squared distances come from integer inner products.
 
-Vectors are dealt to groups by their nearest pivot, and a group's vectors to pages of bounded
-size; each page holds one tree whose nodes keep a routing vector, a covering radius and the distances to
-the parent. A query first searches a page of its nearest group. Its k-th best score goes along to the other pages:
+Vectors are dealt to groups by their nearest pivot, and groups to units of bounded size (``units``); a unit holds a tree for each page of
+a group, whose nodes keep a routing vector, a covering radius and the distances to
+the parent. A query first searches the unit of its nearest group. Its k-th best score goes along to the other units:
 whole groups are skipped by their pivots and radii, and within a page the node of the least possible distance is expanded first
 and entries that cannot beat the k-th best so far are skipped by the triangle
 inequality on stored distances, without computing their distance. Queries walk a tree in blocks: a node is
 visited once for all queries it may still serve, with one matrix product.
 
-Blocks of queries are sent to the pages; a page goes through the shuffle once. Each page gives at most k rows per query to the
+Vectors and queries go through the shuffle as rows of one vector; a query is sent once to a unit. Each unit gives at most k rows per query to the
 final ranking.
 """
 
@@ -21,19 +21,18 @@ from __future__ import annotations
 
 import heapq
 import itertools
-import pickle
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from salaria.llm.rows import table
+from salaria.llm.units import deal, least_draws, packed, padded, picked, search, sent, unit_rows, units_needed, unpacked
 
-#: Vectors of a page (about), entries of a node, groups at most, queries sent together, queries that walk together. SCALE turns components into integers.
-PAGE_ROWS, NODE, GROUPS, QUERY_BLOCK, WALK, SCALE, K, EVERY = 8192, 256, 1024, 4096, 512, 256, 5, 50
+#: Vectors of a page (about), entries of a node, groups at most, queries that walk together. SCALE turns components into integers.
+PAGE_ROWS, NODE, GROUPS, WALK, SCALE, K, EVERY = 8192, 256, 1024, 512, 256, 5, 50
 #: A score below all others.
 NONE = np.iinfo(np.int64).min
 
@@ -74,6 +73,10 @@ class Space:
         """Distances of queries of squared lengths ``squares`` (one a row, at most ``most``) to vectors by their scores."""
         return np.sqrt(np.maximum(0, squares[:, None] + self.most - 2 * scores).astype(float))
 
+    def within(self, squares: np.ndarray, floor: np.ndarray) -> np.ndarray:
+        """Distances beyond which scores are below ``floor``."""
+        return np.where(floor == NONE, np.inf, np.sqrt(np.maximum(0, squares + self.most - 2 * np.where(floor == NONE, 0, floor)).astype(float))) + self.slack
+
 
 class Node:
     """``pivot``: row of the routing vector; ``radius`` covers all rows below; ``own``: distances of the
@@ -110,31 +113,31 @@ class Tree:
         children = [self._build(g, int(m)) for m, g in groups]
         return Node(pivot, radius, self._from(pivot, np.array([c.pivot for c in children])), children=children)
 
-    def search(self, queries: np.ndarray, own_ids: np.ndarray, k: int, floor: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray, int]:
+    def search(self, queries: np.ndarray, own_ids: np.ndarray, k: int, floor: np.ndarray | None = None, found: Best | None = None,
+               some: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray, int]:
         """(query number, id, score) of the k best of each of ``queries`` (squared lengths at most the space's), ties to the smaller id, without the
-        row of the query's own id; and the distances computed. ``floor``: scores below it are not wanted."""
+        row of the query's own id; and the distances computed. ``floor``: scores below it are not wanted. ``found``: the best of other trees,
+        which are added to; ``some``: the queries to search for."""
         n = len(queries)
-        found = Best(n, k, floor)
+        found = Best(n, k, floor) if found is None else found
         if self.root is None or not n:
             return *found.rows(), 0
-        space, slack = self.space, self.space.slack
+        space = self.space
         squares = (queries * queries).sum(axis=1)
         asked = 0
 
-        def distances(who: np.ndarray, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        def distances(who: np.ndarray, rows: np.ndarray) -> np.ndarray:
             nonlocal asked
             asked += len(who) * len(rows)
-            scores = dots(queries[who], self.vectors[rows])
-            return scores, space.from_scores(squares[who], scores)
+            return space.from_scores(squares[who], dots(queries[who], self.vectors[rows]))
 
         def worst(who: np.ndarray) -> np.ndarray:
             """Distances beyond which nothing is wanted."""
-            least = found.least[who]
-            return np.where(least == NONE, np.inf, np.sqrt(np.maximum(0, squares[who] + space.most - 2 * np.where(least == NONE, 0, least)).astype(float))) + slack
+            return space.within(squares[who], found.least[who])
 
         tick = itertools.count()
-        everyone = np.arange(n)
-        queue = [(0.0, next(tick), everyone, distances(everyone, np.array([self.root.pivot]))[1][:, 0], self.root)]
+        everyone = np.arange(n) if some is None else some
+        queue = [(0.0, next(tick), everyone, distances(everyone, np.array([self.root.pivot]))[:, 0], self.root)]
         while queue:
             _, _, who, at, node = heapq.heappop(queue)
             live = at - node.radius <= worst(who)
@@ -148,7 +151,7 @@ class Tree:
                 near = np.flatnonzero(possible.any(axis=0))
                 if not len(near):
                     continue
-                to = distances(who, np.array([node.children[i].pivot for i in near]))[1]
+                to = distances(who, np.array([node.children[i].pivot for i in near]))
                 least = np.maximum(0.0, to - radii[near][None])
                 possible = possible[:, near] & (least <= limit)
                 for j, i in enumerate(near):
@@ -160,7 +163,8 @@ class Tree:
             used = np.flatnonzero(possible.any(axis=0))
             if len(used):
                 rows = node.rows[used]
-                scores = distances(who, rows)[0]
+                scores = dots(queries[who], self.vectors[rows])
+                asked += len(who) * len(rows)
                 scores[~possible[:, used] | (self.ids[rows][None] == own_ids[who][:, None])] = NONE
                 found.offer(who, self.ids[rows], scores)
         return *found.rows(), asked
@@ -177,10 +181,11 @@ class Best:
 
     def offer(self, who: np.ndarray, ids: np.ndarray, scores: np.ndarray) -> None:
         """``scores`` of the queries ``who`` (rows) with the vectors ``ids`` (columns); ``NONE``: not offered."""
-        limit = self.least[who]
-        if len(ids) > self.k:
-            limit = np.maximum(limit, np.partition(scores, len(ids) - self.k, axis=1)[:, len(ids) - self.k])
-        q, r = np.nonzero((scores >= limit[:, None]) & (scores != NONE))
+        wanted = (scores >= self.least[who][:, None]) & (scores != NONE)
+        many = np.flatnonzero(wanted.sum(axis=1) > self.k)
+        if len(many):
+            wanted[many] &= scores[many] >= np.partition(scores[many], len(ids) - self.k, axis=1)[:, len(ids) - self.k, None]
+        q, r = np.nonzero(wanted)
         if not len(q):
             return
         held = np.repeat(np.arange(len(who)), self.k)
@@ -199,66 +204,65 @@ class Best:
         return q, self.ids[q, place], self.scores[q, place]
 
 
-def _matrix(vectors, width: int) -> np.ndarray:
-    """Integer rows; shorter ones end in zeros."""
-    out = np.zeros((len(vectors), width), np.int64)
-    for i, v in enumerate(vectors):
-        out[i, :len(v)] = v
-    return out
-
-
-def _near(pivots: np.ndarray, space: Space, width: int):
+def _near(pivots: np.ndarray, space: Space, width: int, kind: str):
     """Nearest pivot (group) of each vector, and its distance."""
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for b in batches:
-            to = space.between(_matrix(list(b.q), width), pivots)
-            yield b.assign(group=to.argmin(axis=1).astype("int32"), off=to.min(axis=1) if len(b) else np.zeros(0))
-    return run
-
-
-def _page(most: int, width: int):
-    def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values("vec_id", kind="stable")
-        tree = Tree(pdf.vec_id.to_numpy(), _matrix(list(pdf.q), width), most)
-        return pd.DataFrame({"page": [int(pdf.page.iloc[0])], "tree": [pickle.dumps(tree, protocol=5)]})
-    return run
-
-
-def _first_visit(width: int):
-    """Queries of one page, and block, as one row."""
-    def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        asked = (pdf.vec_id.to_numpy(), _matrix(list(pdf.q), width), None, None)
-        return pd.DataFrame({"page": [int(pdf.page.iloc[0])], "queries": [pickle.dumps(asked, protocol=5)]})
-    return run
-
-
-def _other_visits(pivots: np.ndarray, radii: np.ndarray, first: np.ndarray, space: Space, width: int):
-    """Queries of one block, and the pages that any of them may still need, but for each query's first."""
-    def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        m = _matrix(list(pdf.q), width)
-        floor = pdf["floor"].to_numpy(np.int64)
-        squares = (m * m).sum(axis=1)
-        worst = np.where(floor == NONE, np.inf, np.sqrt(np.maximum(0, squares + space.most - 2 * np.where(floor == NONE, 0, floor)).astype(float)))
-        needed = (space.from_scores(squares, dots(m, pivots)) - radii[None] <= worst[:, None] + space.slack).any(axis=0)
-        pages = np.concatenate([np.arange(first[g], first[g + 1]) for g in np.flatnonzero(needed)] or [np.zeros(0)]).astype(int)
-        asked = (pdf.vec_id.to_numpy(), m, floor, pdf.page.to_numpy())
-        return pd.DataFrame({"pages": [pages.tolist()], "queries": [pickle.dumps(asked, protocol=5)]})
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            m = padded(batch.column("q"), width, np.int64)
+            group, off = np.zeros(len(m), np.int32), np.zeros(len(m))
+            for at in range(0, len(m), 1024):
+                to = space.between(m[at:at + 1024], pivots)
+                group[at:at + 1024], off[at:at + 1024] = to.argmin(axis=1), to.min(axis=1)
+            yield pa.RecordBatch.from_arrays([batch.column("vec_id"), packed(m.astype(kind)), pa.array(group), pa.array(off)], ["vec_id", "x", "grp", "off"])
     return run
 
 
-def _search(k: int):
+def _other_units(pivots: np.ndarray, radii: np.ndarray, first: np.ndarray, number: np.ndarray, space: Space, width: int, kind: str):
+    """Queries, once for each unit that they may still need, but for their first."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for page, tree, asked in zip(*(batch.column(c) for c in ("page", "tree", "queries"))):
-                tree, (ids, queries, floor, done), page = pickle.loads(tree.as_buffer()), pickle.loads(asked.as_buffer()), page.as_py()
-                left = np.arange(len(ids)) if done is None else np.flatnonzero(done != page)
-                for at in range(0, len(left), WALK):
-                    who = left[at:at + WALK]
-                    q, found, score, _ = tree.search(queries[who], ids[who], k, None if floor is None else floor[who])
-                    yield pa.RecordBatch.from_arrays([pa.array(ids[who][q]), pa.array(found), pa.array(score)], ["query_id", "vec_id", "score"])
+            for at in range(0, len(batch), 1024):
+                rows = batch.slice(at, 1024)
+                m = unpacked(rows.column("x"), width, kind).astype(np.int64)
+                squares = (m * m).sum(axis=1)
+                far = space.within(squares, rows.column("floor").to_numpy())
+                need = units_needed(space.from_scores(squares, dots(m, pivots)) - radii[None] <= far[:, None], first, number)
+                need[np.arange(len(m)), rows.column("unit").to_numpy()] = False
+                yield from sent(need, {c: rows.column(c) for c in ("grp", "vec_id", "x", "floor")})
     return run
 
 
+def _trees(most: int, width: int, kind: str, page_rows: int):
+    """A unit's trees, one a page, with their groups."""
+    def build(rows: pa.Table) -> list[tuple[int, Tree]]:
+        grp, ids = (rows[c].to_numpy() for c in ("grp", "vec_id"))
+        m = unpacked(rows["x"].combine_chunks(), width, kind).astype(np.int64)
+        cuts = [0, *(np.flatnonzero(grp[1:] != grp[:-1]) + 1).tolist(), len(grp)]
+        pages = [page for a, b in zip(cuts, cuts[1:]) for page in np.array_split(np.arange(a, b), -(-(b - a) // page_rows))]
+        return [(int(grp[page[0]]), Tree(ids[page], m[page], most)) for page in pages]
+    return build
+
+
+def _best(pivots: np.ndarray, radii: np.ndarray, space: Space, k: int, width: int, kind: str):
+    """The k best of a unit for some queries: nearer pages first, the k-th best score so far going along."""
+    def answer(trees: list[tuple[int, Tree]], rows: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+        ids, floor = (rows.column(c).to_numpy() for c in ("vec_id", "floor"))
+        m = unpacked(rows.column("x"), width, kind).astype(np.int64)
+        groups = np.array([g for g, _ in trees])
+        for at in range(0, len(ids), WALK):
+            some, own = m[at:at + WALK], ids[at:at + WALK]
+            squares = (some * some).sum(axis=1)
+            least = space.from_scores(squares, dots(some, pivots[groups])) - radii[groups][None]
+            found = Best(len(own), k, floor[at:at + WALK])
+            for t in np.argsort(least.mean(axis=0), kind="stable"):
+                live = np.flatnonzero(least[:, t] <= space.within(squares, found.least))
+                if len(live):
+                    trees[t][1].search(some, own, k, found=found, some=live)
+            q, near, score = found.rows()
+            yield pa.RecordBatch.from_arrays([pa.array(own[q]), pa.array(near), pa.array(score)], ["query_id", "vec_id", "score"])
+    return answer
+
+
 def top_k(vectors: DataFrame, queries: DataFrame, k: int = K, page_rows: int = PAGE_ROWS) -> DataFrame:
     """The ``k`` rows of ``vectors`` of highest integer inner product with each row of ``queries``, but for the row of the same id.
 
@@ -286,49 +290,32 @@ def top_k(vectors: DataFrame, queries: DataFrame, k: int = K, page_rows: int = P
         return spark.createDataFrame([], schema)
     if max(most, asked_most) >= 1 << 61:
         raise ValueError("components are too large for 64-bit scores")
-    width, most = max(width, asked_width), int(max(most, asked_most)) + 1
+    width, most = max(width, asked_width, 1), int(max(most, asked_most)) + 1
     space = Space(most)
     pages = -(-total // page_rows)
-    drawn = rows.withColumn("draw", F.xxhash64("vec_id", "q")).orderBy("draw", "vec_id").limit(min(GROUPS, pages)).select("q").collect()
-    pivots = _matrix([r.q for r in drawn], width)
-    near = _near(pivots, space, width)
-    dealt = table(rows.mapInPandas(near, "vec_id long, q array<bigint>, group int, off double"), "search-groups")
-    groups = {r.group: r for r in dealt.groupBy("group").agg(F.count(F.lit(1)).alias("n"), F.max("off").alias("off")).collect()}
-    count = np.array([groups[g].n if g in groups else 0 for g in range(len(pivots))])
+    drawn = least_draws(rows.withColumn("draw", F.xxhash64("vec_id", "q")), total, min(GROUPS, pages)).select("q").toArrow()["q"].combine_chunks()
+    pivots = padded(drawn, width, np.int64)
+    # Components as the narrowest integers that hold them: none is beyond the longest vector.
+    kind = next(x for x in ("<i2", "<i4", "<i8") if most < float(np.iinfo(x).max) ** 2)
+    near, columns = _near(pivots, space, width, kind), "vec_id long, x binary, grp int, off double"
+    dealt = table(rows.mapInArrow(near, columns), "search-groups")
+    groups = {r.grp: r for r in dealt.groupBy("grp").agg(F.count(F.lit(1)).alias("n"), F.max("off").alias("off")).collect()}
     # The farthest vector of each group; nothing lies in a group without vectors.
     radii = np.array([groups[g].off if g in groups else -np.inf for g in range(len(pivots))])
-    per_group = -(-count // page_rows)
-    first = np.concatenate([[0], np.cumsum(per_group)])
-
-    def of_group(values) -> Column:
-        return F.element_at(F.array(*(F.lit(int(v)) for v in values)), F.col("group") + 1)
-
-    page = (of_group(first[:-1]) + F.pmod(F.xxhash64("vec_id"), of_group(np.maximum(1, per_group)))).cast("int").alias("page")
-    trees = dealt.select("vec_id", "q", page).groupBy("page").applyInPandas(_page(most, width), "page int, tree binary")
-    trees = table(trees, "search-pages")
-    # A query's first page: one of its nearest group. Queries of a group travel together, so that a block may skip groups.
-    seeking = asked.mapInPandas(near, "vec_id long, q array<bigint>, group int, off double").select("vec_id", "q", "group", page)
-    seeking = table(seeking, "search-seeking")
-    asking = dict(seeking.groupBy("group").count().collect())
-    blocks = of_group([max(1, -(-asking.get(g, 0) // QUERY_BLOCK)) for g in range(len(pivots))])
-    seeking = seeking.withColumn("block", F.pmod(F.xxhash64("vec_id", F.lit(1)), blocks))
-
-    def search(visits: DataFrame, name: str) -> DataFrame:
-        """Runs here: rows of megabytes cross to Python a few at a time (the setting is read when a plan runs)."""
-        work = visits.join(trees, "page").select("page", "tree", "queries").mapInArrow(_search(k), "query_id long, vec_id long, score long")
-        setting = "spark.sql.execution.arrow.maxRecordsPerBatch"
-        before = spark.conf.get(setting)
-        spark.conf.set(setting, "4")
-        try:
-            return table(work, name)
-        finally:
-            spark.conf.set(setting, before)
-
-    found = search(seeking.groupBy("page", "block").applyInPandas(_first_visit(width), "page int, queries binary"), "search-first")
+    first, number = deal([groups[g].n if g in groups else 0 for g in range(len(pivots))], unit_rows(total, page_rows, width))
+    units = int((first + number).max())
+    # A vector's unit, and a query's first: one of its (nearest) group.
+    unit = (picked(first, F.col("grp")) + F.pmod(F.xxhash64("vec_id"), picked(np.maximum(1, number), F.col("grp")))).cast("int").alias("unit")
+    nothing = F.lit(NONE).alias("floor")
+    held = dealt.select(unit, "grp", "vec_id", "x", nothing)
+    seeking = table(asked.mapInArrow(near, columns).select(unit, "grp", "vec_id", "x"), "search-seeking")
+    build, answer = _trees(most, width, kind, page_rows), _best(pivots, radii, space, k, width, kind)
+    out = "query_id long, vec_id long, score long"
+    found = search(held, seeking.select("*", nothing), n_asked, units, build, answer, out, "search-first")
     floors = found.groupBy(F.col("query_id").alias("vec_id")).agg(F.when(F.count(F.lit(1)) >= k, F.min("score")).alias("floor"))
-    others = seeking.join(floors, "vec_id", "left").withColumn("floor", F.coalesce("floor", F.lit(NONE))).groupBy("group", "block").applyInPandas(
-        _other_visits(pivots, radii, first, space, width), "pages array<int>, queries binary")
-    found = found.unionAll(search(others.select(F.explode("pages").alias("page"), "queries"), "search-others"))
+    left = seeking.join(floors, "vec_id", "left").withColumn("floor", F.coalesce("floor", F.lit(NONE)))
+    others = left.mapInArrow(_other_units(pivots, radii, first, number, space, width, kind), "unit int, grp int, vec_id long, x binary, floor long")
+    found = found.unionAll(search(held, others, n_asked, units, build, answer, out, "search-others"))
     order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
     return found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
 

@@ -1,0 +1,52 @@
+"""What op6 sends through Spark stays small rows, whatever the size of a page or a block of queries."""
+
+import random
+
+import pytest
+from pyspark.sql import functions as F
+
+from salaria.llm.mtree import top_k
+
+DIM, LONGEST = 32, 32 * 8 + 64
+
+
+@pytest.fixture
+def longest(spark, monkeypatch):
+    """Bytes of the longest binary value that any step in Python gets."""
+    found = [0]
+
+    def spied(of):
+        def run(df, *args, **kw):
+            binary = [c for c, kind in df.dtypes if kind == "binary"]
+            if binary:
+                found[0] = max(found[0], *(n or 0 for n in df.agg(*(F.max(F.length(c)) for c in binary)).first()))
+            return of(df, *args, **kw)
+        return run
+
+    kind = type(spark.range(1))
+    for name in ("mapInArrow", "mapInPandas"):
+        monkeypatch.setattr(kind, name, spied(getattr(kind, name)))
+    return found
+
+
+@pytest.mark.parametrize("search", [lambda df, q: top_k(df, q, page_rows=200)], ids=["op6"])
+def test_no_row_holds_a_page_or_a_block(spark, longest, search):
+    rng = random.Random(5)
+    rows = [(i, [rng.gauss(0, 1) for _ in range(DIM)]) for i in range(900)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<float>")
+    assert search(df, df.where("vec_id % 3 = 0")).count() == 300 * 5
+    assert 0 < longest[0] <= LONGEST
+
+
+@pytest.mark.parametrize("module,search", [("mtree", top_k)], ids=["op6"])
+def test_a_sample_by_hash_sorts_few_rows(spark, monkeypatch, module, search):
+    """The rows that every task may give out for the sample: before, as many as the sample from each task."""
+    rng = random.Random(6)
+    rows = [(i, [rng.gauss(0, 1) for _ in range(4)]) for i in range(9000)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<float>")
+    kind, taken = type(df), []
+    limit = kind.limit
+    monkeypatch.setattr(kind, "limit", lambda self, n: (taken.append((n, self.count())), limit(self, n))[1])
+    more = {"page_rows": 300} if module == "mtree" else {"sample_rows": 300}
+    assert search(df, df.where("vec_id % 900 = 0"), **more).count() == 50
+    assert taken and all(n <= held <= 4 * n + 200 for n, held in taken)

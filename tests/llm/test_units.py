@@ -1,0 +1,69 @@
+import random
+
+import numpy as np
+import pyarrow as pa
+import pytest
+from pyspark.sql import functions as F
+
+from salaria.llm import units
+from salaria.llm.mtree import top_k
+
+
+@pytest.mark.parametrize("seed", range(5))
+def test_units_are_bounded_and_apart(seed):
+    rng = random.Random(seed)
+    counts = [rng.choice((0, 1, 7, 40, 99, 100, 101, 350)) for _ in range(60)]
+    first, number = units.deal(counts, 100)
+    held = {}
+    for n, f, m in zip(counts, first, number):
+        assert m == -(-n // 100)
+        for u in range(f, f + m):
+            held.setdefault(u, []).append(n / m)
+    assert sorted(held) == list(range(len(held)))
+    assert all(sum(x) <= 100 for x in held.values())
+    assert len(held) <= 2 * sum(counts) / 100 + 2
+
+
+def test_no_groups_no_units():
+    first, number = units.deal([0, 0], 100)
+    assert not (first + number).max()
+    assert units.units_needed(np.ones((3, 2), bool), first, number).shape == (3, 0)
+
+
+@pytest.mark.parametrize("total,want", [(5000, 40), (5000, 4000), (60, 1), (0, 5)])
+def test_least_draws_are_the_least(spark, total, want):
+    df = spark.range(total, numPartitions=11).select(F.col("id").alias("vec_id"), F.xxhash64("id").alias("draw"))
+    got = units.least_draws(df, total, want).collect()
+    assert got == df.orderBy("draw", "vec_id").limit(want).collect()
+
+
+def test_least_draws_of_an_uneven_hash(spark):
+    df = spark.range(900).select(F.col("id").alias("vec_id"), (F.lit(1 << 62) + F.col("id")).alias("draw"))
+    assert [r.vec_id for r in units.least_draws(df, 900, 7).collect()] == list(range(7))
+
+
+@pytest.mark.parametrize("kind", ["<i2", "<i4", "<i8", "<f4", "<f8"])
+def test_rows_come_back_from_their_bytes(kind):
+    rows = np.arange(-30, 30).reshape(12, 5).astype(kind)
+    packed = units.packed(rows)
+    assert packed.type == pa.binary()
+    assert (units.unpacked(packed, 5, kind) == rows).all()
+    assert (units.unpacked(packed.slice(3, 4), 5, kind) == rows[3:7]).all()
+    assert units.unpacked(packed.slice(0, 0), 5, kind).shape == (0, 5)
+
+
+def test_short_rows_end_in_zeros():
+    lists = pa.array([[9.0], [1.0, 2.0, 3.0], [], [4.0, 5.0]], pa.list_(pa.float64()))
+    assert units.padded(lists.slice(1), 3).tolist() == [[1, 2, 3], [0, 0, 0], [4, 5, 0]]
+
+
+@pytest.mark.parametrize("search", [lambda df, q: top_k(df, q, page_rows=64)], ids=["op6"])
+def test_many_queries_are_dealt_to_blocks_and_results_stay_the_same(spark, monkeypatch, search):
+    rng = random.Random(7)
+    df = spark.createDataFrame([(i, [rng.gauss(0, 1) for _ in range(6)]) for i in range(700)], "vec_id long, embedding array<float>")
+    whole = sorted(search(df, df).collect())
+    assert len(whole) == 3500
+    monkeypatch.setattr(units, "UNIT_QUERIES", 100)
+    monkeypatch.setattr(units, "UNIT_CELLS", 6 * 50)
+    monkeypatch.setattr(units, "BATCH", 33)
+    assert sorted(search(df, df).collect()) == whole
