@@ -10,9 +10,9 @@ How many parts a query visits follows from its own probabilities: parts are take
 until those before hold the mass that was enough, on vectors kept out of the graph and
 of training, to meet the wanted share of their true neighbours. Clear queries visit few parts, doubtful ones many.
 
-Only the fit uses a sample (``SAMPLE_ROWS`` at most, drawn by hash; one task). Index and search cover every row: a part's
-rows lie in pages of about ``PAGE_ROWS``, packed once, and blocks of queries are sent to the pages of their
-parts, so a large part is many tasks and a unit of work is one product of two bounded matrices.
+Only the fit uses a sample (``SAMPLE_ROWS`` at most, drawn by hash; one task). Index and search cover every row: parts are dealt to
+units of bounded size (``units``), and a query is sent once to each unit that holds rows of its parts; a large part is many units.
+Within a unit work is products of two bounded matrices (``PAGE_ROWS``, ``QUERY_BLOCK``).
 Rows of one vector count up to the k + 1 smallest ids, cut before the shuffle: no other can be among k results.
 """
 
@@ -23,12 +23,13 @@ from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, FloatType
 
 from salaria.llm.rows import table
+from salaria.llm.units import deal, least_draws, packed, padded, picked, search, sent, unit_rows, units_needed, unpacked
 
 #: Results per query; queries are ids divisible by EVERY (the registered query).
 K, EVERY = 5, 50
@@ -37,7 +38,7 @@ PARTS, PART_ROWS = (32, 256), 65_536
 #: Fit: rows at most, rows per part at least, neighbours in the graph, hidden units, passes, share of true neighbours to meet.
 SAMPLE_ROWS, SAMPLE_PER_PART, GRAPH_K, HIDDEN, EPOCHS, RECALL = 16_384, 64, 10, 128, 8, 0.98
 #: Rows of a page and queries of a block (about).
-PAGE_ROWS, QUERY_BLOCK = 2048, 2048
+PAGE_ROWS, QUERY_BLOCK = 2048, 1024
 #: Scores of a matrix product this far below the k-th best are still computed exactly.
 SLACK = 1e-9
 
@@ -49,18 +50,10 @@ def usable(vector: Column) -> Column:
     return F.when(finite & F.exists(doubles, lambda x: x != 0), doubles)
 
 
-def matrix(vectors: pa.Array, width: int) -> np.ndarray:
-    """Rows of doubles, shorter ones ending in zeros, each scaled by a power of two (exactly; cosines stay the same)
-    so that squares neither overflow nor vanish."""
-    lengths = vectors.value_lengths().to_numpy().astype(np.int64)
-    flat = vectors.flatten().to_numpy()
-    if (lengths == width).all():
-        out = flat.reshape(-1, width)
-    else:
-        out = np.zeros((len(lengths), width))
-        row = np.repeat(np.arange(len(lengths)), lengths)
-        out[row, np.arange(len(flat)) - np.repeat(np.cumsum(lengths) - lengths, lengths)] = flat
-    return np.ldexp(out, -np.frexp(np.abs(out).max(axis=1, initial=0))[1][:, None]) if len(out) else out
+def scaled(rows: np.ndarray) -> np.ndarray:
+    """Rows as doubles, each scaled by a power of two (exactly; cosines stay the same) so that squares neither overflow nor vanish."""
+    rows = rows.astype(float)
+    return np.ldexp(rows, -np.frexp(np.abs(rows).max(axis=1, initial=0))[1][:, None]) if len(rows) else rows
 
 
 def unit(rows: np.ndarray) -> np.ndarray:
@@ -202,67 +195,95 @@ def fit_router(rows: np.ndarray, parts: int, k: int = K, recall: float = RECALL,
 def _fit(width: int, parts: int, k: int, recall: float):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         found = pa.Table.from_batches(list(batches)).sort_by([("draw", "ascending"), ("vec_id", "ascending")])
-        rows = unit(matrix(found["x"].combine_chunks(), width))
+        rows = unit(scaled(padded(found["x"].combine_chunks(), width)))
         yield pa.RecordBatch.from_arrays([pa.array([pickle.dumps(fit_router(rows, parts, k, recall))], pa.binary())], ["router"])
     return run
 
 
-def _deal(router: Router, width: int):
+def _deal(router: Router, width: int, kind: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            rows = matrix(batch.column("x"), width)
-            part = router.probabilities(unit(rows)).argmax(axis=1) if len(rows) else np.zeros(0, int)
-            packed = pa.array([r.tobytes() for r in rows], pa.binary())
-            yield pa.RecordBatch.from_arrays([pa.array(part, pa.int32()), batch.column("vec_id"), packed], ["part", "vec_id", "x"])
+            rows = padded(batch.column("x"), width)
+            part = router.probabilities(unit(scaled(rows))).argmax(axis=1) if len(rows) else np.zeros(0, int)
+            yield pa.RecordBatch.from_arrays([pa.array(part, pa.int32()), batch.column("vec_id"), packed(rows.astype(kind))], ["grp", "vec_id", "x"])
     return run
 
 
-def _route(router: Router, width: int):
+def _route(router: Router, width: int, kind: str, first: np.ndarray, number: np.ndarray):
+    """Queries, once for each unit that holds rows of their parts, with all parts to visit (as bits)."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            rows = matrix(batch.column("x"), width)
-            query, part = np.nonzero(router.visits(unit(rows))) if len(rows) else (np.zeros(0, int), np.zeros(0, int))
-            packed = pa.array([r.tobytes() for r in rows], pa.binary())
-            yield pa.RecordBatch.from_arrays([pa.array(part, pa.int32()), batch.column("vec_id").take(pa.array(query)), packed.take(pa.array(query))], ["part", "vec_id", "x"])
+            rows = padded(batch.column("x"), width)
+            visits = router.visits(unit(scaled(rows))) if len(rows) else np.zeros((0, router.parts), bool)
+            likely, ids, x, bits = pa.array(visits.argmax(axis=1), pa.int32()), batch.column("vec_id"), packed(rows.astype(kind)), packed(np.packbits(visits, axis=1))
+            for at in range(0, len(rows), 1024):
+                columns = {"grp": likely, "vec_id": ids, "x": x, "parts": bits}
+                yield from sent(units_needed(visits[at:at + 1024], first, number), {c: v.slice(at, 1024) for c, v in columns.items()})
     return run
 
 
-def _pack(keys: tuple[str, ...]):
-    """Rows of a group as one row: ids, and vectors one after the other."""
-    def run(group: pa.Table) -> pa.Table:
-        group = group.sort_by("vec_id")
-        ids = group["vec_id"].to_numpy().tobytes()
-        return pa.table({**{key: [group[key][0].as_py()] for key in keys}, "ids": [ids], "rows": [b"".join(group["x"].to_pylist())]},
-                        pa.schema([*((key, pa.int32()) for key in keys), ("ids", pa.binary()), ("rows", pa.binary())]))
-    return run
+@dataclass
+class Page:
+    """Rows of one part: their doubles, lengths, and the rows over them."""
+
+    part: int
+    ids: np.ndarray
+    rows: np.ndarray
+    norms: np.ndarray
+    units: np.ndarray
+
+
+def _pages(width: int, kind: str, page_rows: int):
+    def build(held: pa.Table) -> list[Page]:
+        part, ids = (held[c].to_numpy() for c in ("grp", "vec_id"))
+        rows = scaled(unpacked(held["x"].combine_chunks(), width, kind))
+        norms = np.sqrt((rows * rows).sum(axis=1))
+        units = rows / norms[:, None]
+        cuts = [0, *(np.flatnonzero(part[1:] != part[:-1]) + 1).tolist(), len(part)]
+        places = [slice(at, min(at + page_rows, b)) for a, b in zip(cuts, cuts[1:]) for at in range(a, b, page_rows)]
+        return [Page(int(part[p.start]), ids[p], rows[p], norms[p], units[p]) for p in places]
+    return build
 
 
-def rerank(query_ids: np.ndarray, queries: np.ndarray, ids: np.ndarray, rows: np.ndarray, k: int) -> pd.DataFrame:
-    """The k best of ``rows`` per query by cosine, without rows of the query's own id.
+def rerank(query_ids: np.ndarray, queries: np.ndarray, norms: np.ndarray, page: Page, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(query number, id, score) of the rows of ``page`` that can be among the k best per query by cosine, without rows of the query's own id.
 
-    A matrix product finds the rows that can be among them; their score is then computed
+    A matrix product finds them; their score is then computed
     pair by pair, so that it does not depend on the block it was found in.
     """
-    norms, query_norms = np.sqrt((rows * rows).sum(axis=1)), np.sqrt((queries * queries).sum(axis=1))
-    near = (queries / query_norms[:, None]) @ (rows / norms[:, None]).T
-    near[query_ids[:, None] == ids[None]] = -np.inf
-    kth = np.partition(near, len(ids) - k, axis=1)[:, len(ids) - k] if len(ids) > k else np.full(len(query_ids), -2.0)
+    near = (queries / norms[:, None]) @ page.units.T
+    near[query_ids[:, None] == page.ids[None]] = -np.inf
+    kth = np.partition(near, len(page.ids) - k, axis=1)[:, len(page.ids) - k] if len(page.ids) > k else np.full(len(query_ids), -2.0)
     q, r = np.nonzero(near >= np.maximum(kth, -2.0)[:, None] - SLACK)
-    score = (queries[q] * rows[r]).sum(axis=1) / (query_norms[q] * norms[r])
-    order = np.lexsort((ids[r], -score, q))
-    q, r, score = q[order], r[order], score[order]
-    best = np.arange(len(q)) - np.searchsorted(q, q) < k
-    return pd.DataFrame({"query_id": query_ids[q[best]], "vec_id": ids[r[best]], "score": score[best]})
-
-
-def _search(width: int, k: int):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for query_ids, queries, ids, rows in zip(*(batch.column(c) for c in ("query_ids", "queries", "ids", "rows"))):
-                query_ids, ids = (np.frombuffer(x.as_buffer(), np.int64) for x in (query_ids, ids))
-                queries, rows = (np.frombuffer(x.as_buffer()).reshape(-1, width) for x in (queries, rows))
-                yield pa.RecordBatch.from_pandas(rerank(query_ids, queries, ids, rows, k), preserve_index=False)
-    return run
+    q, r, score = best(q, page.ids[r], (queries[q] * page.rows[r]).sum(axis=1) / (norms[q] * page.norms[r]), k)
+    return q, r, score
+
+
+def best(query: np.ndarray, ids: np.ndarray, score: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The k rows of largest score per query, ties to the smaller id."""
+    order = np.lexsort((ids, -score, query))
+    query, ids, score = query[order], ids[order], score[order]
+    top = np.arange(len(query)) - np.searchsorted(query, query) < k
+    return query[top], ids[top], score[top]
+
+
+def _search(width: int, kind: str, parts: int, k: int):
+    def answer(pages: list[Page], asked: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+        ids = asked.column("vec_id").to_numpy()
+        queries = scaled(unpacked(asked.column("x"), width, kind))
+        norms = np.sqrt((queries * queries).sum(axis=1))
+        visits = np.unpackbits(unpacked(asked.column("parts"), -(-parts // 8), np.uint8), axis=1).astype(bool)
+        for at in range(0, len(ids), QUERY_BLOCK):
+            found = []
+            for page in pages:
+                who = at + np.flatnonzero(visits[at:at + QUERY_BLOCK, page.part])
+                if len(who):
+                    q, near, score = rerank(ids[who], queries[who], norms[who], page, k)
+                    found.append((who[q], near, score))
+            if found:
+                q, near, score = best(*(np.concatenate(x) for x in zip(*found)), k)
+                yield pa.RecordBatch.from_arrays([pa.array(ids[q]), pa.array(near), pa.array(score)], ["query_id", "vec_id", "score"])
+    return answer
 
 
 def nearest(vectors: DataFrame, queries: DataFrame, k: int = K, parts: int | None = None, recall: float = RECALL, sample_rows: int = SAMPLE_ROWS,
@@ -289,35 +310,24 @@ def nearest(vectors: DataFrame, queries: DataFrame, k: int = K, parts: int | Non
     schema = "query_id long, rank int, vec_id long, score double"
     if not total:
         return spark.createDataFrame([], schema)
-    width = max(width, asked.agg(F.max(F.size("x"))).first()[0] or 0)
+    n_asked, asked_width = asked.agg(F.count(F.lit(1)), F.max(F.size("x"))).first()
+    width = max(width, asked_width or 0)
     parts = parts or min(PARTS[1], max(PARTS[0], total // PART_ROWS))
     parts = max(1, min(parts, min(total, sample_rows) // SAMPLE_PER_PART))
-    draw = rows.withColumn("draw", F.xxhash64("vec_id", "x")).orderBy("draw", "vec_id").limit(sample_rows)
+    draw = least_draws(rows.withColumn("draw", F.xxhash64("vec_id", "x")), total, sample_rows)
     router = pickle.loads(draw.coalesce(1).mapInArrow(_fit(width, parts, k, recall), "router binary").first()[0])
 
-    dealt = table(rows.mapInArrow(_deal(router, width), "part int, vec_id long, x binary"), "nearest-parts")
-    sizes = dict(dealt.groupBy("part").count().collect())
-    pages = [-(-sizes.get(p, 0) // page_rows) for p in range(router.parts)]
-    first = [sum(pages[:p]) for p in range(router.parts)]
-
-    def of_part(values: list[int]) -> Column:
-        return F.element_at(F.array(*(F.lit(v) for v in values)), F.col("part") + 1)
-
-    page = (of_part(first) + F.pmod(F.xxhash64("vec_id"), of_part(pages))).cast("int")
-    packed = dealt.withColumn("page", page).groupBy("page").applyInArrow(_pack(("page",)), "page int, ids binary, rows binary")
-    blocks = max(1, -(-asked.count() // QUERY_BLOCK))
-    block = F.pmod(F.xxhash64("vec_id"), F.lit(blocks)).cast("int")
-    sent = asked.mapInArrow(_route(router, width), "part int, vec_id long, x binary").where(of_part(pages) > 0).withColumn("block", block)
-    sent = sent.groupBy("part", "block").applyInArrow(_pack(("part", "block")), "part int, block int, ids binary, rows binary")
-    sent = sent.select(F.explode(F.sequence(of_part(first), of_part(first) + of_part(pages) - 1)).alias("page"), F.col("ids").alias("query_ids"), F.col("rows").alias("queries"))
-    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
-    before = spark.conf.get(name)
-    work = sent.join(packed, "page").select("query_ids", "queries", "ids", "rows").mapInArrow(_search(width, k), "query_id long, vec_id long, score double")
-    spark.conf.set(name, "16")  # rows of a megabyte or two; read when the plan runs, so it runs here
-    try:
-        found = table(work, "nearest-found")
-    finally:
-        spark.conf.set(name, before)
+    # Vectors travel as they were given, if that is as floats; they are scaled where they are used.
+    kind = "<f4" if all(isinstance(df.schema["embedding"].dataType, ArrayType) and isinstance(df.schema["embedding"].dataType.elementType, FloatType)
+                        for df in (vectors, queries)) else "<f8"
+    dealt = table(rows.mapInArrow(_deal(router, width, kind), "grp int, vec_id long, x binary"), "nearest-parts")
+    sizes = dict(dealt.groupBy("grp").count().collect())
+    first, number = deal([sizes.get(p, 0) for p in range(router.parts)], unit_rows(total, page_rows, width))
+    unit_of = (picked(first, F.col("grp")) + F.pmod(F.xxhash64("vec_id"), picked(np.maximum(1, number), F.col("grp")))).cast("int")
+    held = dealt.select(unit_of.alias("unit"), "grp", "vec_id", "x", F.lit(b"").alias("parts"))
+    sending = asked.mapInArrow(_route(router, width, kind, first, number), "unit int, grp int, vec_id long, x binary, parts binary")
+    found = search(held, sending, n_asked, int((first + number).max()), _pages(width, kind, page_rows), _search(width, kind, router.parts, k),
+                   "query_id long, vec_id long, score double", "nearest-found")
     order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
     return found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
 

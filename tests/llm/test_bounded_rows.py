@@ -1,10 +1,11 @@
-"""What op6 sends through Spark stays small rows, whatever the size of a page or a block of queries."""
+"""What op6 and op11 send through Spark stays small rows, whatever the size of a page or a block of queries."""
 
 import random
 
 import pytest
 from pyspark.sql import functions as F
 
+from salaria.llm.learned_partitions import nearest
 from salaria.llm.mtree import top_k
 
 DIM, LONGEST = 32, 32 * 8 + 64
@@ -29,7 +30,7 @@ def longest(spark, monkeypatch):
     return found
 
 
-@pytest.mark.parametrize("search", [lambda df, q: top_k(df, q, page_rows=200)], ids=["op6"])
+@pytest.mark.parametrize("search", [lambda df, q: top_k(df, q, page_rows=200), lambda df, q: nearest(df, q, parts=4, page_rows=200)], ids=["op6", "op11"])
 def test_no_row_holds_a_page_or_a_block(spark, longest, search):
     rng = random.Random(5)
     rows = [(i, [rng.gauss(0, 1) for _ in range(DIM)]) for i in range(900)]
@@ -38,7 +39,7 @@ def test_no_row_holds_a_page_or_a_block(spark, longest, search):
     assert 0 < longest[0] <= LONGEST
 
 
-@pytest.mark.parametrize("module,search", [("mtree", top_k)], ids=["op6"])
+@pytest.mark.parametrize("module,search", [("mtree", top_k), ("learned_partitions", nearest)], ids=["op6", "op11"])
 def test_a_sample_by_hash_sorts_few_rows(spark, monkeypatch, module, search):
     """The rows that every task may give out for the sample: before, as many as the sample from each task."""
     rng = random.Random(6)

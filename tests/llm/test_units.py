@@ -6,6 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from salaria.llm import units
+from salaria.llm.learned_partitions import nearest
 from salaria.llm.mtree import top_k
 
 
@@ -57,7 +58,7 @@ def test_short_rows_end_in_zeros():
     assert units.padded(lists.slice(1), 3).tolist() == [[1, 2, 3], [0, 0, 0], [4, 5, 0]]
 
 
-@pytest.mark.parametrize("search", [lambda df, q: top_k(df, q, page_rows=64)], ids=["op6"])
+@pytest.mark.parametrize("search", [lambda df, q: top_k(df, q, page_rows=64), lambda df, q: nearest(df, q, parts=8, page_rows=64, recall=1.0)], ids=["op6", "op11"])
 def test_many_queries_are_dealt_to_blocks_and_results_stay_the_same(spark, monkeypatch, search):
     rng = random.Random(7)
     df = spark.createDataFrame([(i, [rng.gauss(0, 1) for _ in range(6)]) for i in range(700)], "vec_id long, embedding array<float>")
