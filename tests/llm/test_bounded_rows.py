@@ -51,3 +51,28 @@ def test_a_sample_by_hash_sorts_few_rows(spark, monkeypatch, module, search):
     more = {"page_rows": 300} if module == "mtree" else {"sample_rows": 300}
     assert search(df, df.where("vec_id % 900 = 0"), **more).count() == 50
     assert taken and all(n <= held <= 4 * n + 200 for n, held in taken)
+
+
+def copies_are_joined(plan: str) -> bool:
+    """Whether a Generate lies below a Join."""
+    lines = [(next((n for n, c in enumerate(x) if c.isalpha()), 0), x) for x in plan.splitlines()]
+    for at, (depth, line) in enumerate(lines):
+        if line[depth:].startswith("Join"):
+            for below, other in lines[at + 1:]:
+                if below <= depth:
+                    break
+                if other[below:].startswith("Generate"):
+                    return True
+    return False
+
+
+@pytest.mark.parametrize("search", [lambda df, q: top_k(df, q, page_rows=100), lambda df, q: nearest(df, q, parts=4, page_rows=100)], ids=["op6", "op11"])
+def test_copies_of_queries_are_not_joined(spark, monkeypatch, search):
+    """Spark's estimate of an exploded table knows nothing of the copies, so it gathered them on the driver for a broadcast."""
+    rng = random.Random(8)
+    df = spark.createDataFrame([(i, [rng.gauss(0, 1) for _ in range(4)]) for i in range(600)], "vec_id long, embedding array<float>")
+    kind, plans = type(df), []
+    of = kind.mapInArrow
+    monkeypatch.setattr(kind, "mapInArrow", lambda self, *a, **kw: (plans.append(self._jdf.queryExecution().optimizedPlan().toString()), of(self, *a, **kw))[1])
+    assert search(df, df.where("vec_id % 3 = 0")).count() == 200 * 5
+    assert plans and not any(map(copies_are_joined, plans))
